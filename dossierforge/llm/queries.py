@@ -10,6 +10,7 @@ from .mixing import op9_mixing
 from .packing import op4_packing
 from .quality import op1_repetition_rules
 from .sharding import op6_sharding
+from .substrings import op5_substring_dedup
 from .tokens import op2_token_files
 from .toxicity import op8_toxicity
 
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_token_files": op2_token_files,
     "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
