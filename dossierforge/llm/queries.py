@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard import op7_jaccard_join
 from .mixing import op9_mixing
 from .packing import op4_packing
 from .quality import op1_repetition_rules
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
 }
