@@ -13,11 +13,13 @@ from .quality import op1_repetition_rules
 from .sharding import op6_sharding
 from .substrings import op5_substring_dedup
 from .tokens import op2_token_files
+from .topk import op3_top_k
 from .toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_token_files": op2_token_files,
+    "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
