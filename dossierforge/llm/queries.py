@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .htmltext import op10_html_text
 from .jaccard import op7_jaccard_join
 from .mixing import op9_mixing
 from .packing import op4_packing
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLES: dict[str, str] = {}
