@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +19,11 @@ from . import common
 
 #: A run of ASCII white space and the run of other characters after it. Neither vocabulary forms a token across the start of such a run.
 _PIECE = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Other white space, which a tokenizer's pattern may join with ASCII white space; texts with it are encoded in one go.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Pieces whose ids a worker remembers; the first ones stay.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 1_200_000
 
 
 class Encoder:
@@ -33,25 +36,50 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        # where white space never reaches an id, "a", " a" and their like are one piece
+        self.pieces = (_WORD if self._ids([" a\n b"]) == self._ids(["a\tb"]) else _PIECE).findall
+        # a normalizer that changes ASCII words to lower case alone is skipped for them; str.lower does the same, faster
+        self.plain = None
+        steps = json.loads(self.tokenizer.to_str())["normalizer"]
+        kinds = sorted(x["type"] for x in (steps or {}).get("normalizers", []))
+        if kinds == ["Lowercase", "NFC", "Replace"] and self.pieces == _WORD.findall:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.encode_special_tokens = True
+            self.plain.normalizer = None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        if self.plain is None:
+            return dict(zip(pieces, self._ids(pieces), strict=True))
+        ascii_ones = [p for p in pieces if p.isascii()]
+        others = [p for p in pieces if not p.isascii()]
+        out = dict(zip(others, self._ids(others), strict=True))
+        encoded = self.plain.encode_batch_fast([p.lower() for p in ascii_ones], add_special_tokens=False)
+        out.update(zip(ascii_ones, (array("I", e.ids).tobytes() for e in encoded), strict=True))
+        return out
 
     def encode(self, text: str) -> bytes:
         if _OTHER_SPACE.search(text):
             return self._ids([text])[0]
-        pieces = _PIECE.findall(text)
+        pieces = self.pieces(text)
         known = self.known
+        ids = list(map(known.get, pieces))
+        missing, at = [], -1
         try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
+            while True:
+                at = ids.index(None, at + 1)
+                missing.append(at)
+        except ValueError:
             pass
-        new = list(set(pieces).difference(known))
-        ids = dict(zip(new, self._ids(new), strict=True))
-        if len(known) + len(new) <= CACHE_ENTRIES:  # frequent pieces come early, so a full memory stays as it is
-            known.update(ids)
-            return b"".join(map(known.__getitem__, pieces))
-        return b"".join([known[p] if p in known else ids[p] for p in pieces])
+        if missing:
+            found = self._new(list({pieces[i] for i in missing}))
+            for i in missing:
+                ids[i] = found[pieces[i]]
+            if len(known) + len(found) <= CACHE_ENTRIES:  # frequent pieces come early, so a full memory stays as it is
+                known.update(found)
+        return b"".join(ids)
 
 
 _encoders: dict[str, Encoder] = {}
