@@ -94,40 +94,64 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     return docs.select("doc_id", "text").join(F.broadcast(out), "doc_id").select("text", F.col("toxic").cast("int"), "weight")
 
 
-def _featurise(rows: DataFrame) -> list:
-    """Words of the sample as hashes, so that the driver gets no text: (label, weight, sentences, hashes)."""
+def _select(sample: DataFrame) -> np.ndarray:
+    """Hashes of the features worth a weight, from counts over the sample that the executors make and add up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch, 0):
                 w = Words(data, offsets, plain=True)
-                sentence, _ = _sentences(w)
-                grams = _grams(w)
-                sent, hashes = [], []
-                for d in range(hi - lo):
-                    a, b = w.bound[d], w.bound[d + 1]
-                    s, h = [], []
-                    for at, hs in grams:
-                        i, j = np.searchsorted(at, (a, b))
-                        s.append(sentence[at[i:j]])
-                        h.append(hs[i:j])
-                    s, h = np.concatenate(s), np.concatenate(h)
-                    sent.append((s - (s.min() if len(s) else 0)).astype("<u4").tobytes())
-                    hashes.append(h.astype("<u8").tobytes())
-                yield pa.RecordBatch.from_arrays([common.column(batch, 1, lo, hi), common.column(batch, 2, lo, hi), pa.array(sent, pa.binary()), pa.array(hashes, pa.binary())], names=["toxic", "weight", "sentences", "hashes"])
-
-    return rows.mapInArrow(run, "toxic int, weight double, sentences binary, hashes binary").collect()
-
-
-def _select(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    seen, of = np.unique(np.concatenate(texts), return_inverse=True)
-    toxic = np.repeat(y, [len(t) for t in texts])
-    n, k = np.bincount(of), np.bincount(of, weights=toxic)
-    all_n, all_k = len(y), y.sum()
-    p = n / all_n
-    apart = k / all_k - (n - k) / (all_n - all_k)
-    error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / all_k + 1 / (all_n - all_k)))
-    return seen[(n >= MIN_TEXTS) & (np.abs(apart) >= MIN_DEVIATION * error)]
+                doc = w.doc()
+                of = np.concatenate([doc[at] for at, _ in _grams(w)])
+                hashes = np.concatenate([h for _, h in _grams(w)])
+                order = np.lexsort((of, hashes))
+                of, hashes = of[order], hashes[order]
+                one = np.ones(len(of), dtype=bool)
+                one[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
+                toxic = np.asarray(common.column(batch, 1, lo, hi))[of[one]]
+                h, at, n = np.unique(hashes[one], return_index=True, return_counts=True)
+                k = np.add.reduceat(toxic, at) if len(at) else at
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(k.astype(np.int64))], names=["hash", "n", "k"])
+
+    sizes = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).first()
+    all_n, all_k = sizes["n"], sizes["k"] or 0
+    if all_k in (0, all_n):
+        return np.empty(0, np.uint64)
+    counts = sample.mapInArrow(run, "hash bigint, n bigint, k bigint").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).where(F.col("n") >= MIN_TEXTS)
+    p = F.col("n") / all_n
+    apart = F.abs(F.col("k") / all_k - (F.col("n") - F.col("k")) / (all_n - all_k))
+    error = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / all_k + 1 / (all_n - all_k)))
+    chosen = counts.where(apart >= MIN_DEVIATION * error).select("hash").toPandas()["hash"]  # few: the sample is bounded
+    return np.sort(chosen.to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def _featurise(sample: DataFrame, features: np.ndarray) -> list:
+    """(label, weight, sentences, the sentence and number of each feature found) of each text; no text reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in text_chunks(batch, 0):
+                w = Words(data, offsets, plain=True)
+                sentence, doc = _sentences(w)
+                n = np.bincount(doc, minlength=hi - lo)
+                first = np.concatenate([[0], np.cumsum(n)])
+                sent, feat = [], []
+                for at, h in _grams(w):
+                    k = np.minimum(np.searchsorted(features, h), max(len(features) - 1, 0))
+                    on = features[k] == h if len(features) else np.zeros(len(h), bool)
+                    sent.append(sentence[at[on]])
+                    feat.append(k[on])
+                sent, feat = np.concatenate(sent), np.concatenate(feat)
+                order = np.lexsort((feat, sent))
+                sent, feat = sent[order], feat[order]
+                cut = np.searchsorted(sent, first)
+                own = [(sent[a:b] - f, feat[a:b]) for a, b, f in zip(cut[:-1], cut[1:], first, strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [common.column(batch, 1, lo, hi), common.column(batch, 2, lo, hi), pa.array(n.astype(np.int64)), pa.array([x.astype("<u4").tobytes() for x, _ in own], pa.binary()), pa.array([x.astype("<u4").tobytes() for _, x in own], pa.binary())],
+                    names=["toxic", "weight", "n", "sentences", "features"],
+                )
+
+    return sample.mapInArrow(run, "toxic int, weight double, n bigint, sentences binary, features binary").collect()
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, epochs: int = 8, rate: float = 0.5, decay: float = 1e-5, seed: int = 8) -> Model:
@@ -135,21 +159,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, epochs: int
 
     Without a row of either class the model has no features, and a score that is the same for all sentences.
     """
-    sample = _featurise(training_rows(docs, labels, most))
-    # the sample's order must not decide
-    sample.sort(key=lambda r: (bytes(r["hashes"]), r["toxic"]))
-    y = np.array([r["toxic"] for r in sample], dtype=float)
-    if not len(sample) or y.min() == y.max():
+    rows_of = common.store(training_rows(docs, labels, most), "sample")
+    features = _select(rows_of)
+    if not len(features):
         return Model(np.empty(0, np.uint64), np.empty(0), -12.0)
+    sample = _featurise(rows_of, features)
+    # the order in which the rows came must not decide
+    sample.sort(key=lambda r: (bytes(r["features"]), bytes(r["sentences"]), r["n"], r["toxic"]))
+    y = np.array([r["toxic"] for r in sample], dtype=float)
     weight = np.array([r["weight"] for r in sample])
-    hashes = [np.frombuffer(r["hashes"], dtype="<u8") for r in sample]
-    features = _select([np.unique(h) for h in hashes], y)
-    rows = []
-    for r, h in zip(sample, hashes, strict=True):
-        s = np.frombuffer(r["sentences"], dtype="<u4").astype(np.int64)
-        at = np.minimum(np.searchsorted(features, h), max(len(features) - 1, 0))
-        on = features[at] == h if len(features) else np.zeros(len(h), bool)
-        rows.append((s[on], at[on], int(s.max()) + 1 if len(s) else 0))
+    rows = [(np.frombuffer(r["sentences"], dtype="<u4").astype(np.int64), np.frombuffer(r["features"], dtype="<u4").astype(np.int64), r["n"]) for r in sample]
     w, grad2 = np.zeros(len(features)), np.full(len(features), 1e-2)
     bias, bias2 = -5.0, 1e-2
     rng = np.random.default_rng(seed)
@@ -208,6 +227,20 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, locate: b
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, score double{more}")
 
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is under the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in text_chunks(batch, at):
+                p, doc, _ = sentence_scores(Words(data, offsets, plain=True), shared.value)
+                yield batch.slice(lo, hi - lo).filter(pa.array(noisy_or(p, doc, hi - lo) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     model = fit(docs, common.table(spark, sf_dir, "labels"))
