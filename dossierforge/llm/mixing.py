@@ -49,6 +49,10 @@ def _order_key(seed: int, *columns: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(c.cast("string"), F.lit("~")) for c in columns)))
 
 
+def _block(key: Column, blocks: Column) -> Column:
+    return F.pmod(F.conv(F.substring(key, 1, 8), 16, 10).cast("long"), blocks).cast("int")
+
+
 def _unit(seed: int, *columns: Column) -> Column:
     """Uniform in [0, 1), from the hash of the values."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) / F.lit(float(1 << 53))
@@ -135,7 +139,7 @@ def plan_mixture(docs: DataFrame, n_shards: int = 16, seed: int = 9, weights: tu
     few = common.small(sizes)
     rank = _order_key(seed, F.col("doc_id"), F.col("size"))
     rows = by_source(base, "source_size", "target", "blocks").withColumn("key", rank)
-    rows = rows.withColumn("block", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("block", _block(F.col("key"), F.col("blocks")))
     blocks = rows.groupBy("source", "block", "source_size", "target").agg(F.sum("size").alias("words"))
     # at most MAX_BLOCKS rows a source
     line = Window.partitionBy("source").orderBy(_order_key(seed + 1, F.col("source"), F.col("block")), "block")
@@ -181,6 +185,25 @@ def mix(docs: DataFrame, n_shards: int = 16, seed: int = 9, **options) -> DataFr
     return rows.withColumn("position", F.row_number().over(shuffle) - 1).select("shard", "position", "doc_id", "source", "copy")
 
 
+def mixed_rows(docs: DataFrame, seed: int = 9, **options) -> DataFrame:
+    """The rows of docs, with all their columns, as often as the mix takes them; rows that it doesn't take are gone.
+
+    Blocks follow from a row's own values, so texts stay where they are: the draws of each block are joined to them.
+    """
+    plan = plan_mixture(docs, seed=seed, **options)
+    names = docs.columns
+    whole = plan.draws.where("NOT partial").groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(F.count("*").alias("full"))
+    edge = plan.rows.where("extra > 0").select(F.col("key").alias("e_key"), F.lit(1).alias("more")).distinct()
+    sizes = plan.sizes.select(F.col("source").alias("s_source"), "blocks")
+    whole, edge, sizes = (F.broadcast(x) if common.small(x) else x for x in (whole, edge, sizes))
+    own = F.col("source").cast("string") if "source" in names else F.lit(None).cast("string")
+    d = docs.withColumn("__source", own).withColumn("__key", _order_key(seed, F.col("doc_id"), word_count(F.col("text"))))
+    d = d.join(sizes, F.col("__source").eqNullSafe(F.col("s_source"))).withColumn("__block", _block(F.col("__key"), F.col("blocks")))
+    d = d.join(whole, F.col("__source").eqNullSafe(F.col("d_source")) & (F.col("__block") == F.col("d_block")), "left").join(edge, F.col("__key") == F.col("e_key"), "left")
+    copies = (F.coalesce("full", F.lit(0)) + F.coalesce("more", F.lit(0))).cast("int")
+    return d.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*names)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mixture(common.table(spark, sf_dir, "documents"))
     return plan.rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
