@@ -102,7 +102,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
                     names=["h", "content", "doc_id", "__th", "first", "windows"],
                 )
 
-    twice = docs.select("text").mapInArrow(anchors, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # stored, so that the join deals both its sides anew and can split an anchor that very many texts have
+    twice = common.store(docs.select("text").mapInArrow(anchors, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
     found = docs.select("doc_id", "__th", "text").mapInArrow(records, "h bigint, content bigint, doc_id bigint, __th bigint, first int, windows int")
     candidates = common.store(found.join(twice, "h", "left_semi"), "repeat-candidates")
 
