@@ -5,6 +5,467 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import address as A
+from ..functions import text as T
+from ..functions import vocab as V
+from ..operators import html as H
+from ..operators import records as R
+from ..operators import selection as S
+from ..operators import validate as N
+from ..sources import providers, tables
+from . import stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from ..operators.shipping import ensure_importable
+
+    ensure_importable(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_SUFFIX = "CASE c_custkey % 7 WHEN 0 THEN ' B.V.' WHEN 1 THEN ' N.V.' WHEN 2 THEN ' Holding' WHEN 3 THEN ' BV' WHEN 4 THEN ' Holdings ' WHEN 5 THEN ' & Zn. B.V.' ELSE '' END"
+_DUCK_SLUG = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-')"
+_DUCK_ID = _DUCK_SLUG.format("regexp_replace(name, '(?i)\\s+(B\\.?V\\.?|N\\.?V\\.?|Holdings?)\\s*$', '')")
+
+
+def _companies(spark, sf_dir):
+    return _t(spark, sf_dir, "customer").select("c_custkey", F.expr(f"concat(c_name, {_SUFFIX})").alias("name"))
+
+
+@_query(f"SELECT c_custkey, {_DUCK_ID} AS company_id FROM (SELECT c_custkey, c_name || {_SUFFIX} AS name FROM customer)")
+def company_id_derive(spark, sf_dir):
+    return _companies(spark, sf_dir).select("c_custkey", T.company_id(F.col("name")).alias("company_id"))
+
+
+_SEED = "SELECT 's' || s_suppkey AS company_id, CASE WHEN s_suppkey % 11 = 0 THEN ' ' ELSE s_name END AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'https://x' || s_suppkey || '.nl' WHEN s_suppkey % 3 = 1 THEN '' END AS website FROM supplier"
+_HITS = "SELECT 's' || s_suppkey AS company_id, e AS engine_rank, CASE WHEN (s_suppkey + e) % 4 <> 0 THEN 'https://e' || e || '.example/' || s_suppkey END AS url FROM supplier, {engines} WHERE s_suppkey % 5 <> 4"
+_RESOLVED = f"""SELECT company_id, name, CASE WHEN trim(coalesce(website, '')) <> '' THEN website WHEN trim(name) <> '' THEN hit END AS website
+FROM ({_SEED}) LEFT JOIN (SELECT company_id, arg_min(url, engine_rank) AS hit FROM ({_HITS.format(engines='(VALUES (1), (2), (3)) v(e)')}) WHERE url IS NOT NULL GROUP BY 1) USING (company_id)"""
+_STATUS = f"SELECT *, CASE WHEN trim(name) = '' OR website IS NULL THEN 'failed' END AS status FROM ({_RESOLVED})"
+
+
+def _resolved(spark, sf_dir):
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    return R.resolve_websites(spark.sql(_SEED), spark.sql(_HITS.format(engines="(SELECT explode(array(1, 2, 3)) AS e)")))
+
+
+@_query(_STATUS)
+def website_resolve(spark, sf_dir):
+    return _resolved(spark, sf_dir).select("company_id", "name", "website", "status")
+
+
+@_query(f"SELECT coalesce(status, 'resolved') AS status, count(*) AS n FROM ({_STATUS}) GROUP BY 1")
+def resolve_tally(spark, sf_dir):
+    return R.status_summary(_resolved(spark, sf_dir).withColumn("status", F.coalesce("status", F.lit("resolved"))))
+
+
+_RX = "'^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]+)([^?#]*)'"
+_PATH = f"coalesce(nullif(regexp_extract(url, {_RX}, 3), ''), '/')"
+
+
+@_query(f"""SELECT page_id, s || '://' || h || '/' || CASE WHEN regexp_matches(p, '^/[A-Za-z]{{2}}([-_][A-Za-z]{{2}})?/?$') THEN trim(p, '/') ELSE '' END AS homepage, s || '://' || h || p AS base
+FROM (SELECT page_id, lower(regexp_extract(url, {_RX}, 1)) AS s, regexp_extract(url, {_RX}, 2) AS h, {_PATH} AS p FROM pages)""")
+def url_normalize(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", T.normalize_homepage(F.col("url")).alias("homepage"), T.canonical_base(F.col("url")).alias("base"))
+
+
+@_query(f"""SELECT page_id, CASE WHEN trim(p, '/') = '' THEN 'index' ELSE {_DUCK_SLUG.format("trim(p, '/')")} END AS slug, greatest(len(list_filter(string_split(p, '/'), lambda s: s <> '')), 1)::INT AS depth,
+regexp_matches(lower(p), '\\.({'|'.join(V.EXCLUDED_EXTENSIONS)})$') AS excluded FROM (SELECT page_id, {_PATH} || CASE page_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '/a.b/C d' WHEN 2 THEN '/x.tar' ELSE '' END AS p FROM pages)""")
+def url_slug(spark, sf_dir):
+    p = F.concat(T.url_path(F.col("url")), F.expr("CASE page_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '/a.b/C d' WHEN 2 THEN '/x.tar' ELSE '' END"))
+    d = _t(spark, sf_dir, "pages").select("page_id", p.alias("p"))
+    return d.select("page_id", T.slugify_path(F.col("p")).alias("slug"), T.path_depth(F.concat(F.lit("http://h"), F.col("p"))).alias("depth"), T.has_excluded_extension(F.col("p")).alias("excluded"))
+
+
+_HOST = "CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'https://www.acme.example/x' WHEN 2 THEN 'http://a.b.co.uk:80/y' ELSE 'https://WWW.Acme.NL/' END"
+
+
+@_query("SELECT page_id, CASE page_id % 4 WHEN 1 THEN 'acme.example' WHEN 2 THEN 'b.co.uk' WHEN 3 THEN 'acme.nl' ELSE regexp_extract(lower(url), '://[^/?#]*?([^./?#]+\\.(?:com|net|org))(?:[/?#]|$)', 1) END AS domain FROM pages")
+def registered_domain(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", T.registered_domain(F.expr(_HOST)).alias("domain"))
+
+
+_SLUGS = ["contact-2", "support-contact", "privacybeleid", "over-ons", "about-us", "discover-qualify", "index", "blog", "colofon", "team"]
+_SLUG_OF = "CASE p_partkey % 10 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SLUGS)) + " END || CASE WHEN p_partkey % 3 = 0 THEN '-x' ELSE '' END"
+
+
+@_query(f"SELECT p_partkey, slug, regexp_matches(slug, '{'|'.join(V.ADDRESS_STEMS)}') OR list_has_any(string_split(slug, '-'), ['about', 'over', 'ons']) AS intent FROM (SELECT p_partkey, {_SLUG_OF} AS slug FROM part)")
+def address_intent_slug(spark, sf_dir):
+    return _t(spark, sf_dir, "part").select("p_partkey", F.expr(_SLUG_OF).alias("slug")).withColumn("intent", T.is_address_intent(F.col("slug")))
+
+
+_TIERS = [(t, i, p) for t, tier in enumerate((V.TIER_1, V.TIER_2, V.TIER_3), 1) for i, p in enumerate(tier)]
+_ODD = ["/privacybeleid", "/nope", "/Contact/", "/about/team", "/support-contact", "/aboutx"]
+_PATHS = ", ".join(f"({k}, '{p}')" for k, p in enumerate([p for _, _, p in _TIERS] + _ODD))
+_N_PATHS = len(_TIERS) + len(_ODD)
+
+
+@_query(f"""WITH tiers(tier, position, tp) AS (VALUES {', '.join(f"({t}, {i}, '{p}')" for t, i, p in _TIERS)}), paths(k, p) AS (VALUES {_PATHS}),
+hit AS (SELECT k, arg_min({{'tier': tier, 'position': position}}, tier * 1000 + position) AS c FROM paths, tiers WHERE rtrim(lower(p), '/') = tp OR starts_with(rtrim(lower(p), '/'), tp || '/') GROUP BY k)
+SELECT p_partkey, coalesce(c.tier, CASE WHEN a THEN 2 END)::INT AS tier, coalesce(c.position, CASE WHEN a THEN -1 END)::INT AS position
+FROM part JOIN (SELECT k, p, regexp_matches(lower(p), '{'|'.join(V.ADDRESS_STEMS)}') OR list_has_any(string_split(trim(replace(lower(p), '/', '-'), '-'), '-'), ['about', 'over', 'ons']) AS a FROM paths) ON k = p_partkey % {_N_PATHS} LEFT JOIN hit USING (k)""")
+def tier_classify(spark, sf_dir):
+    paths = F.array(*(F.lit(p) for p in [p for _, _, p in _TIERS] + _ODD))
+    d = _t(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("https://h.nl"), F.element_at(paths, F.expr(f"cast(p_partkey % {_N_PATHS} + 1 AS int)"))).alias("url"))
+    return d.withColumn("c", T.classify(F.col("url"))).select("p_partkey", "c.tier", "c.position")
+
+
+def _pages(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").withColumn("page", H.read_page("html"))
+
+
+_ABS = "regexp_extract(url, '^[A-Za-z]+://[^/?#]+')"
+
+
+@_query(f"""SELECT page_id, min(pos)::INT AS pos, link FROM (SELECT page_id, url, pos - 1 AS pos, {_ABS} || regexp_replace(h, '[?#].*$', '') AS link FROM
+(SELECT page_id, url, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hs FROM pages)) WHERE NOT regexp_matches(lower(h), '\\.({'|'.join(V.EXCLUDED_EXTENSIONS)})$'))
+WHERE link <> regexp_replace(url, '[?#].*$', '') GROUP BY page_id, link""")
+def internal_links(spark, sf_dir):
+    return H.internal_links(_pages(spark, sf_dir)).withColumn("pos", F.col("pos").cast("int"))
+
+
+@_query("SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+def page_title(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "page.title")
+
+
+@_query("SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_extract(html, '<footer>(.*?)</footer>', 1, 's'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \\t]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')) AS footer_text FROM pages")
+def footer_text(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "page.footer_text")
+
+
+@_query()
+def visible_text(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "page.visible_text")
+
+
+@_query()
+def main_text(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "page.markdown", "page.recall")
+
+
+_CARD = """concat('<html><head><script type="application/ld+json">{"@graph":[{"@type":["PostalAddress"],"streetAddress":"Laan ', s_suppkey, '","postalCode":"', 1000 + s_suppkey % 9000, ' AB","addressLocality":"Utrecht","addressCountry":{"name":"NL"}}]}</script></head><body><address>Plein ', s_suppkey, '<br>Ede</address></body></html>')"""
+
+
+@_query("SELECT s_suppkey, concat('Laan ', s_suppkey, ', ', 1000 + s_suppkey % 9000, ' AB, Utrecht, NL', chr(10), 'Plein ', s_suppkey, chr(10), 'Ede') AS structured_text FROM supplier")
+def structured_text(spark, sf_dir):
+    return _t(spark, sf_dir, "supplier").select("s_suppkey", H.read_page(F.expr(_CARD)).alias("page")).select("s_suppkey", "page.structured_text")
+
+
+_ICONS = "SELECT s_suppkey, i AS pos, CASE WHEN (s_suppkey + i) % 3 = 0 THEN 'shortcut icon' ELSE 'icon' END AS rel, CASE (s_suppkey * 7 + i * 5) % 6 WHEN 0 THEN '16x16' WHEN 1 THEN '192x192' WHEN 2 THEN '512x512' WHEN 3 THEN 'any' WHEN 4 THEN '1024x1024' END AS sizes, '/i' || i AS href FROM supplier, {four} WHERE s_suppkey % 4 >= i OR s_suppkey % 5 = 0"
+
+
+@_query(f"""SELECT s_suppkey, arg_min(href, (CASE WHEN z < 512 THEN 1 ELSE 0 END) * 100000000 + (CASE WHEN z >= 512 THEN z ELSE 5000 - z END) * 1000 + (CASE WHEN rel LIKE '%shortcut%' THEN 100 ELSE 0 END) + pos) AS favicon_url
+FROM (SELECT *, CASE coalesce(sizes, '') WHEN 'any' THEN 512 WHEN '' THEN 16 ELSE cast(string_split(sizes, 'x')[1] AS INT) END AS z FROM ({_ICONS.format(four='(VALUES (0), (1), (2), (3)) v(i)')})) GROUP BY 1""")
+def favicon_best(spark, sf_dir):
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    return H.best_favicon(spark.sql(_ICONS.format(four="(SELECT explode(array(0, 1, 2, 3)) AS i)")), "s_suppkey")
+
+
+_LOCS = "concat('<url><loc> https://h', s_suppkey, '.nl/p', {0}, '?a=1&amp;b=2 </loc></url>')"
+_MAPS = f"""SELECT s_suppkey AS company_id, 'r' || s_suppkey AS url, CASE s_suppkey % 3 WHEN 0 THEN concat('<?xml version="1.0"?><urlset xmlns="x">', {_LOCS.format(1)}, {_LOCS.format(2)}, '</urlset>') WHEN 1 THEN concat('<sm:sitemapindex><sm:loc>k', s_suppkey, '</sm:loc></sm:sitemapindex>') ELSE '<html><loc>no</loc>' END AS html FROM supplier"""
+_KIDS = f"SELECT 'k' || s_suppkey AS url, concat('<urlset>', {_LOCS.format(3)}, '</urlset>') AS html FROM supplier"
+
+
+@_query("""SELECT s_suppkey AS company_id, 0 AS child, i::INT AS pos, concat('https://h', s_suppkey, '.nl/p', i + 1, '?a=1&b=2') AS loc FROM supplier, (VALUES (0), (1)) v(i) WHERE s_suppkey % 3 = 0
+UNION ALL SELECT s_suppkey, 0, 0, concat('https://h', s_suppkey, '.nl/p3?a=1&b=2') FROM supplier WHERE s_suppkey % 3 = 1""")
+def sitemap_harvest(spark, sf_dir):
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    maps = spark.sql(_MAPS)
+    return tables.harvest_sitemaps(maps.select("company_id", "url"), maps.select("url", "html").unionByName(spark.sql(_KIDS)))
+
+
+_LINKS = "SELECT s_suppkey AS company_id, 'https://h.nl/' AS homepage, i AS ord, concat('https://h.nl', {path}) AS link FROM supplier, {many} WHERE (s_suppkey + i) % 3 <> 0"
+
+
+@_query()
+def select_urls(spark, sf_dir):
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    paths = "element_at(array({}), cast((s_suppkey * 13 + i * 7) % {} + 1 AS int))".format(", ".join(f"'{p}'" for p in [*(p for _, _, p in _TIERS), *_ODD, "/platform/a", "/platform/b", "/learn/x", "/learn"]), _N_PATHS + 4)
+    links = spark.sql(_LINKS.format(path=paths, many="(SELECT explode(sequence(0, 29)) AS i)"))
+    d = S.select_urls(links)
+    return d.select("company_id", F.array_join(F.transform("selected", lambda x: x["slug"]), " ").alias("selected"), F.array_join(F.transform("collisions", lambda x: x["url"]), " ").alias("collisions"))
+
+
+@_query("""SELECT *, CASE WHEN pages_collected >= 3 OR pages_collected >= 1 AND total_chars >= 2000 THEN 'ok' WHEN pages_collected >= 1 THEN 'thin' ELSE 'fetch_failed' END AS status FROM
+(SELECT doc_id // 2 AS company_id, count(*) FILTER (length(text) >= 100) AS pages_collected, coalesce(sum(length(text)) FILTER (length(text) >= 100), 0)::BIGINT AS total_chars FROM documents GROUP BY 1)""")
+def content_status(spark, sf_dir):
+    return S.content_status(_t(spark, sf_dir, "documents").select(F.expr("doc_id div 2").alias("company_id"), "text"))
+
+
+_BLOCKS = "SELECT doc_id, source, pos, block FROM (SELECT doc_id, source, unnest(range(len(b)))::INT AS pos, unnest(b) AS block FROM (SELECT doc_id, source, string_split(text, chr(10)) AS b FROM documents)) WHERE length(block) >= 20"
+
+
+@_query(f"SELECT doc_id, source, pos, md5(block) AS block_md5 FROM ({_BLOCKS}) QUALIFY row_number() OVER (PARTITION BY source, block ORDER BY doc_id, pos) = 1")
+def block_dedup(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "block")).where(F.length("block") >= 20)
+    return H.first_blocks(d, "source", "doc_id", "pos", "block").select("doc_id", "source", "pos", F.md5("block").alias("block_md5"))
+
+
+# footers: the postcode's digits and letters, the street's number and the rest follow from the key
+_PC = "concat(1000 + {k} % 9000, {gap}, chr(cast(65 + {k} % 26 AS INT)), chr(cast(65 + ({k} * 7) % 26 AS INT)))"
+_FOOT = """CASE {k} % 6
+WHEN 0 THEN concat('Europalaan ', {k}, ', ', {pc}, ' Utrecht | KVK 12345678')
+WHEN 1 THEN concat('Postbus 12, 3500 AA Utrecht | Bezoekadres: Plein ', {k}, ', ', {pc}, ' Den Haag')
+WHEN 2 THEN concat('Amersfoort', chr(10), 'Koningstraat ', {k}, chr(10), {pc})
+WHEN 3 THEN concat('Ons adres: Weg 1, 3011 AA Rotterdam', chr(10), 'Hoofdkantoor: Laan ', {k}, ', ', {pc}, ' Utrecht')
+WHEN 4 THEN 'Founded 2024, mail support@1234AB.example.com'
+ELSE concat('Laan ', {k}, chr(10), {pc}, ', MaarsbergenThe Netherlands') END"""
+
+
+def _foot(gap: str = "' '") -> str:
+    return _FOOT.format(k="c_custkey", pc=_PC.format(k="c_custkey", gap=gap))
+
+
+_DUCK_PC = _PC.format(k="k", gap="' '")
+_FOUND = f"""SELECT k AS company_id, 0 AS i, CASE k % 6 WHEN 0 THEN 'Europalaan ' || k WHEN 2 THEN 'Koningstraat ' || k WHEN 3 THEN 'Ons adres: Weg 1' ELSE 'Laan ' || k END AS street,
+CASE k % 6 WHEN 3 THEN '3011 AA' ELSE {_DUCK_PC} END AS postcode, CASE k % 6 WHEN 0 THEN 'Utrecht' WHEN 2 THEN 'Amersfoort' WHEN 3 THEN 'Rotterdam' ELSE 'Maarsbergen' END AS city, false AS boost FROM (SELECT c_custkey AS k FROM customer) WHERE k % 6 IN (0, 2, 3, 5)
+UNION ALL SELECT k, 1, CASE k % 6 WHEN 1 THEN 'Bezoekadres: Plein ' || k ELSE 'Hoofdkantoor: Laan ' || k END, {_DUCK_PC}, CASE k % 6 WHEN 1 THEN 'Den Haag' ELSE 'Utrecht' END, true FROM (SELECT c_custkey AS k FROM customer) WHERE k % 6 IN (1, 3)"""
+
+
+def _surfaces(spark, sf_dir):
+    d = _t(spark, sf_dir, "customer")
+    return d.select(F.col("c_custkey").alias("company_id"), F.lit("footer").alias("surface"), F.lit(0).alias("ord"), F.expr(_foot("CASE WHEN c_custkey % 2 = 0 THEN ' ' ELSE '' END")).alias("text"))
+
+
+@_query(_FOUND)
+def postcode_candidates(spark, sf_dir):
+    return A.candidates(_surfaces(spark, sf_dir)).select("company_id", "i", "street", "postcode", "city", "boost")
+
+
+@_query(f"SELECT company_id, postcode, row_number() OVER (PARTITION BY company_id ORDER BY CASE WHEN boost THEN 0 ELSE 1 END, i)::INT AS rank FROM ({_FOUND})")
+def candidate_rank(spark, sf_dir):
+    return A.ranked(A.candidates(_surfaces(spark, sf_dir))).where("rank <= 5").select("company_id", "postcode", "rank")
+
+
+@_query(f"""SELECT c_custkey AS company_id, CASE WHEN c_custkey % 13 = 0 THEN 'upstream_failed' WHEN n IS NULL THEN 'empty' ELSE 'regex_single' END AS status, CASE WHEN c_custkey % 13 <> 0 THEN best END AS postcode
+FROM customer LEFT JOIN (SELECT company_id, count(*) AS n, arg_min(postcode, CASE WHEN boost THEN 0 ELSE 10 END + i) AS best FROM ({_FOUND}) GROUP BY 1) ON company_id = c_custkey""")
+def fact_decide(spark, sf_dir):
+    spine = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.expr("CASE WHEN c_custkey % 13 = 0 THEN 'fetch_failed' ELSE 'ok' END").alias("upstream"))
+    return A.decide(A.candidates(_surfaces(spark, sf_dir)), spine).select("company_id", "status", "address.postcode")
+
+
+_CODES = "CASE c_custkey % 5 WHEN 0 THEN concat(' ', 1000 + c_custkey % 9000, 'ab ') WHEN 1 THEN concat(1000 + c_custkey % 9000, ' CD') WHEN 2 THEN '12345 AB' WHEN 3 THEN '' END"
+
+
+@_query(f"SELECT c_custkey, CASE WHEN regexp_matches(trim(p), '^[0-9]{{4}}\\s*[A-Za-z]{{2}}$') THEN substr(trim(p), 1, 4) || ' ' || upper(right(trim(p), 2)) END AS postcode FROM (SELECT c_custkey, {_CODES} AS p FROM customer)")
+def validate_postcode(spark, sf_dir):
+    return _t(spark, sf_dir, "customer").select("c_custkey", T.valid_postcode(F.expr(_CODES)).alias("postcode"))
+
+
+_ASKED = "SELECT c_custkey AS company_id, CASE c_custkey % 4 WHEN 0 THEN 'Laan ' || c_custkey % 50 || 'a' WHEN 1 THEN '<br>' WHEN 2 THEN 'Plein ' || c_custkey % 40 || '-7, P.O. Box 9' END AS street, CASE WHEN c_custkey % 3 > 0 THEN concat(1000 + c_custkey % 60, ' AB') END AS postcode, CASE WHEN c_custkey % 5 > 0 THEN 'Ede' END AS city, CASE WHEN c_custkey % 17 = 0 THEN 'BE' ELSE 'NL' END AS country FROM customer"
+_PREPARED = f"""SELECT company_id, CASE WHEN country <> 'NL' THEN 'non_nl' WHEN postcode IS NULL AND city IS NULL THEN 'no_anchor' END AS skip_reason, replace(postcode, ' ', '') AS postcode,
+CASE WHEN regexp_matches(street, '[0-9]') THEN trim(regexp_extract(street, '^([^0-9]*)[0-9]', 1)) END AS street_name, nullif(regexp_extract(street, '([0-9]+)', 1), '')::INT AS house_no, city FROM ({_ASKED})"""
+
+
+def _prepared(spark, sf_dir):
+    _t(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    d = spark.sql(_ASKED)
+    return d.select("company_id", A.prepare(F.col("street"), F.col("postcode"), F.col("city"), F.col("country")).alias("p")).select("company_id", "p.*")
+
+
+@_query(_PREPARED)
+def address_prepare(spark, sf_dir):
+    return _prepared(spark, sf_dir)
+
+
+_REF = "SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'postcode' ELSE 'adres' END AS kind, concat(1000 + s_suppkey % 70, 'AB') AS postcode, CASE WHEN s_suppkey % 3 > 0 THEN 'laan' END AS street, CASE WHEN s_suppkey % 3 > 0 THEN cast(s_suppkey % 50 AS INT) END AS house_no, CASE WHEN s_suppkey % 3 > 0 THEN 'EDE' END AS city, concat('POINT(5.', s_suppkey, ' 52.25)') AS centroid_wkt FROM supplier"
+
+
+@_query(f"""WITH p AS ({_PREPARED}), r AS ({_REF}), m AS (SELECT company_id, (SELECT min(centroid_wkt) FROM r WHERE kind = 'adres' AND r.postcode = p.postcode AND r.house_no = p.house_no) AS a,
+(SELECT min(centroid_wkt) FROM r WHERE kind = 'adres' AND lower(r.street) = lower(p.street_name) AND r.house_no = p.house_no AND lower(r.city) = lower(p.city)) AS b,
+(SELECT min(centroid_wkt) FROM r WHERE kind = 'postcode' AND r.postcode = p.postcode) AS c FROM p WHERE skip_reason IS NULL)
+SELECT company_id, CASE WHEN a IS NOT NULL THEN 'exact' WHEN b IS NOT NULL THEN 'street' WHEN c IS NOT NULL THEN 'postcode_centroid' END AS match_quality, CASE WHEN coalesce(a, b, c) IS NOT NULL THEN 52.25::DOUBLE END AS lat, regexp_extract(coalesce(a, b, c), 'POINT.([0-9.]+)', 1)::DOUBLE AS lng FROM m""")
+def geocode_cascade(spark, sf_dir):
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    d = R.geocode(_prepared(spark, sf_dir).where("skip_reason IS NULL"), spark.sql(_REF))
+    return d.withColumn("p", T.wkt_point(F.col("wkt"))).select("company_id", "match_quality", "p.lat", "p.lng")
+
+
+@_query(f"""SELECT doc_id, CASE WHEN len(w) > 0 THEN CASE WHEN len(list_filter(w, lambda x: list_contains([{', '.join(f"'{x}'" for x in V.DUTCH)}], x))) / len(w) > 0.06 THEN 'nl' ELSE 'en' END END AS language
+FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-zà-ÿ]+')[1:400] AS w FROM documents)""")
+def detect_language(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", T.detect_language(F.col("text")).alias("language"))
+
+
+@_query("SELECT conv_id AS company_id, md5(substr(string_agg('## [' || slug || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY CASE WHEN slug = 'index' THEN 0 ELSE 1 END, slug), 1, 24000)) AS body_md5 FROM (SELECT conv_id, CASE WHEN turn = 0 THEN 'index' ELSE 'p' || lpad(turn::VARCHAR, 4, '0') END AS slug, text FROM conversations WHERE text IS NOT NULL) GROUP BY 1")
+def dossier_input(spark, sf_dir):
+    d = _t(spark, sf_dir, "conversations").where("text IS NOT NULL").select(F.col("conv_id").alias("company_id"), F.when(F.col("turn") == 0, "index").otherwise(F.concat(F.lit("p"), F.lpad(F.col("turn").cast("string"), 4, "0"))).alias("slug"), "text")
+    return S.dossier_input(d).select("company_id", F.md5("body").alias("body_md5"))
+
+
+@_query("""SELECT conv_id AS company_id, md5(substr(string_agg(text, chr(10) || chr(10) ORDER BY o, slug), 1, 2000)) AS body_md5 FROM (SELECT conv_id, text, CASE turn % 4 WHEN 0 THEN 'contact' WHEN 1 THEN 'privacy-policy-' || turn WHEN 2 THEN 'about' END AS slug, CASE turn % 4 WHEN 0 THEN 1 WHEN 2 THEN 4 ELSE 10 END AS o, turn FROM conversations WHERE turn < 4 AND text IS NOT NULL) WHERE slug IS NOT NULL GROUP BY 1""")
+def fallback_surface(spark, sf_dir):
+    d = _t(spark, sf_dir, "conversations").where("turn < 4 AND text IS NOT NULL").select(F.col("conv_id").alias("company_id"), F.expr("CASE turn % 4 WHEN 0 THEN 'contact' WHEN 1 THEN concat('privacy-policy-', turn) WHEN 2 THEN 'about' ELSE 'blog' END").alias("slug"), "text")
+    return S.fallback_surface(d).select("company_id", F.md5("body").alias("body_md5"))
+
+
+@_query("SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END AS lang, length(ltrim(text, chr(10)))::INT + CASE WHEN ends_with(text, chr(10)) THEN 0 ELSE 1 END AS body_chars FROM documents WHERE length(ltrim(text, chr(10))) > 0")
+def frontmatter_roundtrip(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", T.render_dossier({"name": F.concat(F.lit('a "q" \\ '), F.col("source")), "source_language": F.expr("CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END")}, F.col("text")).alias("file"))
+    d = d.withColumn("p", T.parse_frontmatter(F.col("file"))).where(F.length("p.body") > 1)
+    return d.select("doc_id", F.substring_index(F.element_at("p.meta", "name"), " ", -1).alias("source"), F.element_at("p.meta", "source_language").alias("lang"), F.length("p.body").alias("body_chars"))
+
+
+_FENCED = "CASE turn % 3 WHEN 0 THEN concat('```json', chr(10), '{\"a\": ', conv_id, '}', chr(10), '```') WHEN 1 THEN concat(' {\"a\": ', conv_id, '} ') ELSE concat('```', '{\"a\": ', conv_id, '}```') END"
+
+
+@_query("SELECT conv_id, turn, '{\"a\": ' || conv_id || '}' AS answer FROM conversations")
+def strip_completion(spark, sf_dir):
+    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", T.strip_fence(F.expr(_FENCED)).alias("answer"))
+
+
+_TAGLINE = "CASE event_id % 6 WHEN 0 THEN concat('{\"en\": \" t', event_id, ' \"}') WHEN 1 THEN '{\"en\": 5}' WHEN 2 THEN '{\"en\": \" \"}' WHEN 3 THEN '[1]' WHEN 4 THEN 'no json' ELSE concat('```json', chr(10), '{\"en\": \"t', event_id, '\"}', chr(10), '```') END"
+
+
+@_query("SELECT event_id, CASE WHEN event_id % 6 IN (0, 5) THEN 't' || event_id END AS tagline FROM events")
+def tagline_validate(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", N.tagline(F.expr(_TAGLINE)).alias("tagline"))
+
+
+def _scores_json() -> str:
+    rest = ", ".join(f'"{a}": {{"score": 50, "evidence": "partial", "reason": {{"en": "r"}}}}' for a in V.AXES[1:])
+    value = "CASE event_id % 8 WHEN 0 THEN '70.0' WHEN 1 THEN 'null' WHEN 2 THEN 'true' WHEN 3 THEN '101' WHEN 4 THEN '\"60\"' WHEN 5 THEN '60.5' ELSE '60' END"
+    evidence = "CASE event_id % 3 WHEN 0 THEN 'no_signal' WHEN 1 THEN 'partial' ELSE 'well_evidenced' END"
+    bare = f"""concat('{{"substance": {{"score": ', {value}, ', "evidence": "', {evidence}, '", "reason": {{"en": " ok "}}}}, {rest}}}')"""
+    return f"CASE WHEN event_id % 5 = 0 THEN concat('{{\"scores\": ', {bare}, '}}') WHEN event_id % 7 = 0 THEN '{{}}' ELSE {bare} END"
+
+
+@_query("""SELECT event_id, ok AS valid, CASE WHEN ok THEN v END AS score, CASE WHEN ok THEN CASE WHEN v IS NULL THEN 'no_signal' WHEN e = 'no_signal' THEN 'partial' ELSE e END END AS evidence FROM
+(SELECT event_id, event_id % 8 IN (0, 1, 6, 7) AND (event_id % 5 = 0 OR event_id % 7 <> 0) AS ok, CASE event_id % 8 WHEN 0 THEN 70 WHEN 1 THEN NULL ELSE 60 END AS v, CASE event_id % 3 WHEN 0 THEN 'no_signal' WHEN 1 THEN 'partial' ELSE 'well_evidenced' END AS e FROM events)""")
+def scores_validate(spark, sf_dir):
+    d = _t(spark, sf_dir, "events").select("event_id", F.expr(_scores_json()).alias("answer")).select("event_id", N.scores(F.col("answer")).alias("s"))
+    return d.select("event_id", F.col("s").isNotNull().alias("valid"), "s.substance.score", "s.substance.evidence")
+
+
+_TAG = '{{"isco_code": "{0}", "prominence": "{1}", "confidence": "high"}}'
+_TAGS = "CASE event_id % 6 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(["[]", "[" + _TAG.format("011", "core") + "]", "[" + _TAG.format("999", "core") + "]", "[" + _TAG.format("251", "core") + ", " + _TAG.format("251", "incidental") + "]", "[" + _TAG.format("251", "main") + "]"])) + " ELSE '[" + _TAG.format("251", "core") + ", " + _TAG.format("252", "supporting") + "]' END"
+
+
+@_query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN '011' WHEN 5 THEN '251,252' END AS codes FROM events")
+def tags_validate(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", F.array_join(F.transform(N.tags(F.expr(_TAGS)), lambda x: x["isco_code"]), ",").alias("codes"))
+
+
+@_query("""SELECT company_id, count(*) AS n, string_agg(path, ',' ORDER BY path) AS paths FROM (SELECT c_custkey AS company_id, 'tagline' AS path FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 4 <> 0
+UNION ALL SELECT c_custkey, 'scores.' || a || '.reason' FROM customer, (VALUES ('substance', 0), ('ecology', 1), ('power', 2), ('embeddedness', 3), ('posture', 4)) v(a, i) WHERE c_custkey % 5 <> 0 AND (c_custkey + i) % 6 <> 0) GROUP BY 1""")
+def translation_map(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"))
+    line = c.select("company_id", F.expr("CASE WHEN company_id % 3 = 0 THEN 'empty' ELSE 'ok' END").alias("status"), F.expr("CASE WHEN company_id % 4 = 0 THEN ' ' ELSE 'line' END").alias("tagline"))
+    axes = F.struct(*(F.struct(F.expr(f"CASE WHEN (company_id + {i}) % 6 = 0 THEN '' ELSE 'why' END").alias("reason")).alias(a) for i, a in enumerate(V.AXES)))
+    scored = c.select("company_id", F.expr("CASE WHEN company_id % 5 = 0 THEN 'llm_error' ELSE 'ok' END").alias("status"), axes.alias("scores"))
+    made = R.translation_map(R.translation_targets(line, scored).select("company_id", "path", F.upper("text").alias("nl")))
+    return made.select("company_id", F.size("translations").cast("long").alias("n"), F.array_join(F.array_sort(F.map_keys("translations")), ",").alias("paths"))
+
+
+_SOURCE_STATUS = "CASE WHEN {k} % {m} = 0 THEN 'llm_error' WHEN {k} % {m} = 1 THEN NULL ELSE 'ok' END"
+
+
+def _records(spark, sf_dir):
+    orders, customer, lines = (_t(spark, sf_dir, t) for t in ("orders", "customer", "lineitem"))
+    spine = orders.select(F.col("o_orderkey").alias("company_id"), F.col("o_custkey").alias("cust"))
+    status = lambda m: F.expr(_SOURCE_STATUS.format(k="company_id", m=m))
+    keys = orders.select(F.col("o_orderkey").alias("company_id"), F.col("o_custkey").alias("cust"))
+    named = keys.join(customer, keys.cust == customer.c_custkey).select("company_id", status(5).alias("status"), F.col("c_name").alias("payload"))
+    sums = lines.groupBy(F.col("l_orderkey").alias("company_id")).agg(F.sum(F.col("l_quantity").cast("long")).alias("payload")).where("payload % 4 <> 0").select("company_id", status(7).alias("status"), "payload")
+    return R.assemble(spine, "company_id", tagline=named, geocoding=sums)
+
+
+_RECORDS = f"""SELECT o_orderkey AS company_id, CASE WHEN t.k IS NOT NULL AND coalesce(t.status, '') <> 'llm_error' THEN t.payload END AS tagline, CASE WHEN g.k IS NOT NULL AND coalesce(g.status, '') <> 'llm_error' THEN g.payload END AS geocoding
+FROM orders LEFT JOIN (SELECT o_orderkey AS k, {_SOURCE_STATUS.format(k='o_orderkey', m=5)} AS status, c_name AS payload FROM orders JOIN customer ON o_custkey = c_custkey) t ON t.k = o_orderkey
+LEFT JOIN (SELECT l_orderkey AS k, {_SOURCE_STATUS.format(k='l_orderkey', m=7)} AS status, sum(l_quantity::BIGINT)::BIGINT AS payload FROM lineitem GROUP BY l_orderkey HAVING sum(l_quantity::BIGINT) % 4 <> 0) g ON g.k = o_orderkey"""
+
+
+@_query(f"SELECT company_id, tagline, geocoding, CASE WHEN tagline IS NOT NULL OR geocoding IS NOT NULL THEN 'ok' ELSE 'empty' END AS status FROM ({_RECORDS})")
+def dataset_assemble(spark, sf_dir):
+    d = _records(spark, sf_dir)
+    return d.withColumn("status", R.record_status(F.lit(True), [F.col("tagline"), F.col("geocoding")])).select("company_id", "tagline", "geocoding", "status")
+
+
+@_query(f"SELECT CASE WHEN tagline IS NOT NULL OR geocoding IS NOT NULL THEN 'ok' ELSE 'empty' END AS status, count(*) AS n FROM ({_RECORDS}) GROUP BY 1")
+def status_summary(spark, sf_dir):
+    return R.status_summary(dataset_assemble(spark, sf_dir))
+
+
+@_query("""SELECT c_custkey AS company_id, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 9 = 0 THEN 'created' WHEN c_custkey % 3 = 0 THEN 'updated' ELSE 'unchanged' END AS change,
+CASE WHEN c_custkey % 4 = 0 OR c_custkey % 9 = 0 THEN '2026-01-02T00:00:00Z' ELSE '2025-01-01T00:00:00Z' END AS created_at, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 9 = 0 OR c_custkey % 3 = 0 THEN '2026-01-02T00:00:00Z' ELSE '2025-06-01T00:00:00Z' END AS updated_at FROM customer""")
+def lifecycle_merge(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
+    old = c.where("company_id % 4 <> 0").withColumn("name", F.expr("CASE WHEN company_id % 3 = 0 THEN concat(name, '!') ELSE name END"))
+    prior = old.select("company_id", F.lit("2025-01-01T00:00:00Z").alias("created_at"), F.expr("CASE WHEN company_id % 9 = 0 THEN '' ELSE '2025-06-01T00:00:00Z' END").alias("updated_at"), R.content_hash(["company_id", "name"]).alias("content_hash"))
+    now = c.select("company_id", R.content_hash(["company_id", "name"]).alias("content_hash"))
+    return R.lifecycle(now, prior, "2026-01-02T00:00:00Z").select("company_id", "change", "created_at", "updated_at")
+
+
+@_query(f"SELECT company_id, count(*) AS n FROM (SELECT {_DUCK_ID} AS company_id FROM (SELECT 'Acme ' || c_custkey % 400 || {_SUFFIX} AS name FROM customer)) GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, sf_dir):
+    d = _t(spark, sf_dir, "customer").select(F.expr(f"concat('Acme ', c_custkey % 400, {_SUFFIX})").alias("name"))
+    return R.duplicate_ids(d.select(T.company_id(F.col("name")).alias("company_id")))
+
+
+@_query("SELECT c_custkey AS company_id, c_name AS name, 'Other' AS existing_name FROM customer WHERE c_custkey % 10 = 0")
+def name_collisions(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
+    return R.name_collisions(c, c.withColumn("name", F.expr("CASE WHEN company_id % 10 = 0 THEN 'Other' ELSE name END")).where("company_id % 2 = 0"))
+
+
+@_query("SELECT o_orderkey AS company_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40)")
+def resume_pending(spark, sf_dir):
+    done = _t(spark, sf_dir, "lineitem").where("l_quantity > 40").select(F.col("l_orderkey").alias("company_id"))
+    return R.pending(_t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("company_id")), done)
+
+
+@_query("SELECT company_id, arg_min(name, r) AS name FROM (SELECT c_custkey AS company_id, c_name AS name, 0 AS r FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name, 1 FROM supplier) GROUP BY 1")
+def discover_union(spark, sf_dir):
+    a = _t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
+    return R.first_seen(a, _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("name")))
+
+
+@_query("""SELECT company_id, slug, p IS NULL AS recall_only, CASE WHEN slug = 'contact' THEN coalesce(r, p) ELSE coalesce(p, r) END AS text FROM
+(SELECT s_suppkey AS company_id, slug, CASE WHEN s_suppkey % 3 <> 0 THEN 'p' || s_suppkey END AS p, CASE WHEN s_suppkey % 3 <> 1 THEN 'r' || s_suppkey END AS r FROM supplier, (VALUES ('contact'), ('blog')) v(slug))""")
+def surface_merge(spark, sf_dir):
+    s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"), F.explode(F.array(F.lit("contact"), F.lit("blog"))).alias("slug"))
+    p = s.where("company_id % 3 <> 0").select("company_id", "slug", F.lit("precision").alias("kind"), F.concat(F.lit("p"), F.col("company_id")).alias("text"))
+    r = s.where("company_id % 3 <> 1").select("company_id", "slug", F.lit("recall").alias("kind"), F.concat(F.lit("r"), F.col("company_id")).alias("text"))
+    return S.merged_surfaces(p.unionByName(r))
+
+
+def _echo():
+    def call(text: str) -> str:
+        if text.endswith("7"):
+            raise ValueError("refused")
+        return text.upper()
+
+    return call
+
+
+@_query("SELECT s_suppkey AS company_id, CASE WHEN s_suppkey % 10 <> 7 THEN 'ASK ' || s_suppkey END AS answer, CASE WHEN s_suppkey % 10 = 7 THEN 'ValueError: refused' END AS error FROM supplier WHERE s_suppkey % 2 = 1")
+def completions_run(spark, sf_dir):
+    asked = _t(spark, sf_dir, "supplier").where("s_suppkey % 2 = 1").select(F.col("s_suppkey").alias("company_id"), F.concat(F.lit("ask "), F.col("s_suppkey")).alias("request"))
+    return providers.run_pending(asked, _echo)
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'upstream_failed' WHEN doc_id % 4 = 1 THEN 'empty' ELSE 'pending' END AS gate FROM documents")
+def dossier_gate(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN doc_id % 4 = 0 THEN 'llm_error' ELSE 'ok' END").alias("s"), F.expr("CASE WHEN doc_id % 4 = 1 THEN ' ' ELSE 'body' END").alias("b"))
+    return d.select("doc_id", R.dossier_gate(F.col("s"), F.col("b"), False).alias("gate"))
+
+
+@_query("SELECT '2026-01-02T03-04-05Z' AS tag, '2026-01-02T03:04:05Z' AS generated_at, 'abc1234' AS pipeline_git_sha, count(*) AS company_count, 2 AS schema_version FROM customer")
+def manifest(spark, sf_dir):
+    return stages.manifest(_t(spark, sf_dir, "customer"), "2026-01-02T03:04:05Z", "abc1234")
