@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .htmltext import op10_html_text
 from .jaccard import op7_jaccard_join
-from .mixing import op9_mixing
+from .mixing import BLOCK_ROWS, MAX_BLOCKS, op9_mixing
 from .packing import op4_packing
-from .quality import op1_repetition_rules
+from .quality import LINE_LIMIT, NGRAM_LIMITS, op1_repetition_rules
 from .sharding import op6_sharding
 from .substrings import op5_substring_dedup
 from .tokens import op2_token_files
@@ -30,4 +30,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+
+def _repetition() -> str:
+    grams = "SELECT doc_id, i, {n} AS n, array_to_string(w[i:i + {n} - 1], ' ') AS g FROM p WHERE i + {n} - 1 <= len(w)"
+    limits = " OR ".join(f"dup_{n}gram_chars > {x} * word_chars" for n, x in NGRAM_LIMITS.items())
+    columns = ", ".join(f"coalesce(max(chars) FILTER (n = {n}), 0)::BIGINT AS dup_{n}gram_chars" for n in NGRAM_LIMITS)
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS ({' UNION ALL '.join(grams.format(n=n) for n in NGRAM_LIMITS)}),
+c AS (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS k, row_number() OVER (PARTITION BY doc_id, n, g ORDER BY i) AS r FROM g),
+later AS (SELECT DISTINCT doc_id, n, i + o AS j FROM c, (SELECT unnest(range(10)) AS o) WHERE r > 1 AND o < n),
+spans AS (SELECT doc_id, n, sum(length(w[j])) AS chars FROM later JOIN d USING (doc_id) GROUP BY doc_id, n),
+wide AS (SELECT doc_id, {columns} FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+again AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM c, (SELECT unnest(range(5)) AS o) WHERE n = 5 AND k > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM d),
+x AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS r FROM l WHERE len({_WORDS.format('line')}) > 0),
+y AS (SELECT doc_id, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g'))) AS dup_line_chars FROM x WHERE r > 1 GROUP BY doc_id),
+a AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda s: length(s))), 0)::BIGINT AS word_chars, (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars FROM d LEFT JOIN y USING (doc_id) LEFT JOIN again USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a JOIN wide USING (doc_id))
+SELECT *, NOT (base_failed OR dup_line_chars > {LINE_LIMIT} * word_chars OR {limits}) AS kept FROM b"""
+
+
+_TOP_K = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings)
+SELECT query_id, rank::INT AS rank, vec_id, score::BIGINT AS score FROM (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score,
+row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, c.e) DESC, c.vec_id) AS rank FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 20"""
+
+_SUBSTRINGS = f"""WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS j FROM r, (SELECT unnest(range(20)) AS o)),
+s AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed, sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(js, k)) END, ' ')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)"""
+
+_JACCARD = f"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+sides AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(a, b) AS (SELECT x, x FROM sides UNION SELECT a, y FROM reach JOIN sides ON b = x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = doc_id"""
+
+_MIXING = f"""WITH d AS (SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS size FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight, 2.0 * source_size AS most FROM t),
+l AS (SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+k AS (SELECT *, least(most, coalesce((SELECT arg_min(level, most / weight) FROM l WHERE level * weight <= most) * weight, most))::DOUBLE AS target, least({MAX_BLOCKS}, greatest(1, ceil(n / {BLOCK_ROWS}))) AS blocks FROM l),
+r AS (SELECT d.doc_id, d.source, d.size, k.source_size, k.target, md5('9|' || coalesce(d.doc_id::VARCHAR, '~') || '|' || d.size) AS key, k.blocks FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source),
+b AS (SELECT *, (('0x' || key[1:8])::BIGINT % blocks)::INT AS block, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END::BIGINT AS whole FROM r),
+g AS (SELECT source, block, whole, target, source_size, sum(size) AS words FROM b GROUP BY ALL),
+h AS (SELECT *, target - whole * source_size - coalesce(sum(words) OVER (PARTITION BY source ORDER BY md5('10|' || coalesce(source, '~') || '|' || block), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM g),
+q AS (SELECT b.*, greatest(0, least(h.rest, h.words)) AS rest, h.words FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source AND b.block = h.block),
+e0 AS (SELECT *, rest > 0 AND rest < words AS edge FROM q),
+e1 AS (SELECT *, CASE WHEN edge AND size <= rest THEN sum(CASE WHEN size <= rest THEN size END) OVER (PARTITION BY source, edge ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= rest ELSE false END AS t1 FROM e0),
+f1 AS (SELECT *, rest - coalesce(sum(CASE WHEN t1 THEN size END) OVER (PARTITION BY source, edge), 0) AS rest1 FROM e1),
+e2 AS (SELECT *, CASE WHEN edge AND NOT t1 AND size <= rest1 THEN sum(CASE WHEN NOT t1 AND size <= rest1 THEN size END) OVER (PARTITION BY source, edge ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= rest1 ELSE false END AS t2 FROM f1),
+f2 AS (SELECT *, rest1 - coalesce(sum(CASE WHEN t2 THEN size END) OVER (PARTITION BY source, edge), 0) AS rest2 FROM e2),
+e3 AS (SELECT *, CASE WHEN edge AND NOT t1 AND NOT t2 AND size <= rest2 THEN sum(CASE WHEN NOT t1 AND NOT t2 AND size <= rest2 THEN size END) OVER (PARTITION BY source, edge ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= rest2 ELSE false END AS t3 FROM f2)
+SELECT doc_id, size, source_size, target, ((whole + CASE WHEN rest >= words AND words > 0 AND rest > 0 THEN 1 ELSE 0 END + (t1 OR t2 OR t3)::INT) * size)::BIGINT AS taken FROM e3"""
+
+#: The tokenizers, the trained model, CRC-32 and the HTML rules can't be said in SQL; tests hold those against brute force.
+ORACLES: dict[str, str] = {
+    "op1_repetition_rules": _repetition(),
+    "op3_top_k": _TOP_K,
+    "op5_substring_dedup": _SUBSTRINGS,
+    "op7_jaccard_join": _JACCARD,
+    "op9_mixing": _MIXING,
+}
