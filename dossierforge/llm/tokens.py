@@ -23,7 +23,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Other white space, which a tokenizer's pattern may join with ASCII white space; texts with it are encoded in one go.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Pieces whose ids a worker remembers; the first ones stay.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 800_000
 
 
 class Encoder:
