@@ -77,38 +77,52 @@ def _nodes(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (x, y, nx, ny) that link: fragment by fragment, the overlap of their sets is counted, and the counts are summed."""
-    wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
-    chosen = common.store(nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("o_id")).select("o_id", "node"), "wanted")
-    chosen_ids = chosen.select("o_id")
-    rows = docs.select("doc_id", "text")
-    if common.small(chosen_ids):
-        rows = rows.join(F.broadcast(chosen_ids), F.col("doc_id").eqNullSafe(F.col("o_id")), "left_semi")
-    else:
-        rows = rows.join(chosen_ids, F.col("doc_id").eqNullSafe(F.col("o_id")), "left_semi")
+    """The pairs (x, y, nx, ny) that link: fragment by fragment, the overlap of their sets is counted, and the counts are summed.
+
+    After the first fragment, pairs go for which even all the rest in common would not be enough."""
+    wanted = _ends(pairs)
+    chosen = common.store(nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("o_id")).select("o_id", F.col("node").alias("o_node")), "wanted")
+    few = F.broadcast(chosen) if common.small(chosen) else chosen
+    names = [f"p{f}" for f in range(FRAGMENTS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = (np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // FRAGMENTS)).astype(np.uint64)
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch, 1):
+            for lo, hi, data, offsets in text_chunks(batch, 1):
                 sets = shingle_sets(data, offsets, k)
-                node, fragment, part = [], [], []
-                for s in sets:
-                    own = _node(s)
-                    for f, x in enumerate(np.split(s, np.searchsorted(s, edges))):
-                        if len(x):
-                            node.append(own)
-                            fragment.append(f)
-                            part.append(x.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(node, dtype=np.uint64).view(np.int64)), pa.array(fragment, pa.int32()), pa.array(part, pa.list_(pa.int64()))], names=["node", "fragment", "part"])
-
-    cut = rows.mapInArrow(run, "node bigint, fragment int, part array<bigint>").join(wanted, "node", "left_semi")
-    cut = common.store(cut.dropDuplicates(["node", "fragment"]), "fragments")
-    left = cut.select(F.col("node").alias("x"), "fragment", F.col("part").alias("px"))
-    right = cut.select(F.col("node").alias("y"), "fragment", F.col("part").alias("py"))
-    counted = pairs.join(left, "x").join(right, ["y", "fragment"]).select("x", "y", "nx", "ny", F.size(F.array_intersect("px", "py")).alias("shared"))
-    total = counted.groupBy("x", "y", "nx", "ny").agg(F.sum("shared").alias("shared"))
-    return total.where(100 * F.col("shared") >= percent * (F.col("nx") + F.col("ny") - F.col("shared"))).select("x", "y")
+                own = np.array([_node(s) for s in sets], dtype=np.uint64).view(np.int64)
+                on = np.flatnonzero(own == np.asarray(common.column(batch, 0, lo, hi)))  # of rows that share a doc_id, those with the set
+                parts = [np.split(sets[i], np.searchsorted(sets[i], edges)) for i in on]
+                yield pa.RecordBatch.from_arrays([pa.array(own[on]), *(pa.array([p[f].view(np.int64) for p in parts], pa.list_(pa.int64())) for f in range(FRAGMENTS))], names=["node", *names])
+
+    rows = docs.join(few, F.col("doc_id").eqNullSafe(F.col("o_id"))).select("o_node", "text")
+    cut = common.store(rows.mapInArrow(run, f"node bigint, {', '.join(f'{p} array<bigint>' for p in names)}"), "fragments")
+    if cut.groupBy("node").count().where("count > 1").limit(1).count():  # repeated rows
+        cut = common.store(cut.dropDuplicates(["node"]), "fragments")
+
+    def counted(pairs: DataFrame, parts: DataFrame, fragments: list[str]) -> DataFrame:
+        """pairs with the overlap in each of these fragments, added to shared, and the rest of each set."""
+        left = parts.select(F.col("node").alias("x"), *(F.col(p).alias(f"x{p}") for p in fragments))
+        right = parts.select(F.col("node").alias("y"), *(F.col(p).alias(f"y{p}") for p in fragments))
+        d = pairs.join(left, "x").join(right, "y")
+        for p in fragments:
+            d = d.withColumns({"shared": F.col("shared") + F.size(F.array_intersect(f"x{p}", f"y{p}")), "rx": F.col("rx") - F.size(f"x{p}"), "ry": F.col("ry") - F.size(f"y{p}")})
+        return d.select("x", "y", "nx", "ny", "shared", "rx", "ry")
+
+    # the first fragment alone shows that most pairs can't link
+    start = pairs.select("x", "y", "nx", "ny", F.lit(0).alias("shared"), F.col("nx").alias("rx"), F.col("ny").alias("ry"))
+    begun = counted(start, cut, names[:1]).where((100 + percent) * (F.col("shared") + F.least("rx", "ry")) >= percent * (F.col("nx") + F.col("ny")))
+    begun = common.store(begun, "begun")
+    left_over = _ends(begun)
+    left_over = F.broadcast(left_over) if common.small(left_over) else left_over
+    total = counted(begun, cut.join(left_over, "node", "left_semi"), names[1:])
+    links = common.store(total.where(100 * F.col("shared") >= percent * (F.col("nx") + F.col("ny") - F.col("shared"))).select("x", "y"), "links")
+    common.drop(chosen, cut, begun)
+    return links
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
 
 
 def _may_link(percent: int, n_a: str, at_a: str, n_b: str, at_b: str):
@@ -173,7 +187,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     first = met.join(centres, F.col("h") == F.col("ch")).where("node <> c.node").withColumns({"c_n": F.col("c.n"), "c_at": F.col("c.at")}).where(_may_link(percent, "n", "at", "c_n", "c_at"))
     first = _as_pairs(first.select("node", "n", F.col("c.node").alias("other"), F.col("c.n").alias("other_n"))).distinct()
     first = common.store(first, "pairs")
-    links = common.store(_verify(first, docs, nodes, k, percent), "links")
+    links = _verify(first, docs, nodes, k, percent)
 
     # what meets at an n-gram but isn't in one group yet
     group = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
@@ -203,5 +217,16 @@ def _as_pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y"), F.when(swap, F.col("other_n")).otherwise(F.col("n")).alias("nx"), F.when(swap, F.col("n")).otherwise(F.col("other_n")).alias("ny"))
 
 
+def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, with all their columns, that have the least doc_id of their group. Of rows that share a doc_id one stays; rows without doc_id stay."""
+    groups = common.store(jaccard_components(docs, k, percent), "groups")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = F.broadcast(gone) if common.small(gone) else gone
+    kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    return kept
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(common.table(spark, sf_dir, "documents"))
