@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.shipping import ensure_importable
 
 #: Bytes of text that are worked on at once; a longer text is one piece of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Largest row count of a table that may be broadcast, checked by counting before it is.
 BROADCAST_ROWS = 1_000_000
 
