@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, epochs: int
             whole = np.clip(noisy_or(p, doc, len(part)), 1e-6, 1)
             # d loss / d z of a sentence is p * (1 - y / P)
             g = p * (1 - y[part] / whole)[doc] * weight[part][doc] / len(part)
-            gw = np.bincount(feat, weights=g[sent], minlength=len(w)) if len(w) else w
+            gw = np.bincount(feat, weights=g[sent], minlength=len(w)).astype(float)  # whole numbers if no feature is there
             hit = gw != 0
             gw[hit] += decay * w[hit]
             grad2[hit] += gw[hit] ** 2
