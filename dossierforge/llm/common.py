@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from ..operators.shipping import ensure_importable
 
 #: Bytes of text that are worked on at once; a longer text is one piece of its own.
 CHUNK_BYTES = 1 << 20
+#: Rows that a Python worker is sent at once by actions inside small_batches(); both sides hold a batch as a whole.
+BATCH_ROWS = 1000
 #: Largest row count of a table that may be broadcast, checked by counting before it is.
 BROADCAST_ROWS = 1_000_000
 
@@ -54,6 +57,18 @@ def drop(*frames: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Actions inside send texts to Python in batches of so many rows; the session's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 

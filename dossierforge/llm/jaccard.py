@@ -142,6 +142,11 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     Empty and null texts have no set and form a group of their own; with a null doc_id, component_id is null. Rows with one doc_id
     are one member with the links of all of them. Extra columns are ignored.
     """
+    with common.small_batches(docs.sparkSession):
+        return _components_of_sets(docs, k, percent)
+
+
+def _components_of_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     nodes = common.store(_nodes(docs, k), "nodes")
     spark = docs.sparkSession
