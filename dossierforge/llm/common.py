@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -185,8 +186,15 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     return mix((total[k:] - total[: n - k + 1]) * powers(_INVERSE, n)[: n - k + 1] + _U(k))
 
 
-def text_chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets) of runs of rows with about CHUNK_BYTES; null texts are empty."""
+def give_back() -> None:
+    """Return freed memory to the system. Python workers outlive a task, and would keep their peak through later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
+
+
+def text_chunks(batch: pa.RecordBatch, column: int, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets) of runs of rows with about size bytes; null texts are empty."""
     texts = batch.column(column)
     if texts.null_count:
         texts = texts.fill_null("")
@@ -199,7 +207,7 @@ def text_chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int,
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
     lo = 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         hi = min(hi, n)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi

@@ -17,6 +17,8 @@ from .filters import bloom
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
+#: Bytes of text that are worked on at once.
+CHUNK_BYTES = 1 << 18
 #: Fragments of the global n-gram order; the overlap of two sets is counted in each and summed.
 FRAGMENTS = 4
 #: Every text votes for one in VOTES of its n-grams, drawn by a hash of text and n-gram. An n-gram with so many votes is
@@ -67,11 +69,12 @@ def _nodes(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch, 1):
+            for lo, hi, data, offsets in text_chunks(batch, 1, CHUNK_BYTES):
                 sets = shingle_sets(data, offsets, k)
                 node = [_node(s) for s in sets]
                 votes = [s[common.mix(s ^ np.uint64(x)) % np.uint64(VOTES) == 0].view(np.int64) for s, x in zip(sets, node, strict=True)]
                 yield pa.RecordBatch.from_arrays([common.column(batch, 0, lo, hi), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), pa.array(votes, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "votes"])
+            common.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, node bigint, votes array<bigint>")
 
@@ -88,12 +91,13 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = (np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // FRAGMENTS)).astype(np.uint64)
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch, 1):
+            for lo, hi, data, offsets in text_chunks(batch, 1, CHUNK_BYTES):
                 sets = shingle_sets(data, offsets, k)
                 own = np.array([_node(s) for s in sets], dtype=np.uint64).view(np.int64)
                 on = np.flatnonzero(own == np.asarray(common.column(batch, 0, lo, hi)))  # of rows that share a doc_id, those with the set
                 parts = [np.split(sets[i], np.searchsorted(sets[i], edges)) for i in on]
                 yield pa.RecordBatch.from_arrays([pa.array(own[on]), *(pa.array([p[f].view(np.int64) for p in parts], pa.list_(pa.int64())) for f in range(FRAGMENTS))], names=["node", *names])
+            common.give_back()
 
     rows = docs.join(few, F.col("doc_id").eqNullSafe(F.col("o_id"))).select("o_node", "text")
     cut = common.store(rows.mapInArrow(run, f"node bigint, {', '.join(f'{p} array<bigint>' for p in names)}"), "fragments")
@@ -157,16 +161,17 @@ def _components_of_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch, 0):
+            for _, _, data, offsets in text_chunks(batch, 0, CHUNK_BYTES):
                 own = [_ordered_prefix(s, hot.value, percent) for s in shingle_sets(data, offsets, k) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(own) if own else np.empty(0, np.uint64)).view(np.int64))], names=["h"])
+            common.give_back()
 
     shared = docs.select("text").mapInArrow(prefixes, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     twice = spark.sparkContext.broadcast(bloom(shared, "h"))
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch, 0):
+            for _, _, data, offsets in text_chunks(batch, 0, CHUNK_BYTES):
                 cols = ([], [], [], [], [])
                 for s in shingle_sets(data, offsets, k):
                     if not len(s):
@@ -178,6 +183,7 @@ def _components_of_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
                             c.append(x)
                 h, node, n, at, alone = (np.concatenate(c) if c else np.empty(0, np.int64) for c in cols)
                 yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.uint64).view(np.int64)), pa.array(node.astype(np.uint64).view(np.int64)), pa.array(n.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(alone.astype(np.int32))], names=["h", "node", "n", "at", "alone"])
+            common.give_back()
 
     # copies have the same postings, which are merged before the shuffle
     met = docs.select("text").mapInArrow(postings, "h bigint, node bigint, n bigint, at int, alone int").distinct()
