@@ -40,18 +40,18 @@ _STOPS = {"ul": {"li"}, "ol": {"li"}, "dl": {"dt", "dd"}, "table": {"tr", "td",
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 #: A path is content if its score is this many standard deviations of all scores.
 THRESHOLD = 0.3
-#: A container has to hold this share of the content's characters.
+#: An article that holds this share of the content's characters also gives what its paths alone would not; content outside it stays.
 SHARE = 0.6
 
 
 class _Element:
-    __slots__ = ("tag", "label", "parent", "dropped", "article", "mass", "header", "link")
+    __slots__ = ("tag", "label", "parent", "dropped", "article", "mass", "chosen", "header", "link")
 
     def __init__(self, tag: str, label: str, parent: _Element | None, dropped: bool, header: bool, link: bool):
         self.tag, self.label, self.parent, self.header, self.link = tag, label, parent, header, link
         self.dropped = dropped or parent is not None and parent.dropped
         self.article = tag in ("article", "main") or parent is not None and parent.article
-        self.mass = 0
+        self.mass = self.chosen = 0
 
 
 class _Block:
@@ -164,12 +164,21 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
     return blocks, root
 
 
-def _path(e: _Element) -> str:
+def _chain(e: _Element | None) -> list[_Element]:
     out = []
     while e is not None:
-        out.append(e.label)
+        out.append(e)
         e = e.parent
-    return ">".join(reversed(out))
+    return out
+
+
+def _path(e: _Element) -> str:
+    return ">".join(x.label for x in reversed(_chain(e)))
+
+
+def _article(e: _Element) -> _Element | None:
+    """The outermost article that it is in."""
+    return next((x for x in reversed(_chain(e)) if x.tag in ("article", "main")), None) if e.article else None
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:
@@ -218,31 +227,27 @@ def extract(page: str) -> str:
         e = b.element if on else None
         while e is not None:
             e.mass += n
+            e.chosen += 1
             e = e.parent
-    best, depth = root, 0
+    best, depth, area, low = root, 0, root, 0
     for b in blocks:
-        e, chain = b.element, []
-        while e is not None:
-            chain.append(e)
-            e = e.parent
-        for d, e in enumerate(reversed(chain)):
+        for d, e in enumerate(reversed(_chain(b.element))):
             if e.tag in _CONTAINERS and e.mass >= SHARE * root.mass and d > depth:
                 best, depth = e, d
-            if e.mass < SHARE * root.mass:
+            if e.tag in _CONTAINERS and e.chosen == root.chosen and d > low:
+                area, low = e, d
+            if e.mass < SHARE * root.mass and e.chosen < root.chosen:
                 break
-    e = best
-    while e is not None:
-        if e.tag in ("article", "main"):
-            best = e
-        e = e.parent
+    # the rest of the article belongs to it; without one article for the content, what the container of all of it has between
+    best = _article(best) or best
+    articles = {a for b, on in zip(blocks, chosen, strict=True) if on and (a := _article(b.element))}
+    if articles == {best}:
+        area = best
     out = []
     for b, t, on, share in zip(blocks, texts, chosen, linked, strict=True):
-        e = b.element
-        while e is not None and e is not best:
-            e = e.parent
-        if e is None or b.element.header and b.element.tag not in _HEADINGS:
+        if b.element.header and b.element.tag not in _HEADINGS:
             continue
-        if on or best.article and share < 0.5 or b.element.tag in _HEADINGS or b.element.tag == "p" and share < 0.5:
+        if on or area in _chain(b.element) and (b.element.tag in _HEADINGS or share < 0.5 and (b.element.tag == "p" or _article(b.element) in articles)):
             out.append(t)
     return "\n".join(out)
 

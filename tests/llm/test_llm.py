@@ -318,6 +318,23 @@ def test_html(spark):
     assert len(long.split("\n")) == 20_000
 
 
+def test_html_article_over_uneven_sections():
+    def paragraphs(word, n):
+        return [f"{word} {i}, a sentence of some length, with commas, as articles have them. And one more." for i in range(n)]
+
+    def joined(found):
+        return "".join(f"<p>{t}</p>" for t in found)
+
+    long, short = paragraphs("First", 13), paragraphs("Second", 7)
+    rest = f'<ul>{"".join(f"<li><a href=/{i}>Go</a></li>" for i in range(9))}</ul>'
+    for a, b in (("<section>", "</section>"), ("<div class=part>", "</div>"), ("<article>", "</article>")):
+        page = f"<body>{rest}<div class=post><h1>Title</h1>{a}{joined(long)}{b}{a}<h2>More</h2>{joined(short)}{b}</div>{rest}</body>"
+        assert htmltext.extract(page).split("\n") == ["Title", *long, "More", *short]
+    # chosen text beside the article stays, and the article keeps what its paths alone would not give
+    page = f"<body><article><h1>Title</h1><div>By me</div>{joined(long)}</article>{rest}<div class=post>{joined(short)}</div></body>"
+    assert htmltext.extract(page).split("\n") == ["Title", "By me", *long, *short]
+
+
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
