@@ -31,6 +31,9 @@ _MARKED = set(
     "comment comments commentlist disqus reply replies respond discussion widget toolbar pagination pager search skip".split()
 )
 _HEADER = {"header", "topbar", "masthead", "banner"}
+#: Words that make a class tell of a page's layout or state: has-sidebar, no-sidebar, comments-open.
+_BEFORE = {"has", "no", "not", "with", "without", "hide", "show"}
+_AFTER = {"open", "opened", "closed", "on", "off", "enabled", "disabled", "active", "inactive", "visible", "collapsed"}
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: Elements that may be the article's container.
 _CONTAINERS = {"", "html", "body", "article", "main", "section", "div", "td", "center"}
@@ -45,48 +48,88 @@ SHARE = 0.6
 
 
 class _Element:
-    __slots__ = ("tag", "label", "parent", "dropped", "article", "mass", "chosen", "header", "link")
+    __slots__ = ("tag", "label", "parent", "dropped", "article", "marked", "banner", "keeps", "text", "mass", "chosen", "header", "link")
 
-    def __init__(self, tag: str, label: str, parent: _Element | None, dropped: bool, header: bool, link: bool):
-        self.tag, self.label, self.parent, self.header, self.link = tag, label, parent, header, link
-        self.dropped = dropped or parent is not None and parent.dropped
+    def __init__(self, tag: str, label: str, parent: _Element | None, dropped: bool, words: set[str]):
+        self.tag, self.label, self.parent, self.link = tag, label, parent, tag == "a"
         self.article = tag in ("article", "main") or parent is not None and parent.article
-        self.mass = self.chosen = 0
+        self.header = tag == "header" or parent is not None and parent.header
+        self.dropped = dropped or parent is not None and parent.dropped
+        self.marked, self.banner = not words.isdisjoint(_MARKED), not words.isdisjoint(_HEADER)
+        self.keeps = False
+        self.text = self.mass = self.chosen = 0
 
 
 class _Block:
-    __slots__ = ("parts", "element", "linked")
+    __slots__ = ("pieces", "parts", "element", "linked")
 
     def __init__(self, element: _Element):
+        self.pieces: list[tuple[str, _Element, bool]] = []
         self.parts: list[str] = []
         self.element = element
         self.linked = 0
 
 
 def _element(tag: str, attributes: str, parent: _Element) -> _Element:
-    label, dropped, header = tag, tag in _DROPPED, tag == "header" or parent.header
+    label, dropped = tag, tag in _DROPPED or tag == "header" and not parent.article
+    words: set[str] = set()
     if attributes and not attributes.isspace():
-        words: set[str] = set()
         for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
             name = (name or bare).lower()
             value = a or b or c
             if name in ("class", "id", "role"):
-                words.update(w.lower() for w in _WORDS.findall(value))
+                for one in value.split():
+                    found = [w.lower() for w in _WORDS.findall(one)]
+                    if len(found) < 2 or found[0] not in _BEFORE and found[-1] not in _AFTER:
+                        words.update(found)
                 if name == "class" and value.strip():
                     label = f"{tag}.{value.split()[0]}"
             elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 dropped = True
-        if words and tag not in ("html", "body", "main", "article") and tag not in _HEADINGS:
-            dropped = dropped or not words.isdisjoint(_MARKED)
-            header = header or not words.isdisjoint(_HEADER)
-    if header and not parent.article and tag not in ("html", "body", "main", "article"):
-        dropped = True
-    return _Element(tag, label, parent, dropped, header, tag == "a")
+    return _Element(tag, label, parent, dropped, set() if tag in ("html", "body") or tag in _HEADINGS else words)
+
+
+def _judge(elements: list[_Element], blocks: list[_Block]) -> None:
+    """Fill in the blocks' parts: what no marked element holds.
+
+    A mark alone drops no element that holds an article, nor, on a page without one, most of the text. If only headings
+    and links are outside the marks, the marks say nothing and all is left to the scores. elements has parents first."""
+    for b in blocks:
+        for piece, e, on_link in b.pieces:
+            if not on_link:
+                e.text += len(piece.strip())
+    for e in reversed(elements):
+        e.keeps = e.keeps or e.tag in ("article", "main") and not e.marked and e.text > 0
+        if e.parent is not None:
+            e.parent.text += e.text
+            e.parent.keeps = e.parent.keeps or e.keeps
+    root = elements[0]
+    hidden, banners = set(), set()
+    for e in elements[1:]:
+        if e.parent in hidden:
+            hidden.add(e)
+        elif (e.marked or e.banner) and e.tag not in ("main", "article") and not (e.keeps if root.keeps else 2 * e.text > root.text):
+            if e.marked or not e.parent.article:
+                hidden.add(e)
+            else:
+                banners.add(e)
+        if e.parent in banners:
+            banners.add(e)
+    if not any(e not in hidden and not on_link and b.element.tag not in _HEADINGS and not piece.isspace() for b in blocks for piece, e, on_link in b.pieces):
+        hidden = banners = set()
+    for e in banners:
+        e.header = True
+    for b in blocks:
+        for piece, e, on_link in b.pieces:
+            if e not in hidden and (b.parts or not piece.isspace()):
+                b.parts.append(piece)
+                if on_link:
+                    b.linked += len(piece)
 
 
 def _blocks(page: str) -> tuple[list[_Block], _Element]:
-    root = _Element("", "", None, False, False, False)
-    stack, blocks, current, at, links = [root], [], None, 0, 0
+    root = _Element("", "", None, False, set())
+    stack, elements, blocks, current, at, links = [root], [root], [], None, 0, 0
     find = _MARKUP.search
 
     def text(piece: str) -> None:
@@ -99,9 +142,7 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
             owner = next(e for e in reversed(stack) if e.tag not in _INLINE)
             current = _Block(owner)
             blocks.append(current)
-        current.parts.append(piece)
-        if links:
-            current.linked += len(piece)
+        current.pieces.append((piece, stack[-1], links > 0))
 
     while True:
         m = find(page, at)
@@ -127,7 +168,7 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
         attributes = m[3] if m[2] else m[6]
         if tag == "br":
             if current is not None:
-                current.parts.append(" ")
+                current.pieces.append((" ", stack[-1], False))
             continue
         if tag not in _INLINE:
             current = None
@@ -155,12 +196,15 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
         if attributes.rstrip().endswith("/") and tag in _DROPPED:
             continue
         stack.append(_element(tag, attributes, stack[-1]))
+        elements.append(stack[-1])
         links += stack[-1].link
         if stack[-1].tag == "html" and len(stack) > 2 or stack[-1].tag == "body" and any(e.tag == "body" for e in stack[:-1]):
             stack.pop()
         elif tag == "body":  # an open head ends here
             stack[:] = [e for e in stack if e.tag != "head"]
             stack[-1] = _element(tag, attributes, next((e for e in reversed(stack[:-1]) if e.tag == "html"), root))
+            elements.append(stack[-1])
+    _judge(elements, blocks)
     return blocks, root
 
 

@@ -335,6 +335,23 @@ def test_html_article_over_uneven_sections():
     assert htmltext.extract(page).split("\n") == ["Title", "By me", *long, *short]
 
 
+def test_html_marks_do_not_drop_the_article():
+    text = [f"Sentence {i} of the text, with commas, as articles have them. And one more." for i in range(9)]
+    inner, want = "".join(f"<p>{t}</p>" for t in text), "\n".join(text)
+    noise = '<div class="sidebar"><p>Popular posts, here.</p></div><section id="comments"><p>Nice text, thanks.</p></section><div class="page-header"><p>Our site.</p></div>'
+    for wrapper in ("site no-sidebar", "layout with-sidebar", "post comments-open", "hasSidebar", "widget", "site-header", "alert banner"):
+        for a, b in (("<article>", "</article>"), ("<main>", "</main>"), ("", "")):
+            assert htmltext.extract(f"<body>{noise}<div id=page class='{wrapper}'>{a}{inner}{b}{noise}</div></body>") == want, (wrapper, a)
+    # not one part has most of the text, and the marks leave a title
+    parts = "".join(f"<div class=widget><p>{t}</p></div>" for t in text)
+    assert htmltext.extract(f"<body><h1>Title</h1>{parts}</body>") == f"Title\n{want}"
+    # comments that are articles by tag only, and longer than the text
+    replies = "".join(f"<article class=comment>{inner}</article>" for _ in range(3))
+    assert htmltext.extract(f"<body><article>{inner}</article><section id=comments>{replies}</section></body>") == want
+    # a header by class in an article gives its headings only
+    assert htmltext.extract(f"<body><article><div class=entry-header><h1>Title</h1><p>By me.</p></div>{inner}</article></body>") == f"Title\n{want}"
+
+
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
