@@ -65,7 +65,8 @@ def _ordered_prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
 
 
 def _nodes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, node, votes): each text's set size, set hash, and the n-grams that it votes for."""
+    """(doc_id, n, node, votes): each text's set size, set hash, and the n-grams that it votes for; then the further columns of docs, which are long."""
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,10 +74,10 @@ def _nodes(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(data, offsets, k)
                 node = [_node(s) for s in sets]
                 votes = [s[common.mix(s ^ np.uint64(x)) % np.uint64(VOTES) == 0].view(np.int64) for s, x in zip(sets, node, strict=True)]
-                yield pa.RecordBatch.from_arrays([common.column(batch, 0, lo, hi), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), pa.array(votes, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "votes"])
+                yield pa.RecordBatch.from_arrays([common.column(batch, 0, lo, hi), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), pa.array(votes, pa.list_(pa.int64())), *(common.column(batch, 2 + i, lo, hi) for i in range(len(more)))], names=["doc_id", "n", "node", "votes", *more])
             common.give_back()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, node bigint, votes array<bigint>")
+    return docs.select("doc_id", "text", *more).mapInArrow(run, ", ".join(["doc_id bigint, n bigint, node bigint, votes array<bigint>", *(f"{c} bigint" for c in more)]))
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -150,8 +151,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         return _components_of_sets(docs, k, percent)
 
 
-def _components_of_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes of docs(doc_id, text, ...), and (x, y) of the nodes that link."""
     nodes = common.store(_nodes(docs, k), "nodes")
     spark = docs.sparkSession
 
@@ -213,10 +214,18 @@ def _components_of_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rest = common.store(rest.join(first.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
     more = _verify(rest, docs, nodes, k, percent)
 
+    return nodes, links.unionByName(more)
+
+
+def _components_of_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    nodes, names = _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), k, percent)
     # from sets to documents: a set's least doc_id stands for it, and so do sets that share a doc_id
     sets = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"))
-    names = links.unionByName(more)
-    by_x = names.join(sets.select(F.col("node").alias("x"), F.col("doc").alias("u")), "x").join(sets.select(F.col("node").alias("y"), F.col("doc").alias("v")), "y").select("u", "v")
+    if nodes.where("doc_id IS NULL AND n > 0").limit(1).count():  # sets without a doc_id still link those around them
+        members = sets.join(components(names.select(F.col("x").alias("u"), F.col("y").alias("v"))), "node")
+        by_x = members.join(members.groupBy("component").agg(F.min("doc").alias("v")), "component").where("doc IS NOT NULL").select(F.col("doc").alias("u"), "v")
+    else:
+        by_x = names.join(sets.select(F.col("node").alias("x"), F.col("doc").alias("u")), "x").join(sets.select(F.col("node").alias("y"), F.col("doc").alias("v")), "y").select("u", "v")
     copies = nodes.where("n > 0").join(sets, "node").where("doc_id <> doc").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))
     found = components(by_x.unionByName(copies))
     found = found.select(F.col("node").alias("o_id"), "component")
@@ -229,14 +238,34 @@ def _as_pairs(df: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, with all their columns, that have the least doc_id of their group. Of rows that share a doc_id one stays; rows without doc_id stay."""
+    """The rows of docs, with all their columns, of which one stays of each group of sets that links reach: the one with the least doc_id,
+    null last, and of rows that share it the one with the least hashes of its text and of its other columns. Rows without a set stay."""
+    if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
+        return _keep_one_by_row(docs, k, percent)
     groups = common.store(jaccard_components(docs, k, percent), "groups")
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
     gone = F.broadcast(gone) if common.small(gone) else gone
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
-    return kept
+    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+
+
+def _keep_one_by_row(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """As keep_one_of_each, where a doc_id doesn't tell rows apart: a row's key is its doc_id and two hashes."""
+    names = docs.columns
+    hashed = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
+    keys = ["__id", "__th", "__row"]
+    docs = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__th": F.xxhash64("text"), "__row": F.xxhash64(F.lit(0), *hashed)})
+    with common.small_batches(docs.sparkSession):
+        nodes, links = _linked(docs.select(F.col("__id").alias("doc_id"), "text", "__th", "__row"), k, percent)
+        group = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), "__th", "__row")
+    sets = nodes.where("n > 0").groupBy("node").agg(F.min(first).alias("first")).join(group, "node", "left")
+    stay = sets.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first")).select("first.__id", "first.__th", "first.__row", F.lit(False).alias("bare"))
+    bare = nodes.where("n = 0").select(F.col("doc_id").alias("__id"), "__th", "__row", F.lit(True).alias("bare")).distinct()
+    stay = common.store(stay.unionByName(bare), "stay").select(*(F.col(c).alias(f"o{c}") for c in keys), "bare")
+    stay = F.broadcast(stay) if common.small(stay) else stay
+    kept = docs.join(stay, F.col("__id").eqNullSafe(F.col("o__id")) & (F.col("__th") == F.col("o__th")) & (F.col("__row") == F.col("o__row")))
+    # rows that are alike in every column
+    return kept.where("NOT bare").dropDuplicates(keys).select(*names).unionByName(kept.where("bare").select(*names))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

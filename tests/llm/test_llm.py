@@ -305,6 +305,27 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score(docs, flat).where("score >= 0.3").count() == 0
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    words = [f"w{i}" for i in range(40)]
+    near, other, third = " ".join(words), " ".join(f"o{i}" for i in range(40)), " ".join(f"t{i}" for i in range(40))
+    close, chain = " ".join([*words[1:], "x1"]), " ".join([*words[3:], "x1", "x2", "x3"])  # near links with close and close with chain, but near not with chain
+    rows = [
+        (7, near, "a"), (7, other, "a"),  # one id, two texts that don't link
+        (None, third, "a"), (None, third, "b"), (None, close, "a"), (8, other + " more", "a"),
+        (9, chain, "a"), (9, chain, "a"), (None, "", "a"), (None, None, "a"), (5, "", "a"), (5, "", "a"),
+    ]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def kept(d):
+        return sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one_of_each(d).collect()), key=str)
+
+    want = sorted([(7, near), (7, other), (None, third), (None, ""), (None, None), (5, ""), (5, "")], key=str)
+    assert kept(d) == want == kept(d.repartition(5, "source", "text"))
+    assert {r["source"] for r in jaccard.keep_one_of_each(d).where("doc_id IS NULL AND length(text) > 9").collect()} == {r["source"] for r in jaccard.keep_one_of_each(d.orderBy(F.desc("source"))).where("doc_id IS NULL AND length(text) > 9").collect()}
+    d = spark.createDataFrame([(1, near), (None, close), (3, chain), (4, other)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(d).where("doc_id IS NOT NULL").collect()} == {1: 1, 3: 1, 4: 4}
+
+
 def test_html(spark):
     page = """<html><head><title>x</title></head><body class="has-sidebar"><header><h1>Site</h1></header><div id="cookie-notice"><p>We use cookies, yes.</p></div><div class="content"><h2>Head &amp; line</h2>
 <p>First &lt;paragraph&gt;, with <a href=x>a link</a>   and text.</p><ul><li>One point.<li>Two points.</ul><p>Last one.</div><div class="sidebar"><p>Popular posts, here.</p></div>
