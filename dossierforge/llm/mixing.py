@@ -173,7 +173,7 @@ def plan_mixture(docs: DataFrame, n_shards: int = 16, seed: int = 9, weights: tu
     edge = edge.drop("room", "upto", "now")
     rest_rows = met.where("part IS NULL").withColumn("extra", F.lit(0).cast("long"))
     out = edge.unionByName(rest_rows).withColumn("copies", F.coalesce("full", F.lit(0)) + F.col("extra"))
-    return Mixture(out.select("doc_id", "source", "size", "source_size", "target", "block", "key", "copies", "extra"), sizes, draws, seed)
+    return Mixture(out.select("doc_id", "source", "size", "source_size", "target", "block", "key", "copies", "extra", "part"), sizes, draws, seed)
 
 
 def mix(docs: DataFrame, n_shards: int = 16, seed: int = 9, **options) -> DataFrame:
@@ -193,14 +193,22 @@ def mixed_rows(docs: DataFrame, seed: int = 9, **options) -> DataFrame:
     plan = plan_mixture(docs, seed=seed, **options)
     names = docs.columns
     whole = plan.draws.where("NOT partial").groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(F.count("*").alias("full"))
-    edge = plan.rows.where("extra > 0").select(F.col("key").alias("e_key"), F.lit(1).alias("more")).distinct()
+    # of rows alike in source and key, so many are taken once more as the plan says, by the hash of their text
+    edge = plan.rows.where("part IS NOT NULL").groupBy(F.col("source").alias("e_source"), F.col("key").alias("e_key")).agg(F.sum("extra").alias("more"), F.count("*").alias("alike")).where("more > 0")
+    edge = common.store(edge, "mix-edge")
+    torn = edge.where("more < alike").limit(1).count() > 0
     sizes = plan.sizes.select(F.col("source").alias("s_source"), "blocks")
     whole, edge, sizes = (F.broadcast(x) if common.small(x) else x for x in (whole, edge, sizes))
     own = F.col("source").cast("string") if "source" in names else F.lit(None).cast("string")
     d = docs.withColumn("__source", own).withColumn("__key", _order_key(seed, F.col("doc_id"), word_count(F.col("text"))))
     d = d.join(sizes, F.col("__source").eqNullSafe(F.col("s_source"))).withColumn("__block", _block(F.col("__key"), F.col("blocks")))
-    d = d.join(whole, F.col("__source").eqNullSafe(F.col("d_source")) & (F.col("__block") == F.col("d_block")), "left").join(edge, F.col("__key") == F.col("e_key"), "left")
-    copies = (F.coalesce("full", F.lit(0)) + F.coalesce("more", F.lit(0))).cast("int")
+    d = d.join(whole, F.col("__source").eqNullSafe(F.col("d_source")) & (F.col("__block") == F.col("d_block")), "left").join(edge, F.col("__source").eqNullSafe(F.col("e_source")) & (F.col("__key") == F.col("e_key")), "left")
+    d = d.withColumn("__more", (F.col("more") > 0).cast("int"))
+    if torn:
+        some = F.coalesce(F.col("more") < F.col("alike"), F.lit(False))
+        place = F.row_number().over(Window.partitionBy("__source", "__key").orderBy(F.xxhash64("text")))
+        d = d.where(~some).unionByName(d.where(some).withColumn("__more", (place <= F.col("more")).cast("int")))
+    copies = (F.coalesce("full", F.lit(0)) + F.coalesce("__more", F.lit(0))).cast("int")
     return d.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*names)
 
 

@@ -170,6 +170,16 @@ def test_mixing(spark, docs, none):
     assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, mixing.mix(d, 8).collect()))
 
 
+def test_mixed_rows_with_null_and_repeated_ids(spark):
+    rows = [(None if i % 3 else i % 30, " ".join([f"w{i}"] * (1 + i % 4)), ("a", "b", None)[i % 7 % 3]) for i in range(240)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    planned = {r["source"]: r["n"] for r in mixing.plan_mixture(d).rows.groupBy("source").agg(F.sum("copies").alias("n")).collect()}
+    got = mixing.mixed_rows(d).collect()
+    assert Counter(r["source"] for r in got) == planned
+    sizes = {(r["source"], r["size"]): r["n"] for r in mixing.plan_mixture(d).rows.groupBy("source", "size").agg(F.sum("copies").alias("n")).where("n > 0").collect()}
+    assert Counter((r["source"], len(r["text"].split())) for r in got) == sizes
+
+
 def test_splitting_tree_keeps_quotas(spark):
     q = spark.createDataFrame([("a", 100), ("b", 7), (None, 40), ("z", 0)], "source string, quota long")
     got = mixing.split_quotas(q, 6, 1).collect()
