@@ -7,7 +7,6 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,91 +16,250 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: A run of ASCII white space and the run of other characters after it. Neither vocabulary forms a token across the start of such a run.
-_PIECE = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Other white space, which a tokenizer's pattern may join with ASCII white space; texts with it are encoded in one go.
+#: Bytes of text that are encoded at once.
+CHUNK_BYTES = 1 << 18
+#: Slots of a worker's table of known words (28 MB), the words it takes, and the bytes that one may have.
+SLOTS, KNOWN_WORDS, WORD_BYTES = 1 << 21, 1_200_000, 48
+#: Words that go to the tokenizer in one text.
+JOINED = 1000
+
+# The shapes of the two vocabularies whose texts may be cut into words, as their files state them.
+_LETTERS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_BY_LETTERS = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _LETTERS}, "behavior": "Removed", "invert": True}, _BYTE_LEVEL | {"use_regex": False}]}
+_LOWER_CASE = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+
+#: First bytes of white space that isn't ASCII's (or is 0x1C to 0x1F), which a pattern may join with ASCII white space.
+_MAYBE_SPACE = np.zeros(256, dtype=bool)
+_MAYBE_SPACE[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Pieces whose ids a worker remembers; the first ones stay.
-CACHE_ENTRIES = 800_000
+
+
+class _Known:
+    """Ids by 64-bit key, in an open-addressing table of fixed size over one pool of ids."""
+
+    def __init__(self, dtype: type):
+        self.keys = np.zeros(SLOTS, dtype=np.uint64)
+        self.first = np.zeros(SLOTS, dtype=np.uint32)
+        self.count = np.zeros(SLOTS, dtype=np.uint16)
+        self.pool = np.empty(1 << 16, dtype=dtype)
+        self.used = self.held = 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is, or the free slot where it would go."""
+        at = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+        open_ = np.flatnonzero((self.keys[at] != keys) & (self.keys[at] != 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (SLOTS - 1)
+            there = self.keys[at[open_]]
+            open_ = open_[(there != keys[open_]) & (there != 0)]
+        return at
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known, first, count) of keys, none of which is 0."""
+        at = self._slots(keys)
+        return self.keys[at] == keys, self.first[at].astype(np.int64), self.count[at].astype(np.int64)
+
+    def append(self, ids: np.ndarray) -> int:
+        """Put ids at the end of the pool; where they begin."""
+        if self.used + len(ids) > len(self.pool):
+            wider = np.empty(2 * (self.used + len(ids)), dtype=self.pool.dtype)
+            wider[: self.used] = self.pool[: self.used]
+            self.pool = wider
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
+    def add(self, keys: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
+        """Distinct keys that aren't in the table."""
+        todo = np.arange(len(keys))
+        while len(todo):
+            at = self._slots(keys[todo])
+            self.keys[at] = keys[todo]
+            on = self.keys[at] == keys[todo]  # of keys that want one slot, one gets it
+            self.first[at[on]], self.count[at[on]] = first[todo[on]], count[todo[on]]
+            todo = todo[~on]
+        self.held += len(keys)
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers. Each distinct piece of a text goes through the tokenizer once and is remembered."""
+    """Ids equal to those of the tokenizer's own encode with add_special_tokens=False.
+
+    With a pre-tokenizer known to cut at white space, each distinct word goes through the tokenizer once and is remembered by a 64-bit
+    hash, in a table of bounded size; the ids of a chunk of texts are then gathered in numpy. With any other pre-tokenizer, and for texts that
+    hold an added token's string or other white space, whole texts go through it.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        # where white space never reaches an id, "a", " a" and their like are one piece
-        self.pieces = (_WORD if self._ids([" a\n b"]) == self._ids(["a\tb"]) else _PIECE).findall
-        # a normalizer that changes ASCII words to lower case alone is skipped for them; str.lower does the same, faster
-        self.plain = None
-        steps = json.loads(self.tokenizer.to_str())["normalizer"]
-        kinds = sorted(x["type"] for x in (steps or {}).get("normalizers", []))
-        if kinds == ["Lowercase", "NFC", "Replace"] and self.pieces == _WORD.findall:
-            self.plain = Tokenizer.from_file(path)
-            self.plain.encode_special_tokens = True
-            self.plain.normalizer = None
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        if self.plain is None:
-            return dict(zip(pieces, self._ids(pieces), strict=True))
-        ascii_ones = [p for p in pieces if p.isascii()]
-        others = [p for p in pieces if not p.isascii()]
-        out = dict(zip(others, self._ids(others), strict=True))
-        encoded = self.plain.encode_batch_fast([p.lower() for p in ascii_ones], add_special_tokens=False)
-        out.update(zip(ascii_ones, (array("I", e.ids).tobytes() for e in encoded), strict=True))
-        return out
-
-    def encode(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text):
-            return self._ids([text])[0]
-        pieces = self.pieces(text)
-        known = self.known
-        ids = list(map(known.get, pieces))
-        missing, at = [], -1
-        try:
-            while True:
-                at = ids.index(None, at + 1)
-                missing.append(at)
-        except ValueError:
-            pass
-        if missing:
-            found = self._new(list({pieces[i] for i in missing}))
-            for i in missing:
-                ids[i] = found[pieces[i]]
-            if len(known) + len(found) <= CACHE_ENTRIES:  # frequent pieces come early, so a full memory stays as it is
-                known.update(found)
-        return b"".join(ids)
+        self.tokenizer = self.fast = Tokenizer.from_file(path)
+        shape = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"].encode() for t in shape["added_tokens"]]
+        plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) and t["content"] for t in shape["added_tokens"])
+        self.lower = plain and shape["pre_tokenizer"] == _BY_LETTERS and shape["normalizer"] == _LOWER_CASE  # white space never reaches an id
+        self.bytes = plain and shape["pre_tokenizer"] == _BYTE_LEVEL and shape["normalizer"] is None
+        if self.lower:
+            # ASCII words are changed by the normalizer to lower case alone, which str.lower does as well, faster
+            self.fast = Tokenizer.from_file(path)
+            self.fast.normalizer = None
+            self.fast.encode_special_tokens = True  # words that hold an added token's string don't come here; in lower case they may
+        # what stands between words that are encoded together, and its id, which none of them has
+        self.between = " \x01 " if self.lower else "\n"
+        mark = self._ids([self.between.strip(" ")])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.known = _Known(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.gaps: dict[tuple[bytes, bool], np.ndarray] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, count) of words, each with the space before it if it has one."""
+        if self.mark is None:
+            joins = [False] * len(words)
+        elif self.lower:
+            joins = [w.isascii() and "\x01" not in w for w in words]
+        else:
+            joins = [w[0] == " " for w in words]
+        together, alone = (np.flatnonzero(np.array(joins, dtype=bool) == x) for x in (True, False))
+        parts, sizes = [], []
+        for lo in range(0, len(together), JOINED):
+            text = self.between.join([words[i] for i in together[lo : lo + JOINED].tolist()])
+            ids = np.array(self.fast.encode_batch_fast([text.lower() if self.lower else text], add_special_tokens=False)[0].ids, dtype="<u4")
+            cut = np.flatnonzero(ids == self.mark)
+            sizes.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
+            parts.append(np.delete(ids, cut))
+        each = self._ids([words[i] for i in alone.tolist()])
+        size = np.concatenate([*sizes, [len(x) for x in each]]).astype(np.int64)
+        first, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        turn = np.concatenate([together, alone])
+        first[turn], count[turn] = np.cumsum(size) - size, size
+        return np.concatenate([*parts, *each, np.empty(0, "<u4")]), first, count
+
+    def _gap(self, gap: bytes, spaced: bool) -> np.ndarray:
+        """The ids of a run of white space before a word (which may have taken its last space)."""
+        ids = self.gaps.get((gap, spaced))
+        if ids is None:
+            ids = self._ids([gap.decode() + (" a" if spaced else "a")])[0][:-1]
+            if len(self.gaps) < 10_000 and len(gap) <= WORD_BYTES:
+                self.gaps[gap, spaced] = ids
+        return ids
+
+    def _odd(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The texts that have to go through the tokenizer whole."""
+        n = len(offsets) - 1
+        if not (self.lower or self.bytes):
+            return np.arange(n)
+        raw, found = data.tobytes(), set()
+        for a in self.added:
+            at = raw.find(a)
+            while at >= 0:
+                found.add(int(np.searchsorted(offsets, at, "right")) - 1)
+                at = raw.find(a, at + 1)
+        maybe = np.unique(np.searchsorted(offsets, np.flatnonzero(_MAYBE_SPACE[data]), "right") - 1)
+        found.update(d for d in maybe.tolist() if _OTHER_SPACE.search(raw[offsets[d] : offsets[d + 1]].decode()))
+        return np.array(sorted(found), dtype=np.int64)
+
+    def encode_chunk(self, data: np.ndarray, offsets: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the ids of each text in the byte buffer, with the ids `end` behind it, and where they lie."""
+        n, known = len(offsets) - 1, self.known
+        odd = self._odd(data, offsets)
+        held = known.used  # what is put behind it goes again, unless the table takes it
+        order, first, count = [], [], []  # what the output is made of: its place in the text, and a run of the pool
+
+        def put(place: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+            order.append(place), first.append(at), count.append(size)
+
+        def put_all(place: list[int], ids: list[np.ndarray]) -> None:
+            size = np.array([len(x) for x in ids], dtype=np.int64)
+            at = known.append(np.concatenate(ids)) if ids else 0
+            put(np.array(place, dtype=np.int64), at + np.cumsum(size) - size, size)
+
+        if len(odd) < n:
+            w = common.Words(data, offsets)
+            start, stop, doc = w.start, w.end, w.doc()
+            key = w.hash | np.uint64(1)
+            begin = np.concatenate([[0], stop[:-1]]) if len(stop) else stop
+            begin = np.maximum(begin, offsets[doc])  # of the white space before each word
+            spaced = np.zeros(len(start), dtype=bool)
+            if self.bytes:
+                spaced[start > begin] = data[start[start > begin] - 1] == 0x20
+                key = np.where(spaced, key ^ np.uint64(0x9E3779B97F4A7C16), key)
+            if len(odd):
+                on = ~np.isin(doc, odd)
+                start, stop, key, begin, spaced = start[on], stop[on], key[on], begin[on], spaced[on]
+            there, at, size = known.find(key)
+            there &= stop - start <= WORD_BYTES
+            new = np.flatnonzero(~there)
+            if len(new):
+                _, one, back = np.unique(key[new], return_index=True, return_inverse=True)
+                long = stop[new] - start[new] > WORD_BYTES
+                if long.any():  # long words each for itself, not by their hash
+                    one, back = np.arange(len(new)), np.arange(len(new))
+                a, b = start[new[one]] - spaced[new[one]], stop[new[one]]
+                raw = data.tobytes()
+                ids, new_at, new_size = self._new([raw[x:y].decode() for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+                new_at += known.append(ids)
+                at[new], size[new] = new_at[back], new_size[back]
+                if known.held + len(one) <= KNOWN_WORDS and not long.any():  # frequent words come early, so a full table stays as it is
+                    known.add(key[new[one]], new_at, new_size)
+                    held = known.used
+            put(2 * start, at, size)
+            if self.bytes:
+                raw = data.tobytes()
+                gap = np.flatnonzero(start - spaced > begin)
+                put_all((2 * begin[gap]).tolist(), [self._gap(raw[a:b], c) for a, b, c in zip(begin[gap].tolist(), (start - spaced)[gap].tolist(), spaced[gap].tolist(), strict=True)])
+                last = offsets[:-1].copy()
+                np.maximum.at(last, np.searchsorted(offsets, stop - 1, "right") - 1, stop)
+                tail = np.setdiff1d(np.flatnonzero(last < offsets[1:]), odd)
+                put_all((2 * last[tail]).tolist(), self._ids([raw[a:b].decode() for a, b in zip(last[tail].tolist(), offsets[1:][tail].tolist(), strict=True)]))
+        if len(odd):
+            put_all((2 * offsets[odd]).tolist(), self._ids([data[offsets[d] : offsets[d + 1]].tobytes().decode() for d in odd.tolist()]))
+        # ends of texts stand before what begins at the same byte; those of empty texts keep their order
+        put(2 * offsets[1:] - 1, np.full(n, known.append(end)), np.full(n, len(end)))
+        place, at, size = map(np.concatenate, (order, first, count))
+        turn = np.argsort(place, kind="stable")
+        at, size = at[turn], size[turn]
+        total = np.cumsum(size)
+        ids = known.pool[np.repeat(at - total + size, size) + np.arange(total[-1] if len(total) else 0)].astype("<u4")
+        known.used = held
+        return ids, np.concatenate([[0], total[turn >= len(place) - n]])
+
+    def encode_all(self, texts: list[str], end: tuple[int, ...] = ()) -> list[np.ndarray]:
+        """The ids of each text, with those of end behind them."""
+        raw = [t.encode() for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        ids, bounds = self.encode_chunk(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets, np.array(end, dtype=np.uint32))
+        return np.split(ids, bounds[1:-1]) if texts else []
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's encoder for this tokenizer; it drops those of other tokenizers."""
     if path not in _encoders:
+        _encoders.clear()
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
 # ---------------------------------------------------------------- directly addressable codes
 
-#: Bits of a rank directory entry's span.
+#: Bits of a rank directory entry's span; bitmaps are padded to whole spans.
 RANK_SPAN = 512
-_MAGIC = b"DAC1"
+_MAGIC = b"DAC2"
 
 
 def _pack_bits(flags: np.ndarray) -> tuple[bytes, bytes]:
     """The bitmap and its rank directory: how many ones stand before each span."""
-    spans = np.add.reduceat(flags, np.arange(0, len(flags), RANK_SPAN), dtype=np.int64) if len(flags) else np.empty(0, np.int64)
-    return np.packbits(flags, bitorder="little").tobytes(), np.concatenate([[0], np.cumsum(spans)[:-1]]).astype("<u4").tobytes() if len(spans) else b""
+    bits = np.zeros((len(flags) // RANK_SPAN + 1) * RANK_SPAN // 8, dtype=np.uint8)
+    packed = np.packbits(flags, bitorder="little")
+    bits[: len(packed)] = packed
+    spans = np.bitwise_count(bits.view("<u8")).reshape(-1, RANK_SPAN // 64).sum(axis=1, dtype=np.int64)
+    return bits.tobytes(), (np.cumsum(spans) - spans).astype("<u4").tobytes()
 
 
 def dac_encode(ids: np.ndarray, chunk_bits: int = 8) -> bytes:
@@ -132,7 +290,7 @@ class Dac:
     """A reader of dac_encode's bytes; nothing is copied before it is asked for."""
 
     def __init__(self, data: bytes):
-        if data[:4] != _MAGIC:
+        if bytes(data[:4]) != _MAGIC:
             raise ValueError("not a block of directly addressable codes")
         self.bits, n_levels, self.size = struct.unpack_from("<BBQ", data, 4)
         kind = np.uint8 if self.bits == 8 else np.dtype("<u2")
@@ -141,7 +299,7 @@ class Dac:
         for i in range(n_levels):
             sizes = struct.unpack_from("<QQQ", data, 14 + 24 * i)
             parts = []
-            for size, dtype in zip(sizes, (kind, np.uint8, np.dtype("<u4")), strict=True):
+            for size, dtype in zip(sizes, (kind, np.dtype("<u8"), np.dtype("<u4")), strict=True):
                 parts.append(np.frombuffer(data, dtype=dtype, count=size // np.dtype(dtype).itemsize, offset=at))
                 at += size
             self.levels.append(parts)
@@ -149,6 +307,15 @@ class Dac:
     def __len__(self) -> int:
         return self.size
 
+    @staticmethod
+    def _rank(bitmap: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Ones before each position: the directory's count, and those of at most one span."""
+        span, word = at // RANK_SPAN, at >> 6
+        of = span[:, None] * (RANK_SPAN // 64) + np.arange(RANK_SPAN // 64)
+        held = np.bitwise_count(bitmap[of]) * (of < word[:, None])
+        own = bitmap[word] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1))
+        return ranks[span].astype(np.int64) + held.sum(axis=1, dtype=np.int64) + np.bitwise_count(own)
+
     def get(self, positions: np.ndarray) -> np.ndarray:
         """The ids at these positions, by one rank a level; no other id is decoded."""
         at = np.asarray(positions, dtype=np.int64)
@@ -158,29 +325,37 @@ class Dac:
         who = np.arange(len(at))
         for level, (chunks, bitmap, ranks) in enumerate(self.levels):
             out[who] |= chunks[at].astype(np.uint64) << np.uint64(level * self.bits)
-            on = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            on = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
             who, at = who[on], at[on]
             if not len(who):
                 break
-            span = at // RANK_SPAN
-            width = RANK_SPAN // 8
-            rows = span[:, None] * width + np.arange(width)
-            padded = np.append(bitmap, np.zeros(1, np.uint8))[np.minimum(rows, len(bitmap))]
-            bits = np.unpackbits(padded, axis=1, bitorder="little")
-            within = (bits * (np.arange(RANK_SPAN) < (at % RANK_SPAN)[:, None])).sum(axis=1)
-            at = ranks[span].astype(np.int64) + within.astype(np.int64)
+            at = self._rank(bitmap, ranks, at)
         return out.astype(np.uint32)
 
+    def runs(self, bounds: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of each run bounds[i]:bounds[i+1], one after another; outside the run asked for nothing is decoded.
+
+        Where a run lies in a level, its ids that go on lie in a run of the next, between the ranks of both its ends, which the
+        directories give for all runs at once.
+        """
+        ends = [np.asarray(bounds, dtype=np.int64)]
+        for _, bitmap, ranks in self.levels[:-1]:
+            ends.append(self._rank(bitmap, ranks, ends[-1]))
+        ends = np.stack(ends, axis=1).tolist() if len(bounds) > 1 else []
+        for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+            values = np.empty(0, dtype=np.uint32)
+            for (chunks, bitmap, _), a, b in zip(reversed(self.levels), reversed(lo), reversed(hi), strict=True):
+                here = chunks[a:b].astype(np.uint32)
+                if len(values):
+                    words = bitmap[a >> 6 : (b + 63) >> 6]
+                    on = np.unpackbits(words.view(np.uint8), bitorder="little")[a & 63 : (a & 63) + b - a].view(bool)
+                    here[on] |= values << np.uint32(self.bits)
+                values = here
+            yield values
+
     def decode(self) -> np.ndarray:
-        """All ids, a level at a time from the last."""
-        values = np.empty(0, dtype=np.uint32)
-        for chunks, bitmap, _ in reversed(self.levels):
-            here = chunks.astype(np.uint32)
-            if len(values):
-                on = np.unpackbits(bitmap, count=len(here), bitorder="little").view(bool)
-                here[on] |= values << np.uint32(self.bits)
-            values = here
-        return values
+        """All ids."""
+        return next(self.runs(np.array([0, self.size])))
 
 
 # ---------------------------------------------------------------- files
@@ -198,8 +373,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     empty texts have the end id alone. Extra columns are ignored.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    arrow_id = pa.string() if id_type == "string" else pa.int64()
-    tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -209,23 +383,26 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
 
         def close() -> pa.RecordBatch:
             nonlocal first, held, segment
-            payload = dac_encode(np.frombuffer(b"".join(parts), dtype="<u4"), chunk_bits)
+            payload = dac_encode(np.concatenate(parts), chunk_bits)
+            of, bounds = pa.concat_arrays(doc_ids), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
             out = pa.RecordBatch.from_arrays(
-                [pa.array([pid], pa.int32()), pa.array([segment], pa.int32()), pa.array([doc_ids], pa.list_(arrow_id)), pa.array([[0, *np.cumsum(lengths).tolist()]], pa.list_(pa.int64())), pa.array([first], pa.int64()), pa.array([payload], pa.binary())],
+                [
+                    pa.array([pid], pa.int32()), pa.array([segment], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(of)], pa.int32()), of),
+                    pa.ListArray.from_arrays(pa.array([0, len(bounds)], pa.int32()), pa.array(bounds, pa.int64())), pa.array([first], pa.int64()), pa.array([payload], pa.binary()),
+                ],
                 names=["pid", "segment", "doc_ids", "bounds", "first", "payload"],
-            )
+            )
             first, segment, held = first + held, segment + 1, 0
             doc_ids.clear(), parts.clear(), lengths.clear()
             return out
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for doc_id, text in zip(ids, batch.column(1), strict=True):
-                got = enc.encode(text.as_py() or "") + tail
-                doc_ids.append(doc_id)
-                parts.append(got)
-                lengths.append(len(got) // 4)
-                held += lengths[-1]
+            for lo, hi, data, offsets in common.text_chunks(batch, 1, CHUNK_BYTES):
+                ids, bounds = enc.encode_chunk(data, offsets, end)
+                doc_ids.append(common.column(batch, 0, lo, hi))
+                parts.append(ids)
+                lengths.append(np.diff(bounds))
+                held += len(ids)
                 if held >= SEGMENT_IDS:
                     yield close()
         if doc_ids:
@@ -246,7 +423,7 @@ def _part_starts(segments: DataFrame) -> dict[int, int]:
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, read from the files at path."""
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, read from the files at path, each document by itself."""
     segments = spark.read.parquet(path)
     starts = _part_starts(segments)
     id_type = segments.schema["doc_ids"].dataType.elementType.simpleString()
@@ -256,8 +433,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             for i in range(batch.num_rows):
                 pid, ids, bounds, first, payload = (batch.column(k)[i] for k in range(5))
                 bounds = np.asarray(bounds.values)
-                tokens = Dac(payload.as_py()).decode().astype("<u4").tobytes()
-                crc = [zlib.crc32(tokens[4 * a : 4 * b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                crc = [zlib.crc32(x.astype("<u4", copy=False)) for x in Dac(payload.as_buffer()).runs(bounds)]
                 yield pa.RecordBatch.from_arrays([ids.values, pa.array(starts[pid.as_py()] + first.as_py() + bounds[:-1]), pa.array(np.diff(bounds)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return segments.select("pid", "doc_ids", "bounds", "first", "payload").mapInArrow(run, f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
@@ -278,7 +454,7 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame, column: str
         for batch in batches:
             for i in range(batch.num_rows):
                 asked = np.asarray(batch.column(1)[i].values)
-                got = Dac(batch.column(2)[i].as_py()).get(asked - batch.column(0)[i].as_py())
+                got = Dac(batch.column(2)[i].as_buffer()).get(asked - batch.column(0)[i].as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(got.astype(np.int64))], names=["position", "token"])
 
     return met.select("begin", "positions", "payload").mapInArrow(run, "position bigint, token bigint")

@@ -1,5 +1,6 @@
 """Each operator on awkward rows, and against brute force on small tables."""
 
+import functools
 import math
 import re
 import zlib
@@ -62,21 +63,48 @@ def test_dac_round_trip_and_random_access():
             assert (d.decode() == ids).all() and len(d) == len(ids)
             at = rng.integers(0, max(1, len(ids)), 500 if len(ids) else 0)
             assert (d.get(at) == ids[at]).all()
+            bounds = np.sort(np.concatenate([[0, 0, len(ids), len(ids)], rng.integers(0, len(ids) + 1, 40)]))
+            assert [x.tolist() for x in d.runs(bounds)] == [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     with pytest.raises(IndexError):
         d.get(np.array([3000]))
 
 
+@functools.cache
+def tokenizer(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 def ids_of(name, text, end):
+    return np.array([*tokenizer(name).encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
+
+
+ODD_TEXTS = ["a   b", "x \x1c y", "  lead", "trail  ", "a\n\n\nb c", "it's <|endoftext|> x", "<|startoftext|>", "<|ENDOFTEXT|> <|endoftext", "é é x\u0085 z", "a\u2003b", "’tis – it’s", "ΑΣ Σ ς", "", "  ", "\n\nx 's \t 't", "\x00 a\x01 \x01 b\x01", "I'LL we'Ve", "１２ ½ x", "x" * 300 + " " + "y" * 60 + "\n", LONG]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_equals_the_tokenizer(name):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    return np.array([*t.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
+    enc = tokens.Encoder(public_tokenizers.path(name))
+    want = [t.encode(x, add_special_tokens=False).ids for x in ODD_TEXTS]
+    assert any(i in (50256, 49407) for x in want for i in x)
+    for _ in range(2):  # the second time from memory
+        assert [x.tolist() for x in enc.encode_all(ODD_TEXTS, (5,))] == [[*x, 5] for x in want]
+        assert [x.tolist() for x in enc.encode_all(ODD_TEXTS)] == want
+        assert enc.encode_all([]) == [] and [enc.encode_all([x])[0].tolist() for x in ODD_TEXTS] == want
 
 
-def test_encoder_equals_the_tokenizer():
-    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
-        enc = tokens.Encoder(public_tokenizers.path(name))
-        for t in ["a   b", "x \x1c y", "  lead", "trail  ", "a\n\n\nb c", "it's <|endoftext|> x", "é é x\u0085 z", "a   b", "ΑΣ Σ ς", "", LONG]:
-            assert enc.encode(t) == enc._ids([t])[0]
+def test_encoder_with_a_full_memory_or_an_unknown_shape(monkeypatch, tmp_path):
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 3)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, enc = Tokenizer.from_file(path), tokens.Encoder(path)
+    want = [t.encode(x, add_special_tokens=False).ids for x in ODD_TEXTS]
+    assert [x.tolist() for _ in range(2) for x in enc.encode_all(ODD_TEXTS)] == want * 2 and enc.known.held <= 3
+    from tokenizers import pre_tokenizers
+
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.ByteLevel(add_prefix_space=True)])
+    t.save(str(tmp_path / "t.json"))
+    enc = tokens.Encoder(str(tmp_path / "t.json"))
+    assert [x.tolist() for x in enc.encode_all(ODD_TEXTS)] == [t.encode(x, add_special_tokens=False).ids for x in ODD_TEXTS]
 
 
 def test_token_files(spark, docs, none):
@@ -96,41 +124,103 @@ def test_token_files(spark, docs, none):
 
 
 def check_packing(got, want, sequence=1024):
-    pieces, seqs = defaultdict(list), defaultdict(list)
+    """Each document's pieces are its own ids, each sequence is gapless and holds 1024 ids or a power of two."""
+    whole, pieces, seqs = defaultdict(list), defaultdict(list), defaultdict(list)
+    for i, x in want:
+        whole[i, len(x)].append(x)
     for r in got:
-        pieces[r["doc_id"]].append(r)
+        pieces[r["doc_id"], r["doc_tokens"]].append(r)
         seqs[r["sequence_id"]].append(r)
-    total = Counter()
-    for i, x in want:
-        total[i] += len(x)
-    assert {i: sum(r["length"] for r in p) for i, p in pieces.items()} == dict(total)
+    assert set(pieces) == set(whole)
+    for key, p in pieces.items():
+        # documents that share id and length, and repeated rows: their pieces as a multiset
+        texts = whole[key]
+        starts = defaultdict(list)
+        for r in p:
+            starts[r["start"]].append(r)
+        assert sum(r["length"] for r in p) == key[1] * len(texts)
+        allowed = Counter((r["start"], r["length"], r["ids_crc32"]) for r in p)
+        if len(texts) == 1:
+            ids = texts[0]
+            at = 0
+            for r in sorted(p, key=lambda r: r["start"]):
+                assert r["start"] == at and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+                at += r["length"]
+            assert at == len(ids)
+        else:
+            assert all(any(c == zlib.crc32(x[a : a + n].tobytes()) for x in texts) for a, n, c in allowed)
+    assert sorted(seqs) == list(range(len(seqs)))
     for p in seqs.values():
         p.sort(key=lambda r: r["offset"])
         assert [r["offset"] for r in p] == np.cumsum([0, *(r["length"] for r in p)])[:-1].tolist()
-        n = sum(r["length"] for r in p)
-        assert n <= sequence and n & (n - 1) == 0
+    sizes = [sum(r["length"] for r in seqs[k]) for k in range(len(seqs))]
+    full = sum(len(x) for _, x in want) // sequence
+    assert sizes[:full] == [sequence] * full and all(n & (n - 1) == 0 for n in sizes[full:]) and len(sizes) - full <= 10
 
 
 def test_packing(docs, none):
     name = "byte_bpe_50k.json"
-    got = packing.pack(docs, public_tokenizers.path(name), window=2048).collect()
+    path = public_tokenizers.path(name)
+    got = packing.pack(docs, path, window=2048).collect()
     check_packing(got, [(i, ids_of(name, t, 0)) for i, t in TEXTS])
     whole = b"".join(r["ids"] for r in sorted((r for r in got if r["doc_id"] == 4), key=lambda r: r["start"]))
     assert whole == ids_of(name, LONG, 0).tobytes()
-    assert packing.pack(none, public_tokenizers.path(name)).count() == 0
-
-
-def test_deficit_round_robin():
-    s = packing.Schedule([1000, 300, 0, 7], [3, 1, 1, 1], window=64)
-    sent = [0, 0, 0, 0]
-    for r in range(200):
-        for q, total in enumerate(s.totals):
-            now = s.sent(q, r + 1)
-            assert s.before(q, r) == sum(sent) and 0 <= now - sent[q] <= math.ceil(s.num[q] / s.den[q])
-            for token in range(sent[q], now):
-                assert s.round_of(q, token) == r
-            sent[q] = now
-    assert sent == s.totals
+    assert packing.pack(none, path).count() == 0
+    check_packing(packing.pack(docs.drop("source"), path).collect(), [(i, ids_of(name, t, 0)) for i, t in TEXTS])
+    with pytest.raises(ValueError):
+        packing.pack(docs, path, weights={"s0": 1.0})
+
+
+def drr(queues, weights, window):
+    """The stream of a plain deficit round-robin: whole documents, credits of a round shared by those that aren't empty."""
+    left = {s: sum(n for _, n in q) for s, q in queues.items()}
+    queues = {s: list(q) for s, q in queues.items()}
+    credit, given, out, rounds = {s: 0.0 for s in queues}, {s: 0.0 for s in queues}, [], 0
+    while any(queues.values()):
+        rest = float(window)
+        while rest > 1e-9 and (open_ := [s for s in queues if left[s] - given[s] > 1e-9]):
+            share = min([rest / sum(weights[s] for s in open_), *((left[s] - given[s]) / weights[s] for s in open_)])
+            for s in open_:
+                given[s] += share * weights[s]
+                credit[s] += share * weights[s]
+                rest -= share * weights[s]
+        for s in sorted(queues, key=lambda s: (s is not None, s or "")):
+            while queues[s] and queues[s][0][1] <= credit[s] + 1e-6:
+                doc, n = queues[s].pop(0)
+                credit[s] -= n
+                out.append((rounds, s, doc))
+        rounds += 1
+    return out
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 3.0, "b": 1.0, None: 2.0}, {"a": 0.01, "b": 50.0, None: 1.0}])
+def test_deficit_round_robin(spark, weights):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(["word"] * int(rng.integers(0, 300))), ("a", "b", "a", None, "a")[i % 5]) for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = packing.pack(d, public_tokenizers.path("byte_bpe_50k.json"), sequence=64, window=2000, weights=weights).collect()
+    check_packing(got, [(i, ids_of("byte_bpe_50k.json", t, 0)) for i, t, _ in rows], 64)
+    sizes = {r["doc_id"]: r["doc_tokens"] for r in got}
+    queues = {s: [(i, sizes[i]) for i, _, t in rows if t == s] for s in ("a", "b", None)}
+    shares = weights or {s: float(sum(n for _, n in q)) for s, q in queues.items()}
+    order = sorted((r for r in got if r["start"] == 0), key=lambda r: (r["sequence_id"], r["offset"]))
+    want = drr(queues, shares, 2000)
+    assert [r["doc_id"] for r in order] == [doc for _, _, doc in want]
+    if weights and weights["a"] == 3.0:  # while no queue is empty, the stream keeps the shares to within a document
+        sent = Counter()
+        ends = {s: max(r for r, q, _ in want if q == s) for s in queues}
+        for r, s, doc in want:
+            if r < min(ends.values()):
+                sent[s] += sizes[doc]
+        n = min(ends.values()) * 2000
+        assert all(abs(sent[s] - n * w / 6) <= 310 for s, w in weights.items())
+
+
+def test_packing_with_very_many_sources(spark):
+    d = spark.range(6000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('s', id % 5000) AS source")
+    got = packing.pack(d, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    check_packing(got, [(i, ids_of("byte_bpe_50k.json", f"text {i}", 0)) for i in range(6000)])
+    assert len({r["queue"] for r in got}) == 5000
 
 
 def test_sharding(docs, none):
