@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common
 
-#: Markup: comments, declarations, tags with quoted attributes, and as a last resort anything up to the next >.
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
+#: Markup: comments, declarations, tags with quoted attributes (so many parts at most, so that broken quotes cost little), and as a last
+#: resort anything up to the next >.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'){0,400}+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+#: Elements that are open at once; a deeper one closes the one before, as browsers do.
+DEPTH = 512
 #: Elements whose content is text up to their end tag.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -41,23 +44,30 @@ _CONTAINERS = {"", "html", "body", "article", "main", "section", "div", "td", "c
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _STOPS = {"ul": {"li"}, "ol": {"li"}, "dl": {"dt", "dd"}, "table": {"tr", "td", "th"}}
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
-#: A path is content if its score is this many standard deviations of all scores.
+#: A block is content if its score is this share of the score that the page's characters have on average.
 THRESHOLD = 0.3
-#: An article that holds this share of the content's characters also gives what its paths alone would not; content outside it stays.
+#: The article's container is the smallest that holds this share of the content's characters.
 SHARE = 0.6
+#: A block inside the content's container is worth so much of the container's own score, if that is more than its path's.
+LENT = 0.5
 
 
 class _Element:
-    __slots__ = ("tag", "label", "parent", "dropped", "article", "marked", "banner", "keeps", "text", "mass", "chosen", "header", "link")
+    __slots__ = ("tag", "parent", "depth", "path", "block", "outer", "dropped", "article", "marked", "banner", "keeps", "text", "mass", "worth", "chosen", "inside", "header", "link")
 
-    def __init__(self, tag: str, label: str, parent: _Element | None, dropped: bool, words: set[str]):
-        self.tag, self.label, self.parent, self.link = tag, label, parent, tag == "a"
+    def __init__(self, tag: str, label: str, parent: _Element | None, dropped: bool, words: set[str], paths: dict[tuple[int, str], int]):
+        self.tag, self.parent, self.link = tag, parent, tag == "a"
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.path = paths.setdefault((-1 if parent is None else parent.path, label), len(paths))  # the root-to-leaf path, by number
+        self.block = parent.block if tag in _INLINE else self
         self.article = tag in ("article", "main") or parent is not None and parent.article
+        self.outer = parent.outer if parent is not None and parent.outer is not None else self if self.article else None
         self.header = tag == "header" or parent is not None and parent.header
         self.dropped = dropped or parent is not None and parent.dropped
         self.marked, self.banner = not words.isdisjoint(_MARKED), not words.isdisjoint(_HEADER)
-        self.keeps = False
-        self.text = self.mass = self.chosen = 0
+        self.keeps = self.inside = False
+        self.text = self.chosen = 0
+        self.mass = self.worth = 0.0
 
 
 class _Block:
@@ -70,12 +80,12 @@ class _Block:
         self.linked = 0
 
 
-def _element(tag: str, attributes: str, parent: _Element) -> _Element:
+def _element(tag: str, attributes: str, parent: _Element, paths: dict[tuple[int, str], int]) -> _Element:
     label, dropped = tag, tag in _DROPPED or tag == "header" and not parent.article
     words: set[str] = set()
     if attributes and not attributes.isspace():
-        for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
-            name = (name or bare).lower()
+        for name, a, b, c in _ATTRIBUTE.findall(attributes):
+            name = name.lower()
             value = a or b or c
             if name in ("class", "id", "role"):
                 for one in value.split():
@@ -86,7 +96,7 @@ def _element(tag: str, attributes: str, parent: _Element) -> _Element:
                     label = f"{tag}.{value.split()[0]}"
             elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 dropped = True
-    return _Element(tag, label, parent, dropped, set() if tag in ("html", "body") or tag in _HEADINGS else words)
+    return _Element(tag, label, parent, dropped, set() if tag in ("html", "body") or tag in _HEADINGS else words, paths)
 
 
 def _judge(elements: list[_Element], blocks: list[_Block]) -> None:
@@ -127,10 +137,21 @@ def _judge(elements: list[_Element], blocks: list[_Block]) -> None:
                     b.linked += len(piece)
 
 
-def _blocks(page: str) -> tuple[list[_Block], _Element]:
-    root = _Element("", "", None, False, set())
+def _blocks(page: str) -> tuple[list[_Block], list[_Element]]:
+    """The page's blocks in order, and its elements, parents first."""
+    paths: dict[tuple[int, str], int] = {}
+    root = _Element("", "", None, False, set(), paths)
     stack, elements, blocks, current, at, links = [root], [root], [], None, 0, 0
-    find = _MARKUP.search
+    opened: dict[str, int] = defaultdict(int)
+    find, last = _MARKUP.search, max(page.rfind(">"), page.rfind("<!--"))
+
+    def close(i: int) -> None:
+        """Close the open elements from the i-th on."""
+        nonlocal links
+        for e in stack[i:]:
+            links -= e.link
+            opened[e.tag] -= 1
+        del stack[i:]
 
     def text(piece: str) -> None:
         nonlocal current
@@ -139,13 +160,12 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
         if current is None:
             if piece.isspace():
                 return
-            owner = next(e for e in reversed(stack) if e.tag not in _INLINE)
-            current = _Block(owner)
+            current = _Block(stack[-1].block)
             blocks.append(current)
         current.pieces.append((piece, stack[-1], links > 0))
 
     while True:
-        m = find(page, at)
+        m = find(page, at) if at <= last else None
         if m is None:
             text(page[at:])
             break
@@ -157,10 +177,9 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
         if m[1] or m[4]:  # an end tag
             if tag not in _INLINE:
                 current = None
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[i].tag == tag:
-                    links -= sum(e.link for e in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if tag in _INLINE and stack[i].tag not in _INLINE:  # an inline end tag closes nothing outside its block
                     break
@@ -174,16 +193,14 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
             current = None
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p" and tag not in _VOID:  # a block closes an open paragraph
-                    links -= sum(e.link for e in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag not in _INLINE:
                     break
             if tag in _CLOSES:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag in _CLOSES[tag]:
-                        links -= sum(e.link for e in stack[i:])
-                        del stack[i:]
+                        close(i)
                         break
                     if stack[i].tag in _STOPS and tag in _STOPS[stack[i].tag] or stack[i].tag in _CONTAINERS and stack[i].tag != "td":
                         break
@@ -195,34 +212,18 @@ def _blocks(page: str) -> tuple[list[_Block], _Element]:
             continue
         if attributes.rstrip().endswith("/") and tag in _DROPPED:
             continue
-        stack.append(_element(tag, attributes, stack[-1]))
+        if tag == "html" and len(stack) > 1 or tag == "body" and opened["body"]:
+            continue
+        if tag == "body":  # an open head ends here
+            close(next((i + 1 for i, e in enumerate(stack) if e.tag == "html"), 1))
+        if len(stack) > DEPTH:
+            close(DEPTH)
+        stack.append(_element(tag, attributes, stack[-1], paths))
         elements.append(stack[-1])
+        opened[tag] += 1
         links += stack[-1].link
-        if stack[-1].tag == "html" and len(stack) > 2 or stack[-1].tag == "body" and any(e.tag == "body" for e in stack[:-1]):
-            stack.pop()
-        elif tag == "body":  # an open head ends here
-            stack[:] = [e for e in stack if e.tag != "head"]
-            stack[-1] = _element(tag, attributes, next((e for e in reversed(stack[:-1]) if e.tag == "html"), root))
-            elements.append(stack[-1])
     _judge(elements, blocks)
-    return blocks, root
-
-
-def _chain(e: _Element | None) -> list[_Element]:
-    out = []
-    while e is not None:
-        out.append(e)
-        e = e.parent
-    return out
-
-
-def _path(e: _Element) -> str:
-    return ">".join(x.label for x in reversed(_chain(e)))
-
-
-def _article(e: _Element) -> _Element | None:
-    """The outermost article that it is in."""
-    return next((x for x in reversed(_chain(e)) if x.tag in ("article", "main")), None) if e.article else None
+    return blocks, elements
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:
@@ -233,9 +234,58 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return 0.25 * wide[:-2] + 0.5 * wide[1:-1] + 0.25 * wide[2:]
 
 
-def extract(page: str) -> str:
-    """The article's blocks, white space in each made one space, joined by line feeds."""
-    found, root = _blocks(page)
+def _scores(blocks: list[_Block], texts: list[str], linked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score of each block's path, fused value of each block, characters outside links).
+
+    A path's ratios are its characters and its punctuation, outside links, by block; they are smoothed over the blocks in page order
+    and fused, and the mean over a path's blocks is its score.
+    """
+    _, path, count = np.unique([b.element.path for b in blocks], return_inverse=True, return_counts=True)
+    length = np.array([len(t) for t in texts]) * (1 - linked)
+    marks = np.array([len(_PUNCTUATION.findall(t)) for t in texts]) * (1 - linked)
+    of_path = np.bincount(path, weights=length)
+    fused = _smooth((of_path / count)[path]) * (1 + _smooth((np.bincount(path, weights=marks) / count)[path]))
+    score = np.bincount(path, weights=fused) / count
+    return np.where(of_path > 0, score, 0.0)[path], fused, length
+
+
+def _lend(blocks: list[_Block], elements: list[_Element], linked: np.ndarray, fused: np.ndarray, length: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """What the container of the content lends each block: a share of the score that the container's characters have on average.
+
+    The container is the article that has all chosen blocks, or else the smallest element that holds them all, which lends to headings, paragraphs
+    and parts of articles that have content. What is in links to a part gets that much less."""
+    for b, n, f, on in zip(blocks, length, fused, chosen, strict=True):
+        if on:
+            b.element.mass += n
+            b.element.chosen += 1
+        b.element.worth += n * f
+        b.element.text += n
+    for e in reversed(elements[1:]):
+        e.parent.mass += e.mass
+        e.parent.chosen += e.chosen
+        e.parent.worth += e.worth
+        e.parent.text += e.text
+    root = elements[0]
+    holds = [e for e in elements if e.tag in _CONTAINERS]
+    best = max((e for e in holds if e.mass >= SHARE * root.mass), key=lambda e: e.depth, default=root)
+    area = max((e for e in holds if e.chosen == root.chosen), key=lambda e: e.depth, default=root)
+    best = best.outer or best
+    articles = {b.element.outer for b, on in zip(blocks, chosen, strict=True) if on} - {None}
+    if articles == {best}:
+        area = best
+    for e in elements:
+        e.inside = e is area or e.parent is not None and e.parent.inside
+    open_ = np.array([b.element.inside and (b.element.tag in _HEADINGS or b.element.tag == "p" or b.element.outer in articles) for b in blocks])
+    kept = np.array([1.0 if b.element.tag in _HEADINGS else 1.0 - x for b, x in zip(blocks, linked, strict=True)])
+    return np.where(open_, LENT * area.worth / max(area.text, 1e-9) * np.where(kept > 0.5, kept, 0.0), 0.0)
+
+
+def extract(page: str, threshold: float = THRESHOLD) -> str:
+    """The article's blocks, white space in each made one space, joined by line feeds: those whose score reaches the threshold.
+
+    A block's score is its path's, or what the content's container lends it, if that is more.
+    """
+    found, elements = _blocks(page)
     blocks, texts = [], []
     for b in found:
         t = " ".join(entities.unescape("".join(b.parts)).split())
@@ -244,64 +294,23 @@ def extract(page: str) -> str:
             texts.append(t)
     if not blocks:
         return ""
-    # ratios of each path: characters outside links, and punctuation, by node
-    paths = [_path(b.element) for b in blocks]
     linked = np.array([min(1.0, b.linked / max(1, sum(map(len, b.parts)))) for b in blocks])
-    length = np.array([len(t) for t in texts]) * (1 - linked)
-    marks = np.array([len(_PUNCTUATION.findall(t)) for t in texts]) * (1 - linked)
-    sums: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
-    for p, n, m in zip(paths, length, marks, strict=True):
-        s = sums[p]
-        s[0] += n
-        s[1] += m
-        s[2] += 1
-    ratio = np.array([sums[p][0] / sums[p][2] for p in paths])
-    points = np.array([sums[p][1] / sums[p][2] for p in paths])
-    fused = _smooth(ratio) * (1 + _smooth(points))
-    score: dict[str, list[float]] = defaultdict(list)
-    for p, f in zip(paths, fused, strict=True):
-        score[p].append(f)
-    limit = THRESHOLD * fused.std()
-    good = {p for p, f in score.items() if np.mean(f) >= limit and sums[p][0] > 0}
-    chosen = np.array([p in good for p in paths])
-    if not chosen.any():
-        chosen[:] = True
-    # the smallest container with most of the content's characters; the whole article if it is inside one
-    for b, n, on in zip(blocks, length, chosen, strict=True):
-        e = b.element if on else None
-        while e is not None:
-            e.mass += n
-            e.chosen += 1
-            e = e.parent
-    best, depth, area, low = root, 0, root, 0
-    for b in blocks:
-        for d, e in enumerate(reversed(_chain(b.element))):
-            if e.tag in _CONTAINERS and e.mass >= SHARE * root.mass and d > depth:
-                best, depth = e, d
-            if e.tag in _CONTAINERS and e.chosen == root.chosen and d > low:
-                area, low = e, d
-            if e.mass < SHARE * root.mass and e.chosen < root.chosen:
-                break
-    # the rest of the article belongs to it; without one article for the content, what the container of all of it has between
-    best = _article(best) or best
-    articles = {a for b, on in zip(blocks, chosen, strict=True) if on and (a := _article(b.element))}
-    if articles == {best}:
-        area = best
-    out = []
-    for b, t, on, share in zip(blocks, texts, chosen, linked, strict=True):
-        if b.element.header and b.element.tag not in _HEADINGS:
-            continue
-        if on or area in _chain(b.element) and (b.element.tag in _HEADINGS or share < 0.5 and (b.element.tag == "p" or _article(b.element) in articles)):
-            out.append(t)
-    return "\n".join(out)
+    if linked.min() == 1:  # all is links
+        linked[:] = 0
+    score, fused, length = _scores(blocks, texts, linked)
+    limit = threshold * (length * fused).sum() / max(length.sum(), 1e-9)
+    for e in elements:
+        e.text = 0.0
+    score = np.maximum(score, _lend(blocks, elements, linked, fused, length, (score >= limit) & (score > 0)))
+    return "\n".join(t for b, t, x in zip(blocks, texts, score, strict=True) if x >= limit and x > 0 and not (b.element.header and b.element.tag not in _HEADINGS))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) with text and n_chars: the main text of each page.
 
     Null and empty html give an empty text, as do pages without text of their own; page_id and url are carried as they are, null or
-    repeated. Broken markup is read as it stands: what is never closed ends with its parent. Extra columns are
-    ignored. A page is worked on alone, whole, whatever its length.
+    repeated. Broken markup is read as it stands: what is never closed ends with its parent, and an element below DEPTH others
+    closes the one before it. Extra columns are ignored. A page is worked on alone, whole, whatever its length.
     """
     types = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 

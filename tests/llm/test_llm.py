@@ -3,8 +3,10 @@
 import functools
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -439,6 +441,111 @@ def test_html(spark):
     assert len(long.split("\n")) == 20_000
 
 
+class PlainPage(HTMLParser):
+    """Blocks of a well-formed page as (path of elements, text, text in links), an element being (label, number); script, nav and the like go."""
+
+    GONE = {"head", "nav", "footer", "aside", "form", "script", "style"}
+
+    def __init__(self, page):
+        super().__init__()
+        self.open, self.out, self.new, self.n = [], [], True, 0
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            return self.handle_data(" ")
+        if tag in ("meta", "img", "link", "input"):
+            return
+        inline = tag in ("a", "b", "i", "em", "strong", "span")
+        if not inline:
+            self.new = True
+            if any(x == "p" for _, _, x in self.open):
+                del self.open[[x for _, _, x in self.open].index("p") :]
+        self.n += 1
+        self.open.append(((tag + "." + dict(attrs)["class"].split()[0]) if dict(attrs).get("class") else tag, self.n, tag))
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.new = True
+        tags = [x for _, _, x in self.open]
+        if tag in tags:
+            del self.open[len(tags) - 1 - tags[::-1].index(tag) :]
+
+    def handle_data(self, data):
+        tags = {x for _, _, x in self.open}
+        if tags & self.GONE or any(label in ("div.ad", "div.sidebar") for label, _, _ in self.open) or self.new and not data.strip():
+            return
+        if self.new:
+            self.out.append([[x for x in self.open if x[2] not in ("a", "b", "i", "em", "strong", "span")], "", 0])
+            self.new = False
+        self.out[-1][1] += data
+        self.out[-1][2] += len(data) if "a" in tags else 0
+
+
+def plain_text(page, threshold=htmltext.THRESHOLD):
+    """Tag-path ratios step by step, for pages whose content is in one article."""
+    blocks = [(chain, " ".join(t.split()), a / max(1, len(t))) for chain, t, a in PlainPage(page).out if t.split()]
+    if not blocks:
+        return ""
+    paths = [tuple(label for label, _, _ in chain) for chain, _, _ in blocks]
+    chars = [len(t) * (1 - a) for _, t, a in blocks]
+    points = [len(re.findall("[.,;:!?…。，、；：！？]", t)) * (1 - a) for _, t, a in blocks]
+
+    def ratio(values):
+        return [sum(v for v, q in zip(values, paths, strict=True) if q == p) / paths.count(p) for p in paths]
+
+    def smooth(x):
+        return [0.25 * x[max(i - 1, 0)] + 0.5 * x[i] + 0.25 * x[min(i + 1, len(x) - 1)] for i in range(len(x))] if len(x) > 2 else x
+
+    fused = [r * (1 + q) for r, q in zip(smooth(ratio(chars)), smooth(ratio(points)), strict=True)]
+    score = ratio(fused)
+    limit = threshold * sum(f * n for f, n in zip(fused, chars, strict=True)) / sum(chars)
+    article = [next((x for x in chain if x[2] == "article"), None) for chain, _, _ in blocks]
+    found = {a for a, s in zip(article, score, strict=True) if s >= limit}
+    assert len(found) == 1 and None not in found
+    inside = [i for i, a in enumerate(article) if a in found]
+    lent = 0.5 * sum(fused[i] * chars[i] for i in inside) / sum(chars[i] for i in inside)
+    for i in inside:
+        part = 1 if paths[i][-1] in ("h1", "h2", "h3") else 1 - blocks[i][2]
+        score[i] = max(score[i], lent * part if part > 0.5 else 0)
+    return "\n".join(t for (_, t, _), s in zip(blocks, score, strict=True) if s >= limit)
+
+
+def test_html_equals_brute_force(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect() + spark.read.parquet(f"{SF.replace('0.001', '0.01')}/pages.parquet").collect()
+    assert len(pages) > 200 and all(htmltext.extract(r["html"]) == plain_text(r["html"]) for r in pages)
+    made = []
+    for i in range(40):
+        body = "".join(f"<p>{'word, ' * (3 + (i * k) % 40)}end.</p>" + ("<h2>Part</h2>" if k % 3 == 0 else "<ul><li>one</li><li><a href=x>two</a></li></ul>") for k in range(1, 6))
+        made.append(f"<html><body><div class='top'><a href=/>Home</a></div><div class='lead'>Short.</div><article class=a><h1>Title {i}</h1>{body}</article><div class='sidebar'><p>Popular, now.</p></div></body></html>")
+    assert all(htmltext.extract(x) == plain_text(x) for x in made)
+    assert all("Short" not in htmltext.extract(x) and "Home" not in htmltext.extract(x) for x in made)
+
+
+def test_html_threshold_decides(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    now = [htmltext.extract(x) for x in pages]
+    for threshold in (0.6, 1.0):
+        other = [htmltext.extract(x, threshold) for x in pages]
+        assert sum(a != b for a, b in zip(now, other, strict=True)) > len(pages) / 2 and all(set(b.split("\n")) <= {*a.split("\n"), ""} for a, b in zip(now, other, strict=True))
+    assert all(htmltext.extract(x, 1e9) == "" for x in pages)
+    # with no path left out for its class, the scores alone keep short notes apart from the text
+    text = "".join(f"<p>A paragraph, number {i}, with a few sentences. And another one, of some length, so that it reads like text.</p>" for i in range(5))
+    page = f"<body><div class=x>Buy now.</div><article><h1>Title</h1>{text}</article><div class=y>Read on.</div></body>"
+    assert "Buy" not in htmltext.extract(page) and "Read on" not in htmltext.extract(page) and "Title" in htmltext.extract(page)
+    assert "Buy" in htmltext.extract(page, 0.0) and "Read on" in htmltext.extract(page, 0.0)
+
+
+def test_html_that_is_deep_long_or_broken():
+    for x in ("<div>x" * 50_000, "<a " * 50_000, "<a \">\" " * 50_001 + '"', "<p>x</q>" * 50_000, "<b>x" * 50_000, "<ul><li>x" * 20_000, "<a b='" * 50_000, "<!--x" * 50_000, "<a b" + " " * 100_000 + "c>x"):
+        began = time.process_time()
+        htmltext.extract(x)
+        assert time.process_time() - began < 2
+    deep = htmltext.extract("<div>" * 2000 + "<p>One, two.</p>" + "</div>" * 1990 + "<p>Three, four.</p>")
+    assert deep == "One, two.\nThree, four."
+    assert htmltext.extract("<p>" + "word, " * 900_000 + "</p>").count("word") == 900_000
+
+
 def test_html_article_over_uneven_sections():
     def paragraphs(word, n):
         return [f"{word} {i}, a sentence of some length, with commas, as articles have them. And one more." for i in range(n)]
