@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Blocks of a source: one for about so many rows, up to a fixed number; blocks grow with the source beyond it.
+#: Rows of a block, on average; a source has as many blocks as that takes.
 BLOCK_ROWS = 64
-MAX_BLOCKS = 4096
+#: Blocks, rows of a shard, equal rows or sources that are summed up together in one task.
+CELL = 4096
+#: Sources whose plans may be broadcast: some 700 bytes each.
+FEW_SOURCES = 20_000
+#: A prime above any number of blocks: multiplying by it modulo that number permutes the blocks.
+PRIME = 2**31 - 1
 #: Weights that sources get by turns, in code point order, null last.
 WEIGHTS = (5.0, 2.0, 1.0)
 TOTAL_SHARE = 1.5
@@ -44,174 +49,234 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_share:
     return d.withColumn("target", F.least(F.col("limit"), F.coalesce(F.col("water.level") * F.col("weight"), F.col("limit"))).cast("double")).drop("weight", "limit", "left", "open", "level", "free", "water")
 
 
-def _order_key(seed: int, *columns: Column) -> Column:
-    """A random order that every engine has: hex MD5 of the values as text."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(c.cast("string"), F.lit("~")) for c in columns)))
-
-
-def _block(key: Column, blocks: Column) -> Column:
-    return F.pmod(F.conv(F.substring(key, 1, 8), 16, 10).cast("long"), blocks).cast("int")
-
-
 def _unit(seed: int, *columns: Column) -> Column:
     """Uniform in [0, 1), from the hash of the values."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) / F.lit(float(1 << 53))
 
 
-def hypergeometric(total: Column, marked: Column, drawn: Column, seed: int, *keys: Column) -> Column:
-    """Marked items among `drawn` of `total` without replacement: an urn emptied one by one, the uniforms from a hash of keys.
+def _log_factorial(n: Column) -> Column:
+    """ln n! by Stirling's series, eight places up, where its error is below 1e-10."""
+    z = n + 8.0
+    series = (z - 0.5) * F.ln(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * F.pow(z, 3.0)) + 1 / (1260 * F.pow(z, 5.0))
+    return series - F.ln((n + 1.0) * (n + 2.0) * (n + 3.0)) - F.ln((n + 4.0) * (n + 5.0)) - F.ln((n + 6.0) * (n + 7.0))
+
 
-    The smaller of marked and drawn is what the loop runs over, as the law is the same for both.
+def hypergeometric(total: Column, marked: Column, drawn: Column, unit: Column) -> Column:
+    """Marked items among `drawn` of `total` without replacement: the law's inverse at `unit`, which is uniform.
+
+    Values are met from the mode outwards, above and below by turns, until their probabilities pass `unit`; twelve deviations each way,
+    so that the steps grow with the root of the counts. The result always lies in the law's range, so counts come out even.
     """
-    few, many = F.least(marked, drawn), F.greatest(marked, drawn)
-    start = F.struct(F.lit(0).cast("long").alias("got"), total.cast("long").alias("left"), many.cast("long").alias("good"))
+    n, k, d = total.cast("double"), marked.cast("double"), drawn.cast("double")
+    low, high = F.greatest(F.lit(0.0), d + k - n), F.least(k, d)
+    mode = F.least(high, F.greatest(low, F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")))
+
+    def choose(a: Column, b: Column) -> Column:
+        return _log_factorial(a) - _log_factorial(b) - _log_factorial(a - b)
+
+    at_mode = F.exp(choose(k, mode) + choose(n - k, d - mode) - choose(n, d))
+    spread = F.sqrt(d * (k / n) * (1 - k / n) * (n - d) / F.greatest(n - 1, F.lit(1.0)))
+    steps = F.least(high - low, F.ceil(12 * spread) + 30).cast("int")
+    start = F.struct(mode.alias("up"), mode.alias("down"), at_mode.alias("p"), at_mode.alias("q"), (unit - at_mode).alias("left"), F.when(unit < at_mode, mode).alias("out"))
+
+    def outwards(acc: Column, _: Column) -> Column:
+        p = acc["p"] * (k - acc["up"]) * (d - acc["up"]) / ((acc["up"] + 1) * (n - k - d + acc["up"] + 1))
+        q = acc["q"] * acc["down"] * (n - k - d + acc["down"]) / ((k - acc["down"] + 1) * (d - acc["down"] + 1))
+        p, q = F.when(acc["up"] < high, p).otherwise(0.0), F.when(acc["down"] > low, q).otherwise(0.0)
+        out = F.when(acc["left"] < p, acc["up"] + 1).when(acc["left"] < p + q, acc["down"] - 1)
+        return F.struct((acc["up"] + 1).alias("up"), (acc["down"] - 1).alias("down"), p.alias("p"), q.alias("q"), (acc["left"] - p - q).alias("left"), F.coalesce(acc["out"], out).alias("out"))
 
-    def draw(acc: Column, i: Column) -> Column:
-        hit = F.when(_unit(seed, *keys, i) * acc["left"] < acc["good"], F.lit(1)).otherwise(F.lit(0)).cast("long")
-        return F.struct((acc["got"] + hit).alias("got"), (acc["left"] - 1).alias("left"), (acc["good"] - hit).alias("good"))
+    walked = F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), start, outwards, lambda acc: acc["out"])
+    return F.when((k == 0) | (d == 0), F.lit(0)).when(d == n, marked).otherwise(F.coalesce(walked, mode)).cast("long")
 
-    steps = F.when(few > 0, F.sequence(F.lit(1).cast("long"), few.cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    return F.aggregate(steps, start, draw, lambda acc: acc["got"])
+
+def _deal(of: Column, due: Column, total: Column, seed: int, *keys: Column) -> Column:
+    """How many of the `due` items each element of of(name, quota, ...) gives: one multivariate hypergeometric draw, element by element."""
+    start = F.struct(total.cast("long").alias("left"), due.cast("long").alias("due"), F.array().cast("array<bigint>").alias("takes"))
+
+    def take(acc: Column, x: Column) -> Column:
+        got = hypergeometric(acc["left"], x["quota"], acc["due"], _unit(seed, *keys, x["name"].isNull(), x["name"]))
+        return F.struct((acc["left"] - x["quota"]).alias("left"), (acc["due"] - got).alias("due"), F.concat(acc["takes"], F.array(got)).alias("takes"))
+
+    return F.aggregate(of, start, take, lambda acc: acc["takes"])
 
 
 def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
     """quotas(source, quota) to (shard, source, quota, first): a binary tree over the shards.
 
     A node holds exact quotas for its shards. Its left child gets the share of the node's blocks that its shards
-    are due, and which sources they come from is drawn from the multivariate hypergeometric law, source by source
-    from what is left; the right child gets the others. Leaves hold exact quotas for one shard. `first` is where the
-    leaf's blocks begin in the source's permutation. The rows are sources times shards.
+    are due, and which sources they come from is drawn from the multivariate hypergeometric law; the right child gets the others. Leaves hold
+    exact quotas for one shard. `first` is where the leaf's blocks begin in the source's permutation, so leaves hold disjoint runs.
+    The draw goes over groups of sources and then inside each, which is the same law, so that no row holds all sources.
     """
-    nodes = quotas.select(F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), "source", "quota", F.lit(0).cast("long").alias("first"))
+    groups = max(1, -(-quotas.count() // CELL))
+    nodes = quotas.select(F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), F.pmod(F.xxhash64("source"), F.lit(groups)).alias("group"), "source", "quota", F.lit(0).cast("long").alias("first"))
     width = n_shards
     while width > 1:
-        half = F.floor((F.col("hi") - F.col("lo")) / 2).cast("int")
-        d = nodes.withColumn("mid", F.col("lo") + half)
-        # sources of a node as one array: the draws of a source depend on those before it
-        packed = d.groupBy("lo", "hi", "mid").agg(F.sort_array(F.collect_list(F.struct(F.col("source").isNull().alias("n"), "source", "quota", "first"))).alias("of"), F.sum("quota").alias("all"))
-        due = F.floor(F.col("all") * (F.col("mid") - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long")
-        start = F.struct(F.col("all").alias("left"), due.alias("due"), F.array().cast("array<bigint>").alias("takes"))
-
-        def take(acc: Column, x: Column) -> Column:
-            got = hypergeometric(acc["left"], x["quota"], acc["due"], seed, F.col("lo"), F.col("hi"), F.coalesce(x["source"], F.lit("~")))
-            return F.struct((acc["left"] - x["quota"]).alias("left"), (acc["due"] - got).alias("due"), F.concat(acc["takes"], F.array(got)).alias("takes"))
-
-        packed = packed.withColumn("takes", F.aggregate("of", start, take, lambda acc: acc["takes"]))
-        rows = packed.select("lo", "mid", "hi", F.explode(F.arrays_zip("of", "takes")).alias("x"))
-        leaf = F.col("hi") - F.col("lo") <= 1
+        item = F.struct(F.col("source").alias("name"), "quota", "first")
+        packed = nodes.groupBy("lo", "hi", "group").agg(F.sort_array(F.collect_list(item)).alias("of"), F.sum("quota").alias("held"))
+        whole = packed.groupBy("lo", "hi").agg(F.sort_array(F.collect_list(F.struct(F.col("group").cast("string").alias("name"), F.col("held").alias("quota"), "group"))).alias("groups"), F.sum("held").alias("all"))
+        mid = F.col("lo") + F.floor((F.col("hi") - F.col("lo")) / 2).cast("int")
+        due = F.floor(F.col("all") * (mid - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long")
+        whole = whole.withColumn("takes", _deal(F.col("groups"), due, F.col("all"), seed, F.col("lo"), F.col("hi")))
+        dealt = whole.select("lo", "hi", F.explode(F.arrays_zip("groups", "takes")).alias("x")).select(F.col("lo").alias("d_lo"), F.col("hi").alias("d_hi"), F.col("x.groups.group").alias("d_group"), F.col("x.takes").alias("due"))
+        packed = packed.join(dealt, (F.col("lo") == F.col("d_lo")) & (F.col("hi") == F.col("d_hi")) & (F.col("group") == F.col("d_group")))
+        packed = packed.withColumn("takes", _deal(F.col("of"), F.col("due"), F.col("held"), seed + 1, F.col("lo"), F.col("hi")))
+        rows = packed.select("lo", mid.alias("mid"), "hi", "group", F.explode(F.arrays_zip("of", "takes")).alias("x"))
         left = F.struct(F.col("lo"), F.col("mid").alias("hi"), F.col("x.takes").alias("quota"), F.col("x.of.first").alias("first"))
         right = F.struct(F.col("mid").alias("lo"), F.col("hi"), (F.col("x.of.quota") - F.col("x.takes")).alias("quota"), (F.col("x.of.first") + F.col("x.takes")).alias("first"))
         same = F.struct(F.col("lo"), F.col("hi"), F.col("x.of.quota").alias("quota"), F.col("x.of.first").alias("first"))
-        rows = rows.withColumn("child", F.explode(F.when(leaf, F.array(same)).otherwise(F.array(left, right))))
-        nodes = rows.select("child.lo", "child.hi", F.col("x.of.source").alias("source"), "child.quota", "child.first")
+        rows = rows.withColumn("child", F.explode(F.when(F.col("hi") - F.col("lo") <= 1, F.array(same)).otherwise(F.array(left, right))))
+        nodes = common.store(rows.select("child.lo", "child.hi", "group", F.col("x.of.name").alias("source"), "child.quota", "child.first"), "mix-nodes")
         width = (width + 1) // 2
     return nodes.select(F.col("lo").alias("shard"), "source", "quota", "first")
 
 
+def _ranked(df: DataFrame, by: list[str], cell: Column, order: list[Column], name: str) -> DataFrame:
+    """df with the rank, from 0, of each row among those with the same `by`: ranks in cells of at most about CELL rows, and what the cells before hold.
+
+    Cells have to be in the order of the rows."""
+    df = df.withColumn("cell", cell)
+    counts = df.groupBy(*by, "cell").agg(F.count("*").alias("held"))
+    before = F.sum("held").over(Window.partitionBy(*by).orderBy("cell")) - F.col("held")
+    counts = counts.select(*(F.col(c).alias(f"c_{c}") for c in (*by, "cell")), before.alias("start"))
+    counts = F.broadcast(counts) if common.small(counts) else counts
+    inside = F.row_number().over(Window.partitionBy(*by, "cell").orderBy(*order)) - 1
+    df = df.withColumn("within", inside)
+    met = df.join(counts, [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in (*by, "cell")])
+    return met.withColumn(name, F.col("within") + F.col("start")).drop("cell", "within", "start", *(f"c_{c}" for c in (*by, "cell")))
+
+
 class Mixture:
-    """The plan of a mix: rows has each row's source, block and takes; draws has each shard's blocks."""
+    """The plan of a mix: `rows` has row (the kept columns), key, source, size, source_size, target and draws (array of copy, block's
+    turn and shard); `leaves` has each shard's quotas."""
 
-    def __init__(self, rows: DataFrame, sizes: DataFrame, draws: DataFrame, seed: int):
-        self.rows, self.sizes, self.draws, self.seed = rows, sizes, draws, seed
+    def __init__(self, rows: DataFrame, leaves: DataFrame, seed: int):
+        self.rows, self.leaves, self.seed = rows, leaves, seed
 
+    def drawn(self) -> DataFrame:
+        """(key, source, row, copy, turn, shard, shuffle): each draw of a row; shuffle orders a shard's rows at random."""
+        d = self.rows.select("key", "source", "row", F.explode("draws").alias("d")).select("key", "source", "row", "d.copy", "d.turn", "d.shard")
+        return d.withColumn("shuffle", F.shiftrightunsigned(F.xxhash64(F.lit(self.seed + 2), "key", "copy"), 1))
 
-def plan_mixture(docs: DataFrame, n_shards: int = 16, seed: int = 9, weights: tuple[float, ...] = WEIGHTS, total_share: float = TOTAL_SHARE) -> Mixture:
-    """Plan the mix of docs(doc_id, text, source).
 
-    Each source's rows fall into blocks by hash, and its blocks stand in a random order. A target of k sizes and a rest
-    takes every block k times, and once more the blocks that the rest covers, from the first on; of the block at the
-    edge it takes rows, in random order, whose middle the rest reaches. The number of those draws is the source's quota,
-    which the splitting tree deals to the shards; shard by shard they get disjoint runs of the source's draws. Nulls:
-    a null source is one source, a null or empty text has size 0 and is taken 0 words, a null doc_id is an id. Repeated
-    rows stand in one block and are taken each. Extra columns are ignored.
-    """
+def _with_keys(docs: DataFrame, keep: list[str], seed: int) -> DataFrame:
+    """(row, source, size, key) of docs: key is the hash of doc_id, source and text, and for rows alike in all of them of their number too."""
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    base = docs.select("doc_id", source.alias("source"), word_count(F.col("text")).alias("size"))
-    base = common.store(base, "mix-sizes")
+    base = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), source.alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", source.isNull(), source, F.col("text").isNull(), "text").alias("key"), F.monotonically_increasing_id().alias("at"))
+    base = common.store(base, "mix-rows")
+    twice = base.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    if not twice.limit(1).count():
+        return base.drop("at")
+    # rows alike are numbered as they lie; which of them has which number makes no difference
+    alike = _ranked(base.select("key", "at").join(twice, "key", "left_semi"), ["key"], F.shiftright("at", 12), [F.col("at")], "number")
+    alike = common.store(alike.where("number > 0").select(F.col("at").alias("a_at"), "number"), "mix-alike")
+    alike = F.broadcast(alike) if common.small(alike) else alike
+    met = base.join(alike, F.col("at") == F.col("a_at"), "left")
+    return met.withColumn("key", F.when(F.col("number").isNull(), F.col("key")).otherwise(F.xxhash64("key", "number"))).drop("at", "a_at", "number")
+
+
+def plan_mixture(docs: DataFrame, n_shards: int = 16, seed: int = 9, weights: tuple[float, ...] = WEIGHTS, total_share: float = TOTAL_SHARE, keep: list[str] | None = None) -> Mixture:
+    """Plan the mix of docs(doc_id, text, source); `keep` are the columns that rows carry along, by default doc_id.
+
+    Each source's rows fall into blocks by hash, and its blocks stand in a random order, another one in each epoch. A target of k sizes and
+    a rest takes every block k times, and once more the blocks that the rest covers, from the first on; of the block at the edge it takes,
+    in random order, every row that still fits. The number of those draws is the source's quota. The splitting tree deals the
+    quotas to the shards, and each shard draws its own run of the source's blocks, epoch by epoch.
+
+    Nulls: a null source is one source, a null or empty text has size 0 and counts for nothing, a null doc_id is an id. Repeated
+    rows are dealt and taken each for itself. A very long text is one row, so a target is missed by less than the size of a row
+    that no longer fits. Without a column source all rows are one source; other columns are ignored, whatever their names. An empty
+    table has an empty plan.
+    """
+    base = _with_keys(docs, keep or ["doc_id"], seed)
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    sizes = common.store(targets(sizes, weights, total_share).withColumn("blocks", F.least(F.lit(MAX_BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK_ROWS))).cast("int")), "mix-targets")
-
-    def by_source(df: DataFrame, *cols: str) -> DataFrame:
-        s = sizes.select(F.col("source").alias("s_source"), *cols)
-        s = F.broadcast(s) if few else s
-        return df.join(s, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
-
-    few = common.small(sizes)
-    rank = _order_key(seed, F.col("doc_id"), F.col("size"))
-    rows = by_source(base, "source_size", "target", "blocks").withColumn("key", rank)
-    rows = rows.withColumn("block", _block(F.col("key"), F.col("blocks")))
-    blocks = rows.groupBy("source", "block", "source_size", "target").agg(F.sum("size").alias("words"))
-    # at most MAX_BLOCKS rows a source
-    line = Window.partitionBy("source").orderBy(_order_key(seed + 1, F.col("source"), F.col("block")), "block")
-    blocks = blocks.withColumns({"place": F.row_number().over(line) - 1, "before": F.sum("words").over(line) - F.col("words")})
-    whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MAX_REPEATS))).otherwise(F.lit(0)).cast("long")
-    rest = F.col("target") - F.col("whole") * F.col("source_size") - F.col("before")
-    blocks = blocks.withColumn("whole", whole).withColumn("rest", F.greatest(F.lit(0.0), F.least(rest, F.col("words"))))
-    blocks = common.store(blocks.withColumn("draws", F.col("whole") + (F.col("rest") > 0).cast("long")), "mix-blocks")
-
-    quotas = blocks.groupBy("source").agg(F.sum("draws").alias("quota"))
-    leaves = common.store(split_quotas(quotas, n_shards, seed), "mix-leaves")
-    # a block's draws stand one after another in the source's permutation of draws: epochs first, the rest last
-    copies = blocks.select("source", "block", "place", "words", "rest", "whole", F.explode(F.when(F.col("draws") > 0, F.sequence(F.lit(1).cast("long"), F.col("draws"))).otherwise(F.array().cast("array<bigint>"))).alias("copy"))
-    copies = copies.withColumn("at", F.row_number().over(Window.partitionBy("source").orderBy("copy", "place")) - 1)
-    spans = leaves.where("quota > 0").select("shard", F.col("source").alias("l_source"), "quota", "first")
-    draws = copies.join(spans, F.col("source").eqNullSafe(F.col("l_source")) & (F.col("at") >= F.col("first")) & (F.col("at") < F.col("first") + F.col("quota"))).drop("l_source", "first", "quota")
-    draws = common.store(draws.withColumn("partial", (F.col("copy") > F.col("whole")) & (F.col("rest") < F.col("words"))), "mix-draws")
-
-    takes = draws.groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(F.sum(F.when(~F.col("partial"), 1).otherwise(0)).alias("full"), F.max(F.when(F.col("partial"), F.col("rest"))).alias("part"))
-    takes = F.broadcast(takes) if common.small(takes) else takes
-    met = rows.join(takes, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("block") == F.col("d_block")), "left").drop("d_source", "d_block")
-    # only a source's one edge block needs its rows in order: three sweeps, each of what still fits
-    inside = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.partitionBy("source")
-    edge = met.where("part IS NOT NULL").withColumns({"room": F.col("part"), "extra": F.lit(0).cast("long")})
-    for _ in range(3):
-        fits = (F.col("extra") == 0) & (F.col("size") <= F.col("room"))
-        edge = edge.withColumn("upto", F.when(fits, F.sum(F.when(fits, F.col("size"))).over(inside)))
-        edge = edge.withColumn("now", F.coalesce(F.col("upto") <= F.col("room"), F.lit(False)))
-        edge = edge.withColumns({"extra": F.col("extra") + F.col("now").cast("long"), "room": F.col("room") - F.coalesce(F.max(F.when(F.col("now"), F.col("upto"))).over(every), F.lit(0))})
-    edge = edge.drop("room", "upto", "now")
-    rest_rows = met.where("part IS NULL").withColumn("extra", F.lit(0).cast("long"))
-    out = edge.unionByName(rest_rows).withColumn("copies", F.coalesce("full", F.lit(0)) + F.col("extra"))
-    return Mixture(out.select("doc_id", "source", "size", "source_size", "target", "block", "key", "copies", "extra", "part"), sizes, draws, seed)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+    sizes = targets(sizes, weights, total_share).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("long")).withColumn("whole", whole)
+    sizes = common.store(sizes.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size"))), "mix-targets")
+    few = common.small(sizes, FEW_SOURCES)
+
+    def by_source(df: DataFrame, of: DataFrame, *cols: str) -> DataFrame:
+        of = of.select(F.col("source").alias("s_source"), *cols)
+        return df.join(F.broadcast(of) if few else of, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
+
+    def turn(epoch: Column) -> Column:
+        """Where a row's block stands in this epoch."""
+        n = F.col("blocks")
+        return F.pmod(F.pmod(F.col("key"), n) * F.pmod(F.lit(PRIME).cast("long"), n) + F.pmod(F.xxhash64(F.lit(seed), F.col("source"), epoch), n), n)
+
+    # which blocks the rest covers: first the cell of blocks, then the block, then the rows
+    asked = by_source(base.drop("row"), sizes.where("rest > 0"), "blocks", "whole", "rest").withColumn("last", turn(F.col("whole")))
+    words = common.store(asked.groupBy("source", "last").agg(F.sum("size").alias("words"), F.first("rest").alias("rest")), "mix-blocks")
+    cells = words.groupBy("source", F.shiftright("last", 12).alias("cell")).agg(F.sum("words").alias("words"), F.first("rest").alias("rest"))
+
+    def edge(df: DataFrame, at: str) -> DataFrame:
+        """The row of each source inside which the rest ends, with what is left of the rest there."""
+        line = Window.partitionBy("source").orderBy(at)
+        df = df.withColumn("room", F.col("rest") - (F.sum("words").over(line) - F.col("words")))
+        return df.where("room >= 0 AND room < words").select("source", at, "room")
+
+    cell = edge(cells, "cell").select(F.col("source").alias("c_source"), F.col("cell").alias("c_cell"), F.col("room").alias("c_room"))
+    inner = words.join(F.broadcast(cell) if few else cell, F.col("source").eqNullSafe(F.col("c_source")) & (F.shiftright("last", 12) == F.col("c_cell")))
+    edges = common.store(edge(inner.select("source", "last", "words", F.col("c_room").alias("rest")), "last"), "mix-edges").withColumnRenamed("last", "edge")
+    at_edge = by_source(asked, edges, "edge", "room").where("last = edge")
+    # a block's rows are dealt by hash, so this array is short; what doesn't fit once doesn't fit later
+    line = at_edge.groupBy("source", "edge").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 1), "key").alias("order"), "key", "size"))).alias("of"), F.first("room").alias("room"))
+    start = F.struct(F.col("room").alias("room"), F.array().cast("array<bigint>").alias("keys"))
+
+    def fit(acc: Column, x: Column) -> Column:
+        on = x["size"] <= acc["room"]
+        return F.struct((acc["room"] - F.when(on, x["size"]).otherwise(0)).alias("room"), F.when(on, F.concat(acc["keys"], F.array(x["key"]))).otherwise(acc["keys"]).alias("keys"))
+
+    line = line.select(F.col("source").alias("e_source"), "edge", F.aggregate("of", start, fit, lambda acc: acc["keys"]).alias("some"))
+    plan = sizes.join(line, F.col("source").eqNullSafe(F.col("e_source")), "left").drop("e_source")
+    plan = plan.withColumns({"edge": F.coalesce("edge", F.lit(0)), "some": F.coalesce("some", F.array().cast("array<bigint>"))})
+    plan = common.store(plan.withColumn("quota", F.col("whole") * F.col("blocks") + F.col("edge") + (F.size("some") > 0).cast("int")), "mix-plan")
+
+    leaves = common.store(split_quotas(plan.select("source", "quota"), n_shards, seed), "mix-leaves")
+    runs = leaves.where("quota > 0").groupBy(F.col("source").alias("r_source")).agg(F.sort_array(F.collect_list(F.struct("first", "shard"))).alias("runs"))
+    plan = common.store(plan.join(runs, F.col("source").eqNullSafe(F.col("r_source")), "left").drop("r_source"), "mix-plan")
+
+    rows = by_source(base, plan, "source_size", "target", "blocks", "whole", "edge", "some", "runs")
+
+    def draw(epoch: Column) -> Column:
+        at = turn(epoch)
+        on = (epoch < F.col("whole")) | (at < F.col("edge")) | (at == F.col("edge")) & F.array_contains("some", F.col("key"))
+        nth = F.size(F.filter("runs", lambda r: r["first"] <= epoch * F.col("blocks") + at))
+        return F.when(on, F.struct(epoch.alias("copy"), at.alias("turn"), F.element_at("runs", nth)["shard"].alias("shard")))
+
+    draws = F.filter(F.transform(F.sequence(F.lit(0), F.col("whole")), draw), lambda x: x.isNotNull())
+    return Mixture(rows.withColumn("draws", draws).drop("blocks", "whole", "edge", "some", "runs"), leaves, seed)
+
+
+def _placed(plan: Mixture, drawn: DataFrame) -> DataFrame:
+    """drawn with position: the place of each draw in its shard's random order, from 0, gapless."""
+    cells = max(1, -(-drawn.count() // CELL))  # of each shard, with fewer rows the more shards there are
+    cell = F.floor(F.col("shuffle") / F.lit(float(1 << 63)) * cells)
+    return _ranked(drawn, ["shard"], cell, [F.col("shuffle"), F.col("key"), F.col("copy")], "position")
 
 
 def mix(docs: DataFrame, n_shards: int = 16, seed: int = 9, **options) -> DataFrame:
-    """The mix itself: (shard, position, doc_id, source, copy), each shard's rows shuffled in it."""
+    """The mix itself: (shard, position, doc_id, source, copy), each shard's rows shuffled in it. Nulls and repeated rows as in plan_mixture."""
     plan = plan_mixture(docs, n_shards, seed, **options)
-    d = plan.draws.select("shard", F.col("source").alias("d_source"), F.col("block").alias("d_block"), "copy", "partial")
-    rows = plan.rows.join(d, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("block") == F.col("d_block")) & (~F.col("partial") | (F.col("extra") > 0)))
-    shuffle = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "key", "copy"), "doc_id", "copy")
-    return rows.withColumn("position", F.row_number().over(shuffle) - 1).select("shard", "position", "doc_id", "source", "copy")
+    return _placed(plan, plan.drawn()).select("shard", "position", "row.doc_id", "source", "copy")
 
 
-def mixed_rows(docs: DataFrame, seed: int = 9, **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, n_shards: int = 16, seed: int = 9, **options) -> DataFrame:
     """The rows of docs, with all their columns, as often as the mix takes them; rows that it doesn't take are gone.
 
-    Blocks follow from a row's own values, so texts stay where they are: the draws of each block are joined to them.
+    They come shard after shard, each shard's rows in its random order, dealt out by ranges so that no task has to hold a shard. Nulls in
+    any column, repeated rows and long texts are carried as they are; columns may have any names.
     """
-    plan = plan_mixture(docs, seed=seed, **options)
-    names = docs.columns
-    whole = plan.draws.where("NOT partial").groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(F.count("*").alias("full"))
-    # of rows alike in source and key, so many are taken once more as the plan says, by the hash of their text
-    edge = plan.rows.where("part IS NOT NULL").groupBy(F.col("source").alias("e_source"), F.col("key").alias("e_key")).agg(F.sum("extra").alias("more"), F.count("*").alias("alike")).where("more > 0")
-    edge = common.store(edge, "mix-edge")
-    torn = edge.where("more < alike").limit(1).count() > 0
-    sizes = plan.sizes.select(F.col("source").alias("s_source"), "blocks")
-    whole, edge, sizes = (F.broadcast(x) if common.small(x) else x for x in (whole, edge, sizes))
-    own = F.col("source").cast("string") if "source" in names else F.lit(None).cast("string")
-    d = docs.withColumn("__source", own).withColumn("__key", _order_key(seed, F.col("doc_id"), word_count(F.col("text"))))
-    d = d.join(sizes, F.col("__source").eqNullSafe(F.col("s_source"))).withColumn("__block", _block(F.col("__key"), F.col("blocks")))
-    d = d.join(whole, F.col("__source").eqNullSafe(F.col("d_source")) & (F.col("__block") == F.col("d_block")), "left").join(edge, F.col("__source").eqNullSafe(F.col("e_source")) & (F.col("__key") == F.col("e_key")), "left")
-    d = d.withColumn("__more", (F.col("more") > 0).cast("int"))
-    if torn:
-        some = F.coalesce(F.col("more") < F.col("alike"), F.lit(False))
-        place = F.row_number().over(Window.partitionBy("__source", "__key").orderBy(F.xxhash64("text")))
-        d = d.where(~some).unionByName(d.where(some).withColumn("__more", (place <= F.col("more")).cast("int")))
-    copies = (F.coalesce("full", F.lit(0)) + F.coalesce("__more", F.lit(0))).cast("int")
-    return d.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*names)
+    plan = plan_mixture(docs, n_shards, seed, keep=docs.columns, **options)
+    n = common.partitions(docs.sparkSession)
+    return plan.drawn().repartitionByRange(n, "shard", "shuffle").sortWithinPartitions("shard", "shuffle", "key", "copy").select("row.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document, with places: the shard and the position there of each time that it is taken."""
     plan = plan_mixture(common.table(spark, sf_dir, "documents"))
-    return plan.rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    drawn = common.store(plan.drawn().drop("row"), "mix-draws")
+    places = _placed(plan, drawn).groupBy(F.col("key").alias("p_key")).agg(F.sort_array(F.collect_list(F.struct("shard", "position"))).alias("places"))
+    rows = plan.rows.join(places, F.col("key") == F.col("p_key"), "left")
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.size("draws") * F.col("size")).alias("taken"), F.coalesce("places", F.array().cast("array<struct<shard:int,position:bigint>>")).alias("places"))

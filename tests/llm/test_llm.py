@@ -246,43 +246,131 @@ def test_sharding(docs, none):
     assert [slow(int(k), 16) for k in keys[:200]] == sharding.jump_hash(keys[:200], 16).tolist()
 
 
-def test_mixing(spark, docs, none):
-    plan = mixing.plan_mixture(docs, 4)
-    rows = plan.rows.collect()
-    assert len(rows) == len(TEXTS) and all(0 <= r["copies"] <= 2 for r in rows)
-    assert mixing.plan_mixture(none).rows.count() == 0
-    for name in ("Python", "Arrow", "Pandas"):
-        assert name not in plan.rows._jdf.queryExecution().toString()
-    d = spark.read.parquet(f"{SF}/documents.parquet")
-    plan = mixing.plan_mixture(d, 8)
-    got = plan.rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).collect()
-    assert all(abs(r["taken"] - r["target"]) <= r["most"] for r in got)
-    mixed = mixing.mix(d, 8)
-    assert mixed.count() == plan.rows.agg(F.sum("copies")).first()[0] == mixing.mixed_rows(d).count()
-    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, mixing.mix(d, 8).collect()))
+def water_fill(sizes, weights=(5, 2, 1), share=1.5, most=2):
+    """Targets by filling up step by step: what is above a source's limit is shared among those that are below."""
+    names = sorted(sizes, key=lambda x: (x is None, x or ""))
+    weight = {x: weights[i % 3] for i, x in enumerate(names)}
+    out, left, open_ = {x: 0.0 for x in names}, share * sum(sizes.values()), [x for x in names if sizes[x]]
+    while open_:
+        total = sum(weight[x] for x in open_)
+        over = [x for x in open_ if left * weight[x] / total > most * sizes[x]]
+        if not over:
+            return out | {x: left * weight[x] / total for x in open_}
+        for x in over:
+            out[x] = float(most * sizes[x])
+        left -= sum(out[x] for x in over)
+        open_ = [x for x in open_ if x not in over]
+    return out
 
 
-def test_mixed_rows_with_null_and_repeated_ids(spark):
-    rows = [(None if i % 3 else i % 30, " ".join([f"w{i}"] * (1 + i % 4)), ("a", "b", None)[i % 7 % 3]) for i in range(240)]
-    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    planned = {r["source"]: r["n"] for r in mixing.plan_mixture(d).rows.groupBy("source").agg(F.sum("copies").alias("n")).collect()}
-    got = mixing.mixed_rows(d).collect()
-    assert Counter(r["source"] for r in got) == planned
-    sizes = {(r["source"], r["size"]): r["n"] for r in mixing.plan_mixture(d).rows.groupBy("source", "size").agg(F.sum("copies").alias("n")).where("n > 0").collect()}
-    assert Counter((r["source"], len(r["text"].split())) for r in got) == sizes
-
-
-def test_splitting_tree_keeps_quotas(spark):
-    q = spark.createDataFrame([("a", 100), ("b", 7), (None, 40), ("z", 0)], "source string, quota long")
-    got = mixing.split_quotas(q, 6, 1).collect()
-    assert {s: sum(r["quota"] for r in got if r["source"] == s) for s in ("a", "b", None, "z")} == {"a": 100, "b": 7, None: 40, "z": 0}
-    sizes = Counter()
+def check_mixture(plan, rows, n_shards):
+    """Rows are [(doc_id, text, source)]; the plan's targets, blocks, runs and quotas are held against plain Python."""
+    got = plan.rows.collect()
+    assert Counter(r["row"]["doc_id"] for r in got) == Counter(i for i, _, _ in rows)
+    sizes, largest = Counter(), Counter()
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+        largest[s] = max(largest[s], len(words(t)))
+    want, taken = water_fill(sizes), Counter()
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]] and abs(r["target"] - want[r["source"]]) < 1e-6 * (1 + want[r["source"]])
+        taken[r["source"]] += len(r["draws"]) * r["size"]
+        assert len(r["draws"]) <= 2 and len({d["copy"] for d in r["draws"]}) == len(r["draws"])
+    assert all(want[s] - max(1, largest[s]) < taken[s] <= want[s] + 1e-6 for s in sizes if sizes[s])
+    # every draw of a block, rows and all, goes to one shard, and shards get runs of draws as long as the tree's leaves say
+    shard_of, quota = {}, Counter()
     for r in got:
-        sizes[r["shard"]] += r["quota"]
-    assert set(sizes) == set(range(6)) and max(sizes.values()) - min(sizes.values()) <= 2
-    for s in ("a", None):
-        spans = sorted((r["first"], r["first"] + r["quota"]) for r in got if r["source"] == s)
-        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+        for d in r["draws"]:
+            assert shard_of.setdefault((r["source"], d["copy"], d["turn"]), d["shard"]) == d["shard"]
+    for s, _, _ in shard_of:
+        runs = [shard_of[k] for k in sorted(k for k in shard_of if k[0] == s)]
+        assert runs == sorted(runs)
+    leaves = plan.leaves.collect()
+    for r in leaves:
+        quota[r["shard"]] += r["quota"]
+    held = Counter((s, shard) for (s, _, _), shard in shard_of.items())
+    for r in leaves:  # blocks without rows are draws of no rows
+        assert held[r["source"], r["shard"]] <= r["quota"]
+    assert sum(quota.values()) >= len(shard_of) and set(quota) <= set(range(n_shards)) and max(quota.values()) - min(quota.values()) <= 4
+    return got
+
+
+def test_mixing(spark, docs, none):
+    check_mixture(mixing.plan_mixture(docs, 4), [(i, t, None if i == 3 else f"s{(i or 0) % 3}") for i, t in TEXTS], 4)
+    assert mixing.plan_mixture(none).rows.count() == mixing.mix(none).count() == mixing.mixed_rows(none).count() == 0
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in d.collect()]
+    plan = mixing.plan_mixture(d, 8)
+    got = check_mixture(plan, rows, 8)
+    again = mixing.plan_mixture(d.repartition(5, "text"), 8).rows.collect()
+    assert sorted((r["key"], str(r["draws"])) for r in got) == sorted((r["key"], str(r["draws"])) for r in again)
+    mixed = mixing.mix(d, 8).collect()
+    at = defaultdict(list)
+    for r in mixed:
+        at[r["shard"]].append(r["position"])
+    assert all(sorted(x) == list(range(len(x))) for x in at.values()) and len(at) > 1
+    assert Counter(r["doc_id"] for r in mixed) == Counter(r["row"]["doc_id"] for r in got for _ in r["draws"])
+    # the pipeline's rows lie shard by shard in that order
+    order = sorted(mixed, key=lambda r: (r["shard"], r["position"]))
+    assert [r["doc_id"] for r in mixing.mixed_rows(d, 8).collect()] == [r["doc_id"] for r in order]
+    assert [r["doc_id"] for r in order] != sorted(r["doc_id"] for r in order)
+
+
+def test_mixing_query(spark):
+    df = queries.QUERIES["op9_mixing"](spark, SF)
+    for name in ("Python", "Arrow", "Pandas"):
+        assert name not in df._jdf.queryExecution().toString()
+    got = df.collect()
+    mixed = {(r["shard"], r["position"]): r["doc_id"] for r in mixing.mix(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert {(p["shard"], p["position"]): r["doc_id"] for r in got for p in r["places"]} == mixed
+    assert all(r["taken"] == r["size"] * len(r["places"]) for r in got) and len({p["shard"] for r in got for p in r["places"]}) > 8
+
+
+def test_mixing_with_null_and_repeated_rows_and_large_sources(spark):
+    rows = [(None if i % 3 else i % 30, " ".join([f"w{i % 40}"] * (1 + i % 4)), ("a", "b", None)[i % 7 % 3]) for i in range(3000)] + [(5, "alike in all", "a")] * 700 + [(None, None, "a")] * 300
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    plan = mixing.plan_mixture(d, 5)
+    got = check_mixture(plan, rows, 5)
+    assert len({r["key"] for r in got}) == len(rows)
+    planned = Counter((r["row"]["doc_id"], r["source"], r["size"]) for r in got for _ in r["draws"])
+    assert Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in mixing.mixed_rows(d, 5).collect()) == planned
+    # which copies of a block are in a shard comes from the tree alone
+    leaves = {(r["source"], r["shard"]): r["quota"] for r in plan.leaves.collect()}
+    even = {s: sum(q for (x, _), q in leaves.items() if x == s) / 5 for s in ("a", "b", None)}
+    assert any(abs(q - even[s]) > 1 for (s, _), q in leaves.items())
+
+
+def test_hypergeometric_draws_have_their_law(spark):
+    def pmf(n, k, d):
+        return {x: math.comb(k, x) * math.comb(n - k, d - x) / math.comb(n, d) for x in range(max(0, d + k - n), min(k, d) + 1)}
+
+    for n, k, d in ((10, 4, 5), (200, 150, 90), (7, 7, 3), (50, 1, 49), (4000, 1300, 2000)):
+        u = spark.range(4001).selectExpr("(id + 0.5) / 4001 AS u", f"{n}L AS n", f"{k}L AS k", f"{d}L AS d")
+        got = Counter(r["x"] for r in u.select(mixing.hypergeometric(F.col("n"), F.col("k"), F.col("d"), F.col("u")).alias("x")).collect())
+        want = pmf(n, k, d)
+        assert set(got) <= set(want) and all(abs(got[x] / 4001 - p) < 6e-4 for x, p in want.items())
+    # a large one: the mean and the spread, and within the range at both ends
+    u = spark.range(2001).selectExpr("(id + 0.5) / 2001 AS u")
+    x = u.select(mixing.hypergeometric(F.lit(10**8), F.lit(3 * 10**7), F.lit(5 * 10**7), F.col("u")).alias("x")).agg(F.avg("x"), F.stddev("x")).first()
+    assert abs(x[0] - 1.5e7) < 30 and abs(x[1] / math.sqrt(5e7 * 0.3 * 0.7 * 0.5) - 1) < 0.02
+
+
+def test_splitting_tree_keeps_quotas(spark, monkeypatch):
+    many = [(f"m{i}", i % 5) for i in range(60)]
+    for cell in (4096, 16):  # with one group of sources, and with several
+        monkeypatch.setattr(mixing, "CELL", cell)
+        q = spark.createDataFrame([("a", 100), ("b", 7), (None, 40), ("z", 0), *many], "source string, quota long")
+        got = mixing.split_quotas(q, 6, 1).collect()
+        sums, sizes = Counter(), Counter()
+        for r in got:
+            assert r["quota"] >= 0
+            sums[r["source"]] += r["quota"]
+            sizes[r["shard"]] += r["quota"]
+        assert dict(sums) == {"a": 100, "b": 7, None: 40, "z": 0, **dict(many)}
+        assert set(sizes) == set(range(6)) and max(sizes.values()) - min(sizes.values()) <= 2
+        for s in ("a", None, "m4"):
+            spans = sorted((r["first"], r["first"] + r["quota"]) for r in got if r["source"] == s)
+            assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
 
 
 def brute_repeats(rows, n=20):
