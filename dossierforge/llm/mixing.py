@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,11 @@ def _unit(seed: int, *columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) / F.lit(float(1 << 53))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once, however often body has it; plans would hold a copy of it for each use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _log_factorial(n: Column) -> Column:
     """ln n! by Stirling's series, eight places up, where its error is below 1e-10."""
     z = n + 8.0
@@ -67,27 +74,48 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, unit: Column) -
     Values are met from the mode outwards, above and below by turns, until their probabilities pass `unit`; twelve deviations each way,
     so that the steps grow with the root of the counts. The result always lies in the law's range, so counts come out even.
     """
-    n, k, d = total.cast("double"), marked.cast("double"), drawn.cast("double")
-    low, high = F.greatest(F.lit(0.0), d + k - n), F.least(k, d)
-    mode = F.least(high, F.greatest(low, F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")))
 
-    def choose(a: Column, b: Column) -> Column:
-        return _log_factorial(a) - _log_factorial(b) - _log_factorial(a - b)
+    def log_choose(a: Column, b: Column, sign: float = 1.0) -> list[Column]:
+        return [F.struct(x.alias("x"), F.lit(y * sign).alias("sign")) for x, y in ((a, 1.0), (b, -1.0), (a - b, -1.0))]
+
+    def of_range(v: Column) -> Column:
+        n, k, d = v["n"], v["k"], v["d"]
+        low, high = F.greatest(F.lit(0.0), d + k - n), F.least(k, d)
+        mode = F.least(high, F.greatest(low, F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")))
+        return _let(F.struct(n.alias("n"), k.alias("k"), d.alias("d"), v["u"].alias("u"), low.alias("low"), high.alias("high"), mode.alias("mode")), of_mode)
+
+    def of_mode(v: Column) -> Column:
+        n, k, d, mode = v["n"], v["k"], v["d"], v["mode"]
+        terms = F.array(*log_choose(k, mode), *log_choose(n - k, d - mode), *log_choose(n, d, -1.0))
+        at_mode = F.exp(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["sign"] * _let(t["x"], _log_factorial)))
+        return _let(at_mode, lambda p: walk(v, p))
+
+    def walk(v: Column, at_mode: Column) -> Column:
+        n, k, d, low, high, mode = (v[x] for x in ("n", "k", "d", "low", "high", "mode"))
+        spread = F.sqrt(d * (k / n) * (1 - k / n) * (n - d) / F.greatest(n - 1, F.lit(1.0)))
+        steps = F.least(high - low, F.ceil(12 * spread) + 30).cast("int")
+        start = F.struct(mode.alias("up"), mode.alias("down"), at_mode.alias("p"), at_mode.alias("q"), (v["u"] - at_mode).alias("left"), F.when(v["u"] < at_mode, mode).alias("out"))
 
-    at_mode = F.exp(choose(k, mode) + choose(n - k, d - mode) - choose(n, d))
-    spread = F.sqrt(d * (k / n) * (1 - k / n) * (n - d) / F.greatest(n - 1, F.lit(1.0)))
-    steps = F.least(high - low, F.ceil(12 * spread) + 30).cast("int")
-    start = F.struct(mode.alias("up"), mode.alias("down"), at_mode.alias("p"), at_mode.alias("q"), (unit - at_mode).alias("left"), F.when(unit < at_mode, mode).alias("out"))
+        def outwards(acc: Column, _: Column) -> Column:
+            p = acc["p"] * (k - acc["up"]) * (d - acc["up"]) / ((acc["up"] + 1) * (n - k - d + acc["up"] + 1))
+            q = acc["q"] * acc["down"] * (n - k - d + acc["down"]) / ((k - acc["down"] + 1) * (d - acc["down"] + 1))
+            both = F.struct(F.when(acc["up"] < high, p).otherwise(0.0).alias("p"), F.when(acc["down"] > low, q).otherwise(0.0).alias("q"))
 
-    def outwards(acc: Column, _: Column) -> Column:
-        p = acc["p"] * (k - acc["up"]) * (d - acc["up"]) / ((acc["up"] + 1) * (n - k - d + acc["up"] + 1))
-        q = acc["q"] * acc["down"] * (n - k - d + acc["down"]) / ((k - acc["down"] + 1) * (d - acc["down"] + 1))
-        p, q = F.when(acc["up"] < high, p).otherwise(0.0), F.when(acc["down"] > low, q).otherwise(0.0)
-        out = F.when(acc["left"] < p, acc["up"] + 1).when(acc["left"] < p + q, acc["down"] - 1)
-        return F.struct((acc["up"] + 1).alias("up"), (acc["down"] - 1).alias("down"), p.alias("p"), q.alias("q"), (acc["left"] - p - q).alias("left"), F.coalesce(acc["out"], out).alias("out"))
+            def step(x: Column) -> Column:
+                out = F.when(acc["left"] < x["p"], acc["up"] + 1).when(acc["left"] < x["p"] + x["q"], acc["down"] - 1)
+                return F.struct((acc["up"] + 1).alias("up"), (acc["down"] - 1).alias("down"), x["p"].alias("p"), x["q"].alias("q"), (acc["left"] - x["p"] - x["q"]).alias("left"), out.alias("out"))
 
-    walked = F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), start, outwards, lambda acc: acc["out"])
-    return F.when((k == 0) | (d == 0), F.lit(0)).when(d == n, marked).otherwise(F.coalesce(walked, mode)).cast("long")
+            return F.when(acc["out"].isNotNull(), acc).otherwise(_let(both, step))
+
+        return F.coalesce(F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), start, outwards, lambda acc: acc["out"]), mode)
+
+    asked = F.struct(total.cast("double").alias("n"), marked.cast("double").alias("k"), drawn.cast("double").alias("d"), unit.alias("u"))
+
+    def answer(v: Column) -> Column:
+        plain = F.when((v["k"] == 0) | (v["d"] == 0), F.lit(0.0)).when(v["d"] == v["n"], v["k"])
+        return F.coalesce(plain, of_range(v)).cast("long")
+
+    return _let(asked, answer)
 
 
 def _deal(of: Column, due: Column, total: Column, seed: int, *keys: Column) -> Column:
@@ -96,7 +124,7 @@ def _deal(of: Column, due: Column, total: Column, seed: int, *keys: Column) -> C
 
     def take(acc: Column, x: Column) -> Column:
         got = hypergeometric(acc["left"], x["quota"], acc["due"], _unit(seed, *keys, x["name"].isNull(), x["name"]))
-        return F.struct((acc["left"] - x["quota"]).alias("left"), (acc["due"] - got).alias("due"), F.concat(acc["takes"], F.array(got)).alias("takes"))
+        return _let(got, lambda n: F.struct((acc["left"] - x["quota"]).alias("left"), (acc["due"] - n).alias("due"), F.concat(acc["takes"], F.array(n)).alias("takes")))
 
     return F.aggregate(of, start, take, lambda acc: acc["takes"])
 
@@ -115,19 +143,26 @@ def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
     while width > 1:
         item = F.struct(F.col("source").alias("name"), "quota", "first")
         packed = nodes.groupBy("lo", "hi", "group").agg(F.sort_array(F.collect_list(item)).alias("of"), F.sum("quota").alias("held"))
-        whole = packed.groupBy("lo", "hi").agg(F.sort_array(F.collect_list(F.struct(F.col("group").cast("string").alias("name"), F.col("held").alias("quota"), "group"))).alias("groups"), F.sum("held").alias("all"))
         mid = F.col("lo") + F.floor((F.col("hi") - F.col("lo")) / 2).cast("int")
-        due = F.floor(F.col("all") * (mid - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long")
-        whole = whole.withColumn("takes", _deal(F.col("groups"), due, F.col("all"), seed, F.col("lo"), F.col("hi")))
-        dealt = whole.select("lo", "hi", F.explode(F.arrays_zip("groups", "takes")).alias("x")).select(F.col("lo").alias("d_lo"), F.col("hi").alias("d_hi"), F.col("x.groups.group").alias("d_group"), F.col("x.takes").alias("due"))
-        packed = packed.join(dealt, (F.col("lo") == F.col("d_lo")) & (F.col("hi") == F.col("d_hi")) & (F.col("group") == F.col("d_group")))
+
+        def share(held: str) -> Column:
+            return F.floor(F.col(held) * (mid - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long")
+
+        if groups == 1:  # the only group gives all that is due
+            packed = packed.withColumn("due", share("held"))
+        else:
+            whole = packed.groupBy("lo", "hi").agg(F.sort_array(F.collect_list(F.struct(F.col("group").cast("string").alias("name"), F.col("held").alias("quota"), "group"))).alias("groups"), F.sum("held").alias("all"))
+            whole = whole.withColumn("takes", _deal(F.col("groups"), share("all"), F.col("all"), seed, F.col("lo"), F.col("hi")))
+            dealt = whole.select("lo", "hi", F.explode(F.arrays_zip("groups", "takes")).alias("x")).select(F.col("lo").alias("d_lo"), F.col("hi").alias("d_hi"), F.col("x.groups.group").alias("d_group"), F.col("x.takes").alias("due"))
+            packed = packed.join(dealt, (F.col("lo") == F.col("d_lo")) & (F.col("hi") == F.col("d_hi")) & (F.col("group") == F.col("d_group")))
         packed = packed.withColumn("takes", _deal(F.col("of"), F.col("due"), F.col("held"), seed + 1, F.col("lo"), F.col("hi")))
         rows = packed.select("lo", mid.alias("mid"), "hi", "group", F.explode(F.arrays_zip("of", "takes")).alias("x"))
-        left = F.struct(F.col("lo"), F.col("mid").alias("hi"), F.col("x.takes").alias("quota"), F.col("x.of.first").alias("first"))
-        right = F.struct(F.col("mid").alias("lo"), F.col("hi"), (F.col("x.of.quota") - F.col("x.takes")).alias("quota"), (F.col("x.of.first") + F.col("x.takes")).alias("first"))
-        same = F.struct(F.col("lo"), F.col("hi"), F.col("x.of.quota").alias("quota"), F.col("x.of.first").alias("first"))
-        rows = rows.withColumn("child", F.explode(F.when(F.col("hi") - F.col("lo") <= 1, F.array(same)).otherwise(F.array(left, right))))
-        nodes = common.store(rows.select("child.lo", "child.hi", "group", F.col("x.of.name").alias("source"), "child.quota", "child.first"), "mix-nodes")
+        name, whose = F.col("x.of.name").alias("source"), F.col("group")
+        left = F.struct(F.col("lo"), F.col("mid").alias("hi"), whose, name, F.col("x.takes").alias("quota"), F.col("x.of.first").alias("first"))
+        right = F.struct(F.col("mid").alias("lo"), F.col("hi"), whose, name, (F.col("x.of.quota") - F.col("x.takes")).alias("quota"), (F.col("x.of.first") + F.col("x.takes")).alias("first"))
+        same = F.struct(F.col("lo"), F.col("hi"), whose, name, F.col("x.of.quota").alias("quota"), F.col("x.of.first").alias("first"))
+        nodes = rows.select(F.inline(F.when(F.col("hi") - F.col("lo") <= 1, F.array(same)).otherwise(F.array(left, right))))
+        nodes = nodes if groups == 1 else common.store(nodes, "mix-nodes")
         width = (width + 1) // 2
     return nodes.select(F.col("lo").alias("shard"), "source", "quota", "first")
 
