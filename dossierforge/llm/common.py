@@ -74,6 +74,11 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def plain_names(df: DataFrame, *kept: str) -> DataFrame:
+    """df with all columns but those in `kept` named by their place, so that working columns can't clash with them; toDF() gives the names back."""
+    return df.toDF(*(c if c in kept else f"c{i}" for i, c in enumerate(df.columns)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

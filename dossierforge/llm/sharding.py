@@ -42,7 +42,8 @@ def assign_shards(df: DataFrame, key: str, n_shards: int, order_by: tuple[str, .
     """
     spark = df.sparkSession
     df = df.drop(shard, grown, slot)
-    kind = df.schema[key].dataType.simpleString()
+    given, kind = df.columns, df.schema[key].dataType.simpleString()
+    df, place = common.plain_names(df), {c: F.col(f"c{i}") for i, c in enumerate(given)}
 
     @F.pandas_udf("struct<a:int,b:int>")
     def shards(keys):
@@ -51,11 +52,11 @@ def assign_shards(df: DataFrame, key: str, n_shards: int, order_by: tuple[str, .
         k = keys.to_numpy().astype(np.int64).view(np.uint64)
         return pd.DataFrame({"a": jump_hash(k, n_shards).astype(np.int32), "b": jump_hash(k, n_shards + 1).astype(np.int32)})
 
-    put = df.withColumn("__s", shards(_key(F.col(key), kind))).withColumns({shard: F.col("__s.a"), grown: F.col("__s.b")}).drop("__s")
-    by = [F.col(shard), F.col(key).asc_nulls_first(), *(F.col(c).asc_nulls_first() for c in order_by)]
+    put = df.withColumn("both", shards(_key(place[key], kind))).withColumns({"shard": F.col("both.a"), "grown": F.col("both.b")}).drop("both")
+    by = [F.col("shard"), place[key].asc_nulls_first(), *(place[c].asc_nulls_first() for c in order_by)]
     put = put.repartitionByRange(common.partitions(spark), *by).sortWithinPartitions(*by)
     names = [*put.columns]
-    at = names.index(shard)
+    at = names.index("shard")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -69,15 +70,16 @@ def assign_shards(df: DataFrame, key: str, n_shards: int, order_by: tuple[str, .
                 first = seen.get(int(s[lo]), 0)
                 slots[lo:hi] = first + np.arange(hi - lo)
                 seen[int(s[lo])] = first + int(hi - lo)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slots), pa.array(np.full(len(s), pid, np.int32))], names=[*names, slot, "__pid"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slots), pa.array(np.full(len(s), pid, np.int32))], names=[*names, "slot", "pid"])
 
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in put.schema.fields) + f", `{slot}` bigint, __pid int"
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in put.schema.fields) + ", slot bigint, pid int"
     stored = common.store(put.mapInArrow(number, out_schema), "shards")
-    counts = stored.groupBy(F.col(shard).alias("__s"), F.col("__pid").alias("__p")).agg(F.count("*").alias("__n"))
+    counts = stored.groupBy(F.col("shard").alias("of"), F.col("pid").alias("part")).agg(F.count("*").alias("n"))
     # a row for each partition and shard it holds: about partitions + shards
-    before = counts.withColumn("__b", F.coalesce(F.sum("__n").over(Window.partitionBy("__s").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    before = counts.withColumn("start", F.coalesce(F.sum("n").over(Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     before = F.broadcast(before) if common.small(before) else before
-    return stored.join(before, (F.col(shard) == F.col("__s")) & (F.col("__pid") == F.col("__p"))).withColumn(slot, F.col(slot) + F.col("__b")).drop("__s", "__p", "__b", "__pid")
+    met = stored.join(before, (F.col("shard") == F.col("of")) & (F.col("pid") == F.col("part")))
+    return met.withColumn("slot", F.col("slot") + F.col("start")).select(*names, "slot").toDF(*given, shard, grown, slot)
 
 
 def write_shards(df: DataFrame, key: str, n_shards: int, path: str) -> None:
