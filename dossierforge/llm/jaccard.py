@@ -239,13 +239,15 @@ def _as_pairs(df: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with all their columns, of which one stays of each group of sets that links reach: the one with the least doc_id,
-    null last, and of rows that share it the one with the least hashes of its text and of its other columns. Rows without a set stay."""
+    null last, and of rows that share it the one with the least hashes of its text and of its other columns. Rows without a set (null
+    and empty texts, or white space alone) stay, repeated ones too. Other columns may have any names and any values, null included."""
+    names, docs = docs.columns, common.plain_names(docs, "doc_id", "text")
     if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
-        return _keep_one_by_row(docs, k, percent)
+        return _keep_one_by_row(docs, k, percent).toDF(*names)
     groups = common.store(jaccard_components(docs, k, percent), "groups")
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
     gone = F.broadcast(gone) if common.small(gone) else gone
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti").toDF(*names)
 
 
 def _keep_one_by_row(docs: DataFrame, k: int, percent: int) -> DataFrame:
