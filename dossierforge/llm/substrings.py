@@ -89,6 +89,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch, 0):
                 yield pa.RecordBatch.from_arrays([pa.array(_records(Words(data, offsets), window, anchor)[2].view(np.int64))], names=["h"])
+            common.give_back()
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,6 +102,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
                     [pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), common.column(batch, 0, lo, hi).take(rows), common.column(batch, 1, lo, hi).take(rows), pa.array((first - w.bound[doc]).astype(np.int32)), pa.array(count.astype(np.int32))],
                     names=["h", "content", "doc_id", "__th", "first", "windows"],
                 )
+            common.give_back()
 
     # stored, so that the join deals both its sides anew and can split an anchor that very many texts have
     twice = common.store(docs.select("text").mapInArrow(anchors, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
@@ -138,6 +140,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
                 body = [raw[8 * a : 8 * b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
                 rows = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(shard), common.column(batch, 0, lo, hi).take(rows), common.column(batch, 1, lo, hi).take(rows), pa.array(first), pa.array(count), pa.array(body, pa.binary())], names=["shard", "doc_id", "__th", "first", "windows", "words"])
+            common.give_back()
 
     shipped = met.select("doc_id", "__th", "text", "wanted").mapInArrow(words, "shard int, doc_id bigint, __th bigint, first int, windows int, words binary")
     reused = shipped.groupBy("shard").applyInArrow(lambda t: search_shard(t, window), "doc_id bigint, __th bigint, first int, windows int, mask bigint")
@@ -172,6 +175,8 @@ def search_shard(records: pa.Table, window: int) -> pa.Table:
         earlier = origin[group[lo]] < (rank[who] << 32) + first[who] + position
         np.bitwise_or.at(mask, who[earlier], np.int64(1) << position[earlier])
     hit = pa.array(np.flatnonzero(mask))
+    del index, place, origin, group, heads, sequences
+    common.give_back()
     return records.select(["doc_id", "__th", "first", "windows"]).take(hit).append_column("mask", pa.array(mask[np.asarray(hit)]))
 
 
@@ -183,7 +188,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     are one document and get the same result. Nulls and texts of less than a window have nothing to remove; a null
     text becomes empty. Other columns are kept as they are, but for n_words and n_removed, which are replaced.
     """
-    docs = _keyed(docs.drop("n_words", "n_removed"))
+    docs = docs.drop("n_words", "n_removed")
+    given = [*docs.columns, "n_words", "n_removed"]
+    docs = _keyed(common.plain_names(docs, "doc_id", "text"))
     names = docs.columns
     runs = common.store(find_repeats(docs, window, anchor), "repeat-runs")
     at, th = names.index("text"), names.index("__th")
@@ -216,8 +223,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         keys = F.broadcast(keys)
         some = _with(_with(docs, keys, "left_semi"), runs).drop("o_id", "o_th")
         rest = _with(docs, keys, "left_anti")
-        return some.mapInArrow(cut, schema).unionByName(rest.mapInArrow(cut, schema))
-    return _with(docs, runs, "left").drop("o_id", "o_th").mapInArrow(cut, schema)
+        return some.mapInArrow(cut, schema).unionByName(rest.mapInArrow(cut, schema)).toDF(*given)
+    return _with(docs, runs, "left").drop("o_id", "o_th").mapInArrow(cut, schema).toDF(*given)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
