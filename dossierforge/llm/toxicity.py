@@ -79,7 +79,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     """(doc_id, toxic, weight): at most `most` rows of each class, from the folds that aren't held out.
 
     A doc_id with several labels is toxic if one of them says so; a null label is none. weight is how many rows of the
-    class each sampled row stands for.
+    class each sampled row stands for. Of rows that share a doc_id, the one with the least text is taken.
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id")) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = common.store(known, "labels")
@@ -91,7 +91,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     for p in parts[1:]:
         out = out.unionByName(p)
     # no more than 2 * most rows, so that broadcasting them is safe
-    return docs.select("doc_id", "text").join(F.broadcast(out), "doc_id").select("text", F.col("toxic").cast("int"), "weight")
+    met = docs.select("doc_id", "text").join(F.broadcast(out), "doc_id")
+    return met.groupBy("doc_id", "toxic", "weight").agg(F.min("text").alias("text")).select("text", F.col("toxic").cast("int"), "weight")
 
 
 def _select(sample: DataFrame) -> np.ndarray:
@@ -228,7 +229,9 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, locate: b
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, whose score is under the threshold."""
+    """The rows of docs, with all their columns, whose score is under the threshold.
+
+    Null and empty texts score 0 and stay; repeated rows stay or go alike. Other columns may have any names and any values."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
