@@ -688,3 +688,52 @@ def test_pipeline_against_brute_force(spark):
         elif name == "packing":
             check_packing(out.collect(), [(r["doc_id"], ids_of("byte_bpe_50k.json", r["text"], 0)) for r in docs.collect()])
         docs = out
+
+
+#: Names that the operators use, or have used, for working columns.
+CLASHING = "o_id o_th o_first runs __th __id __row gone_id __whole whole n_words n_removed s_source blocks full more e_key d_block key draws row __pid pid __b __s both start c0 c1 c2 shard slot grown_shard words origin first size score component bare node weight".split()
+
+
+def test_extra_columns_with_clashing_names(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, near, "a"), (2, near + " x", "b"), (3, None, None), (4, "", "a"), (4, "twice", "a"), (None, "no id", "b"), (5, "alone here", "a"), (5, "alone here", "a")]
+    plain = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    wide = plain.select("*", *(F.concat(F.lit(f"{c} "), F.coalesce(F.col("text"), F.lit("-"))).alias(c) for c in CLASHING))
+    before = {(r["doc_id"], r["o_id"][5:]): r for r in wide.collect()}
+    empty = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(plain, empty)
+
+    def kept(r, columns):
+        return all(r[c] == before[r["doc_id"], r["o_id"][5:]][c] for c in columns)
+
+    stages = {
+        "toxic": lambda x: toxicity.drop_toxic(x, model),
+        "copies": lambda x: corpus_pipeline.drop_near_copies(spark, x, SF),
+        "repeats": lambda x: corpus_pipeline.drop_repeats(spark, x, SF),
+        "mixing": lambda x: corpus_pipeline.mix_sources(spark, x, SF),
+    }
+    for name, run in stages.items():
+        out = run(wide)
+        assert out.columns == wide.columns, name
+        got = out.collect()
+        assert got and all(kept(r, CLASHING) for r in got), name
+        if name != "toxic":
+            assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((r["doc_id"], r["text"]) for r in run(plain).collect()), name
+    # with ids that are unique, rows are told apart by them alone
+    got = stages["copies"](wide.where("doc_id <= 3")).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 3] and all(kept(r, CLASHING) for r in got)
+    assert all(kept(r, [c for c in CLASHING if c not in ("shard", "slot", "grown_shard")]) for r in sharding.assign_shards(wide, "doc_id", 3, ("text",)).collect())
+    assert packing.pack(wide, public_tokenizers.path("byte_bpe_50k.json")).count() >= len(rows)
+    assert quality.repetition_rules(wide).count() == toxicity.score(wide, model).count() == len(rows)
+
+
+def test_sharding_query_against_brute_force(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.QUERIES["op6_sharding"](spark, SF).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(docs)
+    slots = defaultdict(list)
+    for r in got:
+        raw = (docs[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 1, zlib.crc32(raw), "key") and r["grown_shard"] in (r["shard"], 16) and 0 <= r["shard"] < 16
+        slots[r["shard"]].append((r["slot"], r["doc_id"]))
+    assert all([i for i, _ in sorted(x)] == list(range(len(x))) and [d for _, d in sorted(x)] == sorted(d for _, d in x) for x in slots.values())
