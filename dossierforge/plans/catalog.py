@@ -208,12 +208,12 @@ def content_status(spark, sf_dir):
     return S.content_status(_t(spark, sf_dir, "documents").select(F.expr("doc_id div 2").alias("company_id"), "text"))
 
 
-_BLOCKS = "SELECT doc_id, source, pos, block FROM (SELECT doc_id, source, unnest(range(len(b)))::INT AS pos, unnest(b) AS block FROM (SELECT doc_id, source, string_split(text, chr(10)) AS b FROM documents)) WHERE length(block) >= 20"
+_BLOCKS = "SELECT doc_id, source, pos, block FROM (SELECT doc_id, source, unnest(range(len(b)))::INT AS pos, unnest(b) AS block FROM (SELECT doc_id, source, string_split(text, chr(10)) AS b FROM documents))"
 
 
 @_query(f"SELECT doc_id, source, pos, md5(block) AS block_md5 FROM ({_BLOCKS}) QUALIFY row_number() OVER (PARTITION BY source, block ORDER BY doc_id, pos) = 1")
 def block_dedup(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "block")).where(F.length("block") >= 20)
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "block"))
     return H.first_blocks(d, "source", "doc_id", "pos", "block").select("doc_id", "source", "pos", F.md5("block").alias("block_md5"))
 
 
@@ -309,9 +309,9 @@ def dossier_input(spark, sf_dir):
     return S.dossier_input(d).select("company_id", F.md5("body").alias("body_md5"))
 
 
-@_query("""SELECT conv_id AS company_id, md5(substr(string_agg(text, chr(10) || chr(10) ORDER BY o, slug), 1, 2000)) AS body_md5 FROM (SELECT conv_id, text, CASE turn % 4 WHEN 0 THEN 'contact' WHEN 1 THEN 'privacy-policy-' || turn WHEN 2 THEN 'about' END AS slug, CASE turn % 4 WHEN 0 THEN 1 WHEN 2 THEN 4 ELSE 10 END AS o, turn FROM conversations WHERE turn < 4 AND text IS NOT NULL) WHERE slug IS NOT NULL GROUP BY 1""")
+@_query("""SELECT conv_id AS company_id, md5(substr(string_agg(text, chr(10) || chr(10) ORDER BY o, slug), 1, 2000)) AS body_md5 FROM (SELECT conv_id, text, CASE turn WHEN 0 THEN 'contact' WHEN 4 THEN 'contact-us' WHEN 2 THEN 'about' WHEN 6 THEN 'about-us' ELSE CASE turn % 4 WHEN 1 THEN 'privacy-policy-' || turn WHEN 3 THEN NULL ELSE 'contact-' || turn END END AS slug, CASE turn WHEN 0 THEN 1 WHEN 4 THEN 2 WHEN 2 THEN 4 WHEN 6 THEN 5 ELSE 10 END AS o FROM conversations WHERE text IS NOT NULL) WHERE slug IS NOT NULL GROUP BY 1""")
 def fallback_surface(spark, sf_dir):
-    d = _t(spark, sf_dir, "conversations").where("turn < 4 AND text IS NOT NULL").select(F.col("conv_id").alias("company_id"), F.expr("CASE turn % 4 WHEN 0 THEN 'contact' WHEN 1 THEN concat('privacy-policy-', turn) WHEN 2 THEN 'about' ELSE 'blog' END").alias("slug"), "text")
+    d = _t(spark, sf_dir, "conversations").where("text IS NOT NULL").select(F.col("conv_id").alias("company_id"), F.expr("CASE turn WHEN 0 THEN 'contact' WHEN 4 THEN 'contact-us' WHEN 2 THEN 'about' WHEN 6 THEN 'about-us' ELSE CASE turn % 4 WHEN 1 THEN concat('privacy-policy-', turn) WHEN 3 THEN concat('blog-', turn) ELSE concat('contact-', turn) END END").alias("slug"), "text")
     return S.fallback_surface(d).select("company_id", F.md5("body").alias("body_md5"))
 
 
@@ -421,7 +421,7 @@ def duplicate_ids(spark, sf_dir):
 @_query("SELECT c_custkey AS company_id, c_name AS name, 'Other' AS existing_name FROM customer WHERE c_custkey % 10 = 0")
 def name_collisions(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
-    return R.name_collisions(c, c.withColumn("name", F.expr("CASE WHEN company_id % 10 = 0 THEN 'Other' ELSE name END")).where("company_id % 2 = 0"))
+    return R.name_collisions(c, c.withColumn("name", F.expr("CASE WHEN company_id % 10 = 0 THEN 'Other' ELSE name END")))
 
 
 @_query("SELECT o_orderkey AS company_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40)")
@@ -430,10 +430,10 @@ def resume_pending(spark, sf_dir):
     return R.pending(_t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("company_id")), done)
 
 
-@_query("SELECT company_id, arg_min(name, r) AS name FROM (SELECT c_custkey AS company_id, c_name AS name, 0 AS r FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name, 1 FROM supplier) GROUP BY 1")
+@_query("SELECT company_id, arg_min(name, r) AS name FROM (SELECT c_custkey AS company_id, c_name AS name, 0 AS r FROM customer UNION ALL SELECT s_suppkey * 20, s_name, 1 FROM supplier) GROUP BY 1")
 def discover_union(spark, sf_dir):
-    a = _t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
-    return R.first_seen(a, _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("name")))
+    a = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
+    return R.first_seen(a, _t(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 20).alias("company_id"), F.col("s_name").alias("name")))
 
 
 @_query("""SELECT company_id, slug, p IS NULL AS recall_only, CASE WHEN slug = 'contact' THEN coalesce(r, p) ELSE coalesce(p, r) END AS text FROM
@@ -454,9 +454,9 @@ def _echo():
     return call
 
 
-@_query("SELECT s_suppkey AS company_id, CASE WHEN s_suppkey % 10 <> 7 THEN 'ASK ' || s_suppkey END AS answer, CASE WHEN s_suppkey % 10 = 7 THEN 'ValueError: refused' END AS error FROM supplier WHERE s_suppkey % 2 = 1")
+@_query("SELECT s_suppkey AS company_id, CASE WHEN s_suppkey % 10 <> 7 THEN 'ASK ' || s_suppkey END AS answer, CASE WHEN s_suppkey % 10 = 7 THEN 'ValueError: refused' END AS error FROM supplier")
 def completions_run(spark, sf_dir):
-    asked = _t(spark, sf_dir, "supplier").where("s_suppkey % 2 = 1").select(F.col("s_suppkey").alias("company_id"), F.concat(F.lit("ask "), F.col("s_suppkey")).alias("request"))
+    asked = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"), F.concat(F.lit("ask "), F.col("s_suppkey")).alias("request"))
     return providers.run_pending(asked, _echo)
 
 
