@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def _array(values: list[str]) -> Column:
     return F.array(*map(F.lit, values))
 
 
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with the value computed once however often f uses it, as a lambda's variable isn't inlined."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def slugify(c: Column) -> Column:
     """Lower case, marks dropped, other characters to single hyphens. Letters outside the Latin tables go."""
     c = F.translate(F.lower(c), V.ACCENTS_FROM, V.ACCENTS_TO)
@@ -72,11 +79,6 @@ def has_excluded_extension(path: Column) -> Column:
     return last.contains(".") & F.substring_index(last, ".", -1).isin(V.EXCLUDED_EXTENSIONS)
 
 
-def path_matches(path: Column, wanted: Column) -> Column:
-    p = F.regexp_replace(F.lower(path), "/+$", "")
-    return (p == wanted) | p.startswith(F.concat(wanted, F.lit("/")))
-
-
 def path_depth(url: Column) -> Column:
     return F.greatest(F.size(segments(url_path(url))), F.lit(1))
 
@@ -89,17 +91,36 @@ def slugify_path(url: Column) -> Column:
 
 
 def is_address_intent(slug: Column) -> Column:
-    s = F.lower(slug)
-    return s.rlike("|".join(V.ADDRESS_STEMS)) | F.arrays_overlap(F.split(s, "-"), _array(V.ADDRESS_TOKENS))
+    return bind(F.lower(slug), lambda s: s.rlike("|".join(V.ADDRESS_STEMS)) | F.arrays_overlap(F.split(s, "-"), _array(V.ADDRESS_TOKENS)))
+
+
+def _tiers() -> dict[str, tuple[int, int]]:
+    """Each tier path's (tier, position); a path that is named twice counts where it comes first."""
+    found: dict[str, tuple[int, int]] = {}
+    for t, tier in enumerate((V.TIER_1, V.TIER_2, V.TIER_3), 1):
+        for i, path in enumerate(tier):
+            found.setdefault(path, (t, i))
+    return found
+
+
+def _place(tier: int, position: int) -> Column:
+    return F.struct(F.lit(tier).alias("tier"), F.lit(position).alias("position"))
 
 
 def classify(url: Column) -> Column:
-    """struct(tier, position) of the first tier path that matches; (2, -1) for other address pages; null for the rest."""
-    path = url_path(url)
-    table = F.array(*(F.struct(F.lit(t).alias("tier"), F.lit(i).alias("position"), F.lit(p).alias("path")) for t, tier in enumerate((V.TIER_1, V.TIER_2, V.TIER_3), 1) for i, p in enumerate(tier)))
-    hit = F.get(F.filter(table, lambda x: path_matches(path, x["path"])), F.lit(0))
-    address = F.when(is_address_intent(slugify_path(url)), F.struct(F.lit(2).alias("tier"), F.lit(V.ADDRESS_POSITION).alias("position")))
-    return F.coalesce(F.when(hit.isNotNull(), F.struct(hit["tier"].alias("tier"), hit["position"].alias("position"))), address)
+    """struct(tier, position) of the first tier path that the path is or lies below; (2, -1) for other address pages; null for the rest.
+
+    The path's starts, cut at a slash, are looked up among the tier paths, one look for each depth that tier paths have."""
+    tiers = _tiers()
+    places = F.create_map(*(c for p, place in tiers.items() for c in (F.lit(p), _place(*place))))
+    depths = sorted({p.count("/") for p in tiers})
+
+    def hit(path: Column) -> Column:
+        found = [F.try_element_at(places, F.substring_index(path, "/", d + 1)) for d in depths]
+        return F.least(*found) if len(found) > 1 else found[0]
+
+    path = F.regexp_replace(F.lower(url_path(url)), "/+$", "")
+    return F.coalesce(bind(path, hit), F.when(is_address_intent(slugify_path(url)), _place(2, V.ADDRESS_POSITION)))
 
 
 def collapse_lines(text: Column) -> Column:
