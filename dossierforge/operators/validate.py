@@ -32,34 +32,39 @@ def tagline(answer: Column) -> Column:
     return text_at(parse(answer), "$.en")
 
 
-def axis(v: Column, root: str, name: str) -> Column:
-    """struct(score, evidence, reason) of an axis, or null if it breaks a rule. A score with no_signal becomes partial, none with anything else no_signal."""
-    at = f"{root}.{name}"
-    kind = _kind(v, f"{at}.score")
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    value = _get(v, f"{at}.score", "double")
-    missing = kind.isNull() | (kind == "VOID")
-    evidence, reason = text_at(v, f"{at}.evidence"), text_at(v, f"{at}.reason.en")
-    fine = F.coalesce(missing | (number & (value == F.floor(value)) & value.between(0, 100)), F.lit(False)) & evidence.isin(V.EVIDENCE) & reason.isNotNull()
-    fixed = F.when(missing, F.lit("no_signal")).when(evidence == "no_signal", F.lit("partial")).otherwise(evidence)
-    return F.when(fine, F.struct(F.when(~missing, value.cast("int")).alias("score"), fixed.alias("evidence"), reason.alias("reason")))
+def axis(v: Column, name: str) -> Column:
+    """struct(score, evidence, reason) of an axis, or null if it breaks a rule. A score with no_signal becomes partial, none with anything else no_signal.
+
+    Evidence is one of a few words, which no value but a string reads as, so its type needs no look."""
+    at = f"$.{name}"
+    parts = F.struct(_kind(v, f"{at}.score").alias("kind"), _get(v, f"{at}.score", "double").alias("value"), F.trim(_get(v, f"{at}.evidence", "string")).alias("evidence"), text_at(v, f"{at}.reason.en").alias("reason"))
+
+    def judged(x: Column) -> Column:
+        kind, value, evidence, reason = x["kind"], x["value"], x["evidence"], x["reason"]
+        number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+        missing = kind.isNull() | (kind == "VOID")
+        fine = F.coalesce(missing | (number & (value == F.floor(value)) & value.between(0, 100)), F.lit(False)) & evidence.isin(V.EVIDENCE) & reason.isNotNull()
+        fixed = F.when(missing, F.lit("no_signal")).when(evidence == "no_signal", F.lit("partial")).otherwise(evidence)
+        return F.when(fine, F.struct(F.when(~missing, value.cast("int")).alias("score"), fixed.alias("evidence"), reason.alias("reason")))
+
+    return T.bind(parts, judged)
 
 
 def scores(answer: Column) -> Column:
-    """A struct of all axes, bare or under scores, or null if any is missing or wrong."""
-    v = parse(answer)
-    nested = _kind(v, "$.scores").startswith("OBJECT")
-    each = {a: F.when(F.coalesce(nested, F.lit(False)), axis(v, "$.scores", a)).otherwise(axis(v, "$", a)) for a in V.AXES}
-    whole = F.lit(True)
-    for x in each.values():
-        whole = whole & x.isNotNull()
-    return F.when(whole, F.struct(*(x.alias(a) for a, x in each.items())))
+    """A struct of all axes, bare or under scores, or null if any is missing or wrong. The answer is parsed once, its root chosen once."""
+    def root(v: Column) -> Column:
+        nested = F.coalesce(_kind(v, "$.scores").startswith("OBJECT"), F.lit(False))
+        return F.when(nested, _get(v, "$.scores", "variant")).otherwise(v)
+
+    def whole(x: Column) -> Column:
+        return F.when(F.forall(F.array(*(x[a].isNotNull() for a in V.AXES)), lambda found: found), x)
+
+    return T.bind(T.bind(T.bind(parse(answer), root), lambda v: F.struct(*(axis(v, a).alias(a) for a in V.AXES))), whole)
 
 
 def tags(answer: Column) -> Column:
     """The list of tags, or null if one of them has another key, an unknown value, or a code that came before. An empty list is fine."""
-    v = parse(answer)
-    whole = _get(v, "$", "array<variant>")
+    whole = _get(parse(answer), "$", "array<variant>")
     listed = F.transform(whole, lambda x: F.try_variant_get(x, "$", "map<string,variant>"))
     one = F.transform(whole, lambda x: F.struct(*(text_at(x, f"$.{k}").alias(k) for k in ("isco_code", "prominence", "confidence"))))
     keys = F.forall(listed, lambda m: F.coalesce(F.array_sort(F.map_keys(m)) == F.array(F.lit("confidence"), F.lit("isco_code"), F.lit("prominence")), F.lit(False)))
