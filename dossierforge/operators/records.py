@@ -16,10 +16,11 @@ def resolve_websites(seed: DataFrame, hits: DataFrame) -> DataFrame:
     hits(company_id, engine_rank, url). Rows with a blank name fail; only rows that need a search meet the hits.
     """
     named, blank = F.coalesce(F.trim("name") != "", F.lit(False)), F.coalesce(F.trim("website"), F.lit("")) == ""
-    best = hits.where("url IS NOT NULL").groupBy("company_id").agg(F.min_by("url", "engine_rank").alias("hit"))
-    d = seed.join(best, "company_id", "left")
-    website = F.when(~blank, F.col("website")).when(named, F.col("hit"))
-    return d.withColumn("website", website).withColumn("status", F.when(~named | F.col("website").isNull(), "failed")).drop("hit")
+    best = hits.where("url IS NOT NULL").groupBy("company_id").agg(F.min_by("url", "engine_rank").alias("website"))
+    searched = seed.where(named & blank).drop("website").join(best, "company_id", "left")
+    given = seed.where(~(named & blank)).withColumn("website", F.when(~blank, F.col("website")))
+    d = given.unionByName(searched)
+    return d.withColumn("status", F.when(~named | F.col("website").isNull(), "failed"))
 
 
 def dossier_gate(status: Column, body: Column, offline: bool) -> Column:
@@ -101,16 +102,22 @@ def status_summary(df: DataFrame) -> DataFrame:
 
 def geocode(asked: DataFrame, reference: DataFrame, key: str = "company_id", broadcast_rows: int = 100_000) -> DataFrame:
     """asked(key, postcode, street_name, house_no, city) to match_quality and the point: by postcode and number, then by street,
-    number and city, then by postcode alone. reference(kind, postcode, street, house_no, city, centroid_wkt)."""
-    def tier(kind: str, on: list[str], name: str) -> DataFrame:
-        t = reference.where((F.col("kind") == kind) & F.col("centroid_wkt").isNotNull()).groupBy(*on).agg(F.min("centroid_wkt").alias(name))
-        return F.broadcast(t) if t.limit(broadcast_rows + 1).count() <= broadcast_rows else t
-
-    exact, centre = tier("adres", ["postcode", "house_no"], "w_exact"), tier("postcode", ["postcode"], "w_centre")
-    ref = reference.withColumns({"street_l": F.lower("street"), "city_l": F.lower("city")})
-    street = ref.where((F.col("kind") == "adres") & F.col("centroid_wkt").isNotNull()).groupBy("street_l", "house_no", "city_l").agg(F.min("centroid_wkt").alias("w_street"))
+    number and city, then by postcode alone. reference(kind, postcode, street, house_no, city, centroid_wkt).
+
+    A row with a null among a tier's keys meets nothing there; it is dealt by its own key, so that such rows don't fill one task."""
+    known = reference.where("centroid_wkt IS NOT NULL").withColumns({"street_l": F.lower("street"), "city_l": F.lower("city")})
+
+    def tier(d: DataFrame, kind: str, first: str, rest: list[str], name: str) -> DataFrame:
+        t = known.where(F.col("kind") == kind).groupBy(F.col(first).alias("dealt"), *rest).agg(F.min("centroid_wkt").alias(name))
+        t = F.broadcast(t) if t.limit(broadcast_rows + 1).count() <= broadcast_rows else t
+        whole = reduce(Column.__and__, (F.col(c).isNotNull() for c in (first, *rest)))
+        own = F.concat(F.lit("\0"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+        return d.withColumn("dealt", F.when(whole, F.col(first)).otherwise(own)).join(t, ["dealt", *rest], "left").drop("dealt")
+
     d = asked.withColumns({"street_l": F.lower("street_name"), "city_l": F.lower("city")})
-    d = d.join(exact, ["postcode", "house_no"], "left").join(street, ["street_l", "house_no", "city_l"], "left").join(centre, "postcode", "left")
+    d = tier(d, "adres", "postcode", ["house_no"], "w_exact")
+    d = tier(d, "adres", "street_l", ["house_no", "city_l"], "w_street")
+    d = tier(d, "postcode", "postcode", [], "w_centre")
     quality = F.when(F.col("w_exact").isNotNull(), "exact").when(F.col("w_street").isNotNull(), "street").when(F.col("w_centre").isNotNull(), "postcode_centroid")
     return d.select(key, quality.alias("match_quality"), F.coalesce("w_exact", "w_street", "w_centre").alias("wkt"))
 

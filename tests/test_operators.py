@@ -131,3 +131,18 @@ def test_stream_merges_like_batch(spark, tmp_path):
     q = merge_stream(spark.readStream.schema("company_id string, content_hash string").parquet(str(tmp_path / "in")), str(tmp_path / "life"), "T1", str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert {r["company_id"]: r["created_at"] for r in spark.read.parquet(str(tmp_path / "life/epoch=0")).collect()} == {"a": "T1", "b": "T1"}
+
+
+def test_geocode_rows_with_null_keys(spark):
+    ask = spark.createDataFrame([(1, "1000 AA", "Dam", 1, "X"), (2, None, "dam", 1, "x"), (3, "1000 AA", None, None, None), (4, None, None, 1, None), (None, None, None, None, None)], "company_id int, postcode string, street_name string, house_no int, city string")
+    ref = spark.createDataFrame([("adres", "1000 AA", "Dam", 1, "X", "a"), ("postcode", "1000 AA", None, None, None, "p"), ("adres", None, None, None, None, "n"), ("postcode", None, None, None, None, "n")], "kind string, postcode string, street string, house_no int, city string, centroid_wkt string")
+    want = {(1, "exact", "a"), (2, "street", "a"), (3, "postcode_centroid", "p"), (4, None, None), (None, None, None)}
+    for rows in (100, 0):
+        assert {tuple(r) for r in R.geocode(ask, ref, broadcast_rows=rows).collect()} == want
+
+
+def test_only_rows_that_need_a_search_meet_the_hits(spark):
+    seed = spark.createDataFrame([(1, "a", "http://a"), (2, "b", " "), (3, " ", None), (4, "d", None), (5, None, "http://e"), (2, "b", None)], "company_id int, name string, website string")
+    hits = spark.createDataFrame([(1, 1, "h1"), (2, 2, "h2"), (2, 1, "h1"), (3, 1, "h3"), (4, 1, None)], "company_id int, engine_rank int, url string")
+    got = sorted((r.company_id, r.website, r.status) for r in R.resolve_websites(seed, hits).collect())
+    assert got == [(1, "http://a", None), (2, "h1", None), (2, "h1", None), (3, None, "failed"), (4, None, "failed"), (5, "http://e", "failed")]
