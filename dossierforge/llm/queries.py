@@ -10,6 +10,7 @@ from .htmltext import op10_html_text
 from .jaccard import op7_jaccard_join
 from .mixing import op9_mixing
 from .packing import op4_packing
+from .pieces import op11_piece_codec
 from .quality import LINE_LIMIT, NGRAM_LIMITS, op1_repetition_rules
 from .sharding import op6_sharding
 from .substrings import op5_substring_dedup
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
+    "op11_piece_codec": op11_piece_codec,
 }
 
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
