@@ -12,6 +12,7 @@ from .mixing import op9_mixing
 from .packing import op4_packing
 from .pieces import op11_piece_codec
 from .quality import LINE_LIMIT, NGRAM_LIMITS, op1_repetition_rules
+from .runs import op12_periodic_runs
 from .sharding import op6_sharding
 from .substrings import op5_substring_dedup
 from .tokens import op2_token_files
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
     "op11_piece_codec": op11_piece_codec,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
@@ -76,10 +78,30 @@ sides AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
 reach(a, b) AS (SELECT x, x FROM sides UNION SELECT a, y FROM reach JOIN sides ON b = x)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = doc_id"""
 
+#: CRC-32 of a doc_id's digits, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(doc_id::VARCHAR, '.'), lambda s: ascii(s)::BIGINT)),
+lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295)"""
+
+#: Runs as islands of equal 5-word windows q words apart: no mask, no halving.
+_RUNS = f"""WITH t AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w, {_CRC} AS h FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM t),
+d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM a),
+x AS (SELECT doc_id, n, i, w[i + 1] AS word, md5(array_to_string(w[i + 1:i + 5], ' ')) AS gram FROM (SELECT doc_id, n, w, unnest(range(n)) AS i FROM d)),
+e AS (SELECT b.doc_id, b.i, c.i - b.i AS q FROM x b JOIN x c ON b.doc_id = c.doc_id AND b.gram = c.gram AND b.i < c.i WHERE c.i + 5 <= c.n AND 4 * (c.i - b.i) <= b.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e) GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS rank FROM r),
+f AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256 FROM d LEFT JOIN f USING (doc_id) LEFT JOIN (SELECT * FROM o WHERE rank = 1) USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
 #: The tokenizers, the trained model, CRC-32, the HTML rules and the splitting tree's draws can't be said in SQL; tests hold those against brute force.
 ORACLES: dict[str, str] = {
     "op1_repetition_rules": _repetition(),
     "op3_top_k": _TOP_K,
     "op5_substring_dedup": _SUBSTRINGS,
     "op7_jaccard_join": _JACCARD,
+    "op12_periodic_runs": _RUNS,
 }
