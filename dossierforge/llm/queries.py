@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .codebooks import op13_vector_codes
 from .htmltext import op10_html_text
 from .jaccard import op7_jaccard_join
 from .mixing import op9_mixing
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
     "op11_piece_codec": op11_piece_codec,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
@@ -97,6 +99,28 @@ k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM x ANTI JOIN g
 SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
 sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256 FROM d LEFT JOIN f USING (doc_id) LEFT JOIN (SELECT * FROM o WHERE rank = 1) USING (doc_id) LEFT JOIN k USING (doc_id)"""
 
+
+
+def _codebooks(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Lloyd's rounds with every distance computed: no bounds, no heaps."""
+    kept = f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS e, len(embedding) // {parts} AS d FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, part, e[part * d + 1:(part + 1) * d] AS x FROM v, (SELECT unnest(range({parts})) AS part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries}))"""
+    distance = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT vec_id, label, part, x, min(({distance})::BIGINT * {entries} + entry) AS best FROM p JOIN c{k} USING (part) GROUP BY ALL)")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT part, entry, list(y ORDER BY pos) AS c FROM (SELECT part, entry, pos, (sum(z) // count(*) - CASE WHEN sum(z) % count(*) < 0 THEN 1 ELSE 0 END)::BIGINT AS y
+FROM (SELECT part, best % {entries} AS entry, unnest(x) AS z, unnest(range(len(x))) AS pos FROM a{k}) GROUP BY part, entry, pos) GROUP BY part, entry),
+c{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (part, entry))""")
+    return f"""{kept}, {', '.join(steps)},
+o AS (SELECT vec_id, label, string_agg(printf('%02x', best % {entries}), '' ORDER BY part) AS code, sum(best // {entries})::BIGINT AS error FROM a{rounds} GROUP BY vec_id, label),
+b AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o, b"""
+
+
 #: The tokenizers, the trained model, CRC-32, the HTML rules and the splitting tree's draws can't be said in SQL; tests hold those against brute force.
 ORACLES: dict[str, str] = {
     "op1_repetition_rules": _repetition(),
@@ -104,4 +128,5 @@ ORACLES: dict[str, str] = {
     "op5_substring_dedup": _SUBSTRINGS,
     "op7_jaccard_join": _JACCARD,
     "op12_periodic_runs": _RUNS,
+    "op13_vector_codes": _codebooks(),
 }
