@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import records as R
 from .plans import company, stages
 from .sources import tables
+from .sources.keyed import KeyedTable
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,7 +52,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     try:
         if args.command == "publish":
-            plan = stages.publish(spark.read.parquet(args.input), args.out_dir, now, args.git_sha, dry_run=args.dry_run)
+            t = KeyedTable(spark, args.input)
+            plan = stages.publish(t.read() if t.exists() else spark.read.parquet(args.input), args.out_dir, now, args.git_sha, dry_run=args.dry_run)
             print(json.dumps(plan.first().asDict()))
             return 0
         given = {n: spark.read.parquet(p) for n in ("hits", "web", "addresses", "lifecycle") if (p := getattr(args, n))}
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 stages.publish(done["dataset-output"], f"{args.data_root}/releases", now, args.git_sha)
             result = done["dataset-output"]
         else:
-            done = {n: spark.read.parquet(f"{args.data_root}/{n}") for n in stages.READS.get(args.name, [])}
+            done = {n: stages.table(spark, args.data_root, n).read() for n in stages.READS.get(args.name, [])}
+            outside.write = not args.dry_run
             if first := stages.READS.get(args.name):
                 done[first[0]] = _first(done[first[0]], args)
             else:
@@ -72,8 +75,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 for row in result.toJSON().toLocalIterator():
                     print(row)
                 return 0
-            tables.write_stage(result, f"{args.data_root}/{args.name}")
-            result = spark.read.parquet(f"{args.data_root}/{args.name}")
+            t = stages.table(spark, args.data_root, args.name)
+            t.upsert(result)
+            result = t.read()
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2

@@ -17,6 +17,7 @@ from ..operators import records as R
 from ..operators import selection as S
 from ..operators import validate as N
 from ..sources import providers, tables
+from ..sources.keyed import KeyedTable, update_lifecycle
 from . import stages
 
 KEY = "company_id"
@@ -41,6 +42,8 @@ class Outside:
     addresses: DataFrame | None = None
     lifecycle: DataFrame | None = None
     complete: Callable[[], Callable[[str], str]] | None = None
+    #: False: nothing is written but answers, and the lifecycle table stays as it is.
+    write: bool = True
     prompts: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -250,4 +253,20 @@ def dataset(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
     d = d.withColumn("translations", F.map_entries("translations"))  # maps have no order, which a hash needs
     d = d.withColumn("status", R.record_status(F.lit(True), [F.col(c) for c in ("address", *sources)]))
     d = d.withColumn("content_hash", R.content_hash(d.columns))
-    return R.lifecycle(d, o.table("lifecycle", LIFECYCLE), o.run_at, KEY).drop("change")
+    return R.lifecycle(d, lifecycle_state(o, d), o.run_at, KEY).drop("change")
+
+
+def lifecycle_state(o: Outside, records: DataFrame) -> DataFrame:
+    """What is known of when records were made and changed: the table under the root, which starts as the one from outside and takes this run's changes.
+
+    It is updated before the records are written. If the run dies between, the next one finds its records unchanged since this run, as they are.
+    """
+    t = KeyedTable(records.sparkSession, f"{o.root}/lifecycle", KEY, name=None)
+    given = o.table("lifecycle", LIFECYCLE)
+    if not o.write:
+        return t.read() if t.exists() else given
+    if not t.exists():
+        t.upsert(given)
+    update_lifecycle(t, records.select(KEY, "content_hash"), o.run_at)
+    t.vacuum()
+    return t.read()

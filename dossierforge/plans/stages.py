@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..functions import vocab as V
 from ..operators import records as R
 from ..sources import tables
+from ..sources.keyed import KeyedTable
 
 ORDER = ["website-resolution", "content-collection", "fact-extraction", "content-summarization", "geocoding", "tagline-extraction", "global-scoring", "tagging", "translation", "dataset-output"]
 #: Stages whose tables each stage reads.
@@ -31,30 +32,34 @@ ALWAYS = {"dataset-output"}
 StageFn = Callable[[SparkSession, Mapping[str, DataFrame]], DataFrame]
 
 
+def table(spark: SparkSession, root: str, name: str) -> KeyedTable:
+    """The stage's table under root."""
+    return KeyedTable(spark, f"{root}/{name}")
+
+
 def run(spark: SparkSession, root: str, functions: Mapping[str, StageFn], resume: bool = False) -> dict[str, DataFrame]:
-    """Run the stages that functions has, in order, each to its end, and write their tables under root.
+    """Run the stages that functions has, in order, each to its end, and merge what they give into their tables under root.
 
-    With resume, rows of keys that a stage's table holds already stay as they are, whatever their status.
+    A key that a table holds under another name stops the run, with that table as it was. With resume, rows of keys that a stage's table holds already stay as they
+    are, whatever their status. A run that dies leaves each table with its last whole version; running again gives what one run would have.
     """
     done: dict[str, DataFrame] = {}
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
     for name in ORDER:
         if name not in functions:
             continue
-        path = f"{root}/{name}"
-        p = fs.Path(path)
-        there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-        inputs = dict(done)
-        if resume and there and name not in ALWAYS:
-            old = spark.read.parquet(path)
+        t, inputs = table(spark, root, name), dict(done)
+        if name in ALWAYS:
+            t.replace(functions[name](spark, inputs))
+        elif resume and t.exists():
+            old = t.read()
             first = READS.get(name, [None])[0]
             if first in inputs:
                 inputs[first] = R.pending(inputs[first], old)
-            new = functions[name](spark, inputs)
-            new.join(old.select("company_id"), "company_id", "left_anti").write.mode("append").parquet(path)
+            t.upsert(R.pending(functions[name](spark, inputs), old))
         else:
-            tables.write_stage(functions[name](spark, inputs), path)
-        done[name] = spark.read.parquet(path)
+            t.upsert(functions[name](spark, inputs))
+        t.vacuum()
+        done[name] = t.read()
     return done
 
 

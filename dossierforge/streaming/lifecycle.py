@@ -1,28 +1,22 @@
-"""The batch transforms over a stream of records: each micro-batch merges into the lifecycle table."""
+"""The batch transforms over a stream of records: each micro-batch merges into the lifecycle table that batch runs use as well."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import records as R
+from ..sources.keyed import KeyedTable, update_lifecycle
 
 
-def merge_stream(records: DataFrame, table: str, run_at: str, checkpoint: str) -> StreamingQuery:
-    """records(company_id, content_hash) into versions of the lifecycle table under `table`, one folder a batch, the last being whole.
+def merge_stream(records: DataFrame, table: str, run_at: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
+    """records(company_id, content_hash[, order]) into the lifecycle table at `table`, a version for each micro-batch.
 
-    A batch that runs twice writes the same folder, so a restart changes nothing.
+    Of several rows of a key in one batch the latest by `order` counts, then the greatest hash. The table remembers the number of the checkpoint's last batch, so a
+    batch that runs again after a restart changes nothing.
     """
+    order_column = order or "content_hash"
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        one = R.latest(batch, "company_id", "content_hash")
-        if epoch == 0:
-            prior = spark.createDataFrame([], "company_id string, created_at string, updated_at string, content_hash string")
-        else:
-            prior = spark.read.parquet(f"{table}/epoch={epoch - 1}")
-        new = R.lifecycle(one.select("company_id", "content_hash"), prior, run_at).select("company_id", "created_at", "updated_at", "content_hash")
-        kept = prior.join(new.select("company_id"), "company_id", "left_anti")
-        new.unionByName(kept.select(*new.columns)).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+        update_lifecycle(KeyedTable(batch.sparkSession, table, name=None), batch, run_at, order_column, (checkpoint, epoch))
 
     return records.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

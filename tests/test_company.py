@@ -2,9 +2,12 @@
 
 import json
 
+import pytest
+
 from dossierforge import __main__ as cli
 from dossierforge.functions import vocab as V
-from dossierforge.plans import company
+from dossierforge.plans import company, stages
+from dossierforge.sources.keyed import Clash, KeyedTable
 
 LONG = "We make sturdy wooden boats for canals and lakes, by hand, in a small yard near the river. " * 2
 
@@ -37,18 +40,18 @@ def test_offline_run_resume_and_stage(spark, tmp_path, capsys):
     root = str(tmp_path / "out")
     base = ["--input", seed, "--data-root", root, *_args(tables)]
     assert cli.main(["run", *base, "--publish"], spark) == 0
-    rows = {r["company_id"]: r for r in spark.read.parquet(f"{root}/dataset-output").collect()}
+    rows = {r["company_id"]: r for r in stages.table(spark, root, "dataset-output").read().collect()}
     assert set(rows) == {"acme", "beta", "gone"}
     acme = rows["acme"]
     assert acme["status"] == "ok" and acme["address"]["postcode"] == "1234 AB" and acme["address"]["street"] == "Kade 12"
     assert acme["geocoding"]["match_quality"] == "exact" and acme["geocoding"]["latlng"]["lat"] == 52.1
     assert acme["tagline"] is None and acme["created_at"] == acme["updated_at"]
-    content = {r["company_id"]: r for r in spark.read.parquet(f"{root}/content-collection").collect()}
+    content = {r["company_id"]: r for r in stages.table(spark, root, "content-collection").read().collect()}
     assert content["acme"]["status"] == "ok" and {p["slug"] for p in content["acme"]["pages"]} == {"index", "contact", "about", "team"}
     assert content["gone"]["status"] == content["beta"]["status"] == "fetch_failed" and content["beta"]["website"] == "https://beta.nl/"
     assert rows["gone"]["status"] == "empty"
     assert cli.main(["run", *base, "--resume"], spark) == 0
-    assert spark.read.parquet(f"{root}/fact-extraction").count() == 3
+    assert stages.table(spark, root, "fact-extraction").read().count() == 3
     capsys.readouterr()
     assert cli.main(["stage", "geocoding", *base, "--company", "acme", "--dry-run"], spark) == 0
     out = capsys.readouterr().out.strip().splitlines()
@@ -82,6 +85,30 @@ def test_online_run(spark, tmp_path):
     assert done["tagging"].where("company_id = 'gone'").first()["status"] == "upstream_failed"
 
 
+def test_runs_share_the_lifecycle_table_and_guard_names(spark, tmp_path):
+    seed, tables = _world(spark, tmp_path)
+    root = str(tmp_path / "out")
+
+    def run(at, **changed):
+        given = {n: spark.read.parquet(p) for n, p in tables.items()} | changed
+        o = company.Outside(company.tables.read_seed(spark, seed), root, at, **given)
+        return {r["company_id"]: (r["created_at"], r["updated_at"]) for r in company.run(spark, o)["dataset-output"].collect()}
+
+    first, later = "2026-01-02T00:00:00Z", "2026-02-02T00:00:00Z"
+    assert run(first) == {k: (first, first) for k in ("acme", "beta", "gone")}
+    assert run(later) == {k: (first, first) for k in ("acme", "beta", "gone")}  # nothing changed
+    moved = spark.createDataFrame([("adres", "1234AB", "Kade", 12, "Ede", "POINT(5.6 52.2)")], company.ADDRESSES)
+    assert run(later, addresses=moved) == {"acme": (first, later), "beta": (first, first), "gone": (first, first)}
+    t = KeyedTable(spark, f"{root}/lifecycle", name=None)
+    assert {r["company_id"]: r["updated_at"] for r in t.read().collect()} == {"acme": later, "beta": first, "gone": first}
+    before = stages.table(spark, root, "website-resolution").versions()
+    with open(seed, "w") as f:
+        json.dump([{"name": "ACME B.V."}], f)
+    with pytest.raises(Clash, match="ACME"):
+        run(later)
+    assert stages.table(spark, root, "website-resolution").versions() == before
+
+
 def test_seed_that_is_no_array(spark, tmp_path):
     bad = tmp_path / "seed.json"
     bad.write_text('{"name": "x"}')

@@ -6,6 +6,7 @@ from dossierforge.operators import records as R
 from dossierforge.operators import selection as S
 from dossierforge.operators import validate as N
 from dossierforge.sources import providers, tables
+from dossierforge.sources.keyed import KeyedTable, update_lifecycle
 from dossierforge.streaming.lifecycle import merge_stream
 
 PAGE = """<html><head><title>T &amp; x</title><meta name="description" content="d"><link rel="shortcut icon" href="/a.ico" sizes="192x192"><link rel="apple-touch-icon" href="/b.png" sizes="192x192">
@@ -127,10 +128,26 @@ def test_retries():
 
 
 def test_stream_merges_like_batch(spark, tmp_path):
-    spark.createDataFrame([("a", "1"), ("b", "2")], "company_id string, content_hash string").write.parquet(str(tmp_path / "in"))
-    q = merge_stream(spark.readStream.schema("company_id string, content_hash string").parquet(str(tmp_path / "in")), str(tmp_path / "life"), "T1", str(tmp_path / "cp"))
-    q.awaitTermination(120)
-    assert {r["company_id"]: r["created_at"] for r in spark.read.parquet(str(tmp_path / "life/epoch=0")).collect()} == {"a": "T1", "b": "T1"}
+    schema = "company_id string, content_hash string, seq long"
+    spark.createDataFrame([("a", "1", 1), ("b", "2", 1), ("a", "0", 2)], schema).write.parquet(str(tmp_path / "in"))
+    table = KeyedTable(spark, str(tmp_path / "life"), name=None)
+
+    def go(at, checkpoint="cp"):
+        q = merge_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "life"), at, str(tmp_path / checkpoint), "seq")
+        q.awaitTermination(120)
+        return {r["company_id"]: (r["content_hash"], r["created_at"], r["updated_at"]) for r in table.read().collect()}
+
+    first = {"a": ("0", "T1", "T1"), "b": ("2", "T1", "T1")}
+    assert go("T1") == first
+    spark.createDataFrame([("b", "2", 3), ("c", "3", 3), ("a", "9", 4)], schema).write.mode("append").parquet(str(tmp_path / "in"))
+    second = {"a": ("9", "T1", "T2"), "b": ("2", "T1", "T1"), "c": ("3", "T2", "T2")}
+    assert go("T2") == second
+    # the same micro-batch once more, as after a driver that died behind the commit
+    batch = spark.createDataFrame([("a", "other", 9)], schema)
+    version = table.versions()[-1]
+    assert update_lifecycle(table, batch, "T3", "seq", (str(tmp_path / "cp"), 1)) == version and go("T3") == second
+    update_lifecycle(table, batch.select("company_id", "content_hash"), "T3")  # a batch run on the same table
+    assert {r["company_id"]: r["updated_at"] for r in table.read().collect()} == {"a": "T3", "b": "T1", "c": "T2"}
 
 
 def test_geocode_rows_with_null_keys(spark):
