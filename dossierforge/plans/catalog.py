@@ -14,7 +14,8 @@ from ..operators import html as H
 from ..operators import records as R
 from ..operators import selection as S
 from ..operators import validate as N
-from ..sources import providers, tables
+from ..sources import providers, tables, web
+from ..sources.keyed import KeyedTable, shared_dir, update_lifecycle
 from . import stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -445,6 +446,104 @@ def surface_merge(spark, sf_dir):
     return S.merged_surfaces(p.unionByName(r))
 
 
+_FIRST = "SELECT c_custkey AS company_id, CASE WHEN c_custkey % 7 = 0 THEN ' ' ELSE c_name END AS name, c_acctbal AS amount FROM customer WHERE c_custkey % 4 <> 0"
+_SECOND = "SELECT c_custkey AS company_id, c_name AS name, -c_acctbal AS amount, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 = 0"
+
+
+@_query(f"""SELECT company_id, coalesce(s.name, f.name) AS name, CASE WHEN s.name IS NULL THEN f.amount ELSE s.amount END AS amount, segment
+FROM (SELECT * FROM ({_FIRST}) WHERE trim(name) <> '') f FULL JOIN ({_SECOND}) s USING (company_id)""")
+def keyed_upsert(spark, sf_dir):
+    _t(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    t = KeyedTable(spark, shared_dir(spark, "keyed"))
+    for batch in (_FIRST, _SECOND, _SECOND):
+        t.upsert(spark.sql(batch))
+    return t.read()
+
+
+_STATES = "SELECT o_orderkey AS company_id, o_custkey AS seq, CASE WHEN {0} THEN o_orderstatus ELSE o_orderpriority END AS content_hash FROM orders WHERE {1}"
+
+
+@_query("""SELECT o_orderkey AS company_id, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 2 <> 0 THEN o_orderpriority ELSE o_orderstatus END AS content_hash,
+CASE WHEN o_orderkey % 3 = 0 THEN '2026-01-02T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS created_at,
+CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 AND o_orderkey % 2 <> 0 THEN '2026-01-02T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS updated_at FROM orders""")
+def lifecycle_state(spark, sf_dir):
+    _t(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    t = KeyedTable(spark, shared_dir(spark, "lifecycle"), name=None)
+    update_lifecycle(t, spark.sql(_STATES.format("true", "o_orderkey % 3 <> 0")), "2026-01-01T00:00:00Z", "seq", ("orders", 0))
+    for _ in range(2):  # the second one is known and changes nothing
+        update_lifecycle(t, spark.sql(_STATES.format("NOT (o_orderkey % 5 = 0 AND o_orderkey % 2 <> 0)", "o_orderkey % 2 <> 0 OR o_orderkey % 3 = 0")), "2026-01-02T00:00:00Z", "seq", ("orders", 1))
+    return t.read()
+
+
+_ENGINES = ["first", "second", "third"]
+_ANSWERS = """SELECT s_suppkey AS company_id, CASE e WHEN 0 THEN 'first' WHEN 1 THEN 'second' WHEN 2 THEN 'third' ELSE 'unasked' END AS engine, a AS attempt, CASE WHEN (s_suppkey + e * 3 + a) % 5 < 2 THEN concat('https://', e, '.example/', s_suppkey) WHEN s_suppkey % 4 = 0 THEN ' ' END AS url,
+CASE WHEN (s_suppkey * 7 + e + a * 2) % 6 = 0 THEN concat('busy ', e) END AS error FROM supplier, {engines}, {attempts} WHERE a = 1 OR (s_suppkey * 7 + e + 2) % 6 = 0"""
+
+
+@_query(f"""WITH x AS ({_ANSWERS.format(engines='(VALUES (0), (1), (2), (3)) v(e)', attempts='(VALUES (1), (2)) w(a)')}),
+y AS (SELECT *, CASE engine WHEN 'first' THEN 0 WHEN 'second' THEN 1 WHEN 'third' THEN 2 END AS r, row_number() OVER (PARTITION BY company_id, engine ORDER BY attempt DESC) AS back FROM x WHERE engine <> 'unasked'),
+z AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY r) AS nth FROM y WHERE back = 1 AND (error IS NULL AND trim(coalesce(url, '')) <> '' OR attempt = 2 AND error IS NOT NULL))
+SELECT s_suppkey AS company_id, CASE WHEN error IS NULL THEN url END AS website, engine, attempt::INT AS attempts, error FROM supplier LEFT JOIN (SELECT * FROM z WHERE nth = 1) ON company_id = s_suppkey""")
+def search_answered(spark, sf_dir):
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    hits = spark.sql(_ANSWERS.format(engines="(SELECT explode(array(0, 1, 2, 3)) AS e)", attempts="(SELECT explode(array(1, 2)) AS a)"))
+    return web.answered(hits, _ENGINES)
+
+
+def _engine(e: int):
+    def make():
+        failed = set()
+
+        def ask(query: str) -> str | None:
+            n = int(query.split()[-1])
+            if (n + e) % 7 == 0 and (n % 2 == 0 or n not in failed):  # even ones fail twice
+                failed.add(n)
+                raise ValueError("refused")
+            return f"https://{e}.example/{n}" if (n * 3 + e) % 4 == 0 else None
+
+        return ask
+
+    return make
+
+
+_HIT = "(n * 3 + {e}) % 4 = 0"
+_BUSY = "(n + {e}) % 7 = 0"
+
+
+@_query("SELECT n AS company_id, CASE WHEN hit THEN 'https://' || e || '.example/' || n END AS website, ['first', 'second', 'third'][e + 1] AS engine, CASE WHEN e IS NOT NULL THEN CASE WHEN busy THEN 2 ELSE 1 END END::INT AS attempts, CASE WHEN e IS NOT NULL AND NOT hit THEN 'ValueError: refused' END AS error FROM "
+        f"""(SELECT s_suppkey AS n FROM supplier) LEFT JOIN (SELECT n, e, {_BUSY.format(e='e')} AS busy, {_HIT.format(e='e')} AND NOT ({_BUSY.format(e='e')} AND n % 2 = 0) AS hit
+FROM (SELECT s_suppkey AS n, e FROM supplier, (VALUES (0), (1), (2)) v(e)) WHERE {_HIT.format(e='e')} OR {_BUSY.format(e='e')} AND n % 2 = 0 QUALIFY row_number() OVER (PARTITION BY n ORDER BY e) = 1) USING (n)""")
+def search_chain(spark, sf_dir):
+    asked = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"), F.concat(F.lit("who is "), F.col("s_suppkey")).alias("query"))
+    return web.search_chain(asked, [(n, _engine(e)) for e, n in enumerate(_ENGINES)], wait_s=0.0, spacing=0.0)
+
+
+def _site():
+    """Answers by the length of a URL, so that the SQL can say the same."""
+    late = set()
+
+    def request(url: str) -> web.Fetched:
+        n = len(url)
+        if n % 7 == 1 or n % 7 == 2 and url not in late:
+            late.add(url)
+            raise web.Retryable("timeout", "late")
+        late.discard(url)
+        if n % 7 == 3:
+            return web.Fetched(url, None, "http_404", "HTTP 404")
+        if n % 7 == 4:
+            raise RuntimeError("odd")
+        return web.Fetched(url + "/moved" if n % 7 == 5 else url, url.upper())
+
+    return request
+
+
+@_query("""SELECT url, CASE WHEN n = 5 THEN url || '/moved' ELSE url END AS final_url, CASE WHEN n NOT IN (1, 3, 4) THEN upper(url) END AS html, CASE n WHEN 1 THEN 'timeout' WHEN 3 THEN 'http_404' WHEN 4 THEN 'transport' END AS error_kind,
+CASE n WHEN 1 THEN 'late' WHEN 3 THEN 'HTTP 404' WHEN 4 THEN 'RuntimeError: odd' END AS error, CASE WHEN n IN (1, 2) THEN 2 ELSE 1 END::INT AS attempts, (row_number() OVER (PARTITION BY lower(regexp_extract(url, '://([^/?#]+)', 1)) ORDER BY url))::INT AS turn
+FROM (SELECT url, length(url) % 7 AS n FROM pages)""")
+def fetch_politely(spark, sf_dir):
+    return web.fetch_politely(_t(spark, sf_dir, "pages").select("url"), _site, gap=0.0).drop("started_at")
+
+
 def _echo():
     def call(text: str) -> str:
         if text.endswith("7"):

@@ -59,7 +59,7 @@ def with_retries(call: Callable[[], str], retries: int = RETRIES, sleep: Callabl
     raise AssertionError
 
 
-def run_pending(df: DataFrame, make: Callable[[], Callable[[str], str]], request: str = "request", key: str = "company_id", concurrency: int = 8, tasks: int = 8, spacing: float = 0.0) -> DataFrame:
+def run_pending(df: DataFrame, make: Callable[[], Callable[[str], str]], request: str = "request", key: str = "company_id", concurrency: int = 8, tasks: int = 8, spacing: float = 0.0, retries: int = RETRIES) -> DataFrame:
     """(key, answer, error) for each row of df(key, request), which should hold pending rows only.
 
     make() opens a provider once a task; a task keeps `concurrency` calls going. A call that fails gives its row an
@@ -73,7 +73,7 @@ def run_pending(df: DataFrame, make: Callable[[], Callable[[str], str]], request
             try:
                 if spacing:
                     time.sleep(spacing)
-                return with_retries(lambda: call(text)), None
+                return with_retries(lambda: call(text), retries), None
             except Exception as e:  # noqa: BLE001  a row's failure is that row's result
                 return None, f"{type(e).__name__}: {e}"
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vocab as V
 from ..operators import records as R
+from .keyed import shared_dir
 
 SEED = "name STRING, website STRING, notes STRING"
 
@@ -59,6 +62,13 @@ def harvest_sitemaps(roots: DataFrame, fetched: DataFrame, key: str = "company_i
     return own.unionByName(below)
 
 
+def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """df, written as Parquet in a new folder under root or in the shared folder, and read back."""
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}" if root else shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_stage(df: DataFrame, path: str, key: str = "company_id") -> None:
     """Write a stage's table once no key stands for two names."""
     if "name" in df.columns:
