@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vocab as V
+from .entities import unescape
 
 POSTCODE = "(?<![A-Za-z0-9@])[0-9]{4}[ \\t\\xa0]*[A-Z]{2}(?![A-Za-z0-9.])"
 _BLANK = "[ \\t\\r\\xa0]"
@@ -15,13 +16,6 @@ def _any_of(words: list[str]) -> str:
     return "|".join(w.replace(".", "[.]") for w in words)
 
 
-def unescape(c: Column) -> Column:
-    """The character references that footers use."""
-    for a, b in (("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&bull;", "•"), ("&euro;", "€"), ("&eacute;", "é"), ("&euml;", "ë"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
 def city_after(after: Column) -> Column:
     """The city in the text behind a postcode, or null."""
     c = F.regexp_replace(unescape(after), "^[ \\t\\r\\xa0,\\n|]+", "")

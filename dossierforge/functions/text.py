@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab as V
+from .letters import plain_letters
 
 
 def _array(values: list[str]) -> Column:
@@ -20,11 +21,8 @@ def bind(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def slugify(c: Column) -> Column:
-    """Lower case, marks dropped, other characters to single hyphens. Letters outside the Latin tables go."""
-    c = F.translate(F.lower(c), V.ACCENTS_FROM, V.ACCENTS_TO)
-    for a, b in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    c = F.regexp_replace(c, r"(?<=[0-9]),(?=[0-9])", "")
+    """Lower case, letters spelled in a to z (see letters.plain_letters), other characters to single hyphens."""
+    c = F.regexp_replace(plain_letters(c), r"(?<=[0-9]),(?=[0-9])", "")
     return F.regexp_replace(F.regexp_replace(c, r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
 
 
@@ -66,14 +64,6 @@ def canonical_base(url: Column) -> Column:
     return F.when(url.rlike(_URL), F.concat(scheme(url), F.lit("://"), netloc(url), F.regexp_replace(url_path(url), ";[^/]*$", "")))
 
 
-def registered_domain(url: Column) -> Column:
-    """The host below its public suffix; hosts without a known suffix are taken whole, without www."""
-    host = F.lower(F.regexp_replace(F.regexp_replace(netloc(url), r"^.*@", ""), r":[0-9]+$", ""))
-    two = F.regexp_extract(host, rf"([^.]+\.(?:{'|'.join(s.replace('.', '[.]') for s in V.SUFFIXES_2)}))$", 1)
-    one = F.regexp_extract(host, rf"([^.]+\.(?:{'|'.join(V.SUFFIXES_1)}))$", 1)
-    return F.when(two != "", two).when(one != "", one).otherwise(F.regexp_replace(F.lower(netloc(url)), r"^www\.", ""))
-
-
 def has_excluded_extension(path: Column) -> Column:
     last = F.substring_index(F.lower(path), "/", -1)
     return last.contains(".") & F.substring_index(last, ".", -1).isin(V.EXCLUDED_EXTENSIONS)

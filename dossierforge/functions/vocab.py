@@ -59,10 +59,9 @@ ISCO = (
 # Elements whose edges are line breaks in extracted text
 BLOCK_TAGS = "address article aside blockquote br div dd dl dt fieldset footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
 
-# Public suffixes of two labels, and the top-level domains that count as suffixes; other hosts are taken whole
-SUFFIXES_2 = "co.uk org.uk ac.uk gov.uk com.au net.au org.au co.nz co.jp co.za com.br com.cn com.tr co.in co.kr".split()
-SUFFIXES_1 = "com net org nl be de fr es it eu uk io co info biz dev app ai nu me tv at ch dk se no fi pl pt ie lu us ca au nz jp br in cn tech cloud online shop amsterdam frl".split()
-
-# Letters with marks, and what they become in a slug
-ACCENTS_FROM = "àáâãäåāăąçćčďèéêëēęěìíîïīłñńňòóôõöøōőřśšťùúûüūůűýÿžźż"
-ACCENTS_TO = "aaaaaaaaacccdeeeeeeeiiiiilnnnoooooooorsstuuuuuuuyyzzz"
+# Public suffixes, in the form of the public list: a name, *.name (any label before it) or !name (none after all); other hosts are taken whole
+SUFFIX_RULES = (
+    "com net org nl be de fr es it eu uk io co info biz dev app ai nu me tv at ch dk se no fi pl pt ie lu us ca au nz jp br in cn tech cloud online shop amsterdam frl "
+    "co.uk org.uk ac.uk gov.uk com.au net.au org.au co.nz co.jp co.za com.br com.cn com.tr co.in co.kr "
+    "*.ck !www.ck *.bd *.np *.mm *.er *.fk *.kw *.kawasaki.jp !city.kawasaki.jp *.kobe.jp !city.kobe.jp *.nagoya.jp !city.nagoya.jp"
+).split()

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import domains as D
 from ..functions import text as T
 from ..functions import vocab as V
 
@@ -205,7 +206,7 @@ def _absolute(base: pd.Series, own: pd.Series, links: pd.Series) -> pd.Series:
 def internal_links(pages: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
     """pages(key, url, page struct) to a row per internal link, in document order, each once: pos, link."""
     d = pages.select(key, F.col(url).alias("own"), F.posexplode(absolute(F.col("page.base"), F.col(url), F.col("page.links"))).alias("pos", "link"))
-    d = d.where(F.col("link").rlike("(?i)^https?://")).where(T.registered_domain(F.col("link")) == T.registered_domain(F.col("own")))
+    d = d.where(F.col("link").rlike("(?i)^https?://")).where(D.registered_domain(F.col("link")) == D.registered_domain(F.col("own")))
     d = d.where(~T.has_excluded_extension(T.url_path(F.col("link"))))
     d = d.withColumn("link", F.regexp_replace("link", r"[?#].*$", "")).where(F.col("link") != F.regexp_replace("own", r"[?#].*$", ""))
     first = Window.partitionBy(key, "link").orderBy("pos")

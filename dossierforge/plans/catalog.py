@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address as A
+from ..functions import domains as D
 from ..functions import text as T
 from ..functions import vocab as V
+from ..functions.entities import unescape
 from ..operators import html as H
 from ..operators import records as R
 from ..operators import selection as S
@@ -98,7 +100,54 @@ _HOST = "CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'https://www.acme.example/
 
 @_query("SELECT page_id, CASE page_id % 4 WHEN 1 THEN 'acme.example' WHEN 2 THEN 'b.co.uk' WHEN 3 THEN 'acme.nl' ELSE regexp_extract(lower(url), '://[^/?#]*?([^./?#]+\\.(?:com|net|org))(?:[/?#]|$)', 1) END AS domain FROM pages")
 def registered_domain(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", T.registered_domain(F.expr(_HOST)).alias("domain"))
+    return _t(spark, sf_dir, "pages").select("page_id", D.registered_domain(F.expr(_HOST)).alias("domain"))
+
+
+# hosts and what is registered: known suffixes of one and two labels, any label below, exceptions, unknown suffixes, hosts that are suffixes
+_REGISTERED = [
+    ("https://shop.acme.nl/x", "acme.nl"), ("http://a.b.acme.co.uk:80/", "acme.co.uk"), ("https://www.x.city.ck/", "x.city.ck"), ("https://www.ck/", "www.ck"), ("https://a.www.ck/", "www.ck"), ("https://city.ck/", "city.ck"), ("https://b.city.kawasaki.jp/", "city.kawasaki.jp"),
+    ("https://a.b.c.kawasaki.jp/", "b.c.kawasaki.jp"), ("https://u:p@WWW.Acme.Example/", "u:p@www.acme.example"), ("https://www.acme.example/", "acme.example"), ("https://co.uk/", "co.uk"), ("http://10.0.0.1:8080/", "10.0.0.1:8080"), ("https://acme.com./", "acme.com"), ("https://deep.er.st.acme.fk/", "st.acme.fk"),
+]
+_WITH_URL = "CASE (page_id * 5) % {n} " + " ".join(f"WHEN {i} THEN '{u}'" for i, (u, _) in enumerate(_REGISTERED)) + " END"
+_SUFFIX_SQL = "SELECT page_id, CASE (page_id * 5) % {n} " + " ".join(f"WHEN {i} THEN '{d}'" for i, (_, d) in enumerate(_REGISTERED)) + " END AS domain FROM pages"
+
+
+@_query(_SUFFIX_SQL.format(n=len(_REGISTERED)))
+def public_suffix(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", D.registered_domain(F.expr(_WITH_URL.format(n=len(_REGISTERED)))).alias("domain"))
+
+
+@_query(_SUFFIX_SQL.format(n=len(_REGISTERED)))
+def public_suffix_table(spark, sf_dir):
+    rules = spark.createDataFrame(list(D.rules_of(V.SUFFIX_RULES).items()), "name string, kind int")
+    d = _t(spark, sf_dir, "pages").select("page_id", F.expr(_WITH_URL.format(n=len(_REGISTERED))).alias("url"))
+    return D.with_registered_domain(d, rules).select("page_id", "domain")
+
+
+# names in several scripts and their slugs
+_SCRIPTS = [
+    ("Łódź Straße & Zoë", "lodz-strasse-zoe"), ("Москва Щука, Ёлка", "moskva-shchuka-iolka"), ("Ελλάδα Ψυχή", "ellada-psukhe"), ("서울 한국", "seoul-hangug"), ("Ｆｕｌｌ Ｗｉｄｔｈ １２", "full-width-12"), ("ﬁne ĳs Œuvre", "fine-ijs-oeuvre"), ("Thüringen 1,000", "thuringen-1000"),
+    ("さくら カメラ", "sakura-kamera"), ("საქართველო", "sakartvelo"), ("東京", "u6771-u4eac"), ("İstanbul Ağrı", "istanbul-agri"), ("Đặng Þór", "dang-thor"), ("Київ", "kiyiv"), ("plain name", "plain-name"), ("!!! ???", ""),
+]
+
+
+@_query("SELECT c_custkey, trim(CASE c_custkey % {n} {cases} END || '-' || c_custkey, '-') AS slug FROM customer".format(n=len(_SCRIPTS), cases=" ".join(f"WHEN {i} THEN '{b}'" for i, (_, b) in enumerate(_SCRIPTS))))
+def slug_scripts(spark, sf_dir):
+    name = "CASE c_custkey % {n} {cases} END".format(n=len(_SCRIPTS), cases=" ".join(f"WHEN {i} THEN '{a}'" for i, (a, _) in enumerate(_SCRIPTS)))
+    return _t(spark, sf_dir, "customer").select("c_custkey", T.slugify(F.concat(F.expr(name), F.lit(" "), "c_custkey")).alias("slug"))
+
+
+# texts with character references and what they say
+_REFERENCES = [
+    ("Ede &ndash; Wageningen", "Ede – Wageningen"), ("Caf&#235; &#xEB;&#XeB", "Café ëë".replace("é", "ë")), ("&notit; &notin; &not", "¬it; ∉ ¬"), ("a &amp;amp; b &AMP c", "a &amp; b & c"), ("&#128; &#x80 &#150;", "€ € –"), ("&#0; &#xD800; &#99999999999;", "� � �"), ("&#1;|&#11;|&#xFFFE;|&#127;", "|||"),
+    ("&nosuch; & &; &#; &#x;", "&nosuch; & &; &#; &#x;"), ("&CounterClockwiseContourIntegral;", "∳"), ("&acE;&fjlig;", "∾̳fj"), ("&copy2024 &copyx &euml", "©2024 ©x ë"), ("&#x1F600;&#128512;", "😀😀"), ("none", "none"), ("&ampersand &lt;p&gt", "&ersand <p>"),
+]
+
+
+@_query("SELECT s_suppkey, CASE s_suppkey % {n} {cases} END || s_suppkey AS text FROM supplier".format(n=len(_REFERENCES), cases=" ".join(f"WHEN {i} THEN '{b}|'" for i, (_, b) in enumerate(_REFERENCES))))
+def entities_decode(spark, sf_dir):
+    text = F.element_at(F.array(*(F.lit(f"{a}|") for a, _ in _REFERENCES)), F.expr(f"cast(s_suppkey % {len(_REFERENCES)} + 1 AS int)"))
+    return _t(spark, sf_dir, "supplier").select("s_suppkey", unescape(F.concat(text, F.col("s_suppkey").cast("string"))).alias("text"))
 
 
 _SLUGS = ["contact-2", "support-contact", "privacybeleid", "over-ons", "about-us", "discover-qualify", "index", "blog", "colofon", "team"]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address as A
+from ..functions import domains as D
 from ..functions import text as T
 from ..functions import vocab as V
 from ..operators import html as H
@@ -92,7 +93,7 @@ def site_links(sites: DataFrame, home: DataFrame, web: DataFrame) -> DataFrame:
     roots = sites.withColumns({"origin": origin, "robots_url": F.concat(origin, F.lit("/robots.txt"))}).join(robots, "robots_url", "left")
     locs = tables.harvest_sitemaps(roots.select(KEY, tables.sitemap_url(F.col("robots"), F.col("origin")).alias("url")), web, KEY)
     named = locs.join(sites.select(KEY, "homepage"), KEY).where(F.col("loc").rlike("(?i)^https?://") & (F.col("loc") != F.col("homepage")))
-    named = named.where((T.registered_domain(F.col("loc")) == T.registered_domain(F.col("homepage"))) & ~T.has_excluded_extension(T.url_path(F.col("loc"))))
+    named = named.where((D.registered_domain(F.col("loc")) == D.registered_domain(F.col("homepage"))) & ~T.has_excluded_extension(T.url_path(F.col("loc"))))
     named = named.select(KEY, F.col("loc").alias("link"), (F.lit(SITEMAP_ORD) * (1 + F.col("child")) + F.col("pos")).cast("long").alias("ord"))
     pool = own.unionByName(named).groupBy(KEY, "link").agg(F.min("ord").alias("ord"))
     return pool.join(sites.select(KEY, "homepage"), KEY)

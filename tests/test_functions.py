@@ -1,8 +1,16 @@
+import html
+import random
+import unicodedata
+from html.entities import html5
+
 import pytest
 from pyspark.sql import functions as F
 
 from dossierforge.functions import address as A
+from dossierforge.functions import domains as D
+from dossierforge.functions import letters
 from dossierforge.functions import text as T
+from dossierforge.functions.entities import unescape
 
 
 def values(spark, fn, inputs):
@@ -83,3 +91,57 @@ def test_prepare(spark):
     rows = [("Cambridgelaan 771", "Cambridgelaan", 771), ("Europalaan 100a", "Europalaan", 100), ("Turbinestraat 8c1", "Turbinestraat", 8), ("Smallepad 5-7", "Smallepad", 5), ("<br>", None, None), ("Parnassusweg 793, 1082 LZ", "Parnassusweg", 793)]
     d = spark.createDataFrame([(r[0],) for r in rows], "s string").select("s", A.prepare(F.col("s"), F.lit("1082 LZ"), F.lit("Ede"), F.lit("NL")).alias("p"))
     assert {r["s"]: (r["p"]["street_name"], r["p"]["house_no"]) for r in d.collect()} == {s: (n, h) for s, n, h in rows}
+
+
+def test_unescape_equals_the_standard_library(spark):
+    rng = random.Random(1)
+    texts = [f"x&{n}{after}" for n in html5 for after in ("", "z", " ;")]
+    texts += [f"&#{i}{end}" for i in [*range(0, 260), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0x1FFFF, 0x10FFFD, 0x10FFFF, 0x110000, 10**12] for end in (";", "", "x")]
+    texts += [f"&#{x}{i:x};" for i in (0, 0x80, 0x20AC, 0x1F600, 0x110000) for x in "xX"] + ["&#00000000000000000065;", "&#x000000000041", "&#;", "&#x;", "&#xg;", "&", "&&amp;;", "& amp;", "&#38;amp;", None, ""]
+    texts += ["".join(rng.choice(["&", "#", "x", "amp", "not", "in", ";", "lt", "1", "9", " ", "\n", "é"]) for _ in range(rng.randrange(9))) for _ in range(800)]
+    got = values(spark, unescape, texts)
+    assert [(t, g) for t, g in zip(texts, got, strict=True) if g != (None if t is None else html.unescape(t))] == []
+
+
+def test_letters(spark):
+    one_from, one_to, many = letters.tables()
+    assert len(one_from) == len(one_to) == len(set(one_from)) and not set(one_from) & many.keys() and one_to.isascii()
+    marked = [c for c in map(chr, range(0xC0, 0x250)) if unicodedata.decomposition(c)]
+    got = values(spark, letters.plain_letters, marked)
+    assert all(g.isascii() for g in got)
+    assert values(spark, letters.plain_letters, ["e\u0301te\u0301", "Zoë", "ЩЁ", "한글", "中x", "a–b", None, ""]) == ["ete", "zoe", "shchio", "hangeul", " u4e2d x", "a–b", None, ""]
+    syllables = [chr(0xAC00 + i) for i in range(0, 11172, 97)]
+    assert values(spark, letters.plain_letters, syllables) == [unicodedata.name(c).rsplit(" ", 1)[1].lower() for c in syllables]
+    assert values(spark, T.company_id, ["東京 B.V.", "東京", "北京"]) == ["u6771-u4eac", "u6771-u4eac", "u5317-u4eac"]
+
+
+def _domain(host, rules):
+    """Every rule against every host, as the public list says."""
+    labels, best = host.split("."), None
+    for rule in rules:
+        want = rule.lstrip("!").split(".")
+        if len(want) <= len(labels) and all(a in ("*", b) for a, b in zip(want, labels[-len(want) :], strict=True)):
+            if rule.startswith("!"):
+                best = len(want) - 1
+                break
+            best = max(best or 0, len(want))
+    if best is None or len(labels) <= best:
+        return host[4:] if host.startswith("www.") else host
+    return ".".join(labels[-best - 1 :])
+
+
+def test_registered_domain(spark, tmp_path):
+    rng = random.Random(3)
+    lines = ["com", "*.ck", "!www.ck", "co.uk", "uk", "a.b.c", "*.b.c", "!x.b.c", "*.deep.com", "!no.deep.com"]
+    hosts = sorted({".".join(rng.choice(["a", "b", "c", "x", "www", "com", "ck", "uk", "co", "deep", "no"]) for _ in range(rng.randrange(1, 6))) for _ in range(300)})
+    rules = D.rules_of([*lines, "// remark", "", "COM // again"])
+    want = [_domain(h, sorted(lines, key=lambda x: not x.startswith("!"))) for h in hosts]
+    urls = [f"https://{h}/p" for h in hosts]
+    assert values(spark, lambda u: D.registered_domain(u, rules), urls) == want
+    (tmp_path / "list.dat").write_text("\n".join(["// head", *lines, "", "  "]))
+    read = D.read_rules(spark, str(tmp_path / "list.dat"))
+    assert {r["name"]: r["kind"] for r in read.collect()} == rules
+    d = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, None, urls[0], "no url"])], "i int, url string")
+    for rows in (100, 0):
+        got = [r["domain"] for r in D.with_registered_domain(d, read, broadcast_rows=rows).orderBy("i").collect()]
+        assert got[: len(want)] == want and got[len(want)] is None and got[len(want) + 1] == want[0]

@@ -1,4 +1,5 @@
 import os
+import re
 
 import duckdb
 import pytest
@@ -37,4 +38,4 @@ NATIVE = ["company_id_derive", "url_slug", "postcode_candidates", "dataset_assem
 @pytest.mark.parametrize("name", NATIVE)
 def test_native_queries_have_no_python_node(spark, name):
     plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Pandas" not in plan and not re.search("InArrow|ArrowEval", plan)  # names of character references end in Arrow, too
