@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import text as T
 from . import vocab as V
+from .letters import literal_map
 
 #: What a rule says of its name: a suffix; any label before it makes a suffix; it is no suffix, though such a rule says so.
 SUFFIX, ANY_BELOW, EXCEPT = 1, 2, 4
@@ -41,8 +41,7 @@ def host_of(url: Column) -> Column:
 
 def _names(host: Column) -> Column:
     """The host's own endings, the whole of it first."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return T.bind(F.split(host, r"\."), lambda labels: F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")))
 
 
 def _below(host: Column, n: Column) -> Column:
@@ -66,12 +65,12 @@ def registered_domain(url: Column, rules: dict[str, int] | None = None) -> Colum
 
     A rule *.name needs a label in its place: a host that is no longer than its suffix is taken whole.
     """
-    known = F.from_json(F.lit(json.dumps(rules_of(V.SUFFIX_RULES) if rules is None else rules)), "map<string,int>")
+    known = literal_map(rules_of(V.SUFFIX_RULES) if rules is None else rules)
 
     def found(host: Column) -> Column:
-        names = _names(host)
-        kinds = F.transform(names, lambda x, i: F.struct((F.size(names) - i).alias("labels"), F.try_element_at(known, x).alias("kind")))
-        return _below(host, _suffix_labels(F.filter(kinds, lambda r: r["kind"].isNotNull())))
+        rule = lambda x, i: F.struct((F.size(F.split(host, r"\.")) - i).alias("labels"), F.try_element_at(known, x).alias("kind"))
+        named = F.filter(F.transform(_names(host), rule), lambda r: r["kind"].isNotNull())
+        return T.bind(T.bind(named, _suffix_labels), lambda n: _below(host, n))
 
     return F.coalesce(T.bind(host_of(url), found), _whole(url))
 

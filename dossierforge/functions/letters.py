@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import unicodedata
+from collections.abc import Mapping
 from functools import cache
 
 from pyspark.sql import Column
@@ -38,6 +38,17 @@ def tables() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(one.values()), many
 
 
+def literal_map(entries: Mapping[str, object]) -> Column:
+    """A map of constants, which the optimizer keeps as one value; inner mappings become maps."""
+
+    def said(x: object) -> str:
+        if isinstance(x, Mapping):
+            return f"map({', '.join(f'{said(k)}, {said(v)}' for k, v in x.items())})"
+        return str(x) if isinstance(x, int) else "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return F.expr(said(entries))
+
+
 def _hangul() -> list[list[str]]:
     """How the parts of a syllable sound: what the names of syllables share."""
     name = lambda i: unicodedata.name(chr(HANGUL + i)).rsplit(" ", 1)[1].lower()
@@ -54,7 +65,7 @@ def plain_letters(c: Column) -> Column:
     """
     c = F.lower(c)
     one_from, one_to, many = tables()
-    spelled = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
+    spelled = literal_map(many)
     firsts, vowels, ends = (F.array(*map(F.lit, x)) for x in _hangul())
 
     def letter(x: Column) -> Column:

@@ -130,8 +130,8 @@ def _postal(node) -> list[str]:
     return out
 
 
-def _parse(page: str | None) -> _Page:
-    p = _Page()
+def _parse(page: str | None, p: HTMLParser | None = None) -> HTMLParser:
+    p = p or _Page()
     try:
         p.feed(page or "")
         p.close()
@@ -203,10 +203,44 @@ def _absolute(base: pd.Series, own: pd.Series, links: pd.Series) -> pd.Series:
     return pd.Series([join(*x) for x in zip(base, own, links, strict=True)])
 
 
-def internal_links(pages: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
-    """pages(key, url, page struct) to a row per internal link, in document order, each once: pos, link."""
-    d = pages.select(key, F.col(url).alias("own"), F.posexplode(absolute(F.col("page.base"), F.col(url), F.col("page.links"))).alias("pos", "link"))
-    d = d.where(F.col("link").rlike("(?i)^https?://")).where(D.registered_domain(F.col("link")) == D.registered_domain(F.col("own")))
+class _Links(HTMLParser):
+    """The base and the links of a page, nothing else."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.base, self.links = None, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("a", "base"):
+            href = next((v or "" for k, v in reversed(attrs) if k == "href"), None)
+            if tag == "a" and href is not None:
+                self.links.append(href)
+            elif tag == "base" and self.base is None:
+                self.base = href
+
+
+def page_links(html: Column | str, url: Column | str) -> Column:
+    """The absolute links of a page in document order, read and resolved in one pass."""
+    return F.pandas_udf(_page_links, "array<string>")(html, url)
+
+
+def _page_links(html: pd.Series, url: pd.Series) -> pd.Series:
+    pages = [_parse(page, _Links()) for page in html]
+    return _absolute(pd.Series([p.base for p in pages]), url, pd.Series([p.links for p in pages]))
+
+
+def spread(d: DataFrame) -> DataFrame:
+    """d over all cores, if it has fewer partitions than those: a small file is one partition, however long its pages take to read."""
+    n = d.sparkSession.sparkContext.defaultParallelism
+    return d.repartition(n) if d.rdd.getNumPartitions() < n else d
+
+
+def internal_links(pages: DataFrame, url: str = "url", key: str = "page_id", links: Column | None = None) -> DataFrame:
+    """pages(key, url, page struct) to a row per internal link, in document order, each once: pos, link. links: the page's absolute links, where they are there already."""
+    found = absolute(F.col("page.base"), F.col(url), F.col("page.links")) if links is None else links
+    d = pages.select(key, F.col(url).alias("own"), found.alias("found")).where(F.size("found") > 0).withColumn("own_domain", D.registered_domain(F.col("own")))
+    d = d.select(key, "own", "own_domain", F.posexplode("found").alias("pos", "link"))
+    d = d.where(F.col("link").rlike("(?i)^https?://")).where(D.registered_domain(F.col("link")) == F.col("own_domain"))
     d = d.where(~T.has_excluded_extension(T.url_path(F.col("link"))))
     d = d.withColumn("link", F.regexp_replace("link", r"[?#].*$", "")).where(F.col("link") != F.regexp_replace("own", r"[?#].*$", ""))
     first = Window.partitionBy(key, "link").orderBy("pos")

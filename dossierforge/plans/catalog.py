@@ -176,7 +176,7 @@ def tier_classify(spark, sf_dir):
 
 
 def _pages(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").withColumn("page", H.read_page("html"))
+    return H.spread(_t(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("page", H.read_page("html"))
 
 
 _ABS = "regexp_extract(url, '^[A-Za-z]+://[^/?#]+')"
@@ -186,7 +186,8 @@ _ABS = "regexp_extract(url, '^[A-Za-z]+://[^/?#]+')"
 (SELECT page_id, url, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hs FROM pages)) WHERE NOT regexp_matches(lower(h), '\\.({'|'.join(V.EXCLUDED_EXTENSIONS)})$'))
 WHERE link <> regexp_replace(url, '[?#].*$', '') GROUP BY page_id, link""")
 def internal_links(spark, sf_dir):
-    return H.internal_links(_pages(spark, sf_dir)).withColumn("pos", F.col("pos").cast("int"))
+    pages = H.spread(_t(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return H.internal_links(pages, links=H.page_links("html", "url")).withColumn("pos", F.col("pos").cast("int"))
 
 
 @_query("SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
