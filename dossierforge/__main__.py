@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import records as R
 from .plans import company, stages
@@ -31,6 +33,11 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--data-root", required=True)
         for name in ("hits", "web", "addresses", "lifecycle"):
             s.add_argument(f"--{name}", help=f"Parquet table: {getattr(company, name.upper())}")
+        s.add_argument("--offline", action="store_true", help="ask no provider, whatever is given")
+        s.add_argument("--complete", metavar="MODULE:NAME", help="what opens a completion provider: a function of nothing that gives a function of a request")
+        s.add_argument("--locate", metavar="MODULE:NAME", help="what opens a geocoder, in place of --addresses")
+        s.add_argument("--engine", metavar="NAME=MODULE:NAME", action="append", default=[], help="what opens a search engine, in place of --hits; engines are asked in this order")
+        s.add_argument("--prompts", help="folder with a file <stage>.md for each stage that asks")
     pub = sub.add_parser("publish")
     pub.add_argument("--input", required=True, help="dataset table")
     pub.add_argument("--out-dir", default="releases")
@@ -46,6 +53,28 @@ def _first(d: DataFrame, args: argparse.Namespace) -> DataFrame:
     return d.orderBy("company_id").limit(args.limit) if args.limit is not None else d
 
 
+def _loaded(name: str):
+    """What MODULE:NAME stands for."""
+    module, _, attribute = name.partition(":")
+    try:
+        return getattr(importlib.import_module(module), attribute)
+    except (ImportError, AttributeError) as e:
+        raise ValueError(f"{name} can't be loaded: {e}") from e
+
+
+def _providers(spark: SparkSession, args: argparse.Namespace) -> dict:
+    """The fields of company.Outside that come from options; nothing offline."""
+    if args.offline:
+        return {}
+    found = {n: _loaded(v) for n in ("complete", "locate") if (v := getattr(args, n))}
+    if args.engine:
+        found["engines"] = {n: _loaded(v) for n, _, v in (e.partition("=") for e in args.engine)}
+    if args.prompts:
+        files = spark.read.text(f"{args.prompts}/*.md", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.md$", 1), "value")
+        found["prompts"] = {n: text for n, text in files.collect() if n in stages.ORDER}
+    return found
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("dossierforge").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -57,7 +86,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(json.dumps(plan.first().asDict()))
             return 0
         given = {n: spark.read.parquet(p) for n in ("hits", "web", "addresses", "lifecycle") if (p := getattr(args, n))}
-        outside = company.Outside(tables.read_seed(spark, args.input), args.data_root, now, **given)
+        outside = company.Outside(tables.read_seed(spark, args.input), args.data_root, now, **given, **_providers(spark, args))
         if args.command == "run":
             done = company.run(spark, outside, args.resume)
             if args.publish:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import address as A
 from ..functions import domains as D
 from ..functions import text as T
+from ..functions import trees as Tr
 from ..functions import vocab as V
 from ..functions.entities import unescape
 from ..operators import html as H
@@ -18,7 +20,7 @@ from ..operators import selection as S
 from ..operators import validate as N
 from ..sources import providers, tables, web
 from ..sources.keyed import KeyedTable, shared_dir, update_lifecycle
-from . import stages
+from . import company, stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -424,6 +426,30 @@ def translation_map(spark, sf_dir):
     return made.select("company_id", F.size("translations").cast("long").alias("n"), F.array_join(F.array_sort(F.map_keys("translations")), ",").alias("paths"))
 
 
+_TREES = """SELECT c_custkey AS company_id, c_custkey % 3 <> 0 AS has_tagline, CASE WHEN c_custkey % 7 <> 1 THEN concat('line ', c_custkey) END AS tagline, c_custkey % 4 <> 0 AS has_scores, c_custkey % 5 <> 0 AS has_translations FROM customer"""
+_LEAF = "CASE WHEN has_{0} AND (company_id + {1}) % 6 <> 0 THEN concat('{2} ', company_id) END"
+
+
+def _tree_sql() -> str:
+    en = ", ".join(f"""CASE WHEN has_scores THEN 'why {a} ' || company_id END AS en_{a}""" for a in V.AXES)
+    nl = ", ".join(f"CASE WHEN has_translations AND has_scores AND (company_id + {i + 1}) % 6 <> 0 THEN 'waarom {a} ' || company_id END AS nl_{a}" for i, a in enumerate(V.AXES))
+    return f"""SELECT company_id, has_tagline OR has_scores AS has_en, has_translations AS has_nl, (has_tagline OR has_scores) AND has_scores AS has_en_scores, has_translations AND has_scores AS has_nl_scores,
+CASE WHEN has_tagline THEN tagline END AS en_tagline, CASE WHEN has_translations AND company_id % 6 <> 0 THEN 'regel ' || company_id END AS nl_tagline, {en}, {nl} FROM ({_TREES.replace("concat('line ', c_custkey)", "'line ' || c_custkey")})"""
+
+
+@_query(_tree_sql())
+def locale_trees(spark, sf_dir):
+    _t(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    d = spark.sql(_TREES)
+    scores = Tr.tree({f"{a}.reason": F.concat(F.lit(f"why {a} "), "company_id") for a in V.AXES})
+    texts = [("tagline", "regel "), *((p, f"waarom {a} ") for p, a in zip(Tr.reasons(), V.AXES, strict=True))]
+    entries = F.array(*(F.struct(F.lit(p).alias("path"), F.struct(F.concat(F.lit(t), "company_id").alias("nl")).alias("text"), F.lit(i).alias("i")) for i, (p, t) in enumerate(texts)), F.struct(F.lit("scores.other").alias("path"), F.struct(F.lit("x").alias("nl")).alias("text"), F.lit(9).alias("i")))
+    kept = F.map_from_entries(F.transform(F.filter(entries, lambda e: (F.col("company_id") + e["i"]) % 6 != 0), lambda e: F.struct(e["path"], e["text"])))
+    d = d.select("company_id", Tr.english(F.col("has_tagline"), F.col("tagline"), F.col("has_scores"), scores).alias("en"), Tr.dutch(F.col("has_translations"), kept, F.col("has_scores")).alias("nl"))
+    there = [F.col(c).isNotNull().alias(f"has_{c.replace('.', '_')}") for c in ("en", "nl", "en.scores", "nl.scores")]
+    return d.select("company_id", *there, *(F.col(f"{k}.tagline").alias(f"{k}_tagline") for k in ("en", "nl")), *(F.col(f"{k}.scores.{a}.reason").alias(f"{k}_{a}") for k in ("en", "nl") for a in V.AXES))
+
+
 _SOURCE_STATUS = "CASE WHEN {k} % {m} = 0 THEN 'llm_error' WHEN {k} % {m} = 1 THEN NULL ELSE 'ok' END"
 
 
@@ -568,6 +594,28 @@ def search_chain(spark, sf_dir):
     return web.search_chain(asked, [(n, _engine(e)) for e, n in enumerate(_ENGINES)], wait_s=0.0, spacing=0.0)
 
 
+def _geocoder():
+    """Points by house number and tier; some lookups fail."""
+
+    def locate(request: str) -> str | None:
+        q = json.loads(request)
+        n = q["house_no"] if "house_no" in q else int(q["postcode"][:4])
+        if q["tier"] == "exact" and n % 6 == 5:
+            raise OSError("down")
+        return f"POINT(5.{n} 52.25)" if n % 3 == {"exact": 0, "street": 1, "postcode_centroid": 2}[q["tier"]] else None
+
+    return locate
+
+
+@_query(f"""WITH p AS (SELECT company_id, coalesce(house_no, 0) AS n, substr(postcode, 1, 4)::INT AS z, postcode IS NOT NULL AND house_no IS NOT NULL AS a, street_name IS NOT NULL AND house_no IS NOT NULL AND city IS NOT NULL AS b, postcode IS NOT NULL AS c FROM ({_PREPARED}) WHERE skip_reason IS NULL),
+q AS (SELECT company_id, CASE WHEN a AND n % 3 = 0 OR b AND n % 3 = 1 THEN n ELSE z END AS n, CASE WHEN a AND n % 6 = 5 THEN 'error' WHEN a AND n % 3 = 0 THEN 'exact' WHEN b AND n % 3 = 1 THEN 'street' WHEN c AND z % 3 = 2 THEN 'postcode_centroid' END AS t FROM p)
+SELECT company_id, CASE WHEN t <> 'error' THEN 'POINT(5.' || n || ' 52.25)' END AS wkt, CASE t WHEN 'error' THEN 'exact' ELSE t END AS match_quality, CASE WHEN t = 'error' THEN 'OSError: down' END AS error FROM q""")
+def geocode_asked(spark, sf_dir):
+    steps = [(t, _geocoder, company.tier_request(t)) for t in company.TIERS]
+    g = web.fall_through(_prepared(spark, sf_dir).where("skip_reason IS NULL"), steps, attempts=1, concurrency=8)
+    return g.select("company_id", F.col("answer").alias("wkt"), F.col("step").alias("match_quality"), "error")
+
+
 def _site():
     """Answers by the length of a URL, so that the SQL can say the same."""
     late = set()

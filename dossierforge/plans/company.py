@@ -12,19 +12,21 @@ from pyspark.sql import functions as F
 from ..functions import address as A
 from ..functions import domains as D
 from ..functions import text as T
+from ..functions import trees as Tr
 from ..functions import vocab as V
 from ..operators import html as H
 from ..operators import records as R
 from ..operators import selection as S
 from ..operators import validate as N
 from ..sources import providers, tables
+from ..sources import web as W
 from ..sources.keyed import KeyedTable, update_lifecycle
 from . import stages
 
 KEY = "company_id"
 #: What tables from outside have to hold; an absent table counts as an empty one.
 HITS = "company_id string, engine_rank int, url string"
-WEB = "url string, html string"
+WEB = "url string, html string"  # and, where fetched, final_url string, error_kind string
 ADDRESSES = "kind string, postcode string, street string, house_no int, city string, centroid_wkt string"
 LIFECYCLE = "company_id string, created_at string, updated_at string, content_hash string"
 #: Sitemap links come after all links of the homepage.
@@ -43,6 +45,12 @@ class Outside:
     addresses: DataFrame | None = None
     lifecycle: DataFrame | None = None
     complete: Callable[[], Callable[[str], str]] | None = None
+    #: A geocoder asked with tier_request(), which answers POINT(lng lat) or nothing; it takes the place of `addresses`.
+    locate: Callable[[], Callable[[str], str | None]] | None = None
+    #: Search engines by name, in order; they take the place of `hits`.
+    engines: Mapping[str, Callable[[], Callable[[str], str | None]]] = field(default_factory=dict)
+    retry_after: float = 5.0
+    search_gap: float = 1.5
     #: False: nothing is written but answers, and the lifecycle table stays as it is.
     write: bool = True
     prompts: Mapping[str, str] = field(default_factory=dict)
@@ -79,7 +87,16 @@ def run(spark: SparkSession, o: Outside, resume: bool = False) -> dict[str, Data
 
 
 def resolution(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
-    return R.resolve_websites(o.seed, o.table("hits", HITS)).where(F.col(KEY).isNotNull())
+    """website, status and error of each company: what the seed gives, else the table of hits, or the first engine with a hit."""
+    if not o.engines:
+        return R.resolve_websites(o.seed, o.table("hits", HITS)).where(F.col(KEY).isNotNull())
+    named = F.coalesce(F.trim("name") != "", F.lit(False))
+    asked = o.seed.where(named & (F.coalesce(F.trim("website"), F.lit("")) == "")).groupBy(KEY).agg(F.min("name").alias("query"))
+    found = W.search_chain(asked, list(o.engines.items()), KEY, o.retry_after, o.search_gap, path=f"{o.root}/answers")
+    hits = found.select(KEY, F.lit(1).alias("engine_rank"), F.col("website").alias("url"))
+    errors = found.where("error IS NOT NULL").select(KEY, F.concat(F.lit("search backend error: "), "error").alias("error"))
+    d = R.resolve_websites(o.seed, hits).where(F.col(KEY).isNotNull()).join(errors, KEY, "left")
+    return d.withColumn("error", F.when(F.col("status") == "failed", F.coalesce("error", F.lit("no search results"))))
 
 
 # ---------------------------------------------------------------- websites
@@ -101,21 +118,26 @@ def site_links(sites: DataFrame, home: DataFrame, web: DataFrame) -> DataFrame:
 
 def collection(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
     """A row per company: status, pages_collected, footer and structured text and icon of the homepage, and pages with their surfaces."""
-    web = o.table("web", WEB).select("url", "html")
+    web = o.table("web", WEB)
+    given = {c: F.col(c) if c in web.columns else F.lit(None).cast("string") for c in ("final_url", "error_kind")}
+    web = web.select("url", "html", *(c.alias(n) for n, c in given.items()))
     found = done["website-resolution"].select(KEY, "name", "website")
     sites = found.withColumn("homepage", T.normalize_homepage(F.trim("website"))).where(F.col("homepage").isNotNull() & (F.trim("website") != ""))
-    home = sites.select(KEY, "homepage").join(web.withColumnRenamed("url", "homepage"), "homepage").where("html IS NOT NULL").select(KEY, "homepage", H.read_page("html").alias("page"))
+    moved = F.coalesce(T.canonical_base(F.col("final_url")), F.col("homepage"))  # where redirects ended is the base of all else
+    home = sites.select(KEY, "homepage").join(web.withColumnRenamed("url", "homepage"), "homepage").where("html IS NOT NULL")
+    home = home.select(KEY, F.col("homepage").alias("asked"), moved.alias("homepage"), H.read_page("html").alias("page"))
     picked = S.select_urls(site_links(home.select(KEY, "homepage"), home, web), KEY)
     alone = F.array(F.struct(F.col("homepage").alias("url"), F.lit("index").alias("slug")))
-    chosen = home.select(KEY, "homepage").join(picked, KEY, "left").select(KEY, F.coalesce("collisions", F.array().cast("array<struct<url:string,slug:string>>")).alias("collisions"), F.posexplode(F.coalesce("selected", alone)).alias("ord", "s"))
-    read = chosen.select(KEY, "ord", "s.url", "s.slug", "collisions").join(web, "url", "left").select("*", H.read_page("html").alias("p"))
+    chosen = home.select(KEY, "homepage", "asked").join(picked, KEY, "left").select(KEY, "asked", F.coalesce("collisions", F.array().cast("array<struct<url:string,slug:string>>")).alias("collisions"), F.posexplode(F.coalesce("selected", alone)).alias("ord", "s"))
+    chosen = chosen.select(KEY, "ord", F.col("s.url").alias("page_url"), "s.slug", "collisions", F.when(F.col("ord") == 0, F.col("asked")).otherwise(F.col("s.url")).alias("url"))
+    read = chosen.join(web, "url", "left").drop("url").withColumnRenamed("page_url", "url").select("*", H.read_page("html").alias("p"))
     intent = T.is_address_intent(F.col("slug"))
     thick = F.coalesce(F.length("p.markdown") >= V.THIN_CHARS, F.lit(False))
     state = F.when(F.col("html").isNull(), "error").when(thick, "written").otherwise("dropped_thin")
     page = F.struct(
         "ord", "slug", "url", state.alias("status"), F.when(thick, F.col("p.markdown")).alias("precision"),
         F.when(intent, F.nullif(F.trim("p.recall"), F.lit(""))).alias("recall"), F.when(intent, F.nullif(F.trim("p.visible_text"), F.lit(""))).alias("visible"),
-        F.when(thick, F.struct("p.title", "p.description", "p.sitename")).alias("meta"),
+        F.when(thick, F.struct("p.title", "p.description", "p.sitename")).alias("meta"), F.when(F.col("html").isNull(), F.col("error_kind")).alias("error_kind"),
     )
     index = F.col("ord") == 0
     icons = F.transform(F.col("p.icons"), lambda x, i: F.struct(H.favicon_rank(x["rel"], x["sizes"], i).alias("rank"), x["href"].alias("href")))
@@ -125,7 +147,8 @@ def collection(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
         F.max(F.when(index, F.col("p.footer_text"))).alias("footer_text"), F.max(F.when(index, F.col("p.structured_text"))).alias("structured_text"),
         F.max(F.when(index, F.coalesce(best, F.lit("/favicon.ico")))).alias("icon"), F.max(F.when(index, F.col("p.base"))).alias("icon_base"),
     )
-    d = found.join(sites.select(KEY, "homepage"), KEY, "left").join(got, KEY, "left")
+    base = sites.select(KEY, "homepage").join(home.select(KEY, F.col("homepage").alias("moved")), KEY, "left").select(KEY, F.coalesce("moved", "homepage").alias("homepage"))
+    d = found.join(base, KEY, "left").join(got, KEY, "left")
     texts = F.filter(F.col("pages.precision"), lambda x: x.isNotNull())
     n = F.when(F.col("pages").isNull(), 0).otherwise(F.size(texts))
     chars = F.aggregate(texts, F.lit(0), lambda a, x: a + F.length(x))
@@ -185,12 +208,33 @@ def _choose(o: Outside, d: DataFrame, top: DataFrame, fallback: DataFrame) -> Da
     )
 
 
+#: Tiers of a geocoder, what each needs of an address, and how it is asked.
+TIERS = {"exact": ["postcode", "house_no"], "street": ["street_name", "house_no", "city"], "postcode_centroid": ["postcode"]}
+
+
+def tier_request(tier: str) -> Column:
+    """What a geocoder is asked in a tier, as JSON; null where the address lacks what the tier needs."""
+    needs = F.lit(True)
+    for c in TIERS[tier]:
+        needs = needs & F.col(c).isNotNull()
+    return F.when(needs, F.to_json(F.struct(F.lit(tier).alias("tier"), *(F.col(c) for c in TIERS[tier]))))
+
+
 def geocoding(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
+    """status, latlng and match_quality of each company: from the table of addresses, or else tier by tier from a geocoder. A failed lookup, or a point that can't be read, is a lookup_error."""
     d = done["fact-extraction"].select(KEY, "name", F.col("status").alias("fact"), A.prepare(F.col("address.street"), F.col("address.postcode"), F.col("address.city"), F.col("address.country")).alias("p"))
     open_ = d.where(F.col("fact").isin(V.FACT_SUCCESS) & F.col("p.skip_reason").isNull()).select(KEY, "p.*")
-    g = R.geocode(open_, o.table("addresses", ADDRESSES), KEY).withColumn("point", T.wkt_point(F.col("wkt")))
-    status = F.when(~F.col("fact").isin(V.FACT_SUCCESS), "upstream_failed").when(F.col("point").isNotNull(), "ok").otherwise("empty")
-    return d.join(g, KEY, "left").select(KEY, "name", status.alias("status"), F.struct("point.lat", "point.lng").alias("latlng"), F.coalesce("match_quality", F.lit("none")).alias("match_quality"), "p.skip_reason").withColumn("latlng", F.when(F.col("status") == "ok", F.col("latlng")))
+    if o.locate is None:
+        g = R.geocode(open_, o.table("addresses", ADDRESSES), KEY).withColumn("failed", F.lit(None).cast("string"))
+    else:
+        steps = [(t, o.locate, tier_request(t)) for t in TIERS]
+        g = W.fall_through(open_, steps, KEY, attempts=1, path=f"{o.root}/answers").select(KEY, F.col("step").alias("match_quality"), F.col("answer").alias("wkt"), F.col("error").alias("failed"))
+    g = g.withColumn("point", T.wkt_point(F.col("wkt")))
+    odd = F.col("failed").isNotNull() | F.col("wkt").isNotNull() & F.coalesce(F.col("point.lat").isNull() | F.col("point.lng").isNull(), F.lit(True))
+    status = F.when(~F.col("fact").isin(V.FACT_SUCCESS), "upstream_failed").when(odd, "lookup_error").when(F.col("point").isNotNull(), "ok").otherwise("empty")
+    ok = F.col("status") == "ok"
+    d = d.join(g, KEY, "left").withColumn("status", status)
+    return d.select(KEY, "name", "status", F.when(ok, F.struct("point.lat", "point.lng")).alias("latlng"), F.when(ok, F.col("match_quality")).otherwise("none").alias("match_quality"), "p.skip_reason")
 
 
 # ---------------------------------------------------------------- texts
@@ -245,14 +289,27 @@ def translation(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dataset(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
-    """The records: one row per company of the fact stage with what each stage found, its hash and when it was made and changed."""
-    fact = done["fact-extraction"].select(KEY, "name", "website", F.col("address"), "favicon_url")
-    payload = {"tagline": ("tagline-extraction", "tagline"), "scores": ("global-scoring", "scores"), "capability_tags": ("tagging", "capability_tags"), "translations": ("translation", "translations")}
-    sources = {k: done[s].select(KEY, "status", F.col(c).alias("payload")) for k, (s, c) in payload.items()}
-    sources["geocoding"] = done["geocoding"].select(KEY, "status", F.struct("latlng", "match_quality").alias("payload"))
+    """The records: one row per company of the fact stage with what each stage found, texts in a tree for each language, its hash and when it was made and changed."""
+    fact = done["fact-extraction"].select(KEY, "name", "website", "favicon_url", "address")
+    payload = {"line": ("tagline-extraction", "tagline"), "scored": ("global-scoring", "scores"), "tagged": ("tagging", "capability_tags"), "translated": ("translation", "translations")}
+    sources = {k: done[s].select(KEY, "status", F.struct(F.col(c).alias("of")).alias("payload")) for k, (s, c) in payload.items()}
+    sources["located"] = done["geocoding"].where("status = 'ok'").select(KEY, "status", F.struct("latlng", "match_quality").alias("payload"))
     d = R.assemble(fact, KEY, **sources)
-    d = d.withColumn("translations", F.map_entries("translations"))  # maps have no order, which a hash needs
-    d = d.withColumn("status", R.record_status(F.lit(True), [F.col(c) for c in ("address", *sources)]))
+    has = {k: F.col(k).isNotNull() for k in sources}
+    pinned = F.col("located.latlng").isNotNull() & F.col("located.match_quality").isNotNull()
+    some_address = F.coalesce(*(F.nullif(F.col(f"address.{f}"), F.lit("")) for f in ("street", "postcode", "city", "country"))).isNotNull()
+    blocks = {
+        "address": F.when(some_address, F.col("address")),
+        "latlng": F.when(pinned, F.col("located.latlng")),
+        "match_quality": F.when(pinned, F.col("located.match_quality")),
+        "scores": F.when(has["scored"], Tr.scores_block(F.col("scored.of"))),
+        "capability_tags": F.col("tagged.of"),
+        "en": Tr.english(has["line"], F.col("line.of"), has["scored"], F.col("scored.of")),
+        "nl": Tr.dutch(has["translated"], F.col("translated.of"), has["scored"]),
+    }
+    d = d.select(KEY, "name", "website", "favicon_url", *(c.alias(n) for n, c in blocks.items()))
+    status = R.record_status(F.lit(True), [F.col(c) for c in blocks if c != "match_quality"])
+    d = d.select(KEY, "name", "website", "favicon_url", status.alias("status"), *blocks)
     d = d.withColumn("content_hash", R.content_hash(d.columns))
     return R.lifecycle(d, lifecycle_state(o, d), o.run_at, KEY).drop("change")
 

@@ -145,32 +145,28 @@ class KeyedTable:
 
     # ------------------------------------------------------------ merging
 
-    def _one_each(self, batch: DataFrame, order: str | None, schema: T.StructType, count: int) -> tuple[str, list[str]]:
-        """Write one row a key, as a struct, beside the table. (folder, buckets that it touches)"""
+    def _one_each(self, batch: DataFrame, order: str | None, schema: T.StructType, count: int) -> tuple[DataFrame, Observation | None]:
+        """(k, bucket, b): one row a key, as a struct, and what watches its names."""
         whole = F.struct(*((F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
         turn = F.struct(*([F.col(order)] if order else []), F.to_json(whole, {"ignoreNullFields": "false"}))
         d = batch.where(F.col(self.key).isNotNull())
-        watch, sums = Observation(), [F.max_by(whole, turn).alias("b")]
+        sums = [F.max_by(whole, turn).alias("b")]
         if self.name:
             d = d.where(F.trim(self.name) != "")
             sums += [F.min(self.name).alias("low"), F.max(self.name).alias("high")]
         d = d.groupBy(F.col(self.key).alias("k")).agg(*sums).withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(count)).cast("int"))
-        if self.name:
+        watch = Observation() if self.name else None
+        if watch:
             d = self._watched(d, watch, F.col("low") != F.col("high"), "low", "high")
-        folder = f"data/{uuid.uuid4().hex}-batch"
-        d.select("k", "bucket", "b").write.parquet(f"{self.path}/{folder}")
-        if self.name:
-            self._checked(watch, folder)
-        touched = self.spark.read.parquet(f"{self.path}/{folder}").select("bucket").distinct().collect()
-        return folder, sorted(str(r["bucket"]) for r in touched)
+        return d.select("k", "bucket", "b"), watch
 
     def _watched(self, d: DataFrame, watch: Observation, clash: Column, one: str, other: str) -> DataFrame:
         """Counted while d is written, so that the guard reads nothing twice."""
         clash = F.coalesce(clash, F.lit(False))
         return d.observe(watch, F.count_if(clash).alias("n"), F.min(F.when(clash, F.to_json(F.struct("k", F.col(one).alias("one"), F.col(other).alias("other"))))).alias("example"))
 
-    def _checked(self, watch: Observation, *folders: str) -> None:
-        found = watch.get
+    def _checked(self, watch: Observation | None, *folders: str) -> None:
+        found = watch.get if watch else {"n": 0}
         if found["n"]:
             for f in folders:
                 self.files.delete(f"{self.path}/{f}")
@@ -188,40 +184,46 @@ class KeyedTable:
         return self._write(rows, order, None, anew=True)
 
     def _write(self, batch: DataFrame, order: str | None, batch_id: tuple[str, int] | None, anew: bool) -> int:
-        staged = None
+        staged = None  # the batch as it was written beside the table, its schema, and the buckets that it touches
         for _ in range(TRIES):
             before = self._entry()
             if batch_id and before["batches"].get(batch_id[0], -1) >= batch_id[1]:
                 return before["version"]
             old = T.StructType.fromJson(before["schema"]) if before["schema"] and not anew else T.StructType()
-            given = [f for f in batch.schema if f.name not in old.names]
-            schema = T.StructType([*old.fields, *given])
-            if staged is None or given and staged[2] != schema:
-                staged = (*self._one_each(batch, order, schema, before["count"]), schema)
-            folder, touched, _ = staged
-            data = f"data/{uuid.uuid4().hex}"
-            new = self.spark.read.parquet(f"{self.path}/{folder}")
+            schema = T.StructType([*old.fields, *(f for f in batch.schema if f.name not in old.names)])
+            data, watch = f"data/{uuid.uuid4().hex}", None
             if anew or not before["buckets"]:
-                merged, watch = new.select("bucket", "b.*"), None
+                new, watch = self._one_each(batch, order, schema, before["count"])
+                merged, touched = new.select("bucket", "b.*"), None
             else:
+                if staged is None or staged[1] != schema:
+                    new, watch = self._one_each(batch, order, schema, before["count"])
+                    folder = f"data/{uuid.uuid4().hex}-batch"
+                    new.write.parquet(f"{self.path}/{folder}")
+                    self._checked(watch, folder)
+                    buckets = self.spark.read.parquet(f"{self.path}/{folder}").select("bucket").distinct().collect()
+                    staged = folder, schema, sorted(str(r["bucket"]) for r in buckets)
+                touched = staged[2]
                 stored = self._rows(before, touched)
                 s = F.struct(*(F.col(f.name) if f.name in stored.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema)).alias("s")
-                both = stored.select(F.col(self.key).alias("k"), s).join(new, "k", "full")
+                both = stored.select(F.col(self.key).alias("k"), s).join(self.spark.read.parquet(f"{self.path}/{staged[0]}"), "k", "full")
                 watch = Observation() if self.name else None
                 if watch:
                     both = both.withColumns({"was": F.col(f"s.{self.name}"), "now": F.col(f"b.{self.name}")})
                     both = self._watched(both, watch, F.col("was") != F.col("now"), "was", "now")
-                row = F.coalesce("b", "s")
-                merged = both.select(F.pmod(F.xxhash64("k"), F.lit(before["count"])).cast("int").alias("bucket"), row.alias("r")).select("bucket", "r.*")
-            if touched:
+                bucket = F.pmod(F.xxhash64("k"), F.lit(before["count"])).cast("int")
+                merged = both.select(bucket.alias("bucket"), F.coalesce("b", "s").alias("r")).select("bucket", "r.*")
+            if touched is None or touched:
                 merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{data}")
-                if watch:
-                    self._checked(watch, data, folder)
+                self._checked(watch, data, *(staged or ())[:1])
+            if touched is None:
+                touched = sorted(n[7:] for n in self.files.names(f"{self.path}/{data}") if n.startswith("bucket="))
             buckets = ({} if anew else dict(before["buckets"])) | {b: f"{data}/bucket={b}" for b in touched}
             same = not touched and before["version"] and not anew and not batch_id
             version = before["version"] if same else self._commit(before, buckets, schema, batch_id)
             if version is not None:
-                self.files.delete(f"{self.path}/{folder}")
+                if staged:
+                    self.files.delete(f"{self.path}/{staged[0]}")
                 return version
             self.files.delete(f"{self.path}/{data}")  # another writer was first
         raise RuntimeError(f"{TRIES} tries to commit to {self.path} met other writers")

@@ -196,39 +196,52 @@ def fetch_politely(requests: DataFrame, make: Callable[[], Callable[[str], Fetch
 # ---------------------------------------------------------------- search
 
 
-def search_chain(queries: DataFrame, engines: list[tuple[str, Callable[[], Callable[[str], str | None]]]], key: str = "company_id", wait_s: float = 5.0, spacing: float = 1.5, concurrency: int = 1, path: str | None = None) -> DataFrame:
-    """(key, website, engine, attempts, error) for each row of queries(key, query): the first engine with a hit answers.
+Step = tuple[str, Callable[[], Callable[[str], str | None]], Column]
+
+
+def fall_through(rows: DataFrame, steps: list[Step], key: str = "company_id", attempts: int = 2, wait_s: float = 5.0, spacing: float = 0.0, concurrency: int = 1, path: str | None = None) -> DataFrame:
+    """(key, answer, step, attempts, error) for each row of rows, which has each key once: the first step (name, provider, request) with an answer ends it.
 
-    Each engine is asked only for what the ones before it left open, once more after `wait_s` seconds if it fails. A second failure ends the row's search, with the error
-    and the engine that it came from. Rows that no engine has a hit for have neither. Keys must be unique. An engine is one host, so one task asks it, `spacing` seconds between calls. Each engine's answers are written under `path` (by default in the
-    shared folder) before the next one is asked, so that a retried task asks nobody twice.
+    A step is asked only for rows that the ones before left open and whose request isn't null. If it fails, it is asked again after `wait_s` seconds, up to `attempts` times in all; then
+    the row ends with the error and the step that it came from. Rows that no step answers have neither. A provider is one host, so one task asks it, `spacing` seconds between
+    calls. Each step's answers are written under `path` (by default in the shared folder) before the next one is asked, so that a retried task asks nobody twice.
     """
-    open_, answers = queries.select(key, F.col("query").alias("request")), []
-    for name, make in engines:
-        asked = stored(run_pending(open_, _twice(make, wait_s), key=key, concurrency=concurrency, tasks=1, spacing=spacing, retries=0), f"search-{name}", path)
-        tries = F.coalesce(F.try_element_at(F.split("answer", "\n", 2), F.lit(1)).cast("int"), F.lit(2))
-        url = F.nullif(F.trim(F.try_element_at(F.split("answer", "\n", 2), F.lit(2))), F.lit(""))
-        answers.append(asked.select(key, url.alias("website"), F.lit(name).alias("engine"), tries.alias("attempts"), "error"))
-        done = answers[-1].where("website IS NOT NULL OR error IS NOT NULL")
-        open_ = open_.join(done.select(key), key, "left_anti")
-    none = open_.select(key, *(F.lit(None).cast(t).alias(c) for c, t in (("website", "string"), ("engine", "string"), ("attempts", "int"), ("error", "string"))))
-    for a in answers:
-        none = none.unionByName(a.where("website IS NOT NULL OR error IS NOT NULL"))
-    return none
-
-
-def _twice(make: Callable[[], Callable[[str], str | None]], wait_s: float) -> Callable[[], Callable[[str], str]]:
-    """The tries that a call took, and its hit, as one text."""
+    open_, ended = rows, []
+    for name, make, request in steps:
+        waiting = open_.select(key, request.alias("request")).where("request IS NOT NULL")
+        asked = stored(run_pending(waiting, _again(make, attempts, wait_s), key=key, concurrency=concurrency, tasks=1, spacing=spacing, retries=0), f"asked-{name}", path)
+        part = F.split("answer", "\n", 2)
+        answer = F.nullif(F.trim(F.get(part, F.lit(1))), F.lit(""))
+        tries = F.coalesce(F.get(part, F.lit(0)).cast("int"), F.lit(attempts))
+        ended.append(asked.select(key, answer.alias("answer"), F.lit(name).alias("step"), tries.alias("attempts"), "error").where("answer IS NOT NULL OR error IS NOT NULL"))
+        open_ = open_.join(ended[-1].select(key), key, "left_anti")
+    out = open_.select(key, *(F.lit(None).cast(t).alias(c) for c, t in (("answer", "string"), ("step", "string"), ("attempts", "int"), ("error", "string"))))
+    for e in ended:
+        out = out.unionByName(e)
+    return out
+
+
+def search_chain(queries: DataFrame, engines: list[tuple[str, Callable[[], Callable[[str], str | None]]]], key: str = "company_id", wait_s: float = 5.0, spacing: float = 1.5, concurrency: int = 1, path: str | None = None) -> DataFrame:
+    """(key, website, engine, attempts, error) for each row of queries(key, query): the first engine with a hit answers, each asked once more if it fails (see fall_through)."""
+    found = fall_through(queries, [(n, make, F.col("query")) for n, make in engines], key, 2, wait_s, spacing, concurrency, path)
+    return found.select(key, F.col("answer").alias("website"), F.col("step").alias("engine"), "attempts", "error")
+
+
+def _again(make: Callable[[], Callable[[str], str | None]], attempts: int, wait_s: float) -> Callable[[], Callable[[str], str]]:
+    """The tries that a call took, and its answer, as one text."""
 
     def opened() -> Callable[[str], str]:
         call = make()
 
-        def ask(query: str) -> str:
-            try:
-                return f"1\n{call(query) or ''}"
-            except Exception:  # noqa: BLE001  any failure is worth one more try
-                time.sleep(wait_s)
-                return f"2\n{call(query) or ''}"
+        def ask(request: str) -> str:
+            for n in range(1, attempts + 1):
+                try:
+                    return f"{n}\n{call(request) or ''}"
+                except Exception:  # noqa: BLE001  any failure is worth another try
+                    if n == attempts:
+                        raise
+                    time.sleep(wait_s)
+            raise AssertionError
 
         return ask
 

@@ -44,8 +44,8 @@ def test_offline_run_resume_and_stage(spark, tmp_path, capsys):
     assert set(rows) == {"acme", "beta", "gone"}
     acme = rows["acme"]
     assert acme["status"] == "ok" and acme["address"]["postcode"] == "1234 AB" and acme["address"]["street"] == "Kade 12"
-    assert acme["geocoding"]["match_quality"] == "exact" and acme["geocoding"]["latlng"]["lat"] == 52.1
-    assert acme["tagline"] is None and acme["created_at"] == acme["updated_at"]
+    assert acme["match_quality"] == "exact" and acme["latlng"]["lat"] == 52.1
+    assert acme["en"] is None and acme["nl"] is None and acme["created_at"] == acme["updated_at"]
     content = {r["company_id"]: r for r in stages.table(spark, root, "content-collection").read().collect()}
     assert content["acme"]["status"] == "ok" and {p["slug"] for p in content["acme"]["pages"]} == {"index", "contact", "about", "team"}
     assert content["gone"]["status"] == content["beta"]["status"] == "fetch_failed" and content["beta"]["website"] == "https://beta.nl/"
@@ -78,13 +78,69 @@ def test_online_run(spark, tmp_path):
     o = company.Outside(company.tables.read_seed(spark, seed), str(tmp_path / "out"), "2026-01-02T00:00:00Z", complete=_provider, prompts=prompts, **given)
     done = company.run(spark, o)
     acme = done["dataset-output"].where("company_id = 'acme'").first()
-    assert acme["tagline"] == "Boats by hand" and acme["scores"]["power"]["score"] == 50 and acme["capability_tags"] is None
-    nl = {e["key"]: e["value"]["nl"] for e in acme["translations"]}
-    assert nl["tagline"] == "BOATS BY HAND" and nl["scores.posture.reason"] == "WHY"
+    assert acme["en"]["tagline"] == "Boats by hand" and acme["scores"]["power"] == ((50, "partial")) and acme["capability_tags"] is None
+    assert acme["en"]["scores"]["ecology"]["reason"] == "why" and acme["nl"]["tagline"] == "BOATS BY HAND" and acme["nl"]["scores"]["posture"]["reason"] == "WHY"
+    assert done["dataset-output"].where("company_id = 'gone'").select("en", "nl", "scores").first() == (None, None, None)
     assert done["tagging"].where("company_id = 'acme'").first()["status"] == "llm_error"
     assert done["tagging"].where("company_id = 'gone'").first()["status"] == "upstream_failed"
 
 
+def search_engine():
+    def call(query):
+        if query == "Down":
+            raise OSError("no line")
+        return {"Beta": "https://beta.nl"}.get(query)
+
+    return call
+
+
+def geocoder():
+    def call(request):
+        q = json.loads(request)
+        if q.get("house_no") == 99:
+            raise OSError("no line")
+        return {"exact": None, "street": "POINT(5.1 52.2)" if q.get("house_no") == 12 else "nonsense"}.get(q["tier"])
+
+    return call
+
+
+def test_providers_redirects_and_lookup_errors(spark, tmp_path):
+    """Through the command line: engines, a geocoder, a site that moved."""
+    seed = tmp_path / "seed.json"
+    seed.write_text(json.dumps([{"name": "Beta"}, {"name": "Down"}, {"name": "Nobody"}, {"name": "Far", "website": "https://far.nl"}, {"name": "Odd", "website": "https://odd.nl"}]))
+    foot = {"beta": "Kade 12\n1234 AB Ede", "far": "Laan 99\n1234 AC Ede", "odd": "Weg 7\n1234 AD Ede"}
+    pages = [("https://beta.nl/", _page('<a href="/about">a</a><a href="https://beta.nl/x">x</a>', foot["beta"]), "https://www.newbeta.com/home?x=1", None), ("https://www.newbeta.com/about", _page(" About."), None, None), ("https://beta.nl/x", _page(" X."), None, None)]
+    pages += [(f"https://{n}.nl/", _page('<a href="/contact">c</a>', foot[n]), None, None) for n in ("far", "odd")] + [("https://far.nl/contact", None, "https://far.nl/contact", "http_404")]
+    spark.createDataFrame(pages, "url string, html string, final_url string, error_kind string").write.parquet(str(tmp_path / "web"))
+    (tmp_path / "prompts").mkdir()
+    (tmp_path / "prompts" / "tagging.md").write_text("tag it")
+    root = str(tmp_path / "out")
+    base = ["run", "--input", str(seed), "--data-root", root, "--web", str(tmp_path / "web")]
+    options = ["--engine", "one=tests.test_company:search_engine", "--locate", "tests.test_company:geocoder", "--prompts", str(tmp_path / "prompts")]
+    assert cli.main([*base, "--engine", "one=no.such:thing"], spark) == 2
+    made = company.Outside.__init__.__defaults__  # seconds between calls are for real engines
+    company.Outside.__init__.__defaults__ = tuple(0.0 if x in (5.0, 1.5) else x for x in made)
+    try:
+        assert cli.main([*base, *options], spark) == 0
+    finally:
+        company.Outside.__init__.__defaults__ = made
+    at = lambda stage: {r["company_id"]: r for r in stages.table(spark, root, stage).read().collect()}
+    sites = at("website-resolution")
+    assert sites["beta"]["website"] == "https://beta.nl" and sites["down"]["error"] == "search backend error: OSError: no line" and sites["nobody"]["error"] == "no search results"
+    content = at("content-collection")
+    assert content["beta"]["canonical_homepage_url"] == "https://www.newbeta.com/home"
+    assert {(p["slug"], p["url"], p["status"]) for p in content["beta"]["pages"]} == {("index", "https://www.newbeta.com/home", "written"), ("about", "https://www.newbeta.com/about", "written")}
+    assert {(p["slug"], p["status"], p["error_kind"]) for p in content["far"]["pages"]} == {("index", "written", None), ("contact", "error", "http_404")}
+    geo = at("geocoding")
+    assert (geo["beta"]["status"], geo["beta"]["match_quality"], geo["beta"]["latlng"]["lat"]) == ("ok", "street", 52.2)
+    assert {k: (geo[k]["status"], geo[k]["match_quality"], geo[k]["latlng"]) for k in ("far", "odd")} == {k: ("lookup_error", "none", None) for k in ("far", "odd")}
+    rows = at("dataset-output")
+    assert rows["beta"]["latlng"]["lng"] == 5.1 and rows["far"]["latlng"] is None and rows["far"]["address"]["postcode"] == "1234 AC"
+    args = cli._parser().parse_args([*base, *options, "--offline"])
+    assert cli._providers(spark, args) == {}
+    assert cli._providers(spark, cli._parser().parse_args([*base, *options]))["prompts"] == {"tagging": "tag it"}
+
+
 def test_runs_share_the_lifecycle_table_and_guard_names(spark, tmp_path):
     seed, tables = _world(spark, tmp_path)
     root = str(tmp_path / "out")

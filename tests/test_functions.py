@@ -145,3 +145,14 @@ def test_registered_domain(spark, tmp_path):
     for rows in (100, 0):
         got = [r["domain"] for r in D.with_registered_domain(d, read, broadcast_rows=rows).orderBy("i").collect()]
         assert got[: len(want)] == want and got[len(want)] is None and got[len(want) + 1] == want[0]
+
+
+def test_trees(spark):
+    from dossierforge.functions import trees
+
+    d = spark.sql("SELECT map('a.b', 1, 'a.c', 2, 'd', 3, 'z.z', 4) AS m UNION ALL SELECT map('a.c', 5) UNION ALL SELECT null")
+    rows = d.select(trees.tree_of_map(F.col("m"), ["a.b", "d", "a.c"]).alias("t")).collect()
+    assert [r["t"].asDict(True) for r in rows] == [{"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"b": None, "c": 5}, "d": None}, {"a": {"b": None, "c": None}, "d": None}]
+    for bad in (["a", "a.b"], ["a.b", "a"], [".a"]):
+        with pytest.raises(ValueError, match="twice"):
+            trees.tree({p: F.lit(1) for p in bad})
