@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from ..functions.canonical import canonical_json
 
 
 def resolve_websites(seed: DataFrame, hits: DataFrame) -> DataFrame:
@@ -51,9 +52,13 @@ def record_status(fact_present: Column, blocks: list[Column]) -> Column:
     return F.when(~F.coalesce(fact_present, F.lit(False)), "upstream_failed").when(some, "ok").otherwise("empty")
 
 
-def content_hash(columns: list[str]) -> Column:
-    """SHA-256 of the record as JSON with its keys in order; the same record has the same hash in any run."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+#: Columns that say when a record was made, not what it says.
+TIMESTAMPS = {"created_at", "updated_at"}
+
+
+def content_hash(d: DataFrame, columns: list[str]) -> Column:
+    """SHA-256 of the record as canonical JSON without its timestamps; the same record has the same hash in any run, and outside Spark."""
+    return F.sha2(canonical_json(d, [c for c in columns if c not in TIMESTAMPS]), 256)
 
 
 def lifecycle(records: DataFrame, prior: DataFrame, run_at: str, key: str = "company_id") -> DataFrame:

@@ -246,10 +246,26 @@ def sitemap_harvest(spark, sf_dir):
 _LINKS = "SELECT s_suppkey AS company_id, 'https://h.nl/' AS homepage, i AS ord, concat('https://h.nl', {path}) AS link FROM supplier, {many} WHERE (s_suppkey + i) % 3 <> 0"
 
 
-@_query()
+_LINK_PATHS = [*(p for _, _, p in _TIERS), *_ODD, "/platform/a", "/platform/b", "/learn/x", "/learn"]
+#: The greedy choice as a recursion, a link a step: slugs taken, links whose slug was taken, and prefixes used.
+_SELECT_SQL = f"""WITH RECURSIVE tiers(tier, position, tp) AS (VALUES {', '.join(f"({t}, {i}, '{p}')" for t, i, p in _TIERS)}), paths(k, p) AS (VALUES {', '.join(f"({k}, '{p}')" for k, p in enumerate(_LINK_PATHS))}),
+hit AS (SELECT k, arg_min({{'tier': tier, 'position': position}}, tier * 1000 + position) AS c FROM paths, tiers WHERE rtrim(lower(p), '/') = tp OR starts_with(rtrim(lower(p), '/'), tp || '/') GROUP BY k),
+known AS (SELECT k, p, {_DUCK_SLUG.format("p")} AS slug, len(list_filter(string_split(p, '/'), lambda s: s <> '')) AS depth, c FROM paths LEFT JOIN hit USING (k)),
+placed AS (SELECT k, p, slug, depth, coalesce(c.tier, CASE WHEN intent THEN 2 ELSE 4 END) AS tier, coalesce(c.position, CASE WHEN intent THEN -1 ELSE 0 END) AS position FROM (SELECT *, regexp_matches(slug, '{'|'.join(V.ADDRESS_STEMS)}') OR list_has_any(string_split(slug, '-'), ['about', 'over', 'ons']) AS intent FROM known)),
+item AS (SELECT s_suppkey AS id, p, slug, tier, position, row_number() OVER (PARTITION BY s_suppkey ORDER BY tier, depth, position, i, p) AS n FROM supplier, range(30) r(i) JOIN placed ON k = (s_suppkey * 13 + i * 7) % {len(_LINK_PATHS)} WHERE (s_suppkey + i) % 3 <> 0),
+fold(id, n, slugs, clash, used) AS (SELECT DISTINCT id, 0::BIGINT, ['index'], []::VARCHAR[], []::VARCHAR[] FROM item
+UNION ALL SELECT id, n, CASE WHEN room AND NOT taken THEN list_append(slugs, slug) ELSE slugs END, CASE WHEN room AND taken THEN list_append(clash, 'https://h.nl' || p) ELSE clash END,
+CASE WHEN room AND NOT taken AND tier <= 2 AND position <> -1 THEN list_append(used, prefix) ELSE used END FROM
+(SELECT f.id, i.n, f.slugs, f.clash, f.used, i.p, i.slug, i.tier, i.position, i.tier || ':' || i.position AS prefix, list_contains(f.slugs, i.slug) AS taken,
+CASE WHEN i.tier <= 2 THEN len(f.slugs) < {V.MAX_URLS} AND (i.position = -1 OR len(list_filter(f.used, lambda u: u = i.tier || ':' || i.position)) < {V.PREFIX_CAP}) ELSE len(f.slugs) < {V.MIN_PAGES} END AS room
+FROM fold f JOIN item i ON i.id = f.id AND i.n = f.n + 1))
+SELECT id AS company_id, array_to_string(arg_max(slugs, n), ' ') AS selected, array_to_string(arg_max(clash, n), ' ') AS collisions FROM fold GROUP BY id"""
+
+
+@_query(_SELECT_SQL)
 def select_urls(spark, sf_dir):
     _t(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
-    paths = "element_at(array({}), cast((s_suppkey * 13 + i * 7) % {} + 1 AS int))".format(", ".join(f"'{p}'" for p in [*(p for _, _, p in _TIERS), *_ODD, "/platform/a", "/platform/b", "/learn/x", "/learn"]), _N_PATHS + 4)
+    paths = "element_at(array({}), cast((s_suppkey * 13 + i * 7) % {} + 1 AS int))".format(", ".join(f"'{p}'" for p in _LINK_PATHS), len(_LINK_PATHS))
     links = spark.sql(_LINKS.format(path=paths, many="(SELECT explode(sequence(0, 29)) AS i)"))
     d = S.select_urls(links)
     return d.select("company_id", F.array_join(F.transform("selected", lambda x: x["slug"]), " ").alias("selected"), F.array_join(F.transform("collisions", lambda x: x["url"]), " ").alias("collisions"))
@@ -484,11 +500,37 @@ CASE WHEN c_custkey % 4 = 0 OR c_custkey % 9 = 0 THEN '2026-01-02T00:00:00Z' ELS
 def lifecycle_merge(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
     old = c.where("company_id % 4 <> 0").withColumn("name", F.expr("CASE WHEN company_id % 3 = 0 THEN concat(name, '!') ELSE name END"))
-    prior = old.select("company_id", F.lit("2025-01-01T00:00:00Z").alias("created_at"), F.expr("CASE WHEN company_id % 9 = 0 THEN '' ELSE '2025-06-01T00:00:00Z' END").alias("updated_at"), R.content_hash(["company_id", "name"]).alias("content_hash"))
-    now = c.select("company_id", R.content_hash(["company_id", "name"]).alias("content_hash"))
+    prior = old.select("company_id", F.lit("2025-01-01T00:00:00Z").alias("created_at"), F.expr("CASE WHEN company_id % 9 = 0 THEN '' ELSE '2025-06-01T00:00:00Z' END").alias("updated_at"), R.content_hash(old, ["company_id", "name"]).alias("content_hash"))
+    now = c.select("company_id", R.content_hash(c, ["company_id", "name"]).alias("content_hash"))
     return R.lifecycle(now, prior, "2026-01-02T00:00:00Z").select("company_id", "change", "created_at", "updated_at")
 
 
+# numbers and how they are spelled
+_SPELLED = [("0.00005D", "5e-05"), ("12300000D", "12300000.0"), ("1.5e22D", "1.5e+22"), ("-0.5D", "-0.5"), ("0D", "0.0"), ("1e16D", "1e+16"), ("123456789012345680D", "1.2345678901234568e+17"), ("0.0001D", "0.0001"), ("CAST(NULL AS DOUBLE)", "null"), ("52.25D", "52.25"), ("1e15D", "1000000000000000.0"), ("2.5e-300D", "2.5e-300")]
+_HASHED = "CASE c_custkey % {n} {cases} END".format(n=len(_SPELLED), cases="{0}")
+
+
+@_query("SELECT c_custkey AS company_id, sha256('{\"a\":[{\"key\":' || c_custkey || ',\"ok\":' || CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'null' END || '}],\"name\":\"' || replace(c_name, '#', '\\\"\\\\\\u001f\\n') || '\",\"z\":' || "
+        + _HASHED.format(" ".join(f"WHEN {i} THEN '{b}'" for i, (_, b) in enumerate(_SPELLED))) + " || '}') AS content_hash FROM customer")
+def content_hash(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    number = F.expr(_HASHED.format(" ".join(f"WHEN {i} THEN {a}" for i, (a, _) in enumerate(_SPELLED))))
+    item = F.struct(F.when(F.col("c_custkey") % 2 == 0, F.lit(True)).alias("ok"), F.col("c_custkey").alias("key"))
+    d = c.select(F.col("c_custkey").alias("company_id"), number.alias("z"), F.replace("c_name", F.lit("#"), F.lit('"\\\x1f\n')).alias("name"), F.array(item).alias("a"), F.current_timestamp().cast("string").alias("updated_at"))
+    return d.select("company_id", R.content_hash(d, ["z", "name", "a", "updated_at"]).alias("content_hash"))
+
+
+_TEXTS = """CASE s_suppkey % 6 WHEN 0 THEN concat('{"name": "n', s_suppkey, '", "size": ', s_suppkey, '}') WHEN 1 THEN concat('{"name": "n', s_suppkey, '"') WHEN 2 THEN '[1, 2' WHEN 3 THEN concat('{"name": "n', s_suppkey, '", "size": "many"}') WHEN 4 THEN '{"size": 3, "more": [1]}' END"""
+
+
+@_query("""SELECT s_suppkey, CASE WHEN s_suppkey % 6 = 0 THEN 'n' || s_suppkey END AS name, CASE s_suppkey % 6 WHEN 0 THEN s_suppkey WHEN 4 THEN 3 END::BIGINT AS size, s_suppkey % 6 NOT IN (0, 4) AS corrupt FROM supplier""")
+def records_read(spark, sf_dir):
+    d = _t(spark, sf_dir, "supplier").select("s_suppkey", F.expr(_TEXTS).alias("text"))
+    r = tables.parse_records(d, "name STRING, size BIGINT", "mark")
+    corrupt = F.col("corrupt").isNotNull()
+    return r.select("s_suppkey", F.when(~corrupt, F.col("name")).alias("name"), F.when(~corrupt, F.col("size")).alias("size"), corrupt.alias("corrupt"))
+
+
 @_query(f"SELECT company_id, count(*) AS n FROM (SELECT {_DUCK_ID} AS company_id FROM (SELECT 'Acme ' || c_custkey % 400 || {_SUFFIX} AS name FROM customer)) GROUP BY 1 HAVING count(*) > 1")
 def duplicate_ids(spark, sf_dir):
     d = _t(spark, sf_dir, "customer").select(F.expr(f"concat('Acme ', c_custkey % 400, {_SUFFIX})").alias("name"))

@@ -310,7 +310,7 @@ def dataset(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
     d = d.select(KEY, "name", "website", "favicon_url", *(c.alias(n) for n, c in blocks.items()))
     status = R.record_status(F.lit(True), [F.col(c) for c in blocks if c != "match_quality"])
     d = d.select(KEY, "name", "website", "favicon_url", status.alias("status"), *blocks)
-    d = d.withColumn("content_hash", R.content_hash(d.columns))
+    d = d.withColumn("content_hash", R.content_hash(d, d.columns))
     return R.lifecycle(d, lifecycle_state(o, d), o.run_at, KEY).drop("change")
 
 

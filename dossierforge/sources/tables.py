@@ -23,17 +23,41 @@ def read_seed(spark: SparkSession, path: str, schema: str = SEED) -> DataFrame:
     return items.select("ord", "c.*").withColumn("company_id", T.company_id(F.col("name")))
 
 
-def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON file a record; those that can't be read are left out."""
-    bad = "_corrupt"
-    d = spark.read.schema(f"{schema}, {bad} STRING").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).json(path)
-    return d.where(f"{bad} IS NULL").drop(bad)
-
-
-def read_dossiers(spark: SparkSession, path: str) -> DataFrame:
-    """Dossier files as (company_id, meta, body)."""
+def _settled(d: DataFrame, mode: str) -> DataFrame:
+    """d, whose column `corrupt` holds what couldn't be read: those rows left out, marked, or a reason to stop."""
+    if mode == "mark":
+        return d
+    if mode == "raise":
+        R.require_none(d.where("corrupt IS NOT NULL").select(F.substring("corrupt", 1, 80)), "records that can't be read")
+    elif mode != "skip":
+        raise ValueError(f"mode is skip, raise or mark, not {mode}")
+    return d.where("corrupt IS NULL").drop("corrupt")
+
+
+def read_records(spark: SparkSession, path: str, schema: str, mode: str = "skip") -> DataFrame:
+    """The records of JSON files, each an object or an array of objects.
+
+    mode: what becomes of text that is neither, or has a value of another type: `skip` leaves it out, `raise` stops with ValueError, `mark` keeps it in a column
+    `corrupt`, null for good records.
+    """
+    whole = spark.read.text(path, wholetext=True)
+    items = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<string>"))
+    return parse_records(whole.select(F.explode(F.coalesce(items, F.array("value"))).alias("text")), schema, mode)
+
+
+def parse_records(d: DataFrame, schema: str, mode: str = "skip", text: str = "text") -> DataFrame:
+    """read_records() for records in a column of text, beside the other columns. Null is corrupt, with an empty text."""
+    found = F.from_json(F.col(text), f"{schema}, corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"})
+    d = d.withColumn("__r", found).select(*(c for c in d.columns if c != text), "__r.*", F.col(text).alias("__text"))
+    whole = F.when(F.col("__text").isNull(), "").otherwise(F.col("corrupt"))
+    return _settled(d.withColumn("corrupt", whole).drop("__text"), mode)
+
+
+def read_dossiers(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
+    """Dossier files as (company_id, meta, body). named: those whose front matter has no name are left out."""
     d = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.md$", 1).alias("company_id"), T.parse_frontmatter(F.col("value")).alias("p"))
-    return d.select("company_id", "p.meta", "p.body")
+    d = d.select("company_id", "p.meta", "p.body")
+    return d.where(F.trim(F.try_element_at("meta", F.lit("name"))) != "") if named else d
 
 
 def read_prompt(spark: SparkSession, path: str) -> str:

@@ -1,5 +1,8 @@
 import html
+import json
+import math
 import random
+import struct
 import unicodedata
 from html.entities import html5
 
@@ -156,3 +159,17 @@ def test_trees(spark):
     for bad in (["a", "a.b"], ["a.b", "a"], [".a"]):
         with pytest.raises(ValueError, match="twice"):
             trees.tree({p: F.lit(1) for p in bad})
+
+
+def test_canonical_json_equals_the_standard_library(spark):
+    from dossierforge.functions.canonical import canonical_json
+
+    rng = random.Random(4)
+    numbers = [0.0, -0.0, 1.0, 0.1, 5e-5, 1e-4, 1e15, 1e16, 12300000.0, 5e-324, 1.7976931348623157e308, 2.0**53, 123456.789, -1e22, 1 / 3, math.pi * 1e-7]
+    numbers += [x for x in (struct.unpack("<d", rng.randbytes(8))[0] for _ in range(6000)) if math.isfinite(x)] + [round(rng.uniform(-1e6, 1e6), rng.randrange(6)) for _ in range(300)]
+    strings = ["", "plain", 'q"\\/', "".join(map(chr, range(32))), "é – 😀 \u2028 \x7f", None]
+    rows = [(strings[i % 6], x, i - 5, i % 2 == 0, [{"b": x, "a": strings[i % 5]}, None] if i % 3 else None, {"k" + str(j): j for j in range(i % 4, -1, -1)}) for i, x in enumerate(numbers)]
+    d = spark.createDataFrame(rows, "s string, x double, n long, t boolean, l array<struct<b:double,a:string>>, m map<string,int>")
+    got = [r[0] for r in d.select(canonical_json(d, ["x", "s", "n", "t", "l", "m"])).collect()]
+    want = [json.dumps({"s": s, "x": x, "n": n, "t": t, "l": li, "m": m}, ensure_ascii=False, sort_keys=True, separators=(",", ":")) for s, x, n, t, li, m in rows]
+    assert [(g, w) for g, w in zip(got, want, strict=True) if g != w] == []

@@ -113,6 +113,27 @@ def test_seed_and_stage_tables(spark, tmp_path):
         tables.write_stage(two, str(tmp_path / "t"))
 
 
+def test_records_that_cannot_be_read(spark, tmp_path):
+    for name, text in {"a.json": '{"name": "A", "n": 1}', "list.json": '[{"name": "B", "n": 2}, {"name": "C"}]', "bad.json": '{"name": "D"', "kind.json": '{"name": "E", "n": "x"}', "part.json": '[{"name": "F", "n": 3}, 7]', "open.json": '[{"name": "G"}, '}.items():
+        (tmp_path / name).write_text(text)
+    read = lambda mode: tables.read_records(spark, str(tmp_path / "*.json"), "name STRING, n INT", mode)
+    assert sorted(map(tuple, read("skip").collect()), key=str) == [("A", 1), ("B", 2), ("C", None), ("F", 3)]
+    assert read("mark").where("corrupt IS NOT NULL").count() == 4 and read("mark").count() == 8
+    with pytest.raises(ValueError, match="can't be read"):
+        read("raise")
+    with pytest.raises(ValueError, match="mode"):
+        read("odd")
+    d = spark.createDataFrame([(1, '{"name": "A", "n": 1}'), (2, "{"), (3, None)], "i int, text string")
+    assert [tuple(r) for r in tables.parse_records(d, "name STRING, n INT").collect()] == [(1, "A", 1)]
+    assert tables.parse_records(d.where("i = 1"), "name STRING, n INT", "raise").count() == 1
+    with pytest.raises(ValueError, match="can't be read"):
+        tables.parse_records(d, "name STRING, n INT", "raise")
+    for name, text in {"acme": '---\nname: "Acme"\n---\n\nBody\n', "anon": '---\nname: null\n---\n\nBody\n', "none": "no front matter"}.items():
+        (tmp_path / f"{name}.md").write_text(text)
+    ids = lambda **k: sorted(r["company_id"] for r in tables.read_dossiers(spark, str(tmp_path / "*.md"), **k).collect())
+    assert ids() == ["acme", "anon", "none"] and ids(named=True) == ["acme"]
+
+
 def test_retries():
     tried = []
 
