@@ -13,19 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common
 
-#: Markup: comments, declarations, tags with quoted attributes (so many parts at most, so that broken quotes cost little), and as a last
-#: resort anything up to the next >.
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'){0,400}+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
+#: Markup: comments, declarations, and tags. A quote counts behind an equals sign, and if another one follows; a tag that never ends goes on to the end.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
-#: Elements that are open at once; a deeper one closes the one before, as browsers do.
-DEPTH = 512
 #: Elements whose content is text up to their end tag.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements that don't begin a block and aren't part of a path.
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var".split())
-#: Elements that hold no article text.
-_DROPPED = set("head nav footer aside form script style noscript template svg iframe object button select option textarea dialog canvas audio video map menu".split())
+#: Elements that hold no text of the page.
+_DROPPED = set("head script style noscript template svg iframe select option textarea canvas audio video".split())
+#: Elements that stand apart from the article as a rule: what is in them scores less.
+_APART = set("nav footer aside form object button dialog map menu".split())
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words in class, id or role that mark what is not the article.
 _MARKED = set(
@@ -45,15 +44,17 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _STOPS = {"ul": {"li"}, "ol": {"li"}, "dl": {"dt", "dd"}, "table": {"tr", "td", "th"}}
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 #: A block is content if its score is this share of the score that the page's characters have on average.
-THRESHOLD = 0.3
+THRESHOLD = 0.6
 #: The article's container is the smallest that holds this share of the content's characters.
 SHARE = 0.6
+#: What stands apart has so much of its score.
+APART = 0.03
 #: A block inside the content's container is worth so much of the container's own score, if that is more than its path's.
-LENT = 0.5
+LENT = 0.9
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "path", "block", "outer", "dropped", "article", "marked", "banner", "keeps", "text", "mass", "worth", "chosen", "inside", "header", "link")
+    __slots__ = ("tag", "parent", "depth", "path", "block", "outer", "dropped", "apart", "article", "marked", "banner", "keeps", "text", "mass", "worth", "chosen", "inside", "header", "link")
 
     def __init__(self, tag: str, label: str, parent: _Element | None, dropped: bool, words: set[str], paths: dict[tuple[int, str], int]):
         self.tag, self.parent, self.link = tag, parent, tag == "a"
@@ -64,6 +65,7 @@ class _Element:
         self.outer = parent.outer if parent is not None and parent.outer is not None else self if self.article else None
         self.header = tag == "header" or parent is not None and parent.header
         self.dropped = dropped or parent is not None and parent.dropped
+        self.apart = tag in _APART or tag == "header" and not self.article or parent is not None and parent.apart
         self.marked, self.banner = not words.isdisjoint(_MARKED), not words.isdisjoint(_HEADER)
         self.keeps = self.inside = False
         self.text = self.chosen = 0
@@ -81,7 +83,7 @@ class _Block:
 
 
 def _element(tag: str, attributes: str, parent: _Element, paths: dict[tuple[int, str], int]) -> _Element:
-    label, dropped = tag, tag in _DROPPED or tag == "header" and not parent.article
+    label, dropped = tag, tag in _DROPPED
     words: set[str] = set()
     if attributes and not attributes.isspace():
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -100,10 +102,10 @@ def _element(tag: str, attributes: str, parent: _Element, paths: dict[tuple[int,
 
 
 def _judge(elements: list[_Element], blocks: list[_Block]) -> None:
-    """Fill in the blocks' parts: what no marked element holds.
+    """Fill in the blocks' parts, and say which elements stand apart because a class, id or role says so.
 
-    A mark alone drops no element that holds an article, nor, on a page without one, most of the text. If only headings
-    and links are outside the marks, the marks say nothing and all is left to the scores. elements has parents first."""
+    A mark sets no element apart that holds an article, nor, on a page without one, most of the text. If only headings
+    and links are outside the marks, the marks say nothing. elements has parents first."""
     for b in blocks:
         for piece, e, on_link in b.pieces:
             if not on_link:
@@ -125,13 +127,15 @@ def _judge(elements: list[_Element], blocks: list[_Block]) -> None:
                 banners.add(e)
         if e.parent in banners:
             banners.add(e)
-    if not any(e not in hidden and not on_link and b.element.tag not in _HEADINGS and not piece.isspace() for b in blocks for piece, e, on_link in b.pieces):
+    if not any(e not in hidden and not e.apart and not on_link and b.element.tag not in _HEADINGS and not piece.isspace() for b in blocks for piece, e, on_link in b.pieces):
         hidden = banners = set()
     for e in banners:
         e.header = True
+    for e in hidden:
+        e.apart = True
     for b in blocks:
-        for piece, e, on_link in b.pieces:
-            if e not in hidden and (b.parts or not piece.isspace()):
+        for piece, _, on_link in b.pieces:
+            if b.parts or not piece.isspace():
                 b.parts.append(piece)
                 if on_link:
                     b.linked += len(piece)
@@ -171,10 +175,10 @@ def _blocks(page: str) -> tuple[list[_Block], list[_Element]]:
             break
         text(page[at : m.start()])
         at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        tag = (m[2] or "").lower()
         if not tag:
             continue
-        if m[1] or m[4]:  # an end tag
+        if m[1]:  # an end tag
             if tag not in _INLINE:
                 current = None
             for i in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
@@ -184,20 +188,20 @@ def _blocks(page: str) -> tuple[list[_Block], list[_Element]]:
                 if tag in _INLINE and stack[i].tag not in _INLINE:  # an inline end tag closes nothing outside its block
                     break
             continue
-        attributes = m[3] if m[2] else m[6]
+        attributes = m[3]
         if tag == "br":
             if current is not None:
                 current.pieces.append((" ", stack[-1], False))
             continue
         if tag not in _INLINE:
             current = None
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p" and tag not in _VOID:  # a block closes an open paragraph
+            for i in range(len(stack) - 1 if opened["p"] and tag not in _VOID else 0, 0, -1):
+                if stack[i].tag == "p":  # a block closes an open paragraph
                     close(i)
                     break
                 if stack[i].tag not in _INLINE:
                     break
-            if tag in _CLOSES:
+            if tag in _CLOSES and any(opened[x] for x in _CLOSES[tag]):
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag in _CLOSES[tag]:
                         close(i)
@@ -210,14 +214,12 @@ def _blocks(page: str) -> tuple[list[_Block], list[_Element]]:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if attributes.rstrip().endswith("/") and tag in _DROPPED:
+        if attributes.rstrip().endswith("/") and tag in _DROPPED | _APART:
             continue
         if tag == "html" and len(stack) > 1 or tag == "body" and opened["body"]:
             continue
         if tag == "body":  # an open head ends here
             close(next((i + 1 for i, e in enumerate(stack) if e.tag == "html"), 1))
-        if len(stack) > DEPTH:
-            close(DEPTH)
         stack.append(_element(tag, attributes, stack[-1], paths))
         elements.append(stack[-1])
         opened[tag] += 1
@@ -238,7 +240,7 @@ def _scores(blocks: list[_Block], texts: list[str], linked: np.ndarray) -> tuple
     """(score of each block's path, fused value of each block, characters outside links).
 
     A path's ratios are its characters and its punctuation, outside links, by block; they are smoothed over the blocks in page order
-    and fused, and the mean over a path's blocks is its score.
+    and fused, and the mean over a path's blocks is its score. What stands apart has a share of it.
     """
     _, path, count = np.unique([b.element.path for b in blocks], return_inverse=True, return_counts=True)
     length = np.array([len(t) for t in texts]) * (1 - linked)
@@ -246,7 +248,13 @@ def _scores(blocks: list[_Block], texts: list[str], linked: np.ndarray) -> tuple
     of_path = np.bincount(path, weights=length)
     fused = _smooth((of_path / count)[path]) * (1 + _smooth((np.bincount(path, weights=marks) / count)[path]))
     score = np.bincount(path, weights=fused) / count
-    return np.where(of_path > 0, score, 0.0)[path], fused, length
+    share = np.array([APART if _apart(b) else 1.0 for b in blocks])
+    return np.where(of_path > 0, score, 0.0)[path] * share, fused * share, length
+
+
+def _apart(b: _Block) -> bool:
+    """Of an article's header only headings belong to it."""
+    return b.element.apart or b.element.header and b.element.tag not in _HEADINGS
 
 
 def _lend(blocks: list[_Block], elements: list[_Element], linked: np.ndarray, fused: np.ndarray, length: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -275,7 +283,7 @@ def _lend(blocks: list[_Block], elements: list[_Element], linked: np.ndarray, fu
         area = best
     for e in elements:
         e.inside = e is area or e.parent is not None and e.parent.inside
-    open_ = np.array([b.element.inside and (b.element.tag in _HEADINGS or b.element.tag == "p" or b.element.outer in articles) for b in blocks])
+    open_ = np.array([b.element.inside and not _apart(b) and (b.element.tag in _HEADINGS or b.element.tag == "p" or b.element.outer in articles) for b in blocks])
     kept = np.array([1.0 if b.element.tag in _HEADINGS else 1.0 - x for b, x in zip(blocks, linked, strict=True)])
     return np.where(open_, LENT * area.worth / max(area.text, 1e-9) * np.where(kept > 0.5, kept, 0.0), 0.0)
 
@@ -302,15 +310,14 @@ def extract(page: str, threshold: float = THRESHOLD) -> str:
     for e in elements:
         e.text = 0.0
     score = np.maximum(score, _lend(blocks, elements, linked, fused, length, (score >= limit) & (score > 0)))
-    return "\n".join(t for b, t, x in zip(blocks, texts, score, strict=True) if x >= limit and x > 0 and not (b.element.header and b.element.tag not in _HEADINGS))
+    return "\n".join(t for t, x in zip(texts, score, strict=True) if x >= limit and x > 0)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) with text and n_chars: the main text of each page.
 
     Null and empty html give an empty text, as do pages without text of their own; page_id and url are carried as they are, null or
-    repeated. Broken markup is read as it stands: what is never closed ends with its parent, and an element below DEPTH others
-    closes the one before it. Extra columns are ignored. A page is worked on alone, whole, whatever its length.
+    repeated. Broken markup is read as it stands: what is never closed ends with its parent. Extra columns are ignored. A page is worked on alone, whole, whatever its length.
     """
     types = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 
