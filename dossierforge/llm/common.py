@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.shipping import ensure_importable
+from ..sources.keyed import shared_dir
 
 #: Bytes of text that are worked on at once; a longer text is one piece of its own.
 CHUNK_BYTES = 1 << 20
@@ -29,16 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="dossierforge-")
-        sc.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
