@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import records as R
+from .operators import validate as N
 from .plans import company, stages
 from .sources import tables
 from .sources.keyed import KeyedTable
@@ -110,6 +111,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2
+    if args.command == "stage" and args.name == "global-scoring":
+        for name, status, digest in result.select("name", "status", N.score_digest(F.col("scores"))).orderBy("name").toLocalIterator():
+            print(f"{name}: status={status} {digest}", file=sys.stderr)
     for row in R.status_summary(result).orderBy("status").collect():
         print(f"{row['status']}={row['n']}", file=sys.stderr)
     return 0

@@ -132,11 +132,32 @@ def strip_fence(text: Column) -> Column:
     return F.regexp_replace(t, r"(?s)^```(?:json)?\s*(.*?)\s*```$", "$1")
 
 
+# fixed values: how a completion's opening remark begins, and the fence around all of it
+_REMARK = r"(?i)\A(?:here(?:'s| is)\b|below is\b|sure[,!.:])[^\n]*(?:\n|\z)"
+_FENCE = r"(?s)\A```[a-zA-Z]*\s*\n(.*?)\n```\z"
+
+
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"\A\s+|\s+\z", "")
+
+
 def strip_wrapper(text: Column) -> Column:
-    """A completion without its opening remark and the fence around it."""
-    t = F.regexp_replace(text, r"^\s+|\s+$", "")
-    t = F.regexp_replace(t, r"(?i)^(?:here is|here's|sure|hier is)[^\n]*\n+", "")
-    return F.regexp_replace(t, r"(?s)^```[a-z]*\s*\n(.*?)\n?```$", "$1")
+    """A completion without the line of its opening remark and the fence around it."""
+    t = _stripped(F.regexp_replace(_stripped(text), _REMARK, ""))
+    return F.when(t.rlike(_FENCE), _stripped(F.regexp_replace(t, _FENCE, "$1"))).otherwise(t)
+
+
+def frontmatter_name(text: Column) -> Column:
+    """The name in a dossier's head, read line by line: a bare null is none, a quoted one is a name; null without a head or a name in it."""
+    def read(lines: Column) -> Column:
+        ends = F.array_position(F.transform(lines, lambda x: F.trim(x) == "---"), True)
+        head = F.when(ends > 0, F.slice(lines, F.lit(1), ends.cast("int"))).otherwise(lines)
+        raw = F.trim(F.regexp_replace(F.get(F.filter(head, lambda x: x.startswith("name:")), F.lit(0)), "^name:", ""))
+        inside = F.replace(F.replace(F.regexp_extract(raw, r'(?s)\A"(.*)"\z', 1), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
+        return F.when(raw.rlike(r'(?s)\A".*"\z'), inside).when(raw != "null", raw)
+
+    lines = F.split(text, "\n")
+    return F.when(text.startswith("---"), bind(F.slice(lines, F.lit(2), F.size(lines)), read))
 
 
 def yaml_scalar(c: Column) -> Column:

@@ -78,3 +78,9 @@ def translations(answer: Column, keys: Column) -> Column:
     m = F.try_variant_get(parse(answer), "$", "map<string,string>")
     texts = F.transform(keys, lambda k: F.nullif(F.trim(F.try_element_at(m, k)), F.lit("")))
     return F.when(F.coalesce(F.forall(texts, lambda x: x.isNotNull()), F.lit(False)), F.map_from_arrays(keys, texts))
+
+
+def score_digest(scores: Column) -> Column:
+    """Each axis's first three letters and its score in one line, as a log shows them; empty without scores."""
+    said = [F.concat(F.lit(f"{a[:3]}="), F.coalesce(scores[a]["score"].cast("string"), F.lit("None"))) for a in V.AXES]
+    return F.when(scores.isNull(), "").otherwise(F.concat_ws(" ", *said))

@@ -422,6 +422,22 @@ def scores_validate(spark, sf_dir):
     return d.select("event_id", F.col("s").isNotNull().alias("valid"), "s.substance.score", "s.substance.evidence")
 
 
+@_query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN '' ELSE 'sub=' || event_id % 101 || ' eco=50 pow=' || CASE WHEN event_id % 3 = 0 THEN 'None' ELSE '7' END || ' emb=0 pos=100' END AS digest FROM events""")
+def score_digest(spark, sf_dir):
+    values = {"substance": F.col("event_id") % 101, "ecology": F.lit(50), "power": F.when(F.col("event_id") % 3 != 0, 7), "embeddedness": F.lit(0), "posture": F.lit(100)}
+    scores = F.when(F.col("event_id") % 4 != 0, F.struct(*(F.struct(values[a].alias("score")).alias(a) for a in V.AXES)))
+    return _t(spark, sf_dir, "events").select("event_id", N.score_digest(scores).alias("digest"))
+
+
+_HEADS = ["concat('---', chr(10), 'name: \"a \\\\\"', doc_id, '\\\\\" \\\\\\\\ b\"', chr(10), '---', chr(10), 'name: no')", "concat('---', chr(10), 'name: null', chr(10), '---')", "concat('---', chr(10), 'name: \"null\"', chr(10), '---')", "concat('---', chr(10), 'title: x', chr(10), ' --- ', chr(10), 'name: no')", "concat('name: no', doc_id)", "concat('---', chr(10), 'name:  plain ', doc_id, chr(10), 'name: second')"]
+
+
+@_query("""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'a "' || doc_id || '" \\ b' WHEN 2 THEN 'null' WHEN 5 THEN 'plain ' || doc_id END AS name FROM documents""")
+def frontmatter_name(spark, sf_dir):
+    text = "CASE doc_id % 6 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_HEADS)) + " END"
+    return _t(spark, sf_dir, "documents").select("doc_id", T.frontmatter_name(F.expr(text)).alias("name"))
+
+
 _TAG = '{{"isco_code": "{0}", "prominence": "{1}", "confidence": "high"}}'
 _TAGS = "CASE event_id % 6 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(["[]", "[" + _TAG.format("011", "core") + "]", "[" + _TAG.format("999", "core") + "]", "[" + _TAG.format("251", "core") + ", " + _TAG.format("251", "incidental") + "]", "[" + _TAG.format("251", "main") + "]"])) + " ELSE '[" + _TAG.format("251", "core") + ", " + _TAG.format("252", "supporting") + "]' END"
 

@@ -26,7 +26,7 @@ from . import stages
 KEY = "company_id"
 #: What tables from outside have to hold; an absent table counts as an empty one.
 HITS = "company_id string, engine_rank int, url string"
-WEB = "url string, html string"  # and, where fetched, final_url string, error_kind string
+WEB = "url string, html string"  # and, where fetched, final_url, error_kind, and rendered, what a browser made of the page, each a string
 ADDRESSES = "kind string, postcode string, street string, house_no int, city string, centroid_wkt string"
 LIFECYCLE = "company_id string, created_at string, updated_at string, content_hash string"
 #: Sitemap links come after all links of the homepage.
@@ -119,18 +119,22 @@ def site_links(sites: DataFrame, home: DataFrame, web: DataFrame) -> DataFrame:
 def collection(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
     """A row per company: status, pages_collected, footer and structured text and icon of the homepage, and pages with their surfaces."""
     web = o.table("web", WEB)
-    given = {c: F.col(c) if c in web.columns else F.lit(None).cast("string") for c in ("final_url", "error_kind")}
+    given = {c: F.col(c) if c in web.columns else F.lit(None).cast("string") for c in ("final_url", "error_kind", "rendered")}
     web = web.select("url", "html", *(c.alias(n) for n, c in given.items()))
     found = done["website-resolution"].select(KEY, "name", "website")
     sites = found.withColumn("homepage", T.normalize_homepage(F.trim("website"))).where(F.col("homepage").isNotNull() & (F.trim("website") != ""))
     moved = F.coalesce(T.canonical_base(F.col("final_url")), F.col("homepage"))  # where redirects ended is the base of all else
-    home = sites.select(KEY, "homepage").join(web.withColumnRenamed("url", "homepage"), "homepage").where("html IS NOT NULL")
-    home = home.select(KEY, F.col("homepage").alias("asked"), moved.alias("homepage"), H.read_page("html").alias("page"))
+    home = sites.select(KEY, "homepage").join(web.withColumnRenamed("url", "homepage"), "homepage").where("html IS NOT NULL OR rendered IS NOT NULL")
+    # a homepage that can't be fetched, or has no links of its own, is taken as a browser shows it, and so are the site's other pages
+    bare = F.col("html").isNull() | ~F.coalesce(F.col("html"), F.lit("")).rlike(r"(?is)<a\s[^>]*href")
+    home = home.withColumn("js_site", bare & F.col("rendered").isNotNull()).withColumn("html", F.when(F.col("js_site"), F.col("rendered")).otherwise(F.col("html"))).where("html IS NOT NULL")
+    home = home.select(KEY, "js_site", F.col("homepage").alias("asked"), moved.alias("homepage"), H.read_page("html").alias("page"))
     picked = S.select_urls(site_links(home.select(KEY, "homepage"), home, web), KEY)
     alone = F.array(F.struct(F.col("homepage").alias("url"), F.lit("index").alias("slug")))
-    chosen = home.select(KEY, "homepage", "asked").join(picked, KEY, "left").select(KEY, "asked", F.coalesce("collisions", F.array().cast("array<struct<url:string,slug:string>>")).alias("collisions"), F.posexplode(F.coalesce("selected", alone)).alias("ord", "s"))
-    chosen = chosen.select(KEY, "ord", F.col("s.url").alias("page_url"), "s.slug", "collisions", F.when(F.col("ord") == 0, F.col("asked")).otherwise(F.col("s.url")).alias("url"))
-    read = chosen.join(web, "url", "left").drop("url").withColumnRenamed("page_url", "url").select("*", H.read_page("html").alias("p"))
+    chosen = home.select(KEY, "homepage", "asked", "js_site").join(picked, KEY, "left").select(KEY, "asked", "js_site", F.coalesce("collisions", F.array().cast("array<struct<url:string,slug:string>>")).alias("collisions"), F.posexplode(F.coalesce("selected", alone)).alias("ord", "s"))
+    chosen = chosen.select(KEY, "ord", "js_site", F.col("s.url").alias("page_url"), "s.slug", "collisions", F.when(F.col("ord") == 0, F.col("asked")).otherwise(F.col("s.url")).alias("url"))
+    html = F.when(F.col("js_site"), F.col("rendered")).otherwise(F.col("html"))
+    read = chosen.join(web, "url", "left").drop("url").withColumnRenamed("page_url", "url").withColumn("html", html).drop("rendered").select("*", H.read_page("html").alias("p"))
     intent = T.is_address_intent(F.col("slug"))
     thick = F.coalesce(F.length("p.markdown") >= V.THIN_CHARS, F.lit(False))
     state = F.when(F.col("html").isNull(), "error").when(thick, "written").otherwise("dropped_thin")
@@ -143,7 +147,7 @@ def collection(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
     icons = F.transform(F.col("p.icons"), lambda x, i: F.struct(H.favicon_rank(x["rel"], x["sizes"], i).alias("rank"), x["href"].alias("href")))
     best = F.get(F.array_sort(icons), F.lit(0))["href"]
     got = read.groupBy(KEY).agg(
-        F.array_sort(F.collect_list(page)).alias("pages"), F.first("collisions").alias("collisions"),
+        F.array_sort(F.collect_list(page)).alias("pages"), F.bool_or("js_site").alias("js_site"), F.first("collisions").alias("collisions"),
         F.max(F.when(index, F.col("p.footer_text"))).alias("footer_text"), F.max(F.when(index, F.col("p.structured_text"))).alias("structured_text"),
         F.max(F.when(index, F.coalesce(best, F.lit("/favicon.ico")))).alias("icon"), F.max(F.when(index, F.col("p.base"))).alias("icon_base"),
     )
@@ -154,7 +158,7 @@ def collection(o: Outside, done: Mapping[str, DataFrame]) -> DataFrame:
     chars = F.aggregate(texts, F.lit(0), lambda a, x: a + F.length(x))
     status = F.when(F.coalesce(F.trim("website"), F.lit("")) == "", "upstream_failed").when((n >= V.MIN_PAGES) | ((n >= 1) & (chars >= V.SUBSTANTIAL_CHARS)), "ok").when(n >= 1, "thin").otherwise("fetch_failed")
     icon = H.absolute(F.col("icon_base"), F.col("homepage"), F.when(F.col("icon").isNotNull(), F.array("icon")))
-    return d.select(KEY, "name", "website", status.alias("status"), n.alias("pages_collected"), F.col("homepage").alias("canonical_homepage_url"), "footer_text", "structured_text", F.try_element_at(icon, F.lit(1)).alias("favicon_url"), "pages", "collisions")
+    return d.select(KEY, "name", "website", status.alias("status"), n.alias("pages_collected"), F.col("homepage").alias("canonical_homepage_url"), "footer_text", "structured_text", F.try_element_at(icon, F.lit(1)).alias("favicon_url"), F.coalesce("js_site", F.lit(False)).alias("js_site"), "pages", "collisions")
 
 
 # ---------------------------------------------------------------- facts

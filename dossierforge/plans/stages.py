@@ -11,7 +11,7 @@ from ..functions import text as T
 from ..functions import vocab as V
 from ..operators import records as R
 from ..sources import tables
-from ..sources.keyed import KeyedTable
+from ..sources.keyed import KeyedTable, _Files
 
 ORDER = ["website-resolution", "content-collection", "fact-extraction", "content-summarization", "geocoding", "tagline-extraction", "global-scoring", "tagging", "translation", "dataset-output"]
 #: Stages whose tables each stage reads.
@@ -70,14 +70,19 @@ def manifest(companies: DataFrame, generated_at: str, git_sha: str) -> DataFrame
 
 
 def publish(companies: DataFrame, out_dir: str, generated_at: str, git_sha: str, sink=None, dry_run: bool = False) -> DataFrame:
-    """Check, plan, write the release to out_dir, and hand it to a sink."""
+    """Check the data, then the sink, plan, write the release to out_dir, and hand it to the sink. A tag that is taken raises and changes nothing."""
     R.require_none(R.duplicate_ids(companies), "company ids that occur twice")
+    if sink is not None and not dry_run:
+        sink.check()
     plan = manifest(companies, generated_at, git_sha)
     if not dry_run:
-        tag = T.release_tag(F.lit(generated_at))
-        name = companies.sparkSession.range(1).select(tag.alias("t")).first()["t"]
-        tables.export_json(companies, f"{out_dir}/{name}/companies")
-        plan.write.mode("overwrite").json(f"{out_dir}/{name}/manifest")
+        spark = companies.sparkSession
+        tag = spark.range(1).select(T.release_tag(F.lit(generated_at)).alias("t")).first()["t"]
+        folder = f"{out_dir}/{tag}"
+        if _Files(spark).exists(folder) or sink is not None and sink.exists(tag):
+            raise ValueError(f"tag {tag} exists already (try again next second)")
+        tables.export_json(companies, f"{folder}/companies")
+        plan.write.mode("overwrite").json(f"{folder}/manifest")
         if sink is not None:
-            sink.upload(name, [f"{out_dir}/{name}/companies", f"{out_dir}/{name}/manifest"])
+            sink.upload(tag, [f"{folder}/companies", f"{folder}/manifest"])
     return plan

@@ -165,6 +165,47 @@ def test_runs_share_the_lifecycle_table_and_guard_names(spark, tmp_path):
     assert stages.table(spark, root, "website-resolution").versions() == before
 
 
+def test_rendered_sites_and_releases(spark, tmp_path, capsys):
+    seed = tmp_path / "seed.json"
+    seed.write_text(json.dumps([{"name": "App", "website": "https://app.nl"}, {"name": "Lost", "website": "https://lost.nl"}]))
+    shell, link = "<html><body><div id=root></div></body></html>", '<a href="/about">a</a>'
+    pages = [("https://app.nl/", shell, _page(link)), ("https://app.nl/about", shell, _page(" Made by a browser.")), ("https://lost.nl/", None, _page(link)), ("https://lost.nl/about", _page(" Static."), None)]
+    web = spark.createDataFrame(pages, "url string, html string, rendered string")
+    root = str(tmp_path / "out")
+    o = company.Outside(company.tables.read_seed(spark, str(seed)), root, "2026-01-02T00:00:00Z", web=web)
+    content = {r["company_id"]: r for r in company.collection(o, {"website-resolution": company.resolution(o, {})}).collect()}
+    assert content["app"]["js_site"] and {p["slug"]: p["status"] for p in content["app"]["pages"]} == {"index": "written", "about": "written"}
+    assert content["lost"]["js_site"] and {p["slug"]: p["status"] for p in content["lost"]["pages"]} == {"index": "written", "about": "error"}
+
+    class Sink:
+        taken, sent = set(), []
+
+        def check(self):
+            if not self.ready:
+                raise ValueError("not signed in")
+
+        def exists(self, tag):
+            return tag in self.taken
+
+        def upload(self, tag, paths):
+            self.sent.append((tag, len(paths)))
+
+    d, sink = spark.createDataFrame([("a", "A")], "company_id string, name string"), Sink()
+    release = lambda at, **k: stages.publish(d, str(tmp_path / "rel"), at, "sha", sink, **k)
+    sink.ready = False
+    with pytest.raises(ValueError, match="signed in"):
+        release("2026-01-02T00:00:00Z")
+    assert release("2026-01-02T00:00:00Z", dry_run=True).first()["tag"] == "2026-01-02T00-00-00Z" and not (tmp_path / "rel").exists()
+    sink.ready = True
+    release("2026-01-02T00:00:00Z")
+    with pytest.raises(ValueError, match="exists already"):
+        release("2026-01-02T00:00:00Z")
+    sink.taken = {"2026-01-03T00-00-00Z"}
+    with pytest.raises(ValueError, match="exists already"):
+        release("2026-01-03T00:00:00Z")
+    assert sink.sent == [("2026-01-02T00-00-00Z", 2)]
+
+
 def test_seed_that_is_no_array(spark, tmp_path):
     bad = tmp_path / "seed.json"
     bad.write_text('{"name": "x"}')

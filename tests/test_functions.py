@@ -45,6 +45,8 @@ def test_address_intent(spark):
 def test_language_and_wrappers(spark):
     assert values(spark, T.detect_language, ["Wij maken het beste brood van de stad en onze klanten zijn blij", "We bake bread", "123", None]) == ["nl", "en", None, None]
     assert values(spark, T.strip_wrapper, ["Here is the text:\n```markdown\nBody\nmore\n```"]) == ["Body\nmore"]
+    wrapped = ["Sure, here:\nText", "surely not\nText", "Below is it\n```\nA\n\nB\n```  ", "```python\nx\n```\ny", "  plain ", "Here's one", None, "HERE IS the summary.\n\n# Head\nBody"]
+    assert values(spark, T.strip_wrapper, wrapped) == ["Text", "surely not\nText", "A\n\nB", "```python\nx\n```\ny", "plain", "", None, "# Head\nBody"]
     assert values(spark, T.strip_fence, ['```json\n{"a": 1}\n```', ' {"a": 1} ']) == ['{"a": 1}', '{"a": 1}']
 
 

@@ -1,13 +1,16 @@
 """Polite fetching under a clock of its own and over HTTP, and the chain of engines."""
 
+import json
 import threading
 import time
 from collections import defaultdict
+from dataclasses import replace
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 
 from dossierforge.sources import web
+from dossierforge.sources.providers import Completions, Transient, delay
 from dossierforge.sources.web import Fetched, Retryable
 
 
@@ -84,6 +87,16 @@ class _Site(BaseHTTPRequestHandler):
             self.end_headers()
             self.wfile.write(body)
 
+    def do_POST(self):  # noqa: N802
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        asked = body["messages"][0]["content"]
+        said = {"busy": (429, ""), "broken": (200, "no json"), "empty": (200, json.dumps({"choices": [{"message": {"content": " "}}]}))}
+        code, text = said.get(asked, (200, json.dumps({"choices": [{"message": {"content": f"{body['model']} {body['temperature']} {self.headers['Authorization']} {asked}"}}]})))
+        self.send_response(code)
+        self.send_header("Retry-After", "7")
+        self.end_headers()
+        self.wfile.write(text.encode())
+
     def log_message(self, *_):
         pass
 
@@ -106,6 +119,22 @@ def test_over_http(site):
     assert web.fetched("http://127.0.0.1:1/", request)[0].error_kind == "dns" and web.fetched("nonsense", request)[0].error_kind == "transport"
 
 
+def test_completions_over_http(site, monkeypatch):
+    ask = lambda c, text: c()(json.dumps([{"role": "user", "content": text}]))
+    c = Completions(f"{site}/chat", "usual", model_env="TEST_MODEL", key_env="TEST_KEY")
+    monkeypatch.setenv("TEST_KEY", "k")
+    assert ask(c, "hi") == "usual 0.2 Bearer k hi"
+    monkeypatch.setenv("TEST_MODEL", "other")
+    assert ask(c, "hi") == "other 0.2 Bearer k hi" and replace(c, model="given").resolved_model() == "given"
+    for text, asked in (("busy", 7.0), ("broken", None), ("empty", None)):
+        with pytest.raises(Transient) as e:
+            ask(c, text)
+        assert e.value.retry_after == asked
+    with pytest.raises(Transient):
+        ask(replace(c, url="http://127.0.0.1:1/"), "hi")
+    assert delay(0, 7.0, lambda: 1.0) == 7.0 and delay(9, 7.0, lambda: 1.0) == 30.0
+
+
 @pytest.mark.parametrize("tasks", [1, 3])
 def test_spark_keeps_the_gap_under_any_partitioning(spark, tasks):
     rows = [(f"https://{h}/p{i}",) for i in range(5) for h in ("hot.nl", "HOT.nl", "b.nl", "c.nl")] + [(None,), ("no url",), (None,), ("https://b.nl/p0",)]
