@@ -21,6 +21,20 @@ _VOID = frozenset("area base br col embed hr img input link meta source track wb
 _ITEMPROPS = ("streetAddress", "postalCode", "addressLocality", "addressRegion", "addressCountry")
 
 
+#: Elements around the main text, and those that hold blocks of it.
+_APART = frozenset({"nav", "footer", "aside", "header"})
+_HOLDERS = frozenset({"", "html", "body", "main", "article", "section", "div", "td"})
+#: Precision takes blocks whose holder scores so much of what the best one does; a mark of punctuation is worth so many characters.
+HOLDER_SHARE, MARK = 0.2, 20
+
+
+class _Block:
+    """Text between the edges of block elements. node: the element that it stands in."""
+
+    def __init__(self, node: int):
+        self.node, self.parts, self.linked = node, [], 0
+
+
 class _Page(HTMLParser):
     """One pass over a page, collecting what all operators need."""
 
@@ -33,7 +47,10 @@ class _Page(HTMLParser):
         self.body: list[str] = []
         self.items: dict[str, list[str]] = {}
         self.title: list[str] = []
-        self.paragraphs: list[tuple[str, list[str]]] = []
+        self.nodes: list[tuple[str, int]] = [("", -1)]  # (tag, parent) of every element that can hold text
+        self.blocks: list[_Block] = []
+        self._at: list[int] = [0]
+        self._fresh = True
         self._item: tuple[str, int] | None = None
         self._ld: list[str] | None = None
 
@@ -54,9 +71,12 @@ class _Page(HTMLParser):
             self._ld = []
         if tag in _BLOCK:
             self._text("\n")
+            self._fresh = self._fresh or tag != "br"
         if tag in _VOID:
             return
         self.stack.append(tag)
+        self.nodes.append((tag, self._at[-1]))
+        self._at.append(len(self.nodes) - 1)
         if tag == "footer":
             self.footers.append([])
         elif tag == "address":
@@ -64,15 +84,16 @@ class _Page(HTMLParser):
         if a.get("itemprop") in _ITEMPROPS:
             self._item = (a["itemprop"], len(self.stack))
             self.items.setdefault(a["itemprop"], []).append("")
-        if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "blockquote") and not {"nav", "footer", "aside", "header"} & set(self.stack):
-            self.paragraphs.append((tag, []))
 
     def handle_endtag(self, tag):
         if tag in _BLOCK:
             self._text("\n")
+            self._fresh = True
         if tag in self.stack:
-            while self.stack.pop() != tag:
-                pass
+            closed = ""
+            while closed != tag:
+                closed = self.stack.pop()
+                self._at.pop()
         if self._item and len(self.stack) < self._item[1]:
             self._item = None
         if tag == "script" and self._ld is not None:
@@ -98,8 +119,14 @@ class _Page(HTMLParser):
             self.addresses[-1].append(s)
         if self._item:
             self.items[self._item[0]][-1] += s
-        if self.paragraphs and not {"nav", "footer", "aside", "header"} & set(self.stack):
-            self.paragraphs[-1][1].append(s)
+        if not _APART & set(self.stack):
+            if self._fresh and s.strip():
+                self.blocks.append(_Block(next((i for i in reversed(self._at) if self.nodes[i][0] in _BLOCK or self.nodes[i][0] in _HOLDERS), 0)))
+                self._fresh = False
+            if not self._fresh:
+                self.blocks[-1].parts.append(s)
+                if "a" in self.stack:
+                    self.blocks[-1].linked += len(s.strip())
 
 
 def _lines(parts: list[str]) -> str | None:
@@ -152,15 +179,32 @@ def _structured(p: _Page) -> str | None:
     return "\n".join(dict.fromkeys([*out, line] if line else out)) or None
 
 
-def _markdown(p: _Page, recall: bool) -> str | None:
-    """Headings and paragraphs; precision leaves out short lines without punctuation."""
-    out = []
-    for tag, parts in p.paragraphs:
-        t = _inline("".join(parts))
-        if not t or not recall and tag not in ("h1", "h2", "h3") and len(t) < 25 and not re.search(r"[.!?]", t):
+def _main(p: _Page) -> tuple[str | None, str | None]:
+    """(precision, recall): the main text with headings and items marked, each block once.
+
+    A block is worth its characters outside links and its punctuation; one that is mostly links is worth nothing. What blocks are worth goes to the element that
+    holds them, and half of it to the one around that. Recall takes every block that isn't mostly links; precision those of holders that
+    come near the best one.
+    """
+    found, score = [], {}
+    for b in p.blocks:
+        text = _inline("".join(b.parts))
+        tag = p.nodes[b.node][0]
+        heading = tag[:1] == "h" and tag[1:].isdigit()
+        if not text or 2 * b.linked > len(text) and not heading:
             continue
-        out.append(("#" * int(tag[1]) + " " if tag[0] == "h" else "- " if tag == "li" else "") + t)
-    return "\n\n".join(dict.fromkeys(out)) or None
+        holder = b.node
+        while p.nodes[holder][0] not in _HOLDERS:
+            holder = p.nodes[holder][1]
+        worth = 0 if heading else len(text) - b.linked + MARK * len(re.findall(r"[.,;:!?]", text))
+        score[holder] = score.get(holder, 0) + worth
+        around = p.nodes[holder][1]
+        if around >= 0:
+            score[around] = score.get(around, 0) + worth / 2
+        found.append((holder, ("#" * int(tag[1]) + " " if heading else "- " if tag == "li" else "") + text))
+    least = HOLDER_SHARE * max(score.values(), default=0)
+    join = lambda texts: "\n\n".join(dict.fromkeys(texts)) or None
+    return join(t for h, t in found if score[h] >= least), join(t for _, t in found)
 
 
 PAGE = "links array<string>, base string, icons array<struct<rel:string,href:string,sizes:string>>, title string, description string, sitename string, footer_text string, visible_text string, structured_text string, markdown string, recall string"
@@ -176,11 +220,12 @@ def _read(html: pd.Series) -> pd.DataFrame:
     for page in html:
         p = _parse(page)
         title = _inline("".join(p.title)) or None
+        precision, recall = _main(p)
         rows.append({
             "links": p.links, "base": p.base, "icons": [{"rel": r, "href": h, "sizes": s} for r, h, s in p.icons],
             "title": p.meta.get("og:title") or title, "description": p.meta.get("description") or p.meta.get("og:description") or None, "sitename": p.meta.get("og:site_name") or None,
             "footer_text": "\n".join(x for x in (_lines(f) for f in p.footers) if x) or None, "visible_text": _lines(p.body), "structured_text": _structured(p),
-            "markdown": _markdown(p, False), "recall": _markdown(p, True),
+            "markdown": precision, "recall": recall,
         })
     return pd.DataFrame(rows, columns=[c.split()[0] for c in re.split(r", (?![^<]*>)", PAGE)])
 
