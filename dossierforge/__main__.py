@@ -38,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--complete", metavar="MODULE:NAME", help="what opens a completion provider: a function of nothing that gives a function of a request")
         s.add_argument("--locate", metavar="MODULE:NAME", help="what opens a geocoder, in place of --addresses")
         s.add_argument("--engine", metavar="NAME=MODULE:NAME", action="append", default=[], help="what opens a search engine, in place of --hits; engines are asked in this order")
-        s.add_argument("--prompts", help="folder with a file <stage>.md for each stage that asks")
+        s.add_argument("--prompts", help="folder with a file <stage>.md for each stage that asks; facts have two, fact-extraction-choice.md and fact-extraction-fallback.md")
     pub = sub.add_parser("publish")
     pub.add_argument("--input", required=True, help="dataset table")
     pub.add_argument("--out-dir", default="releases")
@@ -72,7 +72,7 @@ def _providers(spark: SparkSession, args: argparse.Namespace) -> dict:
         found["engines"] = {n: _loaded(v) for n, _, v in (e.partition("=") for e in args.engine)}
     if args.prompts:
         files = spark.read.text(f"{args.prompts}/*.md", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.md$", 1), "value")
-        found["prompts"] = {n: text for n, text in files.collect() if n in stages.ORDER}
+        found["prompts"] = {n: text for n, text in files.collect() if n in {*stages.ORDER, "fact-extraction-choice", "fact-extraction-fallback"}}
     return found
 
 

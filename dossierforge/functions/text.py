@@ -160,6 +160,16 @@ def frontmatter_name(text: Column) -> Column:
     return F.when(text.startswith("---"), bind(F.slice(lines, F.lit(2), F.size(lines)), read))
 
 
+def quoted(c: Column) -> Column:
+    """c between single quotes, or double ones if it holds single and no double quotes; None for null. Backslashes and line breaks are escaped."""
+    inside = c
+    for a, b in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\xa0", "\\xa0")):
+        inside = F.replace(inside, F.lit(a), F.lit(b))
+    single = F.concat(F.lit("'"), F.replace(inside, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    double = F.concat(F.lit('"'), inside, F.lit('"'))
+    return F.when(c.isNull(), "None").when(c.contains("'") & ~c.contains('"'), double).otherwise(single)
+
+
 def yaml_scalar(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
 

@@ -322,6 +322,17 @@ def candidate_rank(spark, sf_dir):
     return A.ranked(A.candidates(_surfaces(spark, sf_dir))).where("rank <= 5").select("company_id", "postcode", "rank")
 
 
+_QUOTED = "chr(39) || {0} || chr(39)"
+
+
+@_query(f"""SELECT company_id, '[{{"role":"system","content":"choose"}},{{"role":"user","content":"Candidates:\\n' || string_agg((rank - 1) || ': street=' || {_QUOTED.format("street")} || ', postcode=' || {_QUOTED.format("postcode")} || ', city=' || {_QUOTED.format("city")} || ', context=None', '\\n' ORDER BY rank) || '"}}]' AS request
+FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY CASE WHEN boost THEN 0 ELSE 1 END, i) AS rank FROM ({_FOUND})) GROUP BY company_id""")
+def choice_messages(spark, sf_dir):
+    one = F.struct("rank", F.struct("street", "postcode", "city").alias("address"), F.lit(None).cast("string").alias("snippet"))
+    top = A.ranked(A.candidates(_surfaces(spark, sf_dir))).where("rank <= 5").groupBy("company_id").agg(F.array_sort(F.collect_list(one)).alias("top"))
+    return top.select("company_id", company.messages("choose", company.choices(F.col("top"))).alias("request"))
+
+
 @_query(f"""SELECT c_custkey AS company_id, CASE WHEN c_custkey % 13 = 0 THEN 'upstream_failed' WHEN n IS NULL THEN 'empty' ELSE 'regex_single' END AS status, CASE WHEN c_custkey % 13 <> 0 THEN best END AS postcode
 FROM customer LEFT JOIN (SELECT company_id, count(*) AS n, arg_min(postcode, CASE WHEN boost THEN 0 ELSE 10 END + i) AS best FROM ({_FOUND}) GROUP BY 1) ON company_id = c_custkey""")
 def fact_decide(spark, sf_dir):

@@ -63,16 +63,33 @@ class Outside:
         t = getattr(self, name)
         return self.seed.sparkSession.createDataFrame([], schema) if t is None else t
 
-    def ask(self, pending: DataFrame, stage: str, body: Column) -> DataFrame:
+    def ask(self, pending: DataFrame, stage: str, body: Column, prompt: Column | None = None) -> DataFrame:
         """(key, answer, error) of pending rows, written before use, so that a retried task doesn't ask again."""
         path = f"{self.root}/answers/{stage}-{uuid.uuid4().hex}"
-        providers.run_pending(pending.select(KEY, messages(self.prompts.get(stage, ""), body).alias("request")), self.complete).write.parquet(path)
+        prompt = F.lit(self.prompts.get(stage, "")) if prompt is None else prompt
+        request = messages(prompt, F.concat(F.lit(LEADS.get(stage, "")), body))
+        providers.run_pending(pending.select(KEY, request.alias("request")), self.complete).write.parquet(path)
         return pending.sparkSession.read.parquet(path)
 
 
-def messages(prompt: str, body: Column) -> Column:
+# fixed values: what stands before the text that a stage asks about
+LEADS = {"content-summarization": "Company website content:\n\n", "tagline-extraction": "Company dossier:\n\n", "global-scoring": "Company dossier:\n\n", "tagging": "Company dossier:\n\n"}
+
+
+def messages(prompt: str | Column, body: Column) -> Column:
     """A chat request as JSON: the prompt, then the text it is about."""
-    return F.to_json(F.array(F.struct(F.lit("system").alias("role"), F.lit(prompt).alias("content")), F.struct(F.lit("user").alias("role"), body.alias("content"))))
+    system = F.lit(prompt) if isinstance(prompt, str) else prompt
+    return F.to_json(F.array(F.struct(F.lit("system").alias("role"), system.alias("content")), F.struct(F.lit("user").alias("role"), body.alias("content"))))
+
+
+def choices(top: Column) -> Column:
+    """The candidates of an address, a line each, numbered from 0, their texts quoted."""
+
+    def line(c: Column, i: Column) -> Column:
+        fields = {f: c["address"][f] for f in ("street", "postcode", "city")} | {"context": c["snippet"]}
+        return F.concat(i.cast("string"), F.lit(": "), F.concat_ws(", ", *(F.concat(F.lit(f"{f}="), T.quoted(x)) for f, x in fields.items())))
+
+    return F.concat(F.lit("Candidates:\n"), F.array_join(F.transform(top, line), "\n"))
 
 
 def functions(o: Outside) -> dict[str, stages.StageFn]:
@@ -194,13 +211,16 @@ def _choose(o: Outside, d: DataFrame, top: DataFrame, fallback: DataFrame) -> Da
     blank = F.coalesce(F.trim("body"), F.lit("")) == ""
     d = d.withColumn("status", F.when((F.col("status") == "pending_fallback") & blank, "empty").otherwise(F.col("status")))
     waiting = d.where("status LIKE 'pending%'")
-    text = F.when(F.col("status") == "pending_choice", F.to_json(F.col("top"))).otherwise(F.col("body"))
-    d = d.join(o.ask(waiting, "fact-extraction", text), KEY, "left")
+    choose = F.col("status") == "pending_choice"
+    text = F.when(choose, choices(F.col("top"))).otherwise(F.concat(F.lit("Text:\n"), F.col("body")))
+    usual = o.prompts.get("fact-extraction", "")
+    prompt = F.when(choose, o.prompts.get("fact-extraction-choice", usual)).otherwise(o.prompts.get("fact-extraction-fallback", usual))
+    d = d.join(o.ask(waiting, "fact-extraction", text, prompt), KEY, "left")
     v = N.parse(F.col("answer"))
     whole = F.schema_of_variant(F.try_variant_get(v, "$.hq_index", "variant")) == "BIGINT"
     pick = F.when(whole, F.try_variant_get(v, "$.hq_index", "int"))
     hit = F.when((pick >= 0) & (pick < F.size("top")), F.get("top", pick))
-    address = F.struct(N.text_at(v, "$.street").alias("street"), T.valid_postcode(F.try_variant_get(v, "$.postcode", "string")).alias("postcode"), N.text_at(v, "$.city").alias("city"), F.coalesce(N.text_at(v, "$.country"), F.lit("NL")).alias("country"))
+    address = F.struct(N.text_at(v, "$.street").alias("street"), T.valid_postcode(F.try_variant_get(v, "$.postcode", "string")).alias("postcode"), N.text_at(v, "$.city").alias("city"), N.text_at(v, "$.country").alias("country"))
     some = address["postcode"].isNotNull() | address["city"].isNotNull()
     choice, fall = F.col("status") == "pending_choice", F.col("status") == "pending_fallback"
     failed = (choice | fall) & (F.col("error").isNotNull() | v.isNull())

@@ -175,3 +175,8 @@ def test_canonical_json_equals_the_standard_library(spark):
     got = [r[0] for r in d.select(canonical_json(d, ["x", "s", "n", "t", "l", "m"])).collect()]
     want = [json.dumps({"s": s, "x": x, "n": n, "t": t, "l": li, "m": m}, ensure_ascii=False, sort_keys=True, separators=(",", ":")) for s, x, n, t, li, m in rows]
     assert [(g, w) for g, w in zip(got, want, strict=True) if g != w] == []
+
+
+def test_quoted_equals_repr(spark):
+    texts = ["plain", "it's", 'say "x"', "it's \"x\"", "a\\b", "line\nbreak\ttab", "é\xa0", "", None]
+    assert values(spark, T.quoted, texts) == [repr(t) for t in texts]
