@@ -93,9 +93,11 @@ class Search:
     def __init__(self, queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids: np.ndarray, k: int):
         self.q, self.d, self.k = queries, data, k
         self.query_ids, self.data_ids = query_ids, data_ids
-        n = len(query_ids)
-        self.found = [(np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))] * len(queries.centre)
-        self.worst = np.full(n, -np.inf)  # of each query, its kth score so far
+        n, kind = len(query_ids), _kind(queries.points, data.points)
+        self.queries, self.points = queries.points.astype(kind), data.points.astype(kind)
+        self.least = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+        self.found = [(np.empty(0, np.int64), np.empty(0, kind), np.empty(0, np.int64))] * len(queries.centre)
+        self.worst = np.full(n, self.least, dtype=kind)  # of each query, its kth score so far
         self.bound = np.full(len(queries.centre), -np.inf)  # of each query node, the least of its queries' kth scores
         if n and len(data_ids):
             self._meet(0, 0)
@@ -126,13 +128,13 @@ class Search:
     def _compare(self, a: int, b: int) -> None:
         (qlo, qhi), (dlo, dhi) = self.q.span[a], self.d.span[b]
         qi, di = self.q.order[qlo:qhi], self.d.order[dlo:dhi]
-        scores = _products(self.q.points[qi], self.d.points[di])
+        scores = self.queries[qi] @ self.points[di].T
         own = self.query_ids[qi][:, None] == self.data_ids[di][None, :]
-        scores = np.where(own, -np.inf, scores) if own.any() else scores
+        scores = np.where(own, self.least, scores) if own.any() else scores
         floor = self.worst[qi]
         if len(di) > self.k:
             floor = np.maximum(floor, np.partition(scores, len(di) - self.k, axis=1)[:, len(di) - self.k])
-        row, col = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
+        row, col = np.nonzero((scores >= floor[:, None]) & (scores > self.least))
         old_row, old_score, old_id = self.found[a]
         row = np.concatenate([old_row, row])
         score = np.concatenate([old_score, scores[row[len(old_row) :], col]])
@@ -155,12 +157,12 @@ class Search:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers held as floats, exact where they can be: beyond 2**53 by Python's integers, held to 64 bits."""
-    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1]) < 2**53:
-        return a @ b.T
-    exact = np.array([[sum(int(x) * int(y) for x, y in zip(r, s, strict=True)) for s in b] for r in a], dtype=object)
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.float64)
+def _kind(a: np.ndarray, b: np.ndarray) -> type:
+    """What holds all inner products of whole numbers exactly: floats below 2**53, or else 64-bit integers."""
+    most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1] if a.ndim > 1 else 1)
+    if most >= 2**63:
+        raise OverflowError("inner products don't fit 64 bits")
+    return np.float64 if most < 2**53 else np.int64
 
 
 def _pack(table: pa.Table, scale: float) -> bytes:
@@ -180,6 +182,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     Components become floor(scale * x). A row is no candidate for a query with its own id; ties go to the smaller id. Rows
     with a null id or vector, or with null or non-finite components, take no part; vectors meet those of their own length.
     Of rows that share an id one counts. Extra columns are ignored; with no candidates or no queries the result is empty.
+    Scores are exact whole numbers; vectors so large that a score might not fit 64 bits raise OverflowError.
 
     Data go to shards by id, queries to blocks, and each gets a cover tree. Every block meets every shard through an equality
     join on the shard's number, the trees are searched together, and a query's best of all shards are ranked.
@@ -208,7 +211,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
                 query_ids, q = pickle.loads(batch.column(0)[i].as_py())
                 data_ids, d = pickle.loads(batch.column(1)[i].as_py())
                 a, b, s = Search(q, query_ids, d, data_ids, k).results()
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([min(int(x), 2**63 - 1) for x in s], pa.int64())], names=["query_id", "id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s.astype(np.int64), pa.int64())], names=["query_id", "id", "score"])
 
     met = asked.repartition(common.partitions(vectors.sparkSession), "shard").join(shards, ["shard", "dim"]).select("asking", "tree")
     found = met.mapInArrow(search, "query_id bigint, id bigint, score bigint")

@@ -472,6 +472,23 @@ def test_top_k(spark):
     assert topk.top_k(d.limit(0), d.limit(0)).count() == 0
 
 
+def test_top_k_of_large_numbers(spark):
+    """Scores beyond 2**53 that differ in their last digits."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(2**22 + x) for x in rng.integers(-3, 4, 4)]) for i in range(600)]
+    d = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = defaultdict(list)
+    for r in topk.top_k(d, d.where("id % 50 = 0"), 9).orderBy("rank").collect():
+        got[r["query_id"]].append((r["id"], r["score"]))
+    whole = {i: [int(64 * x) for x in v] for i, v in rows}
+    for q in range(0, 600, 50):
+        want = sorted(((i, sum(a * b for a, b in zip(v, whole[q], strict=True))) for i, v in whole.items() if i != q), key=lambda x: (-x[1], x[0]))[:9]
+        assert got[q] == want and want[0][1] > 2**53
+    huge = spark.createDataFrame([(i, [1e15, float(i)]) for i in range(3)], "id long, vector array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(huge, huge).collect()
+
+
 def test_toxicity(spark, docs, none):
     rng = np.random.default_rng(3)
     rows, labels = [], []
