@@ -17,7 +17,9 @@ from .fmindex import FMIndex
 WINDOW = 20
 ANCHOR = 6
 #: Words that a shard of the index holds, on average.
-SHARD_WORDS = 300_000
+SHARD_WORDS = 150_000
+#: Bytes of text that are hashed at once, and rows that are cut at once.
+CHUNK_BYTES, CUT_ROWS = 1 << 18, 1000
 
 
 def _records(w: Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -87,13 +89,13 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch, 0):
+            for _, _, data, offsets in text_chunks(batch, 0, CHUNK_BYTES):
                 yield pa.RecordBatch.from_arrays([pa.array(_records(Words(data, offsets), window, anchor)[2].view(np.int64))], names=["h"])
             common.give_back()
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch, 2):
+            for lo, hi, data, offsets in text_chunks(batch, 2, CHUNK_BYTES):
                 w = Words(data, offsets)
                 first, count, h, content = _records(w, window, anchor)
                 doc = np.searchsorted(w.bound, first, "right") - 1
@@ -105,9 +107,12 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
             common.give_back()
 
     # stored, so that the join deals both its sides anew and can split an anchor that very many texts have
-    twice = common.store(docs.select("text").mapInArrow(anchors, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
+    spark = docs.sparkSession
+    with common.small_batches(spark):
+        twice = common.store(docs.select("text").mapInArrow(anchors, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
     found = docs.select("doc_id", "__th", "text").mapInArrow(records, "h bigint, content bigint, doc_id bigint, __th bigint, first int, windows int")
-    candidates = common.store(found.join(twice, "h", "left_semi"), "repeat-candidates")
+    with common.small_batches(spark):
+        candidates = common.store(found.join(twice, "h", "left_semi"), "repeat-candidates")
 
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "__th", "first")
     distinct = candidates.groupBy("h", "content").agg(F.min(place).alias("origin"), F.first("windows").alias("windows"), F.count("*").alias("n"))
@@ -128,7 +133,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch, 2):
+            for lo, hi, data, offsets in text_chunks(batch, 2, CHUNK_BYTES):
                 w = Words(data, offsets)
                 lists = common.column(batch, 3, lo, hi)
                 flat = lists.flatten()
@@ -192,11 +197,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     given = [*docs.columns, "n_words", "n_removed"]
     docs = _keyed(common.plain_names(docs, "doc_id", "text"))
     names = docs.columns
-    runs = common.store(find_repeats(docs, window, anchor), "repeat-runs")
+    found = find_repeats(docs, window, anchor)
+    with common.small_batches(docs.sparkSession):
+        runs = common.store(found, "repeat-runs")
     at, th = names.index("text"), names.index("__th")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, CUT_ROWS) for b in batches for lo in range(0, b.num_rows, CUT_ROWS)):
             texts, n_words, n_removed = [], [], []
             lists = batch.column(len(names)) if batch.num_columns > len(names) else None
             for i in range(batch.num_rows):
