@@ -1,7 +1,11 @@
-"""Queries over pages: titles as their SQL spells them."""
+"""Queries over pages: titles as their SQL spells them, and what a task holds at once."""
+
+import tracemalloc
 
 import duckdb
+import pyarrow as pa
 
+from dossierforge.operators import html as H
 from dossierforge.plans import catalog
 
 HEADS = [
@@ -19,3 +23,22 @@ def test_page_title_spells_references_as_its_sql_does(spark, tmp_path):
     got = {r["page_id"]: r["title"] for r in catalog.QUERIES["page_title"](spark, str(tmp_path)).collect()}
     assert got == want
     assert got[0] == "A &quot;b&amp; c& d&amp" and got[2] == "Two lines &#233;"
+
+
+def most(portions):
+    """(results, most that was held while portions were read one after the other and let go)."""
+    tracemalloc.start()
+    n = sum(len(x) for x in portions)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return n, peak
+
+
+def page(i):
+    return f"<body><p>Text {i}, and more of it, as texts go.</p>{'<a href=/x>x</a>' * 20}<footer>Foot {i}</footer></body>"
+
+
+def test_footers_of_a_large_batch_are_handed_on_in_portions():
+    few, many = (most(H._read(iter([pa.array([page(i) for i in range(n)])]))) for n in (1000, 4000))
+    assert (few[0], many[0]) == (1000, 4000) and many[1] < 1.3 * few[1]
+    assert [x["footer_text"] for a in H._read(iter([pa.array([page(i) for i in range(600)]), pa.array([None, page(600)])])) for x in a.to_pylist()] == [*(f"Foot {i}" for i in range(600)), None, "Foot 600"]
