@@ -42,3 +42,22 @@ def test_footers_of_a_large_batch_are_handed_on_in_portions():
     few, many = (most(H._read(iter([pa.array([page(i) for i in range(n)])]))) for n in (1000, 4000))
     assert (few[0], many[0]) == (1000, 4000) and many[1] < 1.3 * few[1]
     assert [x["footer_text"] for a in H._read(iter([pa.array([page(i) for i in range(600)]), pa.array([None, page(600)])])) for x in a.to_pylist()] == [*(f"Foot {i}" for i in range(600)), None, "Foot 600"]
+
+
+def linked(n):
+    return iter([(pa.array([page(i) + "<a href=z>z</a>" * 50 for i in range(n)]), pa.array([f"https://a.nl/{i}" for i in range(n)]))])
+
+
+def test_links_are_read_once_a_page(spark, tmp_path):
+    spark.createDataFrame([(i, f"https://a.nl/{i}/", page(i)) for i in range(20)], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    d = catalog.QUERIES["internal_links"](spark, str(tmp_path))
+    assert d._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r["page_id"], r["pos"], r["link"]) for r in d.collect()) == [(i, 0, "https://a.nl/x") for i in range(20)]
+
+
+def test_links_of_a_large_batch_are_handed_on_in_portions():
+    few, many = (most(H._page_links(linked(n))) for n in (1000, 4000))
+    assert (few[0], many[0]) == (1000, 4000) and many[1] < 1.3 * few[1]
+    odd = pa.array(["<base href='http://[bad'><a href=y>", None, "<a href='http://[x'></a><a href='b?c#d'>"]), pa.array(["http://a.nl/", "http://a.nl/", "http://a.nl/q"])
+    assert [x for a in H._page_links(iter([odd])) for x in a.to_pylist()] == [[], [], ["http://a.nl/b?c#d"]]
+    assert [x for a in H._absolute(iter([(pa.array([None, "/c/"]), pa.array(["http://a.nl/"] * 2), pa.array([["x"], ["x", "http://[y"]]))])) for x in a.to_pylist()] == [["http://a.nl/x"], ["http://a.nl/c/x"]]
