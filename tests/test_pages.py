@@ -38,10 +38,11 @@ def page(i):
     return f"<body><p>Text {i}, and more of it, as texts go.</p>{'<a href=/x>x</a>' * 20}<footer>Foot {i}</footer></body>"
 
 
-def test_footers_of_a_large_batch_are_handed_on_in_portions():
-    few, many = (most(H._read(iter([pa.array([page(i) for i in range(n)])]))) for n in (1000, 4000))
-    assert (few[0], many[0]) == (1000, 4000) and many[1] < 1.3 * few[1]
-    assert [x["footer_text"] for a in H._read(iter([pa.array([page(i) for i in range(600)]), pa.array([None, page(600)])])) for x in a.to_pylist()] == [*(f"Foot {i}" for i in range(600)), None, "Foot 600"]
+def test_footers_of_a_large_batch_are_handed_on_in_portions(monkeypatch):
+    monkeypatch.setattr(H, "ROWS", 64)
+    few, many = (most(H._read(iter([pa.array([page(i) for i in range(n)])]))) for n in (200, 800))
+    assert (few[0], many[0]) == (200, 800) and many[1] < 1.3 * few[1]
+    assert [x["footer_text"] for a in H._read(iter([pa.array([page(i) for i in range(150)]), pa.array([None, page(150)])])) for x in a.to_pylist()] == [*(f"Foot {i}" for i in range(150)), None, "Foot 150"]
 
 
 def linked(n):
@@ -55,9 +56,20 @@ def test_links_are_read_once_a_page(spark, tmp_path):
     assert sorted((r["page_id"], r["pos"], r["link"]) for r in d.collect()) == [(i, 0, "https://a.nl/x") for i in range(20)]
 
 
-def test_links_of_a_large_batch_are_handed_on_in_portions():
-    few, many = (most(H._page_links(linked(n))) for n in (1000, 4000))
-    assert (few[0], many[0]) == (1000, 4000) and many[1] < 1.3 * few[1]
+def test_links_of_a_large_batch_are_handed_on_in_portions(monkeypatch):
+    monkeypatch.setattr(H, "ROWS", 64)
+    few, many = (most(H._page_links(linked(n))) for n in (200, 800))
+    assert (few[0], many[0]) == (200, 800) and many[1] < 1.3 * few[1]
     odd = pa.array(["<base href='http://[bad'><a href=y>", None, "<a href='http://[x'></a><a href='b?c#d'>"]), pa.array(["http://a.nl/", "http://a.nl/", "http://a.nl/q"])
     assert [x for a in H._page_links(iter([odd])) for x in a.to_pylist()] == [[], [], ["http://a.nl/b?c#d"]]
     assert [x for a in H._absolute(iter([(pa.array([None, "/c/"]), pa.array(["http://a.nl/"] * 2), pa.array([["x"], ["x", "http://[y"]]))])) for x in a.to_pylist()] == [["http://a.nl/x"], ["http://a.nl/c/x"]]
+
+
+def test_long_pages_end_a_portion_and_keep_their_whole_main_text(monkeypatch):
+    monkeypatch.setattr(H, "CHARS", 20_000)
+    long = "<main>" + "".join(f"<p>Paragraph {i}, with commas, and words.</p>" for i in range(H.CHARS // 40)) + "</main>"
+    pages = [long, page(1), long, None, page(2)]
+    portions = list(H._read(iter([pa.array(pages)])))
+    assert [len(a) for a in portions] == [1, 2, 2]
+    assert [(x["markdown"], x["recall"]) for a in portions for x in a.to_pylist()] == [H._main(H._parse(x)) for x in pages]
+    assert portions[0][0].as_py()["markdown"].count("Paragraph") == H.CHARS // 40
