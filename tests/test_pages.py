@@ -73,3 +73,22 @@ def test_long_pages_end_a_portion_and_keep_their_whole_main_text(monkeypatch):
     assert [len(a) for a in portions] == [1, 2, 2]
     assert [(x["markdown"], x["recall"]) for a in portions for x in a.to_pylist()] == [H._main(H._parse(x)) for x in pages]
     assert portions[0][0].as_py()["markdown"].count("Paragraph") == H.CHARS // 40
+
+
+def held(n):
+    """(results, most bytes of Arrow's that were there when one of n batches had been read)."""
+    start, top = pa.total_allocated_bytes(), 0
+
+    def batches():
+        nonlocal top
+        for i in range(n):
+            yield pa.array([page(20 * i + k) + " " * 50_000 for k in range(20)])
+            top = max(top, pa.total_allocated_bytes() - start)
+
+    return [x["markdown"] for a in H._read(batches()) for x in a.to_pylist()], top
+
+
+def test_main_text_of_many_batches_holds_no_more_than_that_of_few():
+    few, many = held(4), held(16)
+    assert many[1] < 1.3 * few[1]
+    assert many[0] == [f"Text {i}, and more of it, as texts go." for i in range(320)] and few[0] == many[0][:80]
