@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Rows of a data shard and of a query block, on average; each has a cover tree.
-SHARD_ROWS, BLOCK_ROWS = 4096, 1024
+#: Rows of a data shard and of a query shard, on average; each has a cover tree.
+SHARD_ROWS, QUERY_ROWS = 4096, 1024
+#: What a task's queries take while they are searched for, about: their numbers and what was found so far.
+BLOCK_BYTES = 64 << 20
+#: Queries and points whose products are made at once.
+TILE = 256, 1024
 #: A node with so few points is a leaf; children with fewer than POOL points share one leaf at their parent.
 LEAF, POOL = 256, 16
 #: A level's covering radius is its parent's by this factor.
@@ -24,9 +29,10 @@ class CoverTree:
     """Nodes by number: centre point, covering radius, children; leaves hold the points order[lo:hi].
 
     Each level covers its node's points with balls of a radius smaller by SHRINK, whose centres are points farther apart than it.
+    Points and ids lie in the leaves' order, so that a leaf is a slice, as whole numbers of the smallest type that holds them.
     """
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, ids: np.ndarray):
         self.points = points
         self.centre: list[int] = []
         self.radius: list[float] = []
@@ -37,8 +43,20 @@ class CoverTree:
         if len(points):
             far = np.linalg.norm(points - points[0], axis=1)
             self._add(0, np.arange(len(points)), far, order)
-        self.order = np.concatenate(order) if order else np.empty(0, np.int64)
-        self.norm = np.linalg.norm(points[self.centre], axis=1) if self.centre else np.empty(0)
+        placed = np.concatenate(order) if order else np.empty(0, np.int64)
+        self.middle = points[self.centre]  # of each node, its centre's numbers
+        self.norm, self.reach = np.linalg.norm(self.middle, axis=1), np.asarray(self.radius)
+        self.most = int(np.abs(points).max(initial=0))
+        kind = next((t for t in (np.int8, np.int16, np.int32, np.int64) if self.most <= np.iinfo(t).max), np.float64)
+        self.points = self.cast = points[placed].astype(kind)
+        self.ids = ids[placed]
+        del self.centre, self._held
+
+    def numbers(self, kind: type) -> np.ndarray:
+        """The points as that type; the last ones are kept."""
+        if self.cast.dtype != kind:
+            self.cast = self.points.astype(kind)
+        return self.cast
 
     def _node(self, centre: int, radius: float) -> int:
         self.centre.append(centre)
@@ -88,81 +106,87 @@ def quantise(values: np.ndarray, scale: float = 64.0) -> np.ndarray:
 
 
 class Search:
-    """One dual-tree search: the best k data points of every query, as (score, id) with ties to the smaller id."""
-
-    def __init__(self, queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids: np.ndarray, k: int):
-        self.q, self.d, self.k = queries, data, k
-        self.query_ids, self.data_ids = query_ids, data_ids
-        n, kind = len(query_ids), _kind(queries.points, data.points)
-        self.queries, self.points = queries.points.astype(kind), data.points.astype(kind)
-        self.least = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
-        self.found = [(np.empty(0, np.int64), np.empty(0, kind), np.empty(0, np.int64))] * len(queries.centre)
-        self.worst = np.full(n, self.least, dtype=kind)  # of each query, its kth score so far
-        self.bound = np.full(len(queries.centre), -np.inf)  # of each query node, the least of its queries' kth scores
-        if n and len(data_ids):
-            self._meet(0, 0)
-
-    def _above(self, a: int, b: np.ndarray) -> np.ndarray:
+    """The best k data points of a tree's queries over any number of data trees, as (score, id) with ties to the smaller id."""
+
+    def __init__(self, queries: CoverTree, k: int):
+        self.q, self.k = queries, k
+        n = len(queries.ids)
+        self.score = np.full((n, k), _LEAST)  # of each query, best first; _LEAST where there is none yet
+        self.id = np.full((n, k), np.iinfo(np.int64).max)
+        self.bound = np.full(len(queries.norm), -np.inf)  # of each query node, the least of its queries' kth scores
+
+    def meet(self, data: CoverTree) -> None:
+        """Search one more tree; what was found before bounds what can still count."""
+        if len(self.q.ids) and len(data.ids):
+            self.d = data
+            kind = _kind(self.q, data)
+            self.queries, self.points = self.q.numbers(kind), data.numbers(kind)
+            if not self._above(0, [0])[0] < self.bound[0]:
+                self._meet(0, 0)
+
+    def _above(self, a: int, b: list[int]) -> np.ndarray:
         """No product of a query under node a and a point under nodes b is larger."""
-        c = self.d.points[np.asarray(self.d.centre)[b]] @ self.q.points[self.q.centre[a]]
-        ra, rb = self.q.radius[a], np.asarray(self.d.radius)[b]
+        c = self.d.middle[b] @ self.q.middle[a]
+        ra, rb = self.q.reach[a], self.d.reach[b]
         up = c + self.q.norm[a] * rb + self.d.norm[b] * ra + ra * rb
         return up + 1e-9 * (1 + np.abs(up))
 
     def _meet(self, a: int, b: int) -> None:
-        if self._above(a, np.array([b]))[0] < self.bound[a]:
-            return
         qc, dc = self.q.children[a], self.d.children[b]
         if not qc and not dc:
             self._compare(a, b)
         elif dc and (not qc or self.d.radius[b] >= self.q.radius[a]):
-            up = self._above(a, np.array(dc))
+            up = self._above(a, dc)
             for i in np.argsort(-up, kind="stable"):
-                if up[i] >= self.bound[a]:
+                if not up[i] < self.bound[a]:
                     self._meet(a, dc[i])
         else:
             for c in qc:
-                self._meet(c, b)
+                if not self._above(c, [b])[0] < self.bound[c]:
+                    self._meet(c, b)
             self.bound[a] = min(self.bound[c] for c in qc)
 
     def _compare(self, a: int, b: int) -> None:
         (qlo, qhi), (dlo, dhi) = self.q.span[a], self.d.span[b]
-        qi, di = self.q.order[qlo:qhi], self.d.order[dlo:dhi]
-        scores = self.queries[qi] @ self.points[di].T
-        own = self.query_ids[qi][:, None] == self.data_ids[di][None, :]
-        scores = np.where(own, self.least, scores) if own.any() else scores
-        floor = self.worst[qi]
-        if len(di) > self.k:
-            floor = np.maximum(floor, np.partition(scores, len(di) - self.k, axis=1)[:, len(di) - self.k])
-        row, col = np.nonzero((scores >= floor[:, None]) & (scores > self.least))
-        old_row, old_score, old_id = self.found[a]
-        row = np.concatenate([old_row, row])
-        score = np.concatenate([old_score, scores[row[len(old_row) :], col]])
-        ids = np.concatenate([old_id, self.data_ids[di[col]]])
-        order = np.lexsort((ids, -score, row))
-        row, score, ids = row[order], score[order], ids[order]
-        first = np.searchsorted(row, np.arange(len(qi)))
-        rank = np.arange(len(row)) - first[row]
-        keep = rank < self.k
-        last = rank == self.k - 1
-        self.worst[qi[row[last]]] = score[last]
-        self.found[a] = row[keep], score[keep], ids[keep]
-        self.bound[a] = self.worst[qi].min()
+        for q in range(qlo, qhi, TILE[0]):
+            for d in range(dlo, dhi, TILE[1]):
+                self._tile(slice(q, min(q + TILE[0], qhi)), slice(d, min(d + TILE[1], dhi)))
+        self.bound[a] = self.score[qlo:qhi, -1].min()
+
+    def _tile(self, rows: slice, cols: slice) -> None:
+        k, scores = self.k, self.queries[rows] @ self.points[cols].T
+        floor = self.score[rows, -1]
+        high = scores >= floor.astype(scores.dtype)[:, None]
+        if np.count_nonzero(high) > 4 * k * len(scores) and scores.shape[1] > k + 1:  # one more than k, as a query's own row may be among them
+            high &= scores >= np.partition(scores, -k - 1, axis=1)[:, -k - 1, None]
+        row, col = np.nonzero(high)
+        new, ids = scores[row, col].astype(np.int64), self.d.ids[cols][col]
+        good = ((new > floor[row]) | (ids < self.id[rows, -1][row])) & (ids != self.q.ids[rows][row])
+        row, new, ids = row[good] + rows.start, new[good], ids[good]
+        if not len(row):
+            return
+        some = np.unique(row)
+        row, new, ids = np.concatenate([np.repeat(some, k), row]), np.concatenate([self.score[some].ravel(), new]), np.concatenate([self.id[some].ravel(), ids])
+        order = np.lexsort((ids, ~new, row))  # ~ turns the order round, without overflow
+        best = order[np.searchsorted(row[order], some)[:, None] + np.arange(k)]
+        self.score[some], self.id[some] = new[best], ids[best]
 
     def results(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query id, id, score) of everything found."""
-        out = [(self.query_ids[self.q.order[self.q.span[a][0] + row]], ids, score) for a, (row, score, ids) in enumerate(self.found) if len(row)]
-        if not out:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        row, place = np.nonzero(self.score > _LEAST)
+        return self.q.ids[row], self.id[row, place], self.score[row, place]
+
 
+#: Below every score.
+_LEAST = np.iinfo(np.int64).min
 
-def _kind(a: np.ndarray, b: np.ndarray) -> type:
-    """What holds all inner products of whole numbers exactly: floats below 2**53, or else 64-bit integers."""
-    most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1] if a.ndim > 1 else 1)
+
+def _kind(a: CoverTree, b: CoverTree) -> type:
+    """What holds all inner products of whole numbers exactly: floats below 2**24 or 2**53, or else 64-bit integers."""
+    most = a.most * b.most * max(1, a.points.shape[1])
     if most >= 2**63:
         raise OverflowError("inner products don't fit 64 bits")
-    return np.float64 if most < 2**53 else np.int64
+    return np.float32 if 0 < most < 2**24 else np.float64 if most < 2**53 else np.int64
 
 
 def _pack(table: pa.Table, scale: float) -> bytes:
@@ -173,7 +197,20 @@ def _pack(table: pa.Table, scale: float) -> bytes:
     ids, points = ids[order], points[order]
     one = np.ones(len(ids), dtype=bool)
     one[1:] = ids[1:] != ids[:-1]
-    return pickle.dumps((ids[one], CoverTree(points[one])), protocol=5)
+    return pickle.dumps(CoverTree(points[one], ids[one]), protocol=5)
+
+
+def grid(n_queries: int, query_bytes: int, n_data: int, data_bytes: int, k: int, cells: int) -> tuple[int, int]:
+    """(blocks, strips): queries go to so many blocks and data to so many strips; about `cells` pairs of them, each a task's.
+
+    data_bytes: a byte for each component, as data are sent once for each block; of each strip, k rows a query are sent on. Both
+    weigh alike where blocks = sqrt(cells * rows sent on / data). A block is no larger than BLOCK_BYTES, whatever the tables' size.
+    """
+    found = 24 * k * n_queries  # of one strip
+    even = round(math.sqrt(cells * found / max(1, data_bytes)))
+    least = -(-(12 * query_bytes + 16 * k * n_queries) // BLOCK_BYTES)
+    blocks = max(1, least, min(even, cells, -(-n_queries // QUERY_ROWS)))
+    return blocks, max(1, min(-(-cells // blocks), -(-n_data // SHARD_ROWS)))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64.0) -> DataFrame:
@@ -184,36 +221,54 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     Of rows that share an id one counts. Extra columns are ignored; with no candidates or no queries the result is empty.
     Scores are exact whole numbers; vectors so large that a score might not fit 64 bits raise OverflowError.
 
-    Data go to shards by id, queries to blocks, and each gets a cover tree. Every block meets every shard through an equality
-    join on the shard's number, the trees are searched together, and a query's best of all shards are ranked.
+    Data and queries go to shards by id, and each shard gets a cover tree. Query trees are dealt to blocks and data trees to strips
+    (see grid), and each pair of a block and a strip is one task's: it holds its queries, the strip's trees go past them one by one,
+    and each is searched under the bounds found so far. A query's best of all strips are ranked. Nothing is joined or broadcast.
     """
+    spark = vectors.sparkSession
 
     def clean(df: DataFrame) -> DataFrame:
         fine = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))  # NaN is above infinity
         return df.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector")).where("id IS NOT NULL AND vector IS NOT NULL").where(fine).withColumn("dim", F.size("vector")).where("dim > 0")
 
-    def trees(df: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
-        n = max(1, -(-df.count() // rows))
+    def size(df: DataFrame) -> tuple[int, int]:
+        return df.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
 
+    def trees(df: DataFrame, n: int, name: str) -> DataFrame:
         def build(table: pa.Table) -> pa.Table:
             return pa.table({name: table[name].slice(0, 1), "dim": table["dim"].slice(0, 1), "tree": pa.array([_pack(table, scale)], pa.binary())})
 
         put = df.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-        return common.store(put.groupBy(name, "dim").applyInArrow(build, f"{name} int, dim int, tree binary"), f"{name}-trees"), n
+        return common.store(put.groupBy(name, "dim").applyInArrow(build, f"{name} int, dim int, tree binary"), f"{name}-trees")
 
-    shards, n = trees(clean(vectors), SHARD_ROWS, "shard")
-    blocks, _ = trees(clean(queries), BLOCK_ROWS, "block")
-    asked = blocks.select("dim", F.col("tree").alias("asking"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"))
+    data, asked = clean(vectors), clean(queries)
+    (n_data, data_bytes), (n_queries, query_bytes) = size(data), size(asked)
+    blocks, strips = grid(n_queries, query_bytes, n_data, data_bytes, k, common.partitions(spark))
+    shards = trees(data, max(1, -(-n_data // SHARD_ROWS)), "shard")
+    asking = trees(asked, max(blocks, -(-n_queries // QUERY_ROWS)), "block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, Search]] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                query_ids, q = pickle.loads(batch.column(0)[i].as_py())
-                data_ids, d = pickle.loads(batch.column(1)[i].as_py())
-                a, b, s = Search(q, query_ids, d, data_ids, k).results()
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s.astype(np.int64), pa.int64())], names=["query_id", "id", "score"])
-
-    met = asked.repartition(common.partitions(vectors.sparkSession), "shard").join(shards, ["shard", "dim"]).select("asking", "tree")
+                tree, dim = pickle.loads(batch.column("tree")[i].as_py()), batch.column("dim")[i].as_py()
+                if not batch.column("data")[i].as_py():
+                    held.append((dim, Search(tree, k)))
+                    continue
+                for own, one in held:
+                    if own == dim:
+                        one.meet(tree)
+        for _, one in held:
+            a, b, s = one.results()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "id", "score"])
+
+    def dealt(df: DataFrame, first: Column, others: Column, is_data: bool) -> DataFrame:
+        """df's trees, once for each cell of its row or column of the grid."""
+        return df.select(F.explode(F.transform(others, lambda x: (first + x).cast("int"))).alias("cell"), F.lit(is_data).alias("data"), "dim", "tree")
+
+    row = dealt(asking, F.col("block") % blocks * strips, F.sequence(F.lit(0), F.lit(strips - 1)), False)
+    column = dealt(shards, F.col("shard") % strips, F.sequence(F.lit(0), F.lit((blocks - 1) * strips), F.lit(strips)), True)
+    met = row.union(column).repartitionById(blocks * strips, "cell").sortWithinPartitions("data").select("data", "dim", "tree")
     found = met.mapInArrow(search, "query_id bigint, id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

@@ -489,6 +489,35 @@ def test_top_k_of_large_numbers(spark):
         topk.top_k(huge, huge).collect()
 
 
+def test_top_k_sends_no_copies_through_the_driver(spark, monkeypatch):
+    """Three blocks of queries and four strips of data: equal to all products, with ties, and neither joined nor broadcast."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 64)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
+    monkeypatch.setattr(common, "partitions", lambda _: 12)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.integers(-3, 4, 6 if i % 7 else 3) * (2.0**21 if i % 50 == 3 else 1) / 64).tolist()) for i in range(900)]
+    d = spark.createDataFrame(rows, "id long, vector array<float>")
+    found = topk.top_k(d, d.where("id % 20 = 0"), 20)
+    assert not re.search("Broadcast|Join|Cartesian", found._jdf.queryExecution().toString())
+    got = defaultdict(list)
+    for r in found.orderBy("rank").collect():
+        got[r["query_id"]].append((r["id"], r["score"]))
+    whole = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows}
+    assert set(got) == set(range(0, 900, 20))
+    for q in got:
+        assert got[q] == sorted(((i, int(v @ whole[q])) for i, v in whole.items() if i != q and len(v) == len(whole[q])), key=lambda x: (-x[1], x[0]))[:20]
+
+
+def test_top_k_grid():
+    def sent(n, cells=200, dim=64, k=20):
+        blocks, strips = topk.grid(n // 20, n // 20 * dim, n, n * dim, k, cells)
+        assert (12 * dim + 16 * k) * (n // 20) <= blocks * topk.BLOCK_BYTES and blocks * strips < cells + max(blocks, strips)
+        return blocks * n * dim + strips * (n // 20) * 24 * k
+
+    assert sent(3_600_000) < 6.5 * sent(600_000) and sent(6_000_000) < 10.5 * sent(600_000) and sent(60_000_000, 2000) > 0
+    assert topk.grid(0, 0, 0, 0, 20, 200) == topk.grid(1, 64, 1, 64, 20, 200) == (1, 1)
+
+
 def test_toxicity(spark, docs, none):
     rng = np.random.default_rng(3)
     rows, labels = [], []
