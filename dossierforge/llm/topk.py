@@ -17,6 +17,8 @@ from . import common
 SHARD_ROWS, QUERY_ROWS = 4096, 1024
 #: What a task's queries take while they are searched for, about: their numbers and what was found so far.
 BLOCK_BYTES = 64 << 20
+#: Tasks of the search for each core: more of them copy more, fewer end less evenly.
+CELLS_A_CORE = 4
 #: Queries and points whose products are made at once.
 TILE = 256, 1024
 #: A node with so few points is a leaf; children with fewer than POOL points share one leaf at their parent.
@@ -26,7 +28,7 @@ SHRINK = 1 / 1.3
 
 
 class CoverTree:
-    """Nodes by number: centre point, covering radius, children; leaves hold the points order[lo:hi].
+    """Nodes by number: centre point, covering radius, children; leaves hold the points[lo:hi].
 
     Each level covers its node's points with balls of a radius smaller by SHRINK, whose centres are points farther apart than it.
     Points and ids lie in the leaves' order, so that a leaf is a slice, as whole numbers of the smallest type that holds them.
@@ -49,7 +51,7 @@ class CoverTree:
         self.most = int(np.abs(points).max(initial=0))
         kind = next((t for t in (np.int8, np.int16, np.int32, np.int64) if self.most <= np.iinfo(t).max), np.float64)
         self.points = self.cast = points[placed].astype(kind)
-        self.ids = ids[placed]
+        self.ids, self.span = ids[placed], np.asarray(self.span).reshape(-1, 2)
         del self.centre, self._held
 
     def numbers(self, kind: type) -> np.ndarray:
@@ -117,50 +119,58 @@ class Search:
 
     def meet(self, data: CoverTree) -> None:
         """Search one more tree; what was found before bounds what can still count."""
-        if len(self.q.ids) and len(data.ids):
-            self.d = data
-            kind = _kind(self.q, data)
-            self.queries, self.points = self.q.numbers(kind), data.numbers(kind)
-            if not self._above(0, [0])[0] < self.bound[0]:
-                self._meet(0, 0)
-
-    def _above(self, a: int, b: list[int]) -> np.ndarray:
-        """No product of a query under node a and a point under nodes b is larger."""
-        c = self.d.middle[b] @ self.q.middle[a]
-        ra, rb = self.q.reach[a], self.d.reach[b]
-        up = c + self.q.norm[a] * rb + self.d.norm[b] * ra + ra * rb
+        if not len(self.q.ids) or not len(data.ids):
+            return
+        q, kind = self.q, _kind(self.q, data)
+        queries, points = q.numbers(kind), data.numbers(kind)
+        up = self._above(data)
+        alive = (~(up < self.bound[:, None])).tolist()
+        pairs, leaves = [(0, 0)], {}
+        while pairs:
+            a, b = pairs.pop()
+            if not alive[a][b]:
+                continue
+            qc, dc = q.children[a], data.children[b]
+            if not qc and not dc:
+                leaves.setdefault(a, []).append(b)
+            elif dc and (not qc or data.radius[b] >= q.radius[a]):
+                pairs += [(a, c) for c in dc]
+            else:
+                pairs += [(c, b) for c in qc]
+        for a, met in leaves.items():
+            self._compare(a, np.array(met), up[a], queries, points, data)
+        for a in reversed(range(len(self.bound))):  # children have greater numbers
+            if q.children[a]:
+                self.bound[a] = self.bound[q.children[a]].min()
+
+    def _above(self, data: CoverTree) -> np.ndarray:
+        """For each pair of a query node and a data node: no product of a query and a point under them is larger."""
+        ra, rb = self.q.reach[:, None], data.reach
+        up = self.q.middle @ data.middle.T + self.q.norm[:, None] * rb + data.norm * ra + ra * rb
         return up + 1e-9 * (1 + np.abs(up))
 
-    def _meet(self, a: int, b: int) -> None:
-        qc, dc = self.q.children[a], self.d.children[b]
-        if not qc and not dc:
-            self._compare(a, b)
-        elif dc and (not qc or self.d.radius[b] >= self.q.radius[a]):
-            up = self._above(a, dc)
-            for i in np.argsort(-up, kind="stable"):
-                if not up[i] < self.bound[a]:
-                    self._meet(a, dc[i])
-        else:
-            for c in qc:
-                if not self._above(c, [b])[0] < self.bound[c]:
-                    self._meet(c, b)
-            self.bound[a] = min(self.bound[c] for c in qc)
-
-    def _compare(self, a: int, b: int) -> None:
-        (qlo, qhi), (dlo, dhi) = self.q.span[a], self.d.span[b]
-        for q in range(qlo, qhi, TILE[0]):
-            for d in range(dlo, dhi, TILE[1]):
-                self._tile(slice(q, min(q + TILE[0], qhi)), slice(d, min(d + TILE[1], dhi)))
-        self.bound[a] = self.score[qlo:qhi, -1].min()
-
-    def _tile(self, rows: slice, cols: slice) -> None:
-        k, scores = self.k, self.queries[rows] @ self.points[cols].T
-        floor = self.score[rows, -1]
+    def _compare(self, a: int, leaves: np.ndarray, up: np.ndarray, queries: np.ndarray, points: np.ndarray, data: CoverTree) -> None:
+        """The queries of leaf a with data leaves, those first that can hold the largest products, about a tile of them at once."""
+        lo, hi = self.q.span[a]
+        leaves = leaves[np.argsort(-up[leaves], kind="stable")]
+        while len(leaves := leaves[~(up[leaves] < self.bound[a])]):
+            n = int(np.searchsorted(np.cumsum(np.diff(data.span[leaves])), TILE[1])) + 1
+            cols = np.concatenate([np.arange(*data.span[b]) for b in leaves[:n]])
+            for c in range(0, len(cols), TILE[1]):
+                at = cols[c : c + TILE[1]]
+                near, ids = points[at].T, data.ids[at]
+                for r in range(lo, hi, TILE[0]):
+                    self._tile(slice(r, min(r + TILE[0], hi)), queries[r : min(r + TILE[0], hi)] @ near, ids)
+            self.bound[a] = self.score[lo:hi, -1].min()
+            leaves = leaves[n:]
+
+    def _tile(self, rows: slice, scores: np.ndarray, data_ids: np.ndarray) -> None:
+        k, floor = self.k, self.score[rows, -1]
         high = scores >= floor.astype(scores.dtype)[:, None]
         if np.count_nonzero(high) > 4 * k * len(scores) and scores.shape[1] > k + 1:  # one more than k, as a query's own row may be among them
             high &= scores >= np.partition(scores, -k - 1, axis=1)[:, -k - 1, None]
-        row, col = np.nonzero(high)
-        new, ids = scores[row, col].astype(np.int64), self.d.ids[cols][col]
+        row, col = np.divmod(np.flatnonzero(high), scores.shape[1])
+        new, ids = scores[row, col].astype(np.int64), data_ids[col]
         good = ((new > floor[row]) | (ids < self.id[rows, -1][row])) & (ids != self.q.ids[rows][row])
         row, new, ids = row[good] + rows.start, new[good], ids[good]
         if not len(row):
@@ -229,7 +239,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
 
     def clean(df: DataFrame) -> DataFrame:
         fine = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))  # NaN is above infinity
-        return df.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector")).where("id IS NOT NULL AND vector IS NOT NULL").where(fine).withColumn("dim", F.size("vector")).where("dim > 0")
+        kind = "array<float>" if df.schema["vector"].dataType.simpleString() == "array<float>" else "array<double>"
+        return df.select(F.col("id").cast("long").alias("id"), F.col("vector").cast(kind).alias("vector")).where("id IS NOT NULL AND vector IS NOT NULL").where(fine).withColumn("dim", F.size("vector")).where("dim > 0")
 
     def size(df: DataFrame) -> tuple[int, int]:
         return df.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
@@ -243,7 +254,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
 
     data, asked = clean(vectors), clean(queries)
     (n_data, data_bytes), (n_queries, query_bytes) = size(data), size(asked)
-    blocks, strips = grid(n_queries, query_bytes, n_data, data_bytes, k, common.partitions(spark))
+    blocks, strips = grid(n_queries, query_bytes, n_data, data_bytes, k, min(common.partitions(spark), CELLS_A_CORE * spark.sparkContext.defaultParallelism))
     shards = trees(data, max(1, -(-n_data // SHARD_ROWS)), "shard")
     asking = trees(asked, max(blocks, -(-n_queries // QUERY_ROWS)), "block")
 
