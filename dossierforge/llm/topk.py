@@ -19,8 +19,8 @@ SHARD_ROWS, QUERY_ROWS = 4096, 1024
 BLOCK_BYTES = 64 << 20
 #: Tasks of the search for each core: more of them copy more, fewer end less evenly.
 CELLS_A_CORE = 4
-#: Queries and points whose products are made at once.
-TILE = 256, 1024
+#: Queries and points whose products are made at once, and points while a query still lacks a kth score.
+TILE, FIRST = (256, 4096), 512
 #: A node with so few points is a leaf; children with fewer than POOL points share one leaf at their parent.
 LEAF, POOL = 256, 16
 #: A level's covering radius is its parent's by this factor.
@@ -147,17 +147,18 @@ class Search:
         """For each pair of a query node and a data node: no product of a query and a point under them is larger."""
         ra, rb = self.q.reach[:, None], data.reach
         up = self.q.middle @ data.middle.T + self.q.norm[:, None] * rb + data.norm * ra + ra * rb
-        return up + 1e-9 * (1 + np.abs(up))
+        return up + 1e-9 * (1 + (self.q.norm[:, None] + ra) * (data.norm + rb))  # what rounding may take off, however much cancels out
 
     def _compare(self, a: int, leaves: np.ndarray, up: np.ndarray, queries: np.ndarray, points: np.ndarray, data: CoverTree) -> None:
         """The queries of leaf a with data leaves, those first that can hold the largest products, about a tile of them at once."""
         lo, hi = self.q.span[a]
         leaves = leaves[np.argsort(-up[leaves], kind="stable")]
         while len(leaves := leaves[~(up[leaves] < self.bound[a])]):
-            n = int(np.searchsorted(np.cumsum(np.diff(data.span[leaves])), TILE[1])) + 1
+            wide = TILE[1] if self.bound[a] > _LEAST else FIRST
+            n = int(np.searchsorted(np.cumsum(np.diff(data.span[leaves])), wide)) + 1
             cols = np.concatenate([np.arange(*data.span[b]) for b in leaves[:n]])
-            for c in range(0, len(cols), TILE[1]):
-                at = cols[c : c + TILE[1]]
+            for c in range(0, len(cols), wide):
+                at = cols[c : c + wide]
                 near, ids = points[at].T, data.ids[at]
                 for r in range(lo, hi, TILE[0]):
                     self._tile(slice(r, min(r + TILE[0], hi)), queries[r : min(r + TILE[0], hi)] @ near, ids)

@@ -508,6 +508,31 @@ def test_top_k_sends_no_copies_through_the_driver(spark, monkeypatch):
         assert got[q] == sorted(((i, int(v @ whole[q])) for i, v in whole.items() if i != q and len(v) == len(whole[q])), key=lambda x: (-x[1], x[0]))[:20]
 
 
+def test_top_k_search_goes_on_over_trees():
+    """Bounds carried from tree to tree lose nothing: ties, own rows, leaves wider than a tile, and numbers for which other types are needed."""
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-20, 21, (30, 8))
+    near = lambda n, far: (centres[rng.integers(0, 30, n)] + rng.integers(-far, far + 1, (n, 8))).astype(np.float64)
+    parts = [near(5000, 2), np.repeat(near(1, 2), 5000, axis=0), near(3000, 1) * 2.0**30, near(700, 30), near(800, 1) * 2.0**46, near(4, 3)]
+    ids = rng.permutation(sum(map(len, parts)))
+    points, at = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+    asked = np.concatenate([np.arange(0, 5000, 50), np.arange(5000, 5010), np.arange(13000, 13060)])
+    one = topk.Search(topk.CoverTree(points[asked], ids[asked]), 20)
+    kinds = set()
+    for lo, hi in zip(at, at[1:], strict=False):
+        tree = topk.CoverTree(points[lo:hi], ids[lo:hi])
+        kinds.add(topk._kind(one.q, tree))
+        one.meet(tree)
+    assert kinds == {np.float32, np.float64, np.int64}
+    got = defaultdict(list)
+    for q, i, s in zip(*one.results(), strict=True):
+        got[q].append((i, s))
+    for a in asked:
+        s = points.astype(np.int64) @ points[a].astype(np.int64)
+        order = np.lexsort((ids, ~s))
+        assert got[ids[a]] == [(ids[x], s[x]) for x in order if x != a][:20]
+
+
 def test_top_k_grid():
     def sent(n, cells=200, dim=64, k=20):
         blocks, strips = topk.grid(n // 20, n // 20 * dim, n, n * dim, k, cells)
